@@ -200,13 +200,14 @@ def city_sequence(facts: DataFrame, hist: DataFrame, *, terminal_match: str = "a
 
     ``terminal_match='all_versions'`` joins every version of the terminal (a
     terminal that changed city gives one row per city); ``'as_of'`` only the
-    version valid at the transaction time."""
+    live version valid at the transaction time (none after a deletion)."""
     tx = facts.filter(F.col("card_num").isNotNull()).select(
         "batch_date", "card_num", "trans_id", "trans_date", "oper_result", "terminal")
     h = hist.select("terminal_id", "terminal_city", "effective_from", "effective_to", "deleted_flg")
     cond = F.col("terminal") == F.col("terminal_id")
     if terminal_match == "as_of":
-        cond = cond & F.col("trans_date").between(F.col("effective_from"), F.col("effective_to"))
+        cond = (cond & (F.col("deleted_flg") == 0)
+                & F.col("trans_date").between(F.col("effective_from"), F.col("effective_to")))
     elif terminal_match != "all_versions":
         raise ValueError(f"unknown terminal_match {terminal_match!r}")
     rows = tx.join(h, cond, "left").drop("terminal_id", "effective_to")

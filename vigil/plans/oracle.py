@@ -173,7 +173,8 @@ _CITY_WINDOW = """(PARTITION BY t.batch_date, t.card_num
 
 
 def _city_lag(facts: str, hist: str, as_of_match: bool = False) -> str:
-    extra = " AND t.trans_date BETWEEN h.effective_from AND h.effective_to" if as_of_match else ""
+    extra = (" AND h.deleted_flg = 0 AND t.trans_date BETWEEN h.effective_from AND h.effective_to"
+             if as_of_match else "")
     return f"""
         SELECT t.batch_date, t.card_num, t.trans_id, t.trans_date, t.oper_result, h.terminal_city,
                lag(h.terminal_city) OVER w AS lag_city, lag(t.trans_date) OVER w AS lag_time
