@@ -10,8 +10,9 @@ A load folds one full terminal snapshot into the history at a load time
   row with ``deleted_flg = 1`` (deleted).
 
 Parquet tables cannot be updated in place, so ``apply_snapshot`` is a pure
-function ``(history, snapshot, as_of) -> history'`` built from anti joins, a
-flag join against the distinct keys to close, and a union. The caller writes
+function ``(history, snapshot, as_of) -> history'`` built from one full outer
+join of the current view with the snapshot, a flag join against the distinct
+keys to close, and a union. The caller writes
 the result as a new table version and never over its own input.
 """
 
@@ -84,6 +85,35 @@ def _versions(rows: DataFrame, deleted_flg: int, at: Column) -> DataFrame:
     )
 
 
+def snapshot_delta(current: DataFrame, snapshot: DataFrame, *, null_safe: bool = False) -> DataFrame:
+    """New, deleted and changed rows in one full outer join on ``terminal_id``.
+
+    Rows are tagged ``_kind`` = 'new' (snapshot row, id not current),
+    'deleted' (current row, id not in the snapshot) or 'changed' (a current and
+    snapshot pair of one id with another type, city or address; the snapshot
+    values are kept). Equal to the three separate joins above, pairs of
+    duplicate ids included, but each side is shuffled once.
+    """
+    cur = current.select(*[F.col(c).alias(f"_cur_{c}") for c in TERMINAL_ATTRS],
+                         F.lit(True).alias("_in_cur"))
+    snap = snapshot.select(*TERMINAL_ATTRS, F.lit(True).alias("_in_snap"))
+    joined = cur.join(snap, F.col(f"_cur_{_ID}") == F.col(_ID), "full_outer")
+
+    def differs(c: str) -> Column:
+        a, b = F.col(f"_cur_{c}"), F.col(c)
+        return ~a.eqNullSafe(b) if null_safe else a != b
+
+    any_diff = reduce(lambda x, y: x | y, [differs(c) for c in _VALUE_ATTRS])
+    # a null id never matches, so such a row is new (snapshot) or deleted (current)
+    kind = (F.when(F.col("_in_cur").isNull(), F.lit("new"))
+            .when(F.col("_in_snap").isNull(), F.lit("deleted"))
+            .when(any_diff, F.lit("changed")))
+    deleted = F.col("_kind") == "deleted"
+    return (joined.withColumn("_kind", kind).filter(F.col("_kind").isNotNull())
+            .select("_kind", *[F.when(deleted, F.col(f"_cur_{c}")).otherwise(F.col(c)).alias(c)
+                               for c in TERMINAL_ATTRS]))
+
+
 def apply_snapshot(hist: DataFrame, snapshot: DataFrame, as_of: dt.datetime | Column, *,
                    null_safe: bool = False, close_tombstones: bool = False) -> DataFrame:
     """The history after loading ``snapshot`` at ``as_of``.
@@ -92,21 +122,20 @@ def apply_snapshot(hist: DataFrame, snapshot: DataFrame, as_of: dt.datetime | Co
     comes back after deletion is inserted as new while its tombstone stays
     open (``close_tombstones=True`` closes it); value<->null is no change
     (``null_safe=True`` makes it one).
+
+    The history is read twice (current view, and the rows to keep or close);
+    the delta once per output branch over one shuffled full outer join.
     """
     at = _as_of(as_of)
     hist = hist.select(*TERMINALS_HIST.fieldNames())
-    snap = snapshot.select(*TERMINAL_ATTRS)
-    cur = current_terminals(hist, at)
-
-    new = new_terminals(snap, cur)
-    deleted = deleted_terminals(cur, snap)
-    changed = changed_terminals(cur, snap, null_safe=null_safe)
+    delta = snapshot_delta(current_terminals(hist, at), snapshot, null_safe=null_safe)
 
-    to_close = changed.select(_ID).union(deleted.select(_ID))
+    to_close = delta.filter(F.col("_kind") != "new").select(_ID)
     if close_tombstones:
         open_tombstones = hist.filter((F.col("deleted_flg") == 1)
                                       & (F.col("effective_to") == ts_lit(OPEN_END))).select(_ID)
-        to_close = to_close.union(new.select(_ID).join(open_tombstones, _ID, "left_semi"))
+        returning = delta.filter(F.col("_kind") == "new").select(_ID)
+        to_close = to_close.union(returning.join(open_tombstones, _ID, "left_semi"))
     to_close = to_close.distinct().withColumn("_close", F.lit(True))
 
     closing = F.col("_close") & (F.col("effective_to") == ts_lit(OPEN_END))
@@ -114,9 +143,12 @@ def apply_snapshot(hist: DataFrame, snapshot: DataFrame, as_of: dt.datetime | Co
             .withColumn("effective_to",
                         F.when(closing, close_time(at)).otherwise(F.col("effective_to")))
             .select(*TERMINALS_HIST.fieldNames()))
-    return (kept.unionByName(_versions(new, 0, at))
-            .unionByName(_versions(changed, 0, at))
-            .unionByName(_versions(deleted, 1, at)))
+    flag = F.when(F.col("_kind") == "deleted", 1).otherwise(0)
+    versions = delta.select(
+        F.xxhash64(*TERMINAL_ATTRS, flag, at).alias("id"), *TERMINAL_ATTRS,
+        flag.cast("int").alias("deleted_flg"), at.alias("effective_from"),
+        ts_lit(OPEN_END).alias("effective_to"))
+    return kept.unionByName(versions)
 
 
 def history_from_snapshot(snapshot: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
