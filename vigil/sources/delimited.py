@@ -43,21 +43,38 @@ def _typed(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_transactions_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All lines of the feed files, typed, with file name and corrupt-record text."""
-    return _typed(_reader(spark).csv(path))
-
-
-def read_transactions(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Well-formed transaction rows in staging shape plus ``batch_date``."""
-    raw = read_transactions_raw(spark, path)
-    return raw.filter(F.col(CORRUPT).isNull()).select(*TRANSACTIONS_FILE_COLUMNS, "batch_date")
-
-
-def rejected_transactions(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_transactions_raw(spark: SparkSession, path: str | list[str],
+                          name_glob: str | None = None) -> DataFrame:
+    """All lines of the feed files, typed, with file path and corrupt-record text.
+    ``name_glob`` keeps only matching file names (e.g. ``transactions_*.txt``
+    in a landing folder holding every feed)."""
+    reader = _reader(spark)
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
+    return _typed(reader.csv(path))
+
+
+def _accepted() -> F.Column:
+    """A line parses when it has no more fields than the header: missing
+    trailing fields become null (as a pandas reader does), extra ones make the
+    line malformed. Quoted separators are not counted."""
+    unquoted = F.regexp_replace(F.col(CORRUPT), r'"[^"]*"', "")
+    separators = F.size(F.split(unquoted, ";")) - 1
+    return F.col(CORRUPT).isNull() | (separators < len(TRANSACTIONS_FILE_COLUMNS) - 1)
+
+
+def read_transactions(spark: SparkSession, path: str | list[str],
+                      name_glob: str | None = None) -> DataFrame:
+    """Transaction rows in staging shape plus ``batch_date``."""
+    raw = read_transactions_raw(spark, path, name_glob)
+    return raw.filter(_accepted()).select(*TRANSACTIONS_FILE_COLUMNS, "batch_date")
+
+
+def rejected_transactions(spark: SparkSession, path: str | list[str],
+                          name_glob: str | None = None) -> DataFrame:
     """Quarantine: malformed lines and rows of files without a date in the name."""
-    raw = read_transactions_raw(spark, path)
-    return raw.filter(F.col(CORRUPT).isNotNull() | F.col("batch_date").isNull())
+    raw = read_transactions_raw(spark, path, name_glob)
+    return raw.filter(~_accepted() | F.col("batch_date").isNull())
 
 
 def write_transactions(staged: DataFrame, path: str, batch_date: dt.date) -> str:
