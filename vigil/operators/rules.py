@@ -69,7 +69,8 @@ def batches_of(facts: DataFrame, limit: int = MAX_BATCHES) -> list[tuple[dt.date
     rows = facts.select("batch_date").distinct().limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} batches in facts")
-    return batch_list([r["batch_date"] for r in rows if r["batch_date"] is not None])
+    dates = [r["batch_date"] for r in rows if r["batch_date"] is not None]
+    return batch_list(dates) if dates else []
 
 
 def _batch_table(spark, batches: list[tuple[dt.date, dt.date]]) -> DataFrame:
@@ -193,14 +194,17 @@ def _keys(cross_batch: bool) -> list[str]:
 
 
 def city_sequence(facts: DataFrame, hist: DataFrame, *, terminal_match: str = "all_versions",
-                  cross_batch: bool = False, max_group_rows: int | None = DEFAULT_GROUP_ROWS
-                  ) -> DataFrame:
+                  cross_batch: bool = False, max_group_rows: int | None = DEFAULT_GROUP_ROWS,
+                  known_at: dict[dt.date, dt.datetime] | None = None) -> DataFrame:
     """Transactions of known cards joined to terminal history, with the previous
     row's city and time on the same card.
 
     ``terminal_match='all_versions'`` joins every version of the terminal (a
     terminal that changed city gives one row per city); ``'as_of'`` only the
-    live version valid at the transaction time (none after a deletion)."""
+    live version valid at the transaction time (none after a deletion).
+    ``known_at`` maps a batch date to its history load time: a batch then only
+    sees versions that existed after its own load, so a backfill over several
+    days reads one history table and still gets each day's view."""
     tx = facts.filter(F.col("card_num").isNotNull()).select(
         "batch_date", "card_num", "trans_id", "trans_date", "oper_result", "terminal")
     h = hist.select("terminal_id", "terminal_city", "effective_from", "effective_to", "deleted_flg")
@@ -210,6 +214,10 @@ def city_sequence(facts: DataFrame, hist: DataFrame, *, terminal_match: str = "a
                 & F.col("trans_date").between(F.col("effective_from"), F.col("effective_to")))
     elif terminal_match != "all_versions":
         raise ValueError(f"unknown terminal_match {terminal_match!r}")
+    if known_at:
+        loads = F.create_map(*[x for d, t in sorted(known_at.items())
+                               for x in (date_lit(d), ts_lit(t))])
+        cond = cond & (F.col("effective_from") <= loads[F.col("batch_date")])
     rows = tx.join(h, cond, "left").drop("terminal_id", "effective_to")
     keys = _keys(cross_batch)
     hot = hot_groups(tx, keys, "trans_date", max_group_rows) if max_group_rows else None
@@ -220,11 +228,12 @@ def city_sequence(facts: DataFrame, hist: DataFrame, *, terminal_match: str = "a
 
 def city_hits(facts: DataFrame, hist: DataFrame, *, max_minutes: int = CITY_MAX_MINUTES,
               terminal_match: str = "all_versions", cross_batch: bool = False,
-              max_group_rows: int | None = DEFAULT_GROUP_ROWS) -> DataFrame:
+              max_group_rows: int | None = DEFAULT_GROUP_ROWS,
+              known_at: dict[dt.date, dt.datetime] | None = None) -> DataFrame:
     """Earliest SUCCESS transaction per card whose city differs from the previous
     row's city (any result, any type) less than ``max_minutes`` earlier."""
     seq = city_sequence(facts, hist, terminal_match=terminal_match, cross_batch=cross_batch,
-                        max_group_rows=max_group_rows)
+                        max_group_rows=max_group_rows, known_at=known_at)
     hit = (within_minutes("lag_time", "trans_date", max_minutes)
            & (F.col("terminal_city") != F.col("lag_city"))
            & (F.col("oper_result") == RESULT_SUCCESS))
