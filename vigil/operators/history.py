@@ -156,9 +156,14 @@ def history_from_snapshot(snapshot: DataFrame, as_of: dt.datetime | Column) -> D
     return _versions(snapshot.select(*TERMINAL_ATTRS), 0, _as_of(as_of))
 
 
+def latest_load(hist: DataFrame) -> dt.datetime | None:
+    """Start of the newest version (one aggregate row reaches the driver)."""
+    return hist.agg(F.max("effective_from").alias("m")).collect()[0]["m"]
+
+
 def check_load_time(hist: DataFrame, as_of: dt.datetime) -> None:
     """Refuse a load time not after the latest version start: closing at
     ``as_of - 1s`` would otherwise end a version before it began."""
-    latest = hist.agg(F.max("effective_from").alias("m")).collect()[0]["m"]
+    latest = latest_load(hist)
     if latest is not None and as_of <= latest:
         raise ValueError(f"load time {as_of} is not after the latest version start {latest}")

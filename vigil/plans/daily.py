@@ -134,8 +134,13 @@ def _only(df: DataFrame, dates: list[dt.date]) -> DataFrame:
     return df.filter(F.col("batch_date").isin([F.lit(d) for d in dates]))
 
 
-def load_facts(spark: SparkSession, landing: str, wh: Warehouse, dates: list[dt.date]) -> None:
-    staged = _only(delimited.read_transactions(spark, landing, f"{FEED_TRANSACTIONS}_*.txt"), dates)
+def load_facts(spark: SparkSession, landing: str, wh: Warehouse, dates: list[dt.date],
+               staged: DataFrame | None = None) -> None:
+    """Transactions (``staged``, or read from the landing folder) and blacklists
+    of ``dates`` into the partitioned fact tables."""
+    if staged is None:
+        staged = delimited.read_transactions(spark, landing, f"{FEED_TRANSACTIONS}_*.txt")
+    staged = _only(staged, dates)
     (dims.fact_transactions(staged).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_date")
      .parquet(wh.transactions))
@@ -152,6 +157,9 @@ def load_history(spark: SparkSession, landing: str, wh: Warehouse, dates: list[d
     for d in sorted(dates):
         at = load_time(d)
         hist = read_history(spark, wh)
+        latest = history.latest_load(hist)
+        if latest is not None and latest == at:
+            continue  # this day was folded in already (a replayed run)
         history.check_load_time(hist, at)
         snap = snapshots.filter(F.col("batch_date") == F.lit(d)).drop("batch_date")
         new = history.apply_snapshot(hist, snap, at, **options)
@@ -176,19 +184,19 @@ def run_rules(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
         passport_options=options.get("passport_options")))
 
 
-def run_daily(spark: SparkSession, landing: str, wh: Warehouse, seeds: tuple[DataFrame, ...],
-              run_time: dt.datetime, load_time: Callable[[dt.date], dt.datetime] | None = None,
-              **options) -> list[dt.date]:
-    """Process every pending complete batch; returns the processed dates."""
-    load_dims(*seeds, wh)
-    dates = pending_batches(spark, landing, wh)
+def process_batches(spark: SparkSession, landing: str, wh: Warehouse, dates: list[dt.date],
+                    run_time: dt.datetime,
+                    load_time: Callable[[dt.date], dt.datetime] | None = None,
+                    staged_transactions: DataFrame | None = None, **options) -> list[dt.date]:
+    """Steps 2-4 for the given complete batch dates."""
+    dates = sorted(dates)
     if not dates:
         return []
     if load_time is None:
         # one distinct, increasing load time per day of this run
         def load_time(d: dt.date, _order={d: i for i, d in enumerate(dates)}) -> dt.datetime:
             return run_time + dt.timedelta(seconds=_order[d])
-    load_facts(spark, landing, wh, dates)
+    load_facts(spark, landing, wh, dates, staged_transactions)
     load_history(spark, landing, wh, dates, load_time, **options.get("history_options", {}))
     report.write_report(run_rules(spark, wh, dates, load_time, run_time, **options), wh.report)
     done = spark.createDataFrame([(d, run_time) for d in dates],
@@ -198,5 +206,16 @@ def run_daily(spark: SparkSession, landing: str, wh: Warehouse, seeds: tuple[Dat
     return dates
 
 
+def run_daily(spark: SparkSession, landing: str, wh: Warehouse, seeds: tuple[DataFrame, ...],
+              run_time: dt.datetime, load_time: Callable[[dt.date], dt.datetime] | None = None,
+              **options) -> list[dt.date]:
+    """Rebuild the dimensions, then process every pending complete batch;
+    returns the processed dates."""
+    load_dims(*seeds, wh)
+    return process_batches(spark, landing, wh, pending_batches(spark, landing, wh), run_time,
+                           load_time, **options)
+
+
 __all__ = ["Warehouse", "FEEDS", "history_versions", "load_dims", "load_facts", "load_history",
-           "pending_batches", "read_bank", "read_history", "run_daily", "run_rules"]
+           "pending_batches", "process_batches", "read_bank", "read_history", "run_daily",
+           "run_rules"]

@@ -3,8 +3,10 @@
 Every field is read as text with an explicit schema (no inference, no
 sampling pass), so ids such as ``NA`` and amounts with a decimal comma
 survive unchanged; only ``transaction_date`` is typed, with ``try_cast`` so a
-bad value becomes null instead of failing the job. Malformed lines are kept in
-``_corrupt_record`` and can be routed to a quarantine table. The batch date
+bad value becomes null instead of failing the job. The read schema has one
+column more than the file (``_extra``): a line with missing trailing fields
+gets nulls (as a pandas reader does), a line with more fields than the header
+fills ``_extra`` and is routed to a quarantine table. The batch date
 comes from each file's path (``_metadata.file_path``: the ``feed_DDMMYYYY``
 part, a file or the directory a writer produced), so one read covers any
 number of daily files, split across tasks by file and byte range.
@@ -14,21 +16,21 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions import batch_date_of
 from vigil.schemas import TRANSACTIONS_FILE, TRANSACTIONS_FILE_COLUMNS
 
-CORRUPT = "_corrupt_record"
-_READ_SCHEMA = T.StructType(TRANSACTIONS_FILE.fields + [T.StructField(CORRUPT, T.StringType())])
+EXTRA = "_extra"
+_READ_SCHEMA = T.StructType(TRANSACTIONS_FILE.fields + [T.StructField(EXTRA, T.StringType())])
 
 
 def _reader(spark: SparkSession):
     return (spark.read.schema(_READ_SCHEMA)
             .option("sep", ";").option("header", True).option("quote", '"')
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("mode", "PERMISSIVE").option("enforceSchema", True)
             .option("nullValue", "").option("emptyValue", ""))
 
 
@@ -39,13 +41,13 @@ def _typed(raw: DataFrame) -> DataFrame:
         "amount", "card_num", "oper_type", "oper_result", "terminal",
         batch_date_of(F.col("_metadata.file_path"), in_path=True).alias("batch_date"),
         F.col("_metadata.file_path").alias("file_path"),
-        CORRUPT,
+        EXTRA,
     )
 
 
 def read_transactions_raw(spark: SparkSession, path: str | list[str],
                           name_glob: str | None = None) -> DataFrame:
-    """All lines of the feed files, typed, with file path and corrupt-record text.
+    """All lines of the feed files, typed, with file path and the ``_extra`` field.
     ``name_glob`` keeps only matching file names (e.g. ``transactions_*.txt``
     in a landing folder holding every feed)."""
     reader = _reader(spark)
@@ -54,13 +56,9 @@ def read_transactions_raw(spark: SparkSession, path: str | list[str],
     return _typed(reader.csv(path))
 
 
-def _accepted() -> F.Column:
-    """A line parses when it has no more fields than the header: missing
-    trailing fields become null (as a pandas reader does), extra ones make the
-    line malformed. Quoted separators are not counted."""
-    unquoted = F.regexp_replace(F.col(CORRUPT), r'"[^"]*"', "")
-    separators = F.size(F.split(unquoted, ";")) - 1
-    return F.col(CORRUPT).isNull() | (separators < len(TRANSACTIONS_FILE_COLUMNS) - 1)
+def _accepted() -> Column:
+    """A line is taken when it has no more fields than the header."""
+    return F.col(EXTRA).isNull()
 
 
 def read_transactions(spark: SparkSession, path: str | list[str],
