@@ -97,16 +97,28 @@ def card_holders(bank: Bank) -> DataFrame:
             .select("card_num", "account_num", "client_id", "fio", "passport_num", "phone"))
 
 
-def with_holder(df: DataFrame, bank: Bank) -> DataFrame:
-    """Add ``fio``, ``passport_num`` and ``phone`` of the card holder to rows
-    carrying ``card_num``.
-
-    The joins start from ``df`` (the rule hits, few rows) and walk up the
-    n:1 chain, so each join has a small side at run time and the large
-    dimensions are never joined with each other first.
+# Hit sets up to this many rows have their card keys broadcast to filter the
+# card-holder side before the join (the count is taken on the materialised hits).
+SMALL_HITS_ROWS = 2_000_000
+
+
+def with_holder(df: DataFrame, holders: Bank | DataFrame, *,
+                small_rows: int = SMALL_HITS_ROWS, materialize: bool = True) -> DataFrame:
+    """Add ``fio``, ``passport_num`` and ``phone`` of the card holder to rule
+    hits carrying ``card_num`` (left join: unknown cards keep null columns).
+
+    ``holders`` is the bank (card holders are derived) or a stored
+    ``card_holders`` table. Hits are few; the holder side is as large as the
+    card base. The hits are materialised once (``checkpoint`` into the shared
+    checkpoint folder) and counted; when at most ``small_rows``, their distinct
+    card keys (a proven bound) are broadcast into a semi join that filters the
+    holder side map-side, so the card base is scanned but never shuffled for a
+    handful of hits. Above the bound the joins stay shuffle joins.
     """
-    cards, accounts, clients = _holder_parts(bank)
-    return (df.join(cards, "card_num", "left")
-            .join(accounts, "account_num", "left")
-            .join(clients, "client_id", "left")
-            .drop("account_num", "client_id"))
+    table = card_holders(holders) if isinstance(holders, Bank) else holders
+    table = table.select("card_num", "fio", "passport_num", "phone")
+    hits = df.checkpoint() if materialize else df
+    if materialize and hits.count() <= small_rows:
+        keys = F.broadcast(hits.select("card_num").filter(F.col("card_num").isNotNull()).distinct())
+        table = table.join(keys, "card_num", "left_semi")
+    return hits.join(table, "card_num", "left")

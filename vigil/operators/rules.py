@@ -245,10 +245,11 @@ def city_hits(facts: DataFrame, hist: DataFrame, *, max_minutes: int = CITY_MAX_
     return hits.groupBy("batch_date", "card_num").agg(F.min("trans_date").alias("event_dt"))
 
 
-def city_cheat(bank: Bank, facts: DataFrame, hist: DataFrame, as_of: dt.datetime,
-               **options) -> DataFrame:
+def city_cheat(bank: Bank, facts: DataFrame, hist: DataFrame, as_of: dt.datetime, *,
+               holders: DataFrame | None = None, **options) -> DataFrame:
+    """City rule hits as report rows (``holders``: a stored card-holder table)."""
     hits = city_hits(facts, hist, **options)
-    return _report(with_holder(hits, bank), EVENT_CITY, as_of)
+    return _report(with_holder(hits, bank if holders is None else holders), EVENT_CITY, as_of)
 
 
 # --- R-4: guessing the amount -----------------------------------------------
@@ -296,13 +297,15 @@ def amount_hits(facts: DataFrame, *, max_minutes: int = AMOUNT_MAX_MINUTES,
                                   F.col("trans_date").alias("event_dt"))
 
 
-def amount_cheat(bank: Bank, facts: DataFrame, as_of: dt.datetime, **options) -> DataFrame:
+def amount_cheat(bank: Bank, facts: DataFrame, as_of: dt.datetime, *,
+                 holders: DataFrame | None = None, **options) -> DataFrame:
+    """Amount rule hits as report rows (``holders``: a stored card-holder table)."""
     hits = amount_hits(facts, **options)
-    return _report(with_holder(hits, bank), EVENT_AMOUNT, as_of)
+    return _report(with_holder(hits, bank if holders is None else holders), EVENT_AMOUNT, as_of)
 
 
 def all_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame, hist: DataFrame,
-              batches: BatchSpec, as_of: dt.datetime, *,
+              batches: BatchSpec, as_of: dt.datetime, *, holders: DataFrame | None = None,
               city_options: dict | None = None, amount_options: dict | None = None,
               passport_options: dict | None = None) -> Sequence[DataFrame]:
     """The four rules in report order."""
@@ -311,6 +314,6 @@ def all_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame, hist: DataFram
     return (
         account_cheat(bank, facts, bl, as_of),
         passport_cheat(bank, facts, blacklist, bl, as_of, **(passport_options or {})),
-        city_cheat(bank, dated, hist, as_of, **(city_options or {})),
-        amount_cheat(bank, dated, as_of, **(amount_options or {})),
+        city_cheat(bank, dated, hist, as_of, holders=holders, **(city_options or {})),
+        amount_cheat(bank, dated, as_of, holders=holders, **(amount_options or {})),
     )

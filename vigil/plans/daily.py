@@ -2,7 +2,8 @@
 
 One run handles every complete batch waiting in a landing folder:
 
-1. dimensions are rebuilt from the seed tables (their own step);
+1. dimensions are rebuilt from the seed tables (their own step), with the
+   card-holder table (card -> account -> client) joined once per run;
 2. transactions and blacklists of all pending days are read in one pass each
    and written partitioned by ``batch_date`` with dynamic partition overwrite,
    so a day that is loaded again replaces itself;
@@ -67,6 +68,10 @@ class Warehouse:
     def report(self) -> str:
         return self.path("rep_fraud")
 
+    @property
+    def card_holders(self) -> str:
+        return self.path("card_holders")
+
     @property
     def processed(self) -> str:
         return self.path("processed_batches")
@@ -115,6 +120,9 @@ def load_dims(seed_clients: DataFrame, seed_accounts: DataFrame, seed_cards: Dat
     bank.clients.write.mode("overwrite").parquet(wh.clients)
     bank.accounts.write.mode("overwrite").parquet(wh.accounts)
     bank.cards.write.mode("overwrite").parquet(wh.cards)
+    # card -> account -> client once per run; rules filter it by their hit keys
+    stored = read_bank(bank.clients.sparkSession, wh)
+    dims.card_holders(stored).write.mode("overwrite").parquet(wh.card_holders)
 
 
 def read_bank(spark: SparkSession, wh: Warehouse) -> dims.Bank:
@@ -178,8 +186,9 @@ def run_rules(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
     blacklist = spark.read.parquet(wh.blacklist)
     hist = read_history(spark, wh)
     city = {"known_at": {d: load_time(d) for d in dates}, **options.get("city_options", {})}
+    holders = spark.read.parquet(wh.card_holders)
     return report.fraud_report(rules.all_rules(
-        bank, facts, blacklist, hist, dates, report_time, city_options=city,
+        bank, facts, blacklist, hist, dates, report_time, holders=holders, city_options=city,
         amount_options=options.get("amount_options"),
         passport_options=options.get("passport_options")))
 
