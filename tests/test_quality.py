@@ -1,0 +1,19 @@
+"""Data-quality operators: duplicate keys and orphans."""
+
+from __future__ import annotations
+
+from conftest import rows_of
+from vigil.operators import quality
+
+
+def test_duplicate_keys(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
+    assert rows_of(quality.duplicate_keys(df, "k", "t"), "relation", "key_value", "n_rows") == [
+        ("t", "a", 2)]
+
+
+def test_orphans(spark):
+    child = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "fk string")
+    parent = spark.createDataFrame([("y",), (None,)], "pk string")
+    assert rows_of(quality.orphans(child, "fk", parent, "pk", "c.fk"),
+                   "relation", "key_value", "n_rows") == [("c.fk", "x", 2)]

@@ -43,3 +43,23 @@ def test_stream_job_equals_batch_job(spark, tmp_path):
     assert daily.run_daily(spark, full, wh_b, _seeds(spark), RUN_TIME, load_time) == DAYS
     assert _rows(spark, wh_s.report) == _rows(spark, wh_b.report)
     assert daily.history_versions(spark, wh_s) == [1, 2, 3]
+
+
+def test_archive_after_processing(spark, tmp_path):
+    land, arch = tmp_path / "land", tmp_path / "archive"
+    land.mkdir()
+    header = "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
+    for day in ("01", "02"):
+        (land / f"transactions_{day}032021.txt").write_text(
+            header + f"{day};2021-03-{day} 10:00:00;1,5;c;PAYMENT;SUCCESS;T\n")
+    table, ckpt = str(tmp_path / "facts"), str(tmp_path / "ckpt")
+    ingest.ingest_transactions(spark, str(land), table, ckpt, archive_dir=str(arch))
+    assert spark.read.parquet(table).count() == 2
+    (land / "transactions_03032021.txt").write_text(
+        header + "03;2021-03-03 10:00:00;1,5;c;PAYMENT;SUCCESS;T\n")
+    ingest.ingest_transactions(spark, str(land), table, ckpt, archive_dir=str(arch))
+    assert spark.read.parquet(table).count() == 3
+    # the first run's files are archived by the second run; the newest stay
+    assert sorted(p.name for p in land.iterdir()) == ["transactions_03032021.txt"]
+    assert sorted(p.name for p in arch.rglob("*.txt")) == ["transactions_01032021.txt",
+                                                           "transactions_02032021.txt"]
