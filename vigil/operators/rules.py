@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions import date_lit, full_name, parse_amount, ts_lit, within_minutes
@@ -185,8 +185,12 @@ def passport_cheat(bank: Bank, facts: DataFrame, blacklist: DataFrame, batches:
 
 # --- R-3: operations in different cities within an hour --------------------
 
-CITY_ORDER = ("trans_date", "trans_id", "terminal", "effective_from", "deleted_flg",
-              "terminal_city")
+CITY_ORDER = ("trans_date", "trans_id", "terminal", "oper_result", "effective_from",
+              "deleted_flg", "terminal_city")
+TX_ORDER = ("trans_date", "trans_id", "terminal", "oper_result")
+VERSION_ORDER = ("effective_from", "deleted_flg", "terminal_city")
+# Terminal summaries up to this many rows are broadcast (counted after materialising).
+SMALL_SUMMARY_ROWS = 5_000_000
 
 
 def _keys(cross_batch: bool) -> list[str]:
@@ -226,18 +230,88 @@ def city_sequence(facts: DataFrame, hist: DataFrame, *, terminal_match: str = "a
                        hot=hot, time_col="trans_date")
 
 
+def terminal_cities(hist: DataFrame, known_at: dict[dt.date, dt.datetime] | None = None,
+                    *, small_rows: int = SMALL_SUMMARY_ROWS) -> DataFrame:
+    """One row per terminal (per batch with ``known_at``) summarising its
+    versions in version order: ``first_city``, ``last_city`` and ``moved``
+    (two consecutive versions with different non-null cities).
+
+    This is all the city rule needs from the history in all-versions mode, so
+    facts join an n:1 table instead of fanning out over versions. The window
+    runs per terminal over its versions (a handful per terminal). The summary
+    is materialised and counted; up to ``small_rows`` rows it is broadcast so
+    the facts are shuffled only once, for the card window."""
+    h = hist.select("terminal_id", "terminal_city", "effective_from", "deleted_flg")
+    keys = ["terminal_id"]
+    if known_at:
+        seen = hist.sparkSession.createDataFrame(
+            sorted(known_at.items()), "batch_date date, _known_at timestamp_ntz")
+        # bounded by MAX_BATCHES rows
+        h = (h.join(F.broadcast(seen), F.col("effective_from") <= F.col("_known_at"), "inner")
+             .drop("_known_at"))
+        keys = ["batch_date", "terminal_id"]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in VERSION_ORDER])
+    h = h.select("*", F.lag("terminal_city").over(w).alias("_prev"),
+                 F.row_number().over(w).alias("_rn"),
+                 F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_n"))
+    moved = F.coalesce(F.col("_prev") != F.col("terminal_city"), F.lit(False))
+    summary = (h.groupBy(*keys).agg(
+        F.max(F.when(F.col("_rn") == 1, F.col("terminal_city"))).alias("first_city"),
+        F.max(F.when(F.col("_rn") == F.col("_n"), F.col("terminal_city"))).alias("last_city"),
+        F.max(moved).alias("moved")))
+    summary = summary.checkpoint()
+    return F.broadcast(summary) if summary.count() <= small_rows else summary
+
+
+def _city_hits_by_summary(facts: DataFrame, hist: DataFrame, max_minutes: int,
+                          cross_batch: bool, max_group_rows: int | None,
+                          known_at: dict[dt.date, dt.datetime] | None) -> DataFrame:
+    """All-versions city rule on transactions joined to ``terminal_cities``.
+
+    Over the rows of a transaction's versions, a row after the first is 0
+    minutes after its predecessor (same transaction), so it is a hit when that
+    version moved city; the first row follows the previous transaction's last
+    version. Hence a SUCCESS transaction is a hit when its terminal ``moved``,
+    or its ``first_city`` differs from the previous transaction's
+    ``last_city`` less than ``max_minutes`` earlier -- the same hits as the
+    window over all versions, with one row per transaction."""
+    tx = facts.filter(F.col("card_num").isNotNull()).select(
+        "batch_date", "card_num", "trans_id", "trans_date", "oper_result", "terminal")
+    summary = terminal_cities(hist, known_at)
+    on = ["terminal_id"] if not known_at else ["batch_date", "terminal_id"]
+    rows = (tx.withColumnRenamed("terminal", "terminal_id")
+            .join(summary, on, "left").withColumnRenamed("terminal_id", "terminal"))
+    keys = _keys(cross_batch)
+    hot = hot_groups(tx, keys, "trans_date", max_group_rows) if max_group_rows else None
+    seq = lag_columns(rows, keys, TX_ORDER,
+                      {"lag_last_city": ("last_city", 1), "lag_time": ("trans_date", 1)},
+                      hot=hot, time_col="trans_date")
+    step = (within_minutes("lag_time", "trans_date", max_minutes)
+            & (F.col("first_city") != F.col("lag_last_city")))
+    hit = (F.col("oper_result") == RESULT_SUCCESS) & (F.coalesce(F.col("moved"), F.lit(False))
+                                                     | F.coalesce(step, F.lit(False)))
+    return seq.filter(hit)
+
+
 def city_hits(facts: DataFrame, hist: DataFrame, *, max_minutes: int = CITY_MAX_MINUTES,
               terminal_match: str = "all_versions", cross_batch: bool = False,
               max_group_rows: int | None = DEFAULT_GROUP_ROWS,
               known_at: dict[dt.date, dt.datetime] | None = None) -> DataFrame:
     """Earliest SUCCESS transaction per card whose city differs from the previous
-    row's city (any result, any type) less than ``max_minutes`` earlier."""
-    seq = city_sequence(facts, hist, terminal_match=terminal_match, cross_batch=cross_batch,
-                        max_group_rows=max_group_rows, known_at=known_at)
-    hit = (within_minutes("lag_time", "trans_date", max_minutes)
-           & (F.col("terminal_city") != F.col("lag_city"))
-           & (F.col("oper_result") == RESULT_SUCCESS))
-    hits = seq.filter(hit)
+    row's city (any result, any type) less than ``max_minutes`` earlier.
+
+    All-versions mode runs on one row per transaction (``terminal_cities``);
+    as-of mode on the transactions joined to their live version."""
+    if terminal_match == "all_versions":
+        hits = _city_hits_by_summary(facts, hist, max_minutes, cross_batch, max_group_rows,
+                                     known_at)
+    else:
+        seq = city_sequence(facts, hist, terminal_match=terminal_match, cross_batch=cross_batch,
+                            max_group_rows=max_group_rows, known_at=known_at)
+        hit = (within_minutes("lag_time", "trans_date", max_minutes)
+               & (F.col("terminal_city") != F.col("lag_city"))
+               & (F.col("oper_result") == RESULT_SUCCESS))
+        hits = seq.filter(hit)
     if cross_batch:
         return hits.groupBy("card_num").agg(
             F.min("trans_date").alias("event_dt"),

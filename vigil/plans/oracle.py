@@ -169,7 +169,8 @@ _PASSPORT_RULE = f"""
 
 _CITY_WINDOW = """(PARTITION BY t.batch_date, t.card_num
     ORDER BY t.trans_date NULLS FIRST, t.trans_id NULLS FIRST, t.terminal NULLS FIRST,
-             h.effective_from NULLS FIRST, h.deleted_flg NULLS FIRST, h.terminal_city NULLS FIRST)"""
+             t.oper_result NULLS FIRST, h.effective_from NULLS FIRST, h.deleted_flg NULLS FIRST,
+             h.terminal_city NULLS FIRST)"""
 
 
 def _city_lag(facts: str, hist: str, as_of_match: bool = False) -> str:
