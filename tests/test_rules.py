@@ -236,3 +236,28 @@ def test_facts_pruned_to_batches(spark):
     # the card's only transaction belongs to another batch: one null-event row
     assert [r.event_dt for r in out.collect()] == [None]
     assert out.filter(F.col("batch_date") != F.lit(DAY)).count() == 0
+
+
+def test_amount_null_card_group_split(spark):
+    rows = _amount_rows() + [
+        (f"n{i}", T("2021-03-01 09:00:00") + dt.timedelta(minutes=i), a, None, "PAYMENT", r, "T")
+        for i, (r, a) in enumerate([("REJECT", "5"), ("REJECT", "4"), ("REJECT", "3"),
+                                    ("SUCCESS", "2"), ("REJECT", "9"), ("REJECT", "8"),
+                                    ("REJECT", "7"), ("SUCCESS", "6")])]
+    facts = make_facts(spark, rows)
+    plain = rows_of(rules.amount_hits(facts, max_group_rows=None), "card_num", "event_dt")
+    split = rows_of(rules.amount_hits(facts, max_group_rows=2), "card_num", "event_dt")
+    assert plain == split
+    assert (None, T("2021-03-01 09:03:00")) in plain and (None, T("2021-03-01 09:07:00")) in plain
+
+
+def test_city_compact_equals_expanded(spark):
+    facts, hist = _city_inputs(spark)
+    compact = rows_of(rules.city_hits(facts, hist), "card_num", "event_dt")
+    seq = rules.city_sequence(facts, hist)
+    from vigil.functions import within_minutes
+    expanded = (seq.filter(within_minutes("lag_time", "trans_date", 60)
+                           & (F.col("terminal_city") != F.col("lag_city"))
+                           & (F.col("oper_result") == "SUCCESS"))
+                .groupBy("card_num").agg(F.min("trans_date").alias("event_dt")))
+    assert compact == rows_of(expanded, "card_num", "event_dt")
