@@ -8,6 +8,7 @@ from conftest import SF_SMALL, T, make_snapshot, rows_of
 from vigil.operators import history
 from vigil.plans import bindings
 from vigil.schemas import OPEN_END
+from vigil.session import reliable_checkpoint
 
 T1, T2, T3, T4, T5 = (T(f"2021-03-0{i} 01:00:00") for i in range(1, 6))
 COLS = ("terminal_id", "terminal_type", "terminal_city", "terminal_address", "deleted_flg",
@@ -16,7 +17,7 @@ COLS = ("terminal_id", "terminal_type", "terminal_city", "terminal_address", "de
 
 def _load(spark, hist, rows, at, **kw):
     # each load is materialised, as the daily job writes every history version
-    return history.apply_snapshot(hist, make_snapshot(spark, rows), at, **kw).checkpoint()
+    return reliable_checkpoint(history.apply_snapshot(hist, make_snapshot(spark, rows), at, **kw))
 
 
 def test_history_sequence(spark):

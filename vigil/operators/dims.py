@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions import date_lit, full_name
+from vigil.session import reliable_checkpoint
 
 
 @dataclass(frozen=True)
@@ -117,7 +118,7 @@ def with_holder(df: DataFrame, holders: Bank | DataFrame, *,
     """
     table = card_holders(holders) if isinstance(holders, Bank) else holders
     table = table.select("card_num", "fio", "passport_num", "phone")
-    hits = df.checkpoint() if materialize else df
+    hits = reliable_checkpoint(df) if materialize else df
     if materialize and hits.count() <= small_rows:
         keys = F.broadcast(hits.select("card_num").filter(F.col("card_num").isNotNull()).distinct())
         table = table.join(keys, "card_num", "left_semi")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from vigil.functions import date_lit, full_name, parse_amount, ts_lit, within_minutes
 from vigil.operators.dims import Bank, with_holder
 from vigil.operators.seqlag import DEFAULT_GROUP_ROWS, hot_groups, lag_columns
+from vigil.session import reliable_checkpoint
 from vigil.schemas import (
     AMOUNT_MAX_MINUTES,
     AMOUNT_OPER_TYPES,
@@ -259,7 +260,7 @@ def terminal_cities(hist: DataFrame, known_at: dict[dt.date, dt.datetime] | None
         F.max(F.when(F.col("_rn") == 1, F.col("terminal_city"))).alias("first_city"),
         F.max(F.when(F.col("_rn") == F.col("_n"), F.col("terminal_city"))).alias("last_city"),
         F.max(moved).alias("moved")))
-    summary = summary.checkpoint()
+    summary = reliable_checkpoint(summary)
     return F.broadcast(summary) if summary.count() <= small_rows else summary
 
 

@@ -68,6 +68,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def reliable_checkpoint(df):
+    """``df.checkpoint()`` into the shared checkpoint folder (never a local
+    checkpoint): the data is materialised on reliable storage and lineage is
+    cut, so a lost executor does not force recomputation of the inputs."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     root = checkpoint_root(spark)
