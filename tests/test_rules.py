@@ -261,3 +261,30 @@ def test_city_compact_equals_expanded(spark):
                            & (F.col("oper_result") == "SUCCESS"))
                 .groupBy("card_num").agg(F.min("trans_date").alias("event_dt")))
     assert compact == rows_of(expanded, "card_num", "event_dt")
+
+
+def test_require_event_drops_null_event_rows(spark):
+    bank = make_bank(spark, clients=[("1", "A", "B", "C", "P1", D("2020-01-01"), "+1")],
+                     accounts=[("A1", D("2020-01-01"), "1"), ("A2", D("2020-01-01"), "1")],
+                     cards=[("C1", "A1"), ("C2", "A1")])
+    facts = make_facts(spark, [_tx("t1", "2021-03-01 10:00:00", "C1")])
+    bl = make_blacklist(spark, [])
+    full = rules.account_cheat(bank, facts, DAY, AS_OF)
+    assert full.count() == 3  # t1, card C2 without operations, account A2 without cards
+    only = rules.account_cheat(bank, facts, DAY, AS_OF, require_event=True)
+    assert [r.event_dt for r in only.collect()] == [T("2021-03-01 10:00:00")]
+    p_full = rules.passport_cheat(bank, facts, bl, DAY, AS_OF)
+    p_only = rules.passport_cheat(bank, facts, bl, DAY, AS_OF, require_event=True)
+    assert p_full.count() == 3 and p_only.count() == 1
+
+
+def test_cross_batch_sequences(spark):
+    # a run of three rejects on one day and the success on the next
+    rows = [(f"x{i}", T("2021-03-01 23:57:00") + dt.timedelta(minutes=i), a, "M", "PAYMENT", r, "T",
+             D("2021-03-01") if i < 3 else D("2021-03-02"))
+            for i, (r, a) in enumerate([("REJECT", "3"), ("REJECT", "2"), ("REJECT", "1,5"),
+                                        ("SUCCESS", "1")])]
+    facts = make_facts(spark, rows)
+    assert rules.amount_hits(facts).count() == 0
+    crossed = rules.amount_hits(facts, cross_batch=True)
+    assert [(r.card_num, r.event_dt) for r in crossed.collect()] == [("M", T("2021-03-02 00:00:00"))]

@@ -113,18 +113,19 @@ def expired_accounts(bank: Bank, batches: BatchSpec) -> DataFrame:
 
 
 def account_cheat(bank: Bank, facts: DataFrame, batches: BatchSpec,
-                  as_of: dt.datetime) -> DataFrame:
+                  as_of: dt.datetime, *, require_event: bool = False) -> DataFrame:
     """One row per transaction of the batch on any card of an expired account;
     a row with null ``event_dt`` for each such card without one (and for an
-    account without cards)."""
+    account without cards) unless ``require_event``."""
     bl = batch_list(batches)
     holders = expired_accounts(bank, bl).select(
         "batch_date", "account_num", "passport_num", "phone",
         full_name("last_name", "first_name", "patronymic").alias("fio"))
     cards = bank.cards.select("card_num", "account_num")
     tx = _facts_of(facts, bl).select("card_num", "batch_date", F.col("trans_date").alias("event_dt"))
-    rows = (holders.join(cards, "account_num", "left")
-            .join(tx, ["card_num", "batch_date"], "left"))
+    how = "inner" if require_event else "left"
+    rows = (holders.join(cards, "account_num", how)
+            .join(tx, ["card_num", "batch_date"], how))
     return _report(rows, EVENT_ACCOUNT, as_of)
 
 
@@ -164,10 +165,11 @@ def flagged_clients(bank: Bank, blacklist: DataFrame, batches: BatchSpec) -> Dat
 
 
 def passport_cheat(bank: Bank, facts: DataFrame, blacklist: DataFrame, batches: BatchSpec,
-                   as_of: dt.datetime, *, dedupe_blacklist: bool = False) -> DataFrame:
+                   as_of: dt.datetime, *, dedupe_blacklist: bool = False,
+                   require_event: bool = False) -> DataFrame:
     """One row per transaction on any card of a flagged client, null-event rows
-    as in ``account_cheat``; rows are repeated once per blacklist entry of the
-    passport unless ``dedupe_blacklist``."""
+    as in ``account_cheat`` (none with ``require_event``); rows are repeated
+    once per blacklist entry of the passport unless ``dedupe_blacklist``."""
     bl = batch_list(batches)
     flagged = flagged_clients(bank, blacklist, bl).select(
         "batch_date", "client_id", "passport_num", "phone", "_listed",
@@ -175,9 +177,10 @@ def passport_cheat(bank: Bank, facts: DataFrame, blacklist: DataFrame, batches:
     accounts = bank.accounts.select("account_num", F.col("client").alias("client_id"))
     cards = bank.cards.select("card_num", "account_num")
     tx = _facts_of(facts, bl).select("card_num", "batch_date", F.col("trans_date").alias("event_dt"))
-    rows = (flagged.join(accounts, "client_id", "left")
-            .join(cards, "account_num", "left")
-            .join(tx, ["card_num", "batch_date"], "left"))
+    how = "inner" if require_event else "left"
+    rows = (flagged.join(accounts, "client_id", how)
+            .join(cards, "account_num", how)
+            .join(tx, ["card_num", "batch_date"], how))
     if not dedupe_blacklist:
         copies = F.sequence(F.lit(1), F.coalesce(F.col("_listed"), F.lit(1)).cast("int"))
         rows = rows.withColumn("_copy", F.explode(copies))
@@ -382,12 +385,13 @@ def amount_cheat(bank: Bank, facts: DataFrame, as_of: dt.datetime, *,
 def all_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame, hist: DataFrame,
               batches: BatchSpec, as_of: dt.datetime, *, holders: DataFrame | None = None,
               city_options: dict | None = None, amount_options: dict | None = None,
-              passport_options: dict | None = None) -> Sequence[DataFrame]:
+              passport_options: dict | None = None,
+              account_options: dict | None = None) -> Sequence[DataFrame]:
     """The four rules in report order."""
     bl = batch_list(batches)
     dated = _facts_of(facts, bl)
     return (
-        account_cheat(bank, facts, bl, as_of),
+        account_cheat(bank, facts, bl, as_of, **(account_options or {})),
         passport_cheat(bank, facts, blacklist, bl, as_of, **(passport_options or {})),
         city_cheat(bank, dated, hist, as_of, holders=holders, **(city_options or {})),
         amount_cheat(bank, dated, as_of, holders=holders, **(amount_options or {})),

@@ -190,7 +190,8 @@ def run_rules(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
     return report.fraud_report(rules.all_rules(
         bank, facts, blacklist, hist, dates, report_time, holders=holders, city_options=city,
         amount_options=options.get("amount_options"),
-        passport_options=options.get("passport_options")))
+        passport_options=options.get("passport_options"),
+        account_options=options.get("account_options")))
 
 
 def process_batches(spark: SparkSession, landing: str, wh: Warehouse, dates: list[dt.date],
