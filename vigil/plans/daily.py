@@ -173,7 +173,9 @@ def load_history(spark: SparkSession, landing: str, wh: Warehouse, dates: list[d
         new = history.apply_snapshot(hist, snap, at, **options)
         versions = history_versions(spark, wh)
         nxt = (versions[-1] + 1) if versions else 1
-        new.write.mode("errorifexists").parquet(
+        # the next version number after the last *complete* one: a retry after a
+        # failed write replaces the partial directory; the input is never touched
+        new.write.mode("overwrite").parquet(
             wh.path("terminals_hist", f"{_VERSION_PREFIX}{nxt:06d}"))
 
 
