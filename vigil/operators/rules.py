@@ -292,8 +292,9 @@ def _city_hits_by_summary(facts: DataFrame, hist: DataFrame, max_minutes: int,
                       hot=hot, time_col="trans_date")
     step = (within_minutes("lag_time", "trans_date", max_minutes)
             & (F.col("first_city") != F.col("lag_last_city")))
-    hit = (F.col("oper_result") == RESULT_SUCCESS) & (F.coalesce(F.col("moved"), F.lit(False))
-                                                     | F.coalesce(step, F.lit(False)))
+    # versions of one transaction are 0 minutes apart: a move counts when 0 < max_minutes
+    moved = F.coalesce(F.col("moved"), F.lit(False)) & F.lit(max_minutes > 0)
+    hit = (F.col("oper_result") == RESULT_SUCCESS) & (moved | F.coalesce(step, F.lit(False)))
     return seq.filter(hit)
 
 
