@@ -26,3 +26,32 @@ def test_hot_groups_bounded(spark):
         expected.select("batch_date", "card_num")).count() == 0
     assert hot.count() == expected.count() > 0
     assert hot.filter("_width < 1").count() == 0
+
+
+def test_sliced_lag_property(spark):
+    import datetime as dt
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from vigil.operators.seqlag import lag_columns
+
+    base = dt.datetime(2021, 3, 1)
+    row = st.tuples(st.sampled_from(["a", "b", None]),                        # group (null too)
+                    st.one_of(st.none(), st.integers(0, 200)),                 # minutes (ties, nulls)
+                    st.integers(0, 10 ** 6),                                    # tie-breaker id
+                    st.integers(-5, 5))                                        # value
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=1, max_size=60, unique_by=lambda r: r[2]), st.integers(1, 6))
+    def check(rows, limit):
+        data = [(g, None if m is None else base + dt.timedelta(minutes=m), i, v)
+                for g, m, i, v in rows]
+        df = spark.createDataFrame(data, "g string, t timestamp_ntz, i long, v int")
+        lags = {"p1": ("v", 1), "p2": ("v", 2), "pt": ("t", 3)}
+        plain = lag_columns(df, ["g"], ["t", "i"], lags)
+        hot = hot_groups(df, ["g"], "t", limit)
+        sliced = lag_columns(df, ["g"], ["t", "i"], lags, hot=hot, time_col="t")
+        assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, sliced.collect()),
+                                                                    key=repr)
+    check()
