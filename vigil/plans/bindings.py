@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions import date_lit
@@ -50,56 +50,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(c: str) -> Column:
-    return F.col(c).cast("string")
-
-
-def _plus_days(base: dt.date, days: Column) -> Column:
-    return F.date_add(date_lit(base), days.cast("int"))
-
-
-def _null(dtype: str) -> Column:
-    return F.lit(None).cast(dtype)
-
-
-# --- seed dimensions ---------------------------------------------------------
+# The projections below are SQL expression strings (one gateway call per
+# projection instead of one per column function); they read as the binding
+# table of FIXTURES.md.
 
 def seed_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    key = F.col("c_custkey")
-    return (c.join(n, c.c_nationkey == n.n_nationkey, "inner")
-            .select(
-                _text("c_custkey").alias("client_id"),
-                F.col("c_name").alias("last_name"),
-                F.when(key % 97 == 0, _null("string")).otherwise(F.col("c_mktsegment")).alias("first_name"),
-                F.col("n_name").alias("patronymic"),
-                _plus_days(BIRTH_BASE, key % 15000).alias("date_of_birth"),
-                F.concat(F.lit("P"), _text("c_custkey")).alias("passport_num"),
-                F.when(key % 5 == 0, _null("date"))
-                 .otherwise(_plus_days(PASSPORT_END_BASE, key % 120)).alias("passport_valid_to"),
-                F.concat(F.lit("+7 "), _text("c_custkey")).alias("phone"),
-                date_lit(SEED_CREATE_DT).alias("create_dt"),
-                _null("date").alias("update_dt")))
+    return c.join(n, c.c_nationkey == n.n_nationkey, "inner").selectExpr(
+        "CAST(c_custkey AS STRING) AS client_id",
+        "c_name AS last_name",
+        "CASE WHEN c_custkey % 97 = 0 THEN CAST(NULL AS STRING) ELSE c_mktsegment END AS first_name",
+        "n_name AS patronymic",
+        f"date_add(DATE'{BIRTH_BASE}', CAST(c_custkey % 15000 AS INT)) AS date_of_birth",
+        "'P' || CAST(c_custkey AS STRING) AS passport_num",
+        "CASE WHEN c_custkey % 5 = 0 THEN CAST(NULL AS DATE) "
+        f"ELSE date_add(DATE'{PASSPORT_END_BASE}', CAST(c_custkey % 120 AS INT)) END AS passport_valid_to",
+        "'+7 ' || CAST(c_custkey AS STRING) AS phone",
+        f"DATE'{SEED_CREATE_DT}' AS create_dt",
+        "CAST(NULL AS DATE) AS update_dt")
 
 
 def seed_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    return (o.filter(F.col("o_orderkey") % 2 == 0)
-            .select(_text("o_orderkey").alias("account"),
-                    F.to_date("o_orderdate").alias("valid_to"),
-                    _text("o_custkey").alias("client"),
-                    date_lit(SEED_CREATE_DT).alias("create_dt"),
-                    _null("date").alias("update_dt")))
+    return table(spark, sf_dir, "orders").where("o_orderkey % 2 = 0").selectExpr(
+        "CAST(o_orderkey AS STRING) AS account",
+        "to_date(o_orderdate) AS valid_to",
+        "CAST(o_custkey AS STRING) AS client",
+        f"DATE'{SEED_CREATE_DT}' AS create_dt",
+        "CAST(NULL AS DATE) AS update_dt")
 
 
 def seed_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    key = F.col("o_orderkey")
-    return o.select(_text("o_orderkey").alias("card_num"),
-                    (key - key % 2).cast("string").alias("account"),
-                    date_lit(SEED_CREATE_DT).alias("create_dt"),
-                    _null("date").alias("update_dt"))
+    return table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS card_num",
+        "CAST(o_orderkey - o_orderkey % 2 AS STRING) AS account",
+        f"DATE'{SEED_CREATE_DT}' AS create_dt",
+        "CAST(NULL AS DATE) AS update_dt")
 
 
 def bank(spark: SparkSession, sf_dir: str) -> Bank:
@@ -111,19 +97,15 @@ def bank(spark: SparkSession, sf_dir: str) -> Bank:
 
 def staged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions feed shape: text amount with a decimal comma."""
-    e = table(spark, sf_dir, "events")
-    kind = F.col("event_type")
-    return e.select(
-        _text("event_id").alias("transaction_id"),
-        F.col("ts").alias("transaction_date"),
-        F.replace(F.col("value").cast("decimal(12,2)").cast("string"), F.lit("."), F.lit(","))
-         .alias("amount"),
-        _text("user_id").alias("card_num"),
-        F.when(kind == "click", "WITHDRAW")
-         .when(kind.isin("purchase", "view"), "PAYMENT")
-         .otherwise("DEPOSIT").alias("oper_type"),
-        F.when(F.col("event_id") % 4 == 0, "SUCCESS").otherwise("REJECT").alias("oper_result"),
-        (F.col("event_id") % 100).cast("string").alias("terminal"))
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(event_id AS STRING) AS transaction_id",
+        "ts AS transaction_date",
+        "replace(CAST(CAST(value AS DECIMAL(12,2)) AS STRING), '.', ',') AS amount",
+        "CAST(user_id AS STRING) AS card_num",
+        "CASE WHEN event_type = 'click' THEN 'WITHDRAW' "
+        "WHEN event_type IN ('purchase', 'view') THEN 'PAYMENT' ELSE 'DEPOSIT' END AS oper_type",
+        "CASE WHEN event_id % 4 = 0 THEN 'SUCCESS' ELSE 'REJECT' END AS oper_result",
+        "CAST(event_id % 100 AS STRING) AS terminal")
 
 
 def facts(spark: SparkSession, sf_dir: str, per_day: bool = False) -> DataFrame:
@@ -135,12 +117,11 @@ def facts(spark: SparkSession, sf_dir: str, per_day: bool = False) -> DataFrame:
 
 def staged_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
 
     def listed(step: int) -> DataFrame:
-        return c.filter(key % step == 0).select(
-            F.concat(F.lit("P"), _text("c_custkey")).alias("passport"),
-            _plus_days(BLACKLIST_DATE_BASE, key % 30).alias("date"))
+        return c.where(f"c_custkey % {step} = 0").selectExpr(
+            "'P' || CAST(c_custkey AS STRING) AS passport",
+            f"date_add(DATE'{BLACKLIST_DATE_BASE}', CAST(c_custkey % 30 AS INT)) AS date")
     # customers divisible by 100 are listed twice on purpose
     return listed(50).unionByName(listed(100))
 
@@ -152,11 +133,11 @@ def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 def terminals_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
-    return (s.join(n, s.s_nationkey == n.n_nationkey, "inner")
-            .select(_text("s_suppkey").alias("terminal_id"),
-                    F.when(F.col("s_suppkey") % 2 == 0, "ATM").otherwise("POS").alias("terminal_type"),
-                    F.col("n_name").alias("terminal_city"),
-                    F.col("s_name").alias("terminal_address")))
+    return s.join(n, s.s_nationkey == n.n_nationkey, "inner").selectExpr(
+        "CAST(s_suppkey AS STRING) AS terminal_id",
+        "CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type",
+        "n_name AS terminal_city",
+        "s_name AS terminal_address")
 
 
 def terminals_second(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,20 +146,18 @@ def terminals_second(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    key = F.col("s_suppkey")
     joined = (s.join(n, s.s_nationkey == n.n_nationkey, "inner")
               .join(r, n.n_regionkey == r.r_regionkey, "inner"))
-    kept = (joined.filter(key % 10 != 3)
-            .select(_text("s_suppkey").alias("terminal_id"),
-                    F.when(key % 2 == 0, "ATM").otherwise("POS").alias("terminal_type"),
-                    F.when(key % 10 == 5, F.col("r_name")).otherwise(F.col("n_name"))
-                     .alias("terminal_city"),
-                    F.col("s_name").alias("terminal_address")))
-    added = (s.filter(key % 10 == 7)
-             .select((key + 100000).cast("string").alias("terminal_id"),
-                     F.lit("POS").alias("terminal_type"),
-                     F.lit("NEWCITY").alias("terminal_city"),
-                     F.col("s_name").alias("terminal_address")))
+    kept = joined.where("s_suppkey % 10 <> 3").selectExpr(
+        "CAST(s_suppkey AS STRING) AS terminal_id",
+        "CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type",
+        "CASE WHEN s_suppkey % 10 = 5 THEN r_name ELSE n_name END AS terminal_city",
+        "s_name AS terminal_address")
+    added = s.where("s_suppkey % 10 = 7").selectExpr(
+        "CAST(s_suppkey + 100000 AS STRING) AS terminal_id",
+        "'POS' AS terminal_type",
+        "'NEWCITY' AS terminal_city",
+        "s_name AS terminal_address")
     return kept.unionByName(added)
 
 
