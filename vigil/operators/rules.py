@@ -201,9 +201,18 @@ def _keys(cross_batch: bool) -> list[str]:
     return ["card_num"] if cross_batch else ["batch_date", "card_num"]
 
 
+def _hot(df: DataFrame, keys: list[str], max_group_rows: int | None, hot) -> DataFrame | None:
+    """Hot groups of ``df`` unless given: slicing any group is exact, so stats
+    computed once over a superset of the rows (all facts of the batches) serve
+    every sequence rule of a run."""
+    if hot != "auto":
+        return hot
+    return hot_groups(df, keys, "trans_date", max_group_rows) if max_group_rows else None
+
+
 def city_sequence(facts: DataFrame, hist: DataFrame, *, terminal_match: str = "all_versions",
                   cross_batch: bool = False, max_group_rows: int | None = DEFAULT_GROUP_ROWS,
-                  known_at: dict[dt.date, dt.datetime] | None = None) -> DataFrame:
+                  known_at: dict[dt.date, dt.datetime] | None = None, hot="auto") -> DataFrame:
     """Transactions of known cards joined to terminal history, with the previous
     row's city and time on the same card.
 
@@ -228,7 +237,7 @@ def city_sequence(facts: DataFrame, hist: DataFrame, *, terminal_match: str = "a
         cond = cond & (F.col("effective_from") <= loads[F.col("batch_date")])
     rows = tx.join(h, cond, "left").drop("terminal_id", "effective_to")
     keys = _keys(cross_batch)
-    hot = hot_groups(tx, keys, "trans_date", max_group_rows) if max_group_rows else None
+    hot = _hot(tx, keys, max_group_rows, hot)
     return lag_columns(rows, keys, CITY_ORDER,
                        {"lag_city": ("terminal_city", 1), "lag_time": ("trans_date", 1)},
                        hot=hot, time_col="trans_date")
@@ -269,7 +278,7 @@ def terminal_cities(hist: DataFrame, known_at: dict[dt.date, dt.datetime] | None
 
 def _city_hits_by_summary(facts: DataFrame, hist: DataFrame, max_minutes: int,
                           cross_batch: bool, max_group_rows: int | None,
-                          known_at: dict[dt.date, dt.datetime] | None) -> DataFrame:
+                          known_at: dict[dt.date, dt.datetime] | None, hot) -> DataFrame:
     """All-versions city rule on transactions joined to ``terminal_cities``.
 
     Over the rows of a transaction's versions, a row after the first is 0
@@ -286,7 +295,7 @@ def _city_hits_by_summary(facts: DataFrame, hist: DataFrame, max_minutes: int,
     rows = (tx.withColumnRenamed("terminal", "terminal_id")
             .join(summary, on, "left").withColumnRenamed("terminal_id", "terminal"))
     keys = _keys(cross_batch)
-    hot = hot_groups(tx, keys, "trans_date", max_group_rows) if max_group_rows else None
+    hot = _hot(tx, keys, max_group_rows, hot)
     seq = lag_columns(rows, keys, TX_ORDER,
                       {"lag_last_city": ("last_city", 1), "lag_time": ("trans_date", 1)},
                       hot=hot, time_col="trans_date")
@@ -301,7 +310,7 @@ def _city_hits_by_summary(facts: DataFrame, hist: DataFrame, max_minutes: int,
 def city_hits(facts: DataFrame, hist: DataFrame, *, max_minutes: int = CITY_MAX_MINUTES,
               terminal_match: str = "all_versions", cross_batch: bool = False,
               max_group_rows: int | None = DEFAULT_GROUP_ROWS,
-              known_at: dict[dt.date, dt.datetime] | None = None) -> DataFrame:
+              known_at: dict[dt.date, dt.datetime] | None = None, hot="auto") -> DataFrame:
     """Earliest SUCCESS transaction per card whose city differs from the previous
     row's city (any result, any type) less than ``max_minutes`` earlier.
 
@@ -309,10 +318,10 @@ def city_hits(facts: DataFrame, hist: DataFrame, *, max_minutes: int = CITY_MAX_
     as-of mode on the transactions joined to their live version."""
     if terminal_match == "all_versions":
         hits = _city_hits_by_summary(facts, hist, max_minutes, cross_batch, max_group_rows,
-                                     known_at)
+                                     known_at, hot)
     else:
         seq = city_sequence(facts, hist, terminal_match=terminal_match, cross_batch=cross_batch,
-                            max_group_rows=max_group_rows, known_at=known_at)
+                            max_group_rows=max_group_rows, known_at=known_at, hot=hot)
         hit = (within_minutes("lag_time", "trans_date", max_minutes)
                & (F.col("terminal_city") != F.col("lag_city"))
                & (F.col("oper_result") == RESULT_SUCCESS))
@@ -346,7 +355,7 @@ AMOUNT_LAGS = {
 
 
 def amount_sequence(facts: DataFrame, *, cross_batch: bool = False,
-                    max_group_rows: int | None = DEFAULT_GROUP_ROWS) -> DataFrame:
+                    max_group_rows: int | None = DEFAULT_GROUP_ROWS, hot="auto") -> DataFrame:
     """Withdrawals and payments with the three previous results and amounts and
     the time three rows back, per card. Other operation types are removed
     before the window, so they do not break a run."""
@@ -354,16 +363,16 @@ def amount_sequence(facts: DataFrame, *, cross_batch: bool = False,
            .select("batch_date", "card_num", "trans_id", "trans_date", "oper_result", "amt",
                    "terminal", parse_amount("amt").alias("amt_value")))
     keys = _keys(cross_batch)
-    hot = hot_groups(ops, keys, "trans_date", max_group_rows) if max_group_rows else None
+    hot = _hot(ops, keys, max_group_rows, hot)
     return lag_columns(ops, keys, AMOUNT_ORDER, AMOUNT_LAGS, hot=hot, time_col="trans_date")
 
 
 def amount_hits(facts: DataFrame, *, max_minutes: int = AMOUNT_MAX_MINUTES,
                 cross_batch: bool = False,
-                max_group_rows: int | None = DEFAULT_GROUP_ROWS) -> DataFrame:
+                max_group_rows: int | None = DEFAULT_GROUP_ROWS, hot="auto") -> DataFrame:
     """SUCCESS after three REJECTs in a row on a card, amounts strictly falling,
     first to last less than ``max_minutes``. Every hit is kept."""
-    seq = amount_sequence(facts, cross_batch=cross_batch, max_group_rows=max_group_rows)
+    seq = amount_sequence(facts, cross_batch=cross_batch, max_group_rows=max_group_rows, hot=hot)
     hit = ((F.col("oper_result") == RESULT_SUCCESS)
            & (F.col("lag_result_1") == RESULT_REJECT)
            & (F.col("lag_result_2") == RESULT_REJECT)
@@ -385,15 +394,41 @@ def amount_cheat(bank: Bank, facts: DataFrame, as_of: dt.datetime, *,
 
 def all_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame, hist: DataFrame,
               batches: BatchSpec, as_of: dt.datetime, *, holders: DataFrame | None = None,
+              account_batches: BatchSpec | None = None,
+              passport_batches: BatchSpec | None = None,
+              max_group_rows: int | None = DEFAULT_GROUP_ROWS,
               city_options: dict | None = None, amount_options: dict | None = None,
               passport_options: dict | None = None,
               account_options: dict | None = None) -> Sequence[DataFrame]:
-    """The four rules in report order."""
+    """All four rules as report parts: account, passport, then the two
+    sequence rules together.
+
+    The sequence rules share one hot-group pass over the batches' facts, and
+    their hits are enriched together, so the card-holder side is filtered and
+    read once. ``account_batches`` / ``passport_batches`` give the expiry
+    rules other report dates than ``batches``."""
     bl = batch_list(batches)
     dated = _facts_of(facts, bl)
+    city_opts = dict(city_options or {})
+    amount_opts = dict(amount_options or {})
+    city_opts.setdefault("max_group_rows", max_group_rows)
+    amount_opts.setdefault("max_group_rows", max_group_rows)
+    cross = city_opts.get("cross_batch", False)
+    if (cross == amount_opts.get("cross_batch", False) and "hot" not in city_opts
+            and "hot" not in amount_opts and max_group_rows):
+        shared = hot_groups(dated, _keys(cross), "trans_date", max_group_rows)
+        city_opts["hot"] = amount_opts["hot"] = shared
+    hits = (city_hits(dated, hist, **city_opts).select(
+                "batch_date", "card_num", "event_dt", F.lit(EVENT_CITY).alias("event_type"))
+            .unionByName(amount_hits(dated, **amount_opts).select(
+                "batch_date", "card_num", "event_dt", F.lit(EVENT_AMOUNT).alias("event_type"))))
+    enriched = with_holder(hits, bank if holders is None else holders)
+    sequence = enriched.select(
+        "event_dt", F.col("passport_num").alias("passport"), "fio", "phone", "event_type",
+        ts_lit(as_of).alias("report_dt"), "batch_date").select(*REPORT_COLUMNS)
     return (
-        account_cheat(bank, facts, bl, as_of, **(account_options or {})),
-        passport_cheat(bank, facts, blacklist, bl, as_of, **(passport_options or {})),
-        city_cheat(bank, dated, hist, as_of, holders=holders, **(city_options or {})),
-        amount_cheat(bank, dated, as_of, holders=holders, **(amount_options or {})),
+        account_cheat(bank, facts, account_batches or bl, as_of, **(account_options or {})),
+        passport_cheat(bank, facts, blacklist, passport_batches or bl, as_of,
+                       **(passport_options or {})),
+        sequence,
     )

@@ -174,14 +174,13 @@ def q_rule_amount(spark, d):
 # --- report ------------------------------------------------------------------------
 
 def q_report_all(spark, d):
-    bank, tx = b.bank(spark, d), b.facts(spark, d)
-    return report.fraud_report([
-        rules.account_cheat(bank, tx, _single(b.ACCOUNT_RULE_DATE), b.REPORT_AS_OF),
-        rules.passport_cheat(bank, tx, b.blacklist(spark, d), _single(b.PASSPORT_RULE_DATE),
-                             b.REPORT_AS_OF),
-        rules.city_cheat(bank, tx, b.hist1(spark, d), b.REPORT_AS_OF, max_minutes=b.CITY_MINUTES),
-        rules.amount_cheat(bank, tx, b.REPORT_AS_OF, max_minutes=b.AMOUNT_MINUTES),
-    ])
+    return report.fraud_report(rules.all_rules(
+        b.bank(spark, d), b.facts(spark, d), b.blacklist(spark, d), b.hist1(spark, d),
+        b.BATCH_DATE, b.REPORT_AS_OF,
+        account_batches=_single(b.ACCOUNT_RULE_DATE),
+        passport_batches=_single(b.PASSPORT_RULE_DATE),
+        city_options={"max_minutes": b.CITY_MINUTES},
+        amount_options={"max_minutes": b.AMOUNT_MINUTES}))
 
 
 # --- terminal history ------------------------------------------------------------
