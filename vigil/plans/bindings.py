@@ -26,6 +26,7 @@ ACCOUNT_RULE_DATE = dt.date(1996, 3, 1)
 PASSPORT_RULE_DATE = dt.date(1998, 1, 10)
 HIST0_AS_OF = dt.datetime(2024, 1, 1, 0, 0, 0)
 HIST1_AS_OF = dt.datetime(2024, 1, 16, 0, 0, 0)
+HIST2_AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
 CITY_MINUTES = 60
 AMOUNT_MINUTES = 14400
 SEED_CREATE_DT = dt.date(1900, 1, 1)
@@ -179,3 +180,9 @@ def feed_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     te = (days.filter(F.dayofmonth("d") % 5 != 0)
           .select(F.concat(F.lit("terminals_"), stamp, F.lit(".xlsx")).alias("file_name")))
     return tx.unionByName(bl).unionByName(te)
+
+
+def hist2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third load: the first snapshot again (deleted terminals return, moved
+    ones move back, the added ones disappear)."""
+    return apply_snapshot(hist1(spark, sf_dir), terminals_first(spark, sf_dir), HIST2_AS_OF)

@@ -16,6 +16,7 @@ from vigil.functions import minutes_between, parse_amount
 from vigil.operators import dims, history, quality, report, rules
 from vigil.operators.seqlag import lag_columns
 from vigil.plans import bindings as b
+from vigil.schemas import FACT_TRANSACTIONS
 from vigil.sources import delimited, files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,6 +210,10 @@ def q_scd2_apply(spark, d):
     return b.hist1(spark, d).drop("id")
 
 
+def q_scd2_apply_twice(spark, d):
+    return b.hist2(spark, d).drop("id")
+
+
 # --- sources -----------------------------------------------------------------------
 
 def q_ingest_delimited(spark, d):
@@ -221,6 +226,18 @@ def q_ingest_delimited(spark, d):
     return dims.fact_transactions(staged)
 
 
+def q_stream_ingest(spark, d):
+    """The transactions feed written as a daily file, taken by a file stream
+    (``availableNow``, checkpointed) into a partitioned fact table, read back."""
+    from vigil.session import scratch_dir
+    from vigil.streaming import ingest
+    landing, table = scratch_dir(spark, "landing"), scratch_dir(spark, "facts")
+    feed = delimited.write_transactions(b.staged_transactions(spark, d), landing, b.BATCH_DATE)
+    ingest.ingest_transactions(spark, feed, table, scratch_dir(spark, "stream-ckpt"),
+                               name_glob=None)
+    return spark.read.schema(FACT_TRANSACTIONS).parquet(table)
+
+
 def q_batch_date(spark, d):
     return files.feed_files(b.feed_file_names(spark, d))
 
@@ -263,7 +280,9 @@ QUERIES: dict[str, Query] = {
     "scd2_deleted": q_scd2_deleted,
     "scd2_changed": q_scd2_changed,
     "scd2_apply": q_scd2_apply,
+    "scd2_apply_twice": q_scd2_apply_twice,
     "ingest_delimited": q_ingest_delimited,
+    "stream_ingest": q_stream_ingest,
     "batch_date": q_batch_date,
     "complete_batches": q_complete_batches,
     "next_batch": q_next_batch,

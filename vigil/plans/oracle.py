@@ -115,6 +115,44 @@ _CTE: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+HIST2_AT = "TIMESTAMP '2024-02-01 00:00:00'"
+HIST2_CLOSE = "TIMESTAMP '2024-01-31 23:59:59'"
+
+
+def _merge_ctes(prev: str, snap: str, at: str, close: str, out: str) -> dict[str, tuple]:
+    """CTEs folding snapshot ``snap`` into history ``prev`` at ``at`` (new name ``out``)."""
+    cur, new, gone, changed = f"{out}_cur", f"{out}_new", f"{out}_deleted", f"{out}_changed"
+    return {
+        cur: ((prev,), f"""
+            SELECT terminal_id, terminal_type, terminal_city, terminal_address FROM {prev}
+            WHERE deleted_flg = 0 AND {at} BETWEEN effective_from AND effective_to"""),
+        new: ((snap, cur), f"""
+            SELECT t1.* FROM {snap} t1 LEFT JOIN {cur} t2 ON t1.terminal_id = t2.terminal_id
+            WHERE t2.terminal_id IS NULL"""),
+        gone: ((snap, cur), f"""
+            SELECT t1.* FROM {cur} t1 LEFT JOIN {snap} t2 ON t1.terminal_id = t2.terminal_id
+            WHERE t2.terminal_id IS NULL"""),
+        changed: ((snap, cur), f"""
+            SELECT t2.* FROM {cur} t1 JOIN {snap} t2 ON t1.terminal_id = t2.terminal_id
+             AND (t1.terminal_type <> t2.terminal_type OR t1.terminal_city <> t2.terminal_city
+                  OR t1.terminal_address <> t2.terminal_address)"""),
+        out: ((prev, new, gone, changed), f"""
+            SELECT terminal_id, terminal_type, terminal_city, terminal_address, deleted_flg,
+                   effective_from,
+                   CASE WHEN effective_to = {OPEN_END}
+                         AND (terminal_id IN (SELECT terminal_id FROM {changed})
+                              OR terminal_id IN (SELECT terminal_id FROM {gone}))
+                        THEN {close} ELSE effective_to END AS effective_to
+            FROM {prev}
+            UNION ALL SELECT *, 0, {at}, {OPEN_END} FROM {new}
+            UNION ALL SELECT *, 0, {at}, {OPEN_END} FROM {changed}
+            UNION ALL SELECT *, 1, {at}, {OPEN_END} FROM {gone}"""),
+    }
+
+
+_CTE.update(_merge_ctes("hist1", "term1", HIST2_AT, HIST2_CLOSE, "hist2"))
+
+
 def _with(names: tuple[str, ...], body: str) -> str:
     order: list[str] = []
 
@@ -326,7 +364,9 @@ def oracle_sql() -> dict[str, str]:
     q["scd2_deleted"] = _with(("deleted_rows",), "SELECT * FROM deleted_rows")
     q["scd2_changed"] = _with(("changed_rows",), "SELECT * FROM changed_rows")
     q["scd2_apply"] = _with(("hist1",), "SELECT * FROM hist1")
+    q["scd2_apply_twice"] = _with(("hist2",), "SELECT * FROM hist2")
     q["ingest_delimited"] = _with(("facts",), "SELECT * FROM facts")
+    q["stream_ingest"] = _with(("facts",), "SELECT * FROM facts")
     q["batch_date"] = _FEED_FILES
     q["complete_batches"] = _COMPLETE
     q["next_batch"] = f"SELECT min(batch_date) AS batch_date FROM ({_COMPLETE}) c"

@@ -36,13 +36,17 @@ from vigil.sources import delimited, files
 
 
 def transactions_stream(spark: SparkSession, landing: str, archive_dir: str | None = None,
-                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming transaction rows (staging shape + ``batch_date``)."""
+                        max_files_per_trigger: int | None = None,
+                        name_glob: str | None = f"{FEED_TRANSACTIONS}_*.txt") -> DataFrame:
+    """Streaming transaction rows (staging shape + ``batch_date``). ``name_glob``
+    picks the transaction files of a landing folder holding every feed; pass
+    None when ``landing`` is one feed directory written by a Spark job."""
     reader = (spark.readStream.schema(delimited._READ_SCHEMA)
               .option("sep", ";").option("header", True).option("quote", '"')
               .option("mode", "PERMISSIVE").option("enforceSchema", True)
-              .option("nullValue", "").option("emptyValue", "")
-              .option("pathGlobFilter", f"{FEED_TRANSACTIONS}_*.txt"))
+              .option("nullValue", "").option("emptyValue", ""))
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
@@ -53,9 +57,11 @@ def transactions_stream(spark: SparkSession, landing: str, archive_dir: str | No
 
 
 def ingest_transactions(spark: SparkSession, landing: str, table: str, checkpoint: str,
-                        archive_dir: str | None = None) -> StreamingQuery:
+                        archive_dir: str | None = None,
+                        name_glob: str | None = f"{FEED_TRANSACTIONS}_*.txt") -> StreamingQuery:
     """Append new transaction files to the fact table and stop when drained."""
-    facts = dims.fact_transactions(transactions_stream(spark, landing, archive_dir))
+    stream = transactions_stream(spark, landing, archive_dir, name_glob=name_glob)
+    facts = dims.fact_transactions(stream)
     query = (facts.writeStream.format("parquet")
              .option("checkpointLocation", checkpoint)
              .partitionBy("batch_date")
