@@ -87,6 +87,14 @@ def q_rule_account(spark, d):
                                b.REPORT_AS_OF)
 
 
+def q_rule_account_daily(spark, d):
+    """Every day of the facts is a batch judged on its own date (range join of
+    accounts with the bounded date list), operations only."""
+    facts = b.facts(spark, d, per_day=True)
+    return rules.account_cheat(b.bank(spark, d), facts, rules.batches_of(facts), b.REPORT_AS_OF,
+                               require_event=True)
+
+
 def q_rule_passport(spark, d):
     return rules.passport_cheat(b.bank(spark, d), b.facts(spark, d), b.blacklist(spark, d),
                                 _single(b.PASSPORT_RULE_DATE), b.REPORT_AS_OF)
@@ -263,6 +271,7 @@ QUERIES: dict[str, Query] = {
     "clients_bad_passport": q_clients_bad_passport,
     "rule_account": q_rule_account,
     "rule_passport": q_rule_passport,
+    "rule_account_daily": q_rule_account_daily,
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_orphans": q_dq_orphans,
     "cards_city_count": q_cards_city_count,

@@ -308,6 +308,15 @@ def oracle_sql() -> dict[str, str]:
                passport_num, phone FROM ({_FLAGGED}) f""")
     q["rule_account"] = _with(_RULE_DEPS, _ACCOUNT_RULE)
     q["rule_passport"] = _with(_RULE_DEPS, _PASSPORT_RULE)
+    q["rule_account_daily"] = _with(_RULE_DEPS + ("facts_daily",), f"""
+        SELECT t.trans_date AS event_dt, c.passport_num AS passport,
+               c.last_name || ' ' || c.first_name || ' ' || c.patronymic AS fio, c.phone,
+               'account cheat' AS event_type, {AS_OF} AS report_dt, d.batch_date
+        FROM dim_accounts a
+             JOIN (SELECT DISTINCT batch_date FROM facts_daily) d ON a.valid_to < d.batch_date
+             LEFT JOIN dim_clients c ON a.client = c.client_id
+             JOIN dim_cards k ON a.account_num = k.account_num
+             JOIN facts_daily t ON k.card_num = t.card_num AND t.batch_date = d.batch_date""")
     q["dq_duplicate_keys"] = _with(("dim_clients", "dim_accounts", "dim_cards", "fact_blacklist"), """
         SELECT 'dim_clients' AS relation, client_id AS key_value, count(*) AS n_rows
         FROM dim_clients WHERE client_id IS NOT NULL GROUP BY client_id HAVING count(*) > 1
