@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators import dims, history, report, rules
-from vigil.schemas import FEED_TRANSACTIONS, FEEDS, TERMINALS_HIST
+from vigil.schemas import FEED_TRANSACTIONS, TERMINALS_HIST
 from vigil.sources import delimited, files, workbook
 
 _VERSION_PREFIX = "v="
@@ -228,6 +228,6 @@ def run_daily(spark: SparkSession, landing: str, wh: Warehouse, seeds: tuple[Dat
                            load_time, **options)
 
 
-__all__ = ["Warehouse", "FEEDS", "history_versions", "load_dims", "load_facts", "load_history",
+__all__ = ["Warehouse", "history_versions", "load_dims", "load_facts", "load_history",
            "pending_batches", "process_batches", "read_bank", "read_history", "run_daily",
            "run_rules"]
