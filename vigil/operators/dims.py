@@ -2,9 +2,11 @@
 
 The dimension builds are projections with renames; the card-holder
 enrichment is a chain of n:1 left joins card -> account -> client. Join
-strategies are left to the optimizer: with adaptive execution a side that is
-small at run time is broadcast, anything else is a shuffled join, so no
-dimension is ever broadcast on the assumption that it is small.
+strategies between dimensions are left to the optimizer: with adaptive
+execution a side that is small at run time is broadcast, anything else is a
+shuffled join, so no dimension is ever broadcast on the assumption that it is
+small. The only hint here is on the counted key set of a rule's hits
+(``with_holder``).
 """
 
 from __future__ import annotations
