@@ -88,3 +88,17 @@ def test_daily_once_equals_day_by_day(spark, tmp_path):
     before = _rows(spark, wh_a.report)
     assert daily.run_daily(spark, land_all, wh_a, _seeds(spark), RUN_TIME, load_time) == []
     assert _rows(spark, wh_a.report) == before
+
+
+def test_command_line_run(spark, tmp_path, capsys):
+    from vigil.__main__ import main
+    land = str(tmp_path / "land")
+    _landing(spark, land, DAYS[:1])
+    seeds = tmp_path / "seeds"
+    for name, df in zip(("clients", "accounts", "cards"), _seeds(spark)):
+        df.write.parquet(str(seeds / name))
+    done = main(["--landing", land, "--warehouse", str(tmp_path / "wh"), "--seeds", str(seeds),
+                 "--run-time", "2024-01-02T06:00:00", "--show", "5"], spark=spark)
+    assert done == DAYS[:1]
+    out = capsys.readouterr().out
+    assert "processed batches: ['2024-01-01']" in out and "account cheat" in out
