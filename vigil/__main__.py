@@ -1,4 +1,4 @@
-"""Daily run from the command line (``spark-submit -m vigil`` or ``python -m vigil``).
+"""Daily run from the command line (``python -m vigil``, or this file with spark-submit).
 
     python -m vigil --landing DIR --warehouse DIR --seeds DIR [--run-time ISO] [--show N]
 
