@@ -100,3 +100,46 @@ def test_workbooks(spark, tmp_path):
     te = workbook.read_terminals(spark, str(tmp_path))
     assert rows_of(te, "terminal_id", "terminal_city") == [("42", "Kazan"), ("P1", "Moscow")]
     assert te.filter(F.col("batch_date") != F.lit(D("2021-03-01"))).count() == 0
+
+
+def _raw_workbook(path, sheet_rows, styles_xml, date1904=False):
+    import zipfile
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    pr = '<workbookPr date1904="1"/>' if date1904 else ""
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/workbook.xml",
+                   f'<workbook {ns} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/'
+                   f'relationships">{pr}<sheets><sheet name="S" sheetId="1" r:id="rId9"/></sheets>'
+                   "</workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/'
+                   'relationships"><Relationship Id="rId9" Type="worksheet" '
+                   'Target="/xl/worksheets/data.xml"/></Relationships>')
+        z.writestr("xl/styles.xml", f"<styleSheet {ns}>{styles_xml}</styleSheet>")
+        z.writestr("xl/worksheets/data.xml",
+                   f"<worksheet {ns}><sheetData>{sheet_rows}</sheetData></worksheet>")
+
+
+def test_workbook_cell_kinds(spark, tmp_path):
+    styles = ('<numFmts count="1"><numFmt numFmtId="164" formatCode="dd/mm/yyyy"/></numFmts>'
+              '<cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="164"/></cellXfs>')
+    rows = ('<row r="1"><c r="A1" t="inlineStr"><is><t>passport</t></is></c>'
+            '<c r="C1" t="inlineStr"><is><t>date</t></is></c></row>'
+            '<row r="2"><c r="A2" t="inlineStr"><is><t>1111 222222</t></is></c>'
+            '<c r="B2" t="b"><v>1</v></c><c r="C2" s="1"><v>44256</v></c></row>'
+            '<row r="3"><c r="A3"><v>12345</v></c><c r="C3" t="str"><v>2021-03-05</v></c></row>')
+    _raw_workbook(os.path.join(tmp_path, "passport_blacklist_01032021.xlsx"), rows, styles)
+    got = rows_of(workbook.read_blacklist(spark, str(tmp_path)), "passport", "date")
+    assert got == [("1111 222222", D("2021-03-01")), ("12345", D("2021-03-05"))]
+
+
+def test_workbook_1904_dates(spark, tmp_path):
+    styles = '<cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs>'
+    rows = ('<row r="1"><c r="A1" t="inlineStr"><is><t>passport</t></is></c>'
+            '<c r="B1" t="inlineStr"><is><t>date</t></is></c></row>'
+            '<row r="2"><c r="A2" t="inlineStr"><is><t>P</t></is></c>'
+            '<c r="B2" s="1"><v>42794</v></c></row>')
+    _raw_workbook(os.path.join(tmp_path, "passport_blacklist_01032021.xlsx"), rows, styles,
+                  date1904=True)
+    assert rows_of(workbook.read_blacklist(spark, str(tmp_path)), "passport", "date") == [
+        ("P", D("2021-03-01"))]
