@@ -28,3 +28,6 @@ def test_report_write_is_idempotent(spark, tmp_path):
     assert _rows(spark, path) == first and len(first) == 2
     report.write_report(report.fraud_report([day2]), path)          # another day
     assert len(_rows(spark, path)) == 3
+    # a rerun of day 1 where one rule no longer fires drops that rule's old row
+    report.write_report(report.fraud_report([day1.limit(1)]), path)
+    assert len(_rows(spark, path)) == 2

@@ -12,7 +12,7 @@ One run handles every complete batch waiting in a landing folder:
    new version directory; a load never writes over the table it reads;
 4. the four rules run over all pending days in one job, each day seeing only
    the history versions its own load had produced, and the report is written
-   partitioned by ``(batch_date, event_type)`` with dynamic overwrite.
+   partitioned by ``batch_date`` with dynamic overwrite.
 
 All paths are in a shared warehouse folder; nothing depends on a local disk.
 """
