@@ -28,8 +28,9 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     ckpt = tempfile.mkdtemp(prefix="vigil-test-ckpt-")
+    catalog = tempfile.mkdtemp(prefix="vigil-test-warehouse-")
     s = get_session("local[4]", app="vigil-tests", shuffle_partitions=4,
-                    extra={"spark.checkpoint.dir": ckpt})
+                    extra={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": catalog})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -102,3 +102,26 @@ def test_command_line_run(spark, tmp_path, capsys):
     assert done == DAYS[:1]
     out = capsys.readouterr().out
     assert "processed batches: ['2024-01-01']" in out and "account cheat" in out
+
+
+def test_bucketed_facts(spark, tmp_path):
+    from vigil.operators import rules
+    land = str(tmp_path / "land")
+    _landing(spark, land, DAYS)
+    plain = daily.Warehouse(str(tmp_path / "wh_plain"))
+    daily.run_daily(spark, land, plain, _seeds(spark), RUN_TIME, load_time)
+    bucketed = daily.Warehouse(str(tmp_path / "wh_b"), fact_buckets=4, database="vigil_bucket_test")
+    assert daily.run_daily(spark, land, bucketed, _seeds(spark), RUN_TIME, load_time) == DAYS
+    assert _rows(spark, bucketed.report) == _rows(spark, plain.report)
+    # the card window reads co-located buckets: no exchange in the plan
+    facts, hot = daily.read_facts(spark, bucketed, DAYS)
+    assert hot is None
+    plan = rules.amount_sequence(facts, max_group_rows=None)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    # every card forced hot: the plain read is sliced and the report is unchanged
+    facts, hot = daily.read_facts(spark, bucketed, DAYS, max_group_rows=2)
+    assert hot is not None
+    again = daily.run_rules(spark, bucketed, DAYS, load_time, RUN_TIME, max_group_rows=2)
+    base = daily.run_rules(spark, bucketed, DAYS, load_time, RUN_TIME)
+    assert again.exceptAll(base).count() == 0 and base.exceptAll(again).count() == 0

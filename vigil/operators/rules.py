@@ -410,7 +410,7 @@ def all_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame, hist: DataFram
               batches: BatchSpec, as_of: dt.datetime, *, holders: DataFrame | None = None,
               account_batches: BatchSpec | None = None,
               passport_batches: BatchSpec | None = None,
-              max_group_rows: int | None = DEFAULT_GROUP_ROWS,
+              max_group_rows: int | None = DEFAULT_GROUP_ROWS, hot="auto",
               city_options: dict | None = None, amount_options: dict | None = None,
               passport_options: dict | None = None,
               account_options: dict | None = None) -> Sequence[DataFrame]:
@@ -420,7 +420,8 @@ def all_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame, hist: DataFram
     The sequence rules share one hot-group pass over the batches' facts, and
     their hits are enriched together, so the card-holder side is filtered and
     read once. ``account_batches`` / ``passport_batches`` give the expiry
-    rules other report dates than ``batches``."""
+    rules other report dates than ``batches``. ``hot`` passes hot-group stats
+    computed by the caller (``None``: no hot group)."""
     bl = batch_list(batches)
     dated = _facts_of(facts, bl)
     city_opts = dict(city_options or {})
@@ -430,7 +431,8 @@ def all_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame, hist: DataFram
     cross = city_opts.get("cross_batch", False)
     if (cross == amount_opts.get("cross_batch", False) and "hot" not in city_opts
             and "hot" not in amount_opts and max_group_rows):
-        shared = hot_groups(dated, _keys(cross), "trans_date", max_group_rows)
+        shared = (hot_groups(dated, _keys(cross), "trans_date", max_group_rows)
+                  if hot == "auto" else hot)
         city_opts["hot"] = amount_opts["hot"] = shared
     hits = (city_hits(dated, hist, **city_opts).select(
                 "batch_date", "card_num", "event_dt", F.lit(EVENT_CITY).alias("event_type"))

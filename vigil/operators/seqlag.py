@@ -95,6 +95,9 @@ def lag_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     slice_no = F.when(is_hot, F.coalesce(F.floor(offset / F.col("_width")), F.lit(-1)))
     d = d.withColumn("_slice", F.coalesce(slice_no, F.lit(0)).cast("long"))
 
+    # explicit: input already clustered by ``keys`` (a table bucketed by the
+    # card) would otherwise satisfy the window and keep a hot group in one task
+    d = d.repartition(*keys, "_slice")
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
     whole_slice = Window.partitionBy(*keys, "_slice")
     d = d.select("*", F.row_number().over(in_slice).alias("_rn"),

@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators import dims, history, report, rules
-from vigil.schemas import FEED_TRANSACTIONS, TERMINALS_HIST
+from vigil.operators.seqlag import hot_groups
+from vigil.schemas import FACT_TRANSACTIONS, FEED_TRANSACTIONS, TERMINALS_HIST
 from vigil.sources import delimited, files, workbook
 
 _VERSION_PREFIX = "v="
@@ -35,7 +36,17 @@ _VERSION_PREFIX = "v="
 
 @dataclass(frozen=True)
 class Warehouse:
+    """Table locations under one shared root.
+
+    ``fact_buckets``: when set, the transaction facts are a catalog table
+    (``database.fact_transactions``) partitioned by ``batch_date`` and bucketed
+    by ``card_num`` into that many buckets, so the sequence rules' window on
+    ``(batch_date, card_num)`` reads co-located buckets without shuffling the
+    largest table."""
+
     root: str
+    fact_buckets: int | None = None
+    database: str = "vigil"
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -68,6 +79,10 @@ class Warehouse:
     def report(self) -> str:
         return self.path("rep_fraud")
 
+    @property
+    def fact_table(self) -> str:
+        return f"{self.database}.fact_transactions"
+
     @property
     def card_holders(self) -> str:
         return self.path("card_holders")
@@ -149,15 +164,54 @@ def load_facts(spark: SparkSession, landing: str, wh: Warehouse, dates: list[dt.
     if staged is None:
         staged = delimited.read_transactions(spark, landing, f"{FEED_TRANSACTIONS}_*.txt")
     staged = _only(staged, dates)
-    (dims.fact_transactions(staged).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_date")
-     .parquet(wh.transactions))
+    facts = dims.fact_transactions(staged)
+    if wh.fact_buckets:
+        _ensure_fact_table(spark, wh)
+        (facts.write.option("partitionOverwriteMode", "dynamic")
+         .insertInto(wh.fact_table, overwrite=True))
+    else:
+        (facts.write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_date")
+         .parquet(wh.transactions))
     bl = _only(workbook.read_blacklist(spark, landing), dates)
     (dims.fact_blacklist(bl).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_date")
      .parquet(wh.blacklist))
 
 
+def _ensure_fact_table(spark: SparkSession, wh: Warehouse) -> None:
+    """Register the bucketed fact table over its folder (data written by an
+    earlier session is picked up with its partitions)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {wh.database}")
+    if spark.catalog.tableExists(wh.fact_table):
+        return
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FACT_TRANSACTIONS.fields)
+    spark.sql(f"""CREATE TABLE {wh.fact_table} ({cols}) USING parquet
+                  PARTITIONED BY (batch_date)
+                  CLUSTERED BY (card_num) SORTED BY (card_num, trans_date)
+                  INTO {int(wh.fact_buckets)} BUCKETS
+                  LOCATION '{wh.transactions}'""")
+    if _exists(spark, wh.transactions):
+        spark.sql(f"ALTER TABLE {wh.fact_table} RECOVER PARTITIONS")
+
+
+def read_facts(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
+               max_group_rows: int | None = rules.DEFAULT_GROUP_ROWS):
+    """Facts for the rules and their hot-group stats.
+
+    Hot groups are measured on a plain read (files split evenly). Without a
+    hot group the bucketed table is used (no shuffle for the card window);
+    with one, the plain read is used and the hot cards are sliced, because a
+    bucketed read keeps every bucket, the hot card's too, in one task."""
+    plain = spark.read.schema(FACT_TRANSACTIONS).parquet(wh.transactions)
+    hot = (hot_groups(_only(plain, dates), ["batch_date", "card_num"], "trans_date",
+                      max_group_rows) if max_group_rows else None)
+    if wh.fact_buckets and hot is None:
+        _ensure_fact_table(spark, wh)
+        return spark.table(wh.fact_table), hot
+    return plain, hot
+
+
 def load_history(spark: SparkSession, landing: str, wh: Warehouse, dates: list[dt.date],
                  load_time: Callable[[dt.date], dt.datetime], **options) -> None:
     """Fold each day's snapshot into the history, in date order."""
@@ -184,13 +238,15 @@ def run_rules(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
               **options) -> DataFrame:
     """The report rows of the given days (lazy)."""
     bank = read_bank(spark, wh)
-    facts = spark.read.parquet(wh.transactions)
+    max_group_rows = options.get("max_group_rows", rules.DEFAULT_GROUP_ROWS)
+    facts, hot = read_facts(spark, wh, dates, max_group_rows)
     blacklist = spark.read.parquet(wh.blacklist)
     hist = read_history(spark, wh)
     city = {"known_at": {d: load_time(d) for d in dates}, **options.get("city_options", {})}
     holders = spark.read.parquet(wh.card_holders)
     return report.fraud_report(rules.all_rules(
-        bank, facts, blacklist, hist, dates, report_time, holders=holders, city_options=city,
+        bank, facts, blacklist, hist, dates, report_time, holders=holders,
+        max_group_rows=max_group_rows, hot=hot, city_options=city,
         amount_options=options.get("amount_options"),
         passport_options=options.get("passport_options"),
         account_options=options.get("account_options")))
@@ -228,6 +284,6 @@ def run_daily(spark: SparkSession, landing: str, wh: Warehouse, seeds: tuple[Dat
                            load_time, **options)
 
 
-__all__ = ["Warehouse", "history_versions", "load_dims", "load_facts", "load_history",
+__all__ = ["Warehouse", "history_versions", "read_facts", "load_dims", "load_facts", "load_history",
            "pending_batches", "process_batches", "read_bank", "read_history", "run_daily",
            "run_rules"]
