@@ -288,3 +288,26 @@ def test_cross_batch_sequences(spark):
     assert rules.amount_hits(facts).count() == 0
     crossed = rules.amount_hits(facts, cross_batch=True)
     assert [(r.card_num, r.event_dt) for r in crossed.collect()] == [("M", T("2021-03-02 00:00:00"))]
+
+
+def test_rules_ignore_partitioning_and_unrelated_cards(spark):
+    from conftest import SF_MID
+    from vigil.plans import bindings
+    facts = bindings.facts(spark, SF_MID)
+    hist = bindings.hist1(spark, SF_MID)
+    base_amount = rows_of(rules.amount_hits(facts, max_minutes=14400), "card_num", "event_dt")
+    base_city = rows_of(rules.city_hits(facts, hist), "card_num", "event_dt")
+    for parts in (1, 13):
+        shuffled = facts.repartition(parts)
+        assert rows_of(rules.amount_hits(shuffled, max_minutes=14400), "card_num",
+                       "event_dt") == base_amount
+        assert rows_of(rules.city_hits(shuffled, hist), "card_num", "event_dt") == base_city
+    # a new card whose operations would hit on their own changes nothing for the others
+    extra = make_facts(spark, [
+        (f"z{i}", T("2024-01-05 10:00:00") + dt.timedelta(minutes=i), a, "ZZ", "PAYMENT", r, "1",
+         D("2024-01-31"))
+        for i, (r, a) in enumerate([("REJECT", "9"), ("REJECT", "8"), ("REJECT", "7"),
+                                    ("SUCCESS", "6")])])
+    more = rows_of(rules.amount_hits(facts.unionByName(extra), max_minutes=14400), "card_num",
+                   "event_dt")
+    assert [r for r in more if r[0] != "ZZ"] == base_amount and len(more) == len(base_amount) + 1
