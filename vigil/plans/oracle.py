@@ -86,15 +86,15 @@ _CTE: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT terminal_id, terminal_type, terminal_city, terminal_address FROM hist0
         WHERE deleted_flg = 0 AND {HIST1_AT} BETWEEN effective_from AND effective_to"""),
     "new_rows": (("term2", "cur0"), """
-        SELECT t1.* FROM term2 t1 LEFT JOIN cur0 t2 ON t1.terminal_id = t2.terminal_id
-        WHERE t2.terminal_id IS NULL"""),
+        SELECT * FROM term2 s
+        WHERE NOT EXISTS (SELECT 1 FROM cur0 c WHERE c.terminal_id = s.terminal_id)"""),
     "deleted_rows": (("term2", "cur0"), """
-        SELECT t1.* FROM cur0 t1 LEFT JOIN term2 t2 ON t1.terminal_id = t2.terminal_id
-        WHERE t2.terminal_id IS NULL"""),
+        SELECT * FROM cur0 c
+        WHERE NOT EXISTS (SELECT 1 FROM term2 s WHERE s.terminal_id = c.terminal_id)"""),
     "changed_rows": (("term2", "cur0"), """
-        SELECT t2.* FROM cur0 t1 JOIN term2 t2 ON t1.terminal_id = t2.terminal_id
-         AND (t1.terminal_type <> t2.terminal_type OR t1.terminal_city <> t2.terminal_city
-              OR t1.terminal_address <> t2.terminal_address)"""),
+        SELECT s.* FROM cur0 c JOIN term2 s USING (terminal_id)
+        WHERE c.terminal_type <> s.terminal_type OR c.terminal_city <> s.terminal_city
+           OR c.terminal_address <> s.terminal_address"""),
     "hist1": (("hist0", "new_rows", "deleted_rows", "changed_rows"), f"""
         SELECT terminal_id, terminal_type, terminal_city, terminal_address, deleted_flg,
                effective_from,
@@ -127,15 +127,15 @@ def _merge_ctes(prev: str, snap: str, at: str, close: str, out: str) -> dict[str
             SELECT terminal_id, terminal_type, terminal_city, terminal_address FROM {prev}
             WHERE deleted_flg = 0 AND {at} BETWEEN effective_from AND effective_to"""),
         new: ((snap, cur), f"""
-            SELECT t1.* FROM {snap} t1 LEFT JOIN {cur} t2 ON t1.terminal_id = t2.terminal_id
-            WHERE t2.terminal_id IS NULL"""),
+            SELECT * FROM {snap} s
+            WHERE NOT EXISTS (SELECT 1 FROM {cur} c WHERE c.terminal_id = s.terminal_id)"""),
         gone: ((snap, cur), f"""
-            SELECT t1.* FROM {cur} t1 LEFT JOIN {snap} t2 ON t1.terminal_id = t2.terminal_id
-            WHERE t2.terminal_id IS NULL"""),
+            SELECT * FROM {cur} c
+            WHERE NOT EXISTS (SELECT 1 FROM {snap} s WHERE s.terminal_id = c.terminal_id)"""),
         changed: ((snap, cur), f"""
-            SELECT t2.* FROM {cur} t1 JOIN {snap} t2 ON t1.terminal_id = t2.terminal_id
-             AND (t1.terminal_type <> t2.terminal_type OR t1.terminal_city <> t2.terminal_city
-                  OR t1.terminal_address <> t2.terminal_address)"""),
+            SELECT s.* FROM {cur} c JOIN {snap} s USING (terminal_id)
+            WHERE c.terminal_type <> s.terminal_type OR c.terminal_city <> s.terminal_city
+               OR c.terminal_address <> s.terminal_address"""),
         out: ((prev, new, gone, changed), f"""
             SELECT terminal_id, terminal_type, terminal_city, terminal_address, deleted_flg,
                    effective_from,
