@@ -84,6 +84,13 @@ def test_daily_once_equals_day_by_day(spark, tmp_path):
     hist = daily.read_history(spark, wh_a)
     assert hist.filter(F.col("deleted_flg") == 1).count() == 1
 
+    # key violations of the run: the third day's blacklist repeats a passport;
+    # most transaction terminals are unknown at this scale
+    dq = spark.read.parquet(wh_a.quality)
+    assert dq.filter("relation = 'fact_blacklist'").count() == 1
+    assert dq.filter("relation = 'transactions.terminal'").count() > 0
+    assert dq.filter("relation like 'dim_%'").count() == 0
+
     # nothing pending: a second run adds nothing
     before = _rows(spark, wh_a.report)
     assert daily.run_daily(spark, land_all, wh_a, _seeds(spark), RUN_TIME, load_time) == []

@@ -10,7 +10,8 @@ One run handles every complete batch waiting in a landing folder:
 3. terminal snapshots are folded into the history day by day (each load
    depends on the previous one: the only sequential step). Every result is a
    new version directory; a load never writes over the table it reads;
-4. the four rules run over all pending days in one job, each day seeing only
+4. key violations (duplicate keys, orphans) are written to a table;
+5. the four rules run over all pending days in one job, each day seeing only
    the history versions its own load had produced, and the report is written
    partitioned by ``batch_date`` with dynamic overwrite.
 
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.operators import dims, history, report, rules
+from vigil.operators import dims, history, quality, report, rules
 from vigil.operators.seqlag import hot_groups
 from vigil.schemas import FACT_TRANSACTIONS, FEED_TRANSACTIONS, TERMINALS_HIST
 from vigil.sources import delimited, files, workbook
@@ -87,6 +88,10 @@ class Warehouse:
     def card_holders(self) -> str:
         return self.path("card_holders")
 
+    @property
+    def quality(self) -> str:
+        return self.path("dq_violations")
+
     @property
     def processed(self) -> str:
         return self.path("processed_batches")
@@ -233,6 +238,35 @@ def load_history(spark: SparkSession, landing: str, wh: Warehouse, dates: list[d
             wh.path("terminals_hist", f"{_VERSION_PREFIX}{nxt:06d}"))
 
 
+def check_quality(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
+                  run_time: dt.datetime) -> None:
+    """Key violations of this run as a table instead of an aborted load:
+    duplicate primary keys of the dimensions and of each day's blacklist, and
+    orphans (card -> account, account -> client, transaction -> card,
+    transaction -> terminal current after the day's load)."""
+    bank = read_bank(spark, wh)
+    facts = _only(spark.read.schema(FACT_TRANSACTIONS).parquet(wh.transactions), dates)
+    blacklist = _only(spark.read.parquet(wh.blacklist), dates)
+    terminals = history.current_terminals(read_history(spark, wh),
+                                          F.lit(run_time).cast("timestamp_ntz"))
+    checks = quality.union_checks([
+        quality.duplicate_keys(bank.clients, "client_id", "dim_clients"),
+        quality.duplicate_keys(bank.accounts, "account_num", "dim_accounts"),
+        quality.duplicate_keys(bank.cards, "card_num", "dim_cards"),
+        quality.duplicate_keys(
+            blacklist.withColumn("_key", F.concat_ws("|", F.col("batch_date").cast("string"),
+                                                     "passport_num")),
+            "_key", "fact_blacklist"),
+        quality.orphans(bank.cards, "account_num", bank.accounts, "account_num",
+                        "cards.account_num"),
+        quality.orphans(bank.accounts, "client", bank.clients, "client_id", "accounts.client"),
+        quality.orphans(facts, "card_num", bank.cards, "card_num", "transactions.card_num"),
+        quality.orphans(facts, "terminal", terminals, "terminal_id", "transactions.terminal"),
+    ])
+    (checks.withColumn("checked_at", F.lit(run_time).cast("timestamp_ntz"))
+     .write.mode("overwrite").parquet(wh.quality))
+
+
 def run_rules(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
               load_time: Callable[[dt.date], dt.datetime], report_time: dt.datetime,
               **options) -> DataFrame:
@@ -266,6 +300,7 @@ def process_batches(spark: SparkSession, landing: str, wh: Warehouse, dates: lis
             return run_time + dt.timedelta(seconds=_order[d])
     load_facts(spark, landing, wh, dates, staged_transactions)
     load_history(spark, landing, wh, dates, load_time, **options.get("history_options", {}))
+    check_quality(spark, wh, dates, run_time)
     report.write_report(run_rules(spark, wh, dates, load_time, run_time, **options), wh.report)
     done = spark.createDataFrame([(d, run_time) for d in dates],
                                  "batch_date date, processed_at timestamp_ntz")
@@ -284,6 +319,6 @@ def run_daily(spark: SparkSession, landing: str, wh: Warehouse, seeds: tuple[Dat
                            load_time, **options)
 
 
-__all__ = ["Warehouse", "history_versions", "read_facts", "load_dims", "load_facts", "load_history",
+__all__ = ["Warehouse", "check_quality", "history_versions", "read_facts", "load_dims", "load_facts", "load_history",
            "pending_batches", "process_batches", "read_bank", "read_history", "run_daily",
            "run_rules"]
