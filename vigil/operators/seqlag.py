@@ -19,7 +19,10 @@ hot groups into time slices:
    the head rows their exact lags.
 
 Groups below ``max_rows`` (all of them, normally) take the plain window and
-pay only for the count.
+pay only for the count. Slices are equal time spans of the group
+(``(last - first) / ceil(rows / max_rows)``), so a burst is split as long as
+its rows do not share one exact timestamp; rows with one timestamp always
+stay in one slice (order within a slice must follow the group's order).
 """
 
 from __future__ import annotations
