@@ -55,3 +55,22 @@ def test_sliced_lag_property(spark):
         assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, sliced.collect()),
                                                                     key=repr)
     check()
+
+
+def test_quantile_slices_split_a_burst(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from vigil.operators.seqlag import assign_slices
+    base = dt.datetime(2021, 3, 1)
+    # one card: 600 rows in a 10-second burst, 40 rows spread over the day; and a null card
+    burst = [("c", base + dt.timedelta(milliseconds=15 * i), i) for i in range(600)]
+    spread = [("c", base + dt.timedelta(minutes=30 * i), 1000 + i) for i in range(40)]
+    nulls = [(None, base + dt.timedelta(seconds=i), 5000 + i) for i in range(300)]
+    df = spark.createDataFrame(burst + spread + nulls, "g string, t timestamp_ntz, i long")
+    hot = hot_groups(df, ["g"], "t", 100)
+    assert hot.filter(F.col("_bounds").isNull()).count() == 0  # null group too
+    sizes = (assign_slices(df, ["g"], hot, "t").groupBy("g", "_slice").count()
+             .agg(F.max("count")).first()[0])
+    assert sizes <= 200  # equal time spans would leave most of the burst in one slice

@@ -8,7 +8,10 @@ hot groups into time slices:
 
 1. ``hot_groups`` counts rows per group (a partial/final aggregate, combined
    map-side, so the hot group never meets in one task) and keeps the groups
-   above ``max_rows`` with their first time and a slice width.
+   above ``max_rows``. For those it computes slice boundaries: approximate
+   quantiles of the time (``percentile_approx``, a mergeable sketch over the
+   hot rows only), so a burst is cut into slices of about ``max_rows`` rows;
+   if the boundary list would be too large, equal time spans instead.
 2. Rows of hot groups get a slice number that grows with the first order
    column (time), so slices follow the group's order. The window runs per
    ``keys + slice``; lags are already right for every row except the first
@@ -19,10 +22,8 @@ hot groups into time slices:
    the head rows their exact lags.
 
 Groups below ``max_rows`` (all of them, normally) take the plain window and
-pay only for the count. Slices are equal time spans of the group
-(``(last - first) / ceil(rows / max_rows)``), so a burst is split as long as
-its rows do not share one exact timestamp; rows with one timestamp always
-stay in one slice (order within a slice must follow the group's order).
+pay only for the count. Rows sharing one exact timestamp always stay in one
+slice (the order within a slice must follow the group's order).
 """
 
 from __future__ import annotations
@@ -32,43 +33,100 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Groups with more rows than this are cut into time slices of about this size.
 DEFAULT_GROUP_ROWS = 2_000_000
 # Largest hot-group list that is collected and broadcast as a literal table.
 MAX_HOT_LIST = 100_000
+# Quantile boundaries: at most this many slices per group, and at most this
+# many boundary values in total (hot groups x slices) held as a literal table.
+MAX_SLICES = 1024
+MAX_BOUNDS = 1_000_000
+# Relative rank error of the quantile sketch is 1 / QUANTILE_ACCURACY.
+QUANTILE_ACCURACY = 10_000
 
-_SLICE_COLUMNS = ("_t0", "_width", "_slice", "_rn", "_cnt")
+_SLICE_COLUMNS = ("_t0", "_width", "_bounds", "_slice", "_rn", "_cnt")
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 
 def _order(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in cols]
 
 
+def _micros(time_col: str) -> Column:
+    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), F.col(time_col))
+
+
+def _null_safe_on(keys: Sequence[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b,
+                  [F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(keys)])
+
+
 def hot_groups(df: DataFrame, keys: Sequence[str], time_col: str,
                max_rows: int) -> DataFrame | None:
-    """Groups with more than ``max_rows`` rows, with their slicing parameters.
+    """Groups with more than ``max_rows`` rows, with their slicing parameters
+    (``_bounds``: quantile boundaries of the time in microseconds, or
+    ``_t0``/``_width``: equal time spans).
 
     Returns None when there is none (the common case). The list is bounded by
     ``rows / max_rows``; up to ``MAX_HOT_LIST`` entries it is collected and
-    broadcast as a literal table, above that it stays a DataFrame and adaptive
-    execution picks the join.
+    broadcast as a literal table, above that it stays a DataFrame (equal time
+    spans) and adaptive execution picks the join.
     """
-    slices = F.ceil(F.col("_n") / F.lit(int(max_rows)))
     span = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col("_t1"))
+    slices = F.ceil(F.col("_n") / F.lit(int(max_rows)))
     stats = (df.groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("_n"), F.min(time_col).alias("_t0"),
                   F.max(time_col).alias("_t1"))
              .filter(F.col("_n") > F.lit(int(max_rows)))
-             .select(*keys, "_t0",
+             .select(*keys, "_n", "_t0",
                      F.greatest(F.ceil(span / slices), F.lit(1)).cast("long").alias("_width")))
     rows = stats.limit(MAX_HOT_LIST + 1).collect()
     if not rows:
         return None
-    if len(rows) > MAX_HOT_LIST:
-        return stats
     spark = df.sparkSession
-    return F.broadcast(spark.createDataFrame(rows, stats.schema))
+    if len(rows) > MAX_HOT_LIST:
+        return stats.drop("_n").withColumn("_bounds", F.lit(None).cast("array<long>"))
+    n_slices = min(MAX_SLICES, max(-(-r["_n"] // int(max_rows)) for r in rows))
+    hot = spark.createDataFrame(rows, stats.schema)
+    if len(rows) * (n_slices - 1) > MAX_BOUNDS or n_slices < 2:
+        # equal time spans
+        return F.broadcast(hot.drop("_n").withColumn("_bounds", F.lit(None).cast("array<long>")))
+    # quantile boundaries over the hot rows only (the hot list is a literal table)
+    marks = [i / n_slices for i in range(1, n_slices)]
+    hk = F.broadcast(hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)]))
+    bounds = (df.join(hk, _null_safe_on(keys, "_hk"), "inner")
+              .groupBy(*keys)
+              .agg(F.percentile_approx(_micros(time_col), marks, QUANTILE_ACCURACY)
+                   .alias("_bounds")))
+    # at most MAX_BOUNDS values in all; merged by key on the driver (null keys too)
+    limits = {tuple(r[k] for k in keys): r["_bounds"] for r in bounds.collect()}
+    schema = T.StructType([stats.schema[k] for k in keys]
+                          + [stats.schema["_t0"], stats.schema["_width"],
+                             T.StructField("_bounds", T.ArrayType(T.LongType()))])
+    merged = [tuple(r[k] for k in keys) + (r["_t0"], r["_width"],
+                                           limits.get(tuple(r[k] for k in keys)))
+              for r in rows]
+    return F.broadcast(spark.createDataFrame(merged, schema))
+
+
+def assign_slices(df: DataFrame, keys: Sequence[str], hot: DataFrame, time_col: str) -> DataFrame:
+    """Attach ``_slice`` (0 for rows of groups that are not hot; -1 for hot rows
+    without a time) and the hot-group columns. The slice never decreases along
+    the time, so slices are consecutive ranges of the group's order."""
+    hot_keys = hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
+                          "_t0", "_width", "_bounds")
+    d = df.join(hot_keys, _null_safe_on(keys, "_hk"), "left").drop(
+        *[f"_hk{i}" for i in range(len(keys))])
+    is_hot = F.col("_width").isNotNull()
+    t = _micros(time_col)
+    by_quantile = F.size(F.filter(F.col("_bounds"), lambda b: b < t))
+    by_span = F.floor(F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col(time_col))
+                      / F.col("_width"))
+    chosen = F.when(F.col("_bounds").isNotNull(), by_quantile).otherwise(by_span)
+    slice_no = F.when(is_hot, F.when(F.col(time_col).isNull(), F.lit(-1)).otherwise(chosen))
+    return d.withColumn("_slice", F.coalesce(slice_no, F.lit(0)).cast("long"))
 
 
 def lag_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
@@ -88,15 +146,8 @@ def lag_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
         raise ValueError("time_col is required to slice hot groups")
     depth = max(n for _, n in lags.values())
 
-    hot_keys = hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
-                          "_t0", "_width")
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(k).eqNullSafe(F.col(f"_hk{i}")) for i, k in enumerate(keys)])
-    d = df.join(hot_keys, cond, "left").drop(*[f"_hk{i}" for i in range(len(keys))])
+    d = assign_slices(df, keys, hot, time_col)
     is_hot = F.col("_width").isNotNull()
-    offset = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col(time_col))
-    slice_no = F.when(is_hot, F.coalesce(F.floor(offset / F.col("_width")), F.lit(-1)))
-    d = d.withColumn("_slice", F.coalesce(slice_no, F.lit(0)).cast("long"))
 
     # explicit: input already clustered by ``keys`` (a table bucketed by the
     # card) would otherwise satisfy the window and keep a hot group in one task
