@@ -301,7 +301,8 @@ def process_batches(spark: SparkSession, landing: str, wh: Warehouse, dates: lis
     load_facts(spark, landing, wh, dates, staged_transactions)
     load_history(spark, landing, wh, dates, load_time, **options.get("history_options", {}))
     check_quality(spark, wh, dates, run_time)
-    report.write_report(run_rules(spark, wh, dates, load_time, run_time, **options), wh.report)
+    report.write_report(run_rules(spark, wh, dates, load_time, run_time, **options), wh.report,
+                        batch_dates=dates)
     done = spark.createDataFrame([(d, run_time) for d in dates],
                                  "batch_date date, processed_at timestamp_ntz")
     (done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
