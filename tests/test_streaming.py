@@ -27,9 +27,8 @@ def test_stream_job_equals_batch_job(spark, tmp_path):
     land = str(tmp_path / "land")
     _landing(spark, land, DAYS[:2])
     wh_s = daily.Warehouse(str(tmp_path / "wh_stream"))
-    daily.load_dims(*_seeds(spark), wh_s)
     ckpt = str(tmp_path / "ckpt")
-    ingest.run_daily_stream(spark, land, wh_s, ckpt, RUN_TIME, load_time)
+    ingest.run_daily_stream(spark, land, wh_s, ckpt, RUN_TIME, load_time, seeds=_seeds(spark))
     # the third day arrives later: a second run picks up only the new files
     full = str(tmp_path / "full")
     _landing(spark, full, DAYS)

@@ -27,13 +27,16 @@ from vigil.operators.rules import (
     all_rules,
     amount_cheat,
     amount_hits,
+    amount_sequence,
     batch_list,
     batches_of,
     city_cheat,
     city_hits,
+    city_sequence,
     flagged_clients,
     expired_accounts,
     passport_cheat,
+    terminal_cities,
 )
 from vigil.operators.seqlag import hot_groups, lag_columns
 
@@ -44,4 +47,5 @@ __all__ = [
     "duplicate_keys", "orphans", "fraud_report", "write_report", "account_cheat", "all_rules",
     "amount_cheat", "amount_hits", "batch_list", "batches_of", "city_cheat", "city_hits",
     "flagged_clients", "expired_accounts", "passport_cheat", "hot_groups", "lag_columns",
+    "amount_sequence", "city_sequence", "terminal_cities",
 ]

@@ -74,8 +74,14 @@ def ingest_transactions(spark: SparkSession, landing: str, table: str, checkpoin
 def run_daily_stream(spark: SparkSession, landing: str, wh: daily.Warehouse, checkpoint: str,
                      run_time: dt.datetime,
                      load_time: Callable[[dt.date], dt.datetime] | None = None,
-                     archive_dir: str | None = None, **options) -> StreamingQuery:
-    """The daily job fed by a file stream of transaction files."""
+                     archive_dir: str | None = None,
+                     seeds: tuple[DataFrame, DataFrame, DataFrame] | None = None,
+                     **options) -> StreamingQuery:
+    """The daily job fed by a file stream of transaction files. ``seeds``
+    (clients, accounts, cards) rebuilds the dimensions first; without them the
+    warehouse's current dimensions are used."""
+    if seeds is not None:
+        daily.load_dims(*seeds, wh)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()
