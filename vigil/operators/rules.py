@@ -215,6 +215,14 @@ def _keys(cross_batch: bool) -> list[str]:
     return ["card_num"] if cross_batch else ["batch_date", "card_num"]
 
 
+def _bounded_broadcast(df: DataFrame, small_rows: int) -> DataFrame:
+    """Materialise a dimension-sized side, count it, and broadcast it when it
+    has at most ``small_rows`` rows (a proven bound); otherwise it stays a
+    shuffle-join side."""
+    df = reliable_checkpoint(df)
+    return F.broadcast(df) if df.count() <= small_rows else df
+
+
 def _hot(df: DataFrame, keys: list[str], max_group_rows: int | None, hot) -> DataFrame | None:
     """Hot groups of ``df`` unless given: slicing any group is exact, so stats
     computed once over a superset of the rows (all facts of the batches) serve
@@ -239,6 +247,10 @@ def city_sequence(facts: DataFrame, hist: DataFrame, *, terminal_match: str = "a
     tx = facts.filter(F.col("card_num").isNotNull()).select(
         "batch_date", "card_num", "trans_id", "trans_date", "oper_result", "terminal")
     h = hist.select("terminal_id", "terminal_city", "effective_from", "effective_to", "deleted_flg")
+    if terminal_match == "as_of":
+        h = h.filter(F.col("deleted_flg") == 0)
+    # dimension-sized: broadcast under a counted bound, so the facts shuffle once
+    h = _bounded_broadcast(h, SMALL_SUMMARY_ROWS)
     cond = F.col("terminal") == F.col("terminal_id")
     if terminal_match == "as_of":
         cond = (cond & (F.col("deleted_flg") == 0)
@@ -286,8 +298,7 @@ def terminal_cities(hist: DataFrame, known_at: dict[dt.date, dt.datetime] | None
         F.max(F.when(F.col("_rn") == 1, F.col("terminal_city"))).alias("first_city"),
         F.max(F.when(F.col("_rn") == F.col("_n"), F.col("terminal_city"))).alias("last_city"),
         F.max(moved).alias("moved")))
-    summary = reliable_checkpoint(summary)
-    return F.broadcast(summary) if summary.count() <= small_rows else summary
+    return _bounded_broadcast(summary, small_rows)
 
 
 def _city_hits_by_summary(facts: DataFrame, hist: DataFrame, max_minutes: int,
