@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from vigil.operators import dims, history, quality, report, rules
 from vigil.operators.seqlag import hot_groups
-from vigil.schemas import FACT_TRANSACTIONS, FEED_TRANSACTIONS, TERMINALS_HIST
+from vigil.schemas import FACT_TRANSACTIONS, FEED_TERMINALS, FEED_TRANSACTIONS, TERMINALS_HIST
 from vigil.sources import delimited, files, workbook
 
 _VERSION_PREFIX = "v="
@@ -219,8 +219,9 @@ def read_facts(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
 
 def load_history(spark: SparkSession, landing: str, wh: Warehouse, dates: list[dt.date],
                  load_time: Callable[[dt.date], dt.datetime], **options) -> None:
-    """Fold each day's snapshot into the history, in date order."""
-    snapshots = _only(workbook.read_terminals(spark, landing), dates)
+    """Fold each day's snapshot into the history, in date order. Each load
+    reads only that day's workbook (a filter above the decoding step would
+    decode every pending workbook for every day)."""
     for d in sorted(dates):
         at = load_time(d)
         hist = read_history(spark, wh)
@@ -228,7 +229,9 @@ def load_history(spark: SparkSession, landing: str, wh: Warehouse, dates: list[d
         if latest is not None and latest == at:
             continue  # this day was folded in already (a replayed run)
         history.check_load_time(hist, at)
-        snap = snapshots.filter(F.col("batch_date") == F.lit(d)).drop("batch_date")
+        day_file = f"{landing}/{FEED_TERMINALS}_{d.strftime('%d%m%Y')}*.xlsx"
+        snap = (workbook.read_terminals(spark, day_file)
+                .filter(F.col("batch_date") == F.lit(d)).drop("batch_date"))
         new = history.apply_snapshot(hist, snap, at, **options)
         versions = history_versions(spark, wh)
         nxt = (versions[-1] + 1) if versions else 1
