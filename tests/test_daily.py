@@ -132,3 +132,14 @@ def test_bucketed_facts(spark, tmp_path):
     again = daily.run_rules(spark, bucketed, DAYS, load_time, RUN_TIME, max_group_rows=2)
     base = daily.run_rules(spark, bucketed, DAYS, load_time, RUN_TIME)
     assert again.exceptAll(base).count() == 0 and base.exceptAll(again).count() == 0
+
+
+def test_reads_only_pending_days(spark, tmp_path):
+    from vigil.sources import delimited, workbook
+    land = str(tmp_path / "land")
+    _landing(spark, land, DAYS)
+    want = [DAYS[1]]
+    tx = delimited.read_transactions(spark, daily.day_files(land, "transactions", want))
+    assert [os.path.basename(p) for p in tx.inputFiles()] == ["transactions_02012024.txt"]
+    bl = workbook.read_blacklist(spark, daily.day_files(land, "passport_blacklist", want))
+    assert {r.batch_date for r in bl.collect()} == {DAYS[1]}

@@ -29,7 +29,14 @@ from pyspark.sql import functions as F
 
 from vigil.operators import dims, history, quality, report, rules
 from vigil.operators.seqlag import hot_groups
-from vigil.schemas import FACT_TRANSACTIONS, FEED_TERMINALS, FEED_TRANSACTIONS, TERMINALS_HIST
+from vigil.schemas import (
+    FACT_TRANSACTIONS,
+    FEED_BLACKLIST,
+    FEED_EXTENSIONS,
+    FEED_TERMINALS,
+    FEED_TRANSACTIONS,
+    TERMINALS_HIST,
+)
 from vigil.sources import delimited, files, workbook
 
 _VERSION_PREFIX = "v="
@@ -158,6 +165,13 @@ def pending_batches(spark: SparkSession, landing: str, wh: Warehouse) -> list[dt
     return [d for _, d in rules.batches_of(pending)]
 
 
+def day_files(landing: str, feed: str, dates: list[dt.date]) -> list[str]:
+    """Globs for the files of ``feed`` on ``dates``: a run reads only its own
+    days, however many processed days stay in the landing folder."""
+    ext = FEED_EXTENSIONS[feed]
+    return [f"{landing}/{feed}_{d.strftime('%d%m%Y')}*.{ext}" for d in sorted(dates)]
+
+
 def _only(df: DataFrame, dates: list[dt.date]) -> DataFrame:
     return df.filter(F.col("batch_date").isin([F.lit(d) for d in dates]))
 
@@ -167,7 +181,7 @@ def load_facts(spark: SparkSession, landing: str, wh: Warehouse, dates: list[dt.
     """Transactions (``staged``, or read from the landing folder) and blacklists
     of ``dates`` into the partitioned fact tables."""
     if staged is None:
-        staged = delimited.read_transactions(spark, landing, f"{FEED_TRANSACTIONS}_*.txt")
+        staged = delimited.read_transactions(spark, day_files(landing, FEED_TRANSACTIONS, dates))
     staged = _only(staged, dates)
     facts = dims.fact_transactions(staged)
     if wh.fact_buckets:
@@ -178,7 +192,7 @@ def load_facts(spark: SparkSession, landing: str, wh: Warehouse, dates: list[dt.
         (facts.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_date")
          .parquet(wh.transactions))
-    bl = _only(workbook.read_blacklist(spark, landing), dates)
+    bl = _only(workbook.read_blacklist(spark, day_files(landing, FEED_BLACKLIST, dates)), dates)
     (dims.fact_blacklist(bl).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_date")
      .parquet(wh.blacklist))
@@ -229,8 +243,7 @@ def load_history(spark: SparkSession, landing: str, wh: Warehouse, dates: list[d
         if latest is not None and latest == at:
             continue  # this day was folded in already (a replayed run)
         history.check_load_time(hist, at)
-        day_file = f"{landing}/{FEED_TERMINALS}_{d.strftime('%d%m%Y')}*.xlsx"
-        snap = (workbook.read_terminals(spark, day_file)
+        snap = (workbook.read_terminals(spark, day_files(landing, FEED_TERMINALS, [d]))
                 .filter(F.col("batch_date") == F.lit(d)).drop("batch_date"))
         new = history.apply_snapshot(hist, snap, at, **options)
         versions = history_versions(spark, wh)
