@@ -161,9 +161,14 @@ def latest_load(hist: DataFrame) -> dt.datetime | None:
     return hist.agg(F.max("effective_from").alias("m")).collect()[0]["m"]
 
 
-def check_load_time(hist: DataFrame, as_of: dt.datetime) -> None:
+_UNKNOWN = object()
+
+
+def check_load_time(hist: DataFrame, as_of: dt.datetime, latest=_UNKNOWN) -> None:
     """Refuse a load time not after the latest version start: closing at
-    ``as_of - 1s`` would otherwise end a version before it began."""
-    latest = latest_load(hist)
+    ``as_of - 1s`` would otherwise end a version before it began. ``latest``
+    may be passed when already known."""
+    if latest is _UNKNOWN:
+        latest = latest_load(hist)
     if latest is not None and as_of <= latest:
         raise ValueError(f"load time {as_of} is not after the latest version start {latest}")

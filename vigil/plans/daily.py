@@ -242,7 +242,7 @@ def load_history(spark: SparkSession, landing: str, wh: Warehouse, dates: list[d
         latest = history.latest_load(hist)
         if latest is not None and latest == at:
             continue  # this day was folded in already (a replayed run)
-        history.check_load_time(hist, at)
+        history.check_load_time(hist, at, latest)
         snap = (workbook.read_terminals(spark, day_files(landing, FEED_TERMINALS, [d]))
                 .filter(F.col("batch_date") == F.lit(d)).drop("batch_date"))
         new = history.apply_snapshot(hist, snap, at, **options)
