@@ -91,6 +91,14 @@ def test_daily_once_equals_day_by_day(spark, tmp_path):
     assert dq.filter("relation = 'transactions.terminal'").count() > 0
     assert dq.filter("relation like 'dim_%'").count() == 0
 
+    # SQL over the warehouse
+    names = daily.register_views(spark, wh_a, RUN_TIME)
+    assert "v_terminals" in names
+    n_current = spark.sql("SELECT count(*) AS n FROM v_terminals").first()["n"]
+    assert n_current == bindings.terminals_second(spark, SF_SMALL).count()
+    by_type = spark.sql("SELECT event_type, count(*) AS n FROM rep_fraud GROUP BY event_type")
+    assert by_type.count() >= 2
+
     # nothing pending: a second run adds nothing
     before = _rows(spark, wh_a.report)
     assert daily.run_daily(spark, land_all, wh_a, _seeds(spark), RUN_TIME, load_time) == []

@@ -326,6 +326,28 @@ def process_batches(spark: SparkSession, landing: str, wh: Warehouse, dates: lis
     return dates
 
 
+def register_views(spark: SparkSession, wh: Warehouse, as_of: dt.datetime) -> list[str]:
+    """Temporary views over the warehouse for SQL users: the dimensions, the
+    facts, the latest terminal history, the report, the key violations, and
+    ``v_terminals`` -- the terminals current at ``as_of``."""
+    bank = read_bank(spark, wh)
+    hist = read_history(spark, wh)
+    views = {
+        "dwh_dim_clients": bank.clients,
+        "dwh_dim_accounts": bank.accounts,
+        "dwh_dim_cards": bank.cards,
+        "dwh_fact_transactions": spark.read.schema(FACT_TRANSACTIONS).parquet(wh.transactions),
+        "dwh_fact_passport_blacklist": spark.read.parquet(wh.blacklist),
+        "dwh_dim_terminals_hist": hist,
+        "v_terminals": history.current_terminals(hist, F.lit(as_of).cast("timestamp_ntz")),
+        "rep_fraud": spark.read.parquet(wh.report),
+        "dq_violations": spark.read.parquet(wh.quality),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)
+
+
 def run_daily(spark: SparkSession, landing: str, wh: Warehouse, seeds: tuple[DataFrame, ...],
               run_time: dt.datetime, load_time: Callable[[dt.date], dt.datetime] | None = None,
               **options) -> list[dt.date]:
@@ -336,6 +358,6 @@ def run_daily(spark: SparkSession, landing: str, wh: Warehouse, seeds: tuple[Dat
                            load_time, **options)
 
 
-__all__ = ["Warehouse", "check_quality", "history_versions", "read_facts", "load_dims", "load_facts", "load_history",
+__all__ = ["Warehouse", "check_quality", "history_versions", "read_facts", "register_views", "load_dims", "load_facts", "load_history",
            "pending_batches", "process_batches", "read_bank", "read_history", "run_daily",
            "run_rules"]
