@@ -83,20 +83,27 @@ def _facts_of(facts: DataFrame, batches: list[tuple[dt.date, dt.date]]) -> DataF
     return facts.filter(F.col("batch_date").isin([date_lit(b) for b, _ in batches]))
 
 
-def _with_operations(holders: DataFrame, tx: DataFrame, require_event: bool) -> DataFrame:
+def _with_operations(holders: DataFrame, tx: DataFrame, require_event: bool,
+                     dates: list[dt.date]) -> DataFrame:
     """``holders LEFT JOIN tx USING (card_num, batch_date)`` written so that a hot
     card on the fact side never lands in one task: the inner join (AQE splits
     skewed partitions on either side of an inner join) plus the holder rows
     without an operation, found by an anti join against the *distinct* card
     keys of the facts (partial aggregation collapses a hot card to one row)."""
     keys = ["card_num", "batch_date"]
-    matched = holders.join(tx, keys, "inner")
+    # both joins start from the same filtered subtree, so the holder side is
+    # planned once and its shuffles are reused; rows with a null key can match
+    # no operation and become null-event rows directly
+    known = holders.filter(F.col("card_num").isNotNull()
+                           & F.col("batch_date").isin([date_lit(d) for d in dates]))
+    matched = known.join(tx, keys, "inner")
     if require_event:
         return matched
+    none = F.lit(None).cast("timestamp_ntz")
     seen = tx.select(*keys).distinct()
-    idle = holders.join(seen, keys, "left_anti").withColumn(
-        "event_dt", F.lit(None).cast("timestamp_ntz"))
-    return matched.unionByName(idle)
+    idle = known.join(seen, keys, "left_anti").withColumn("event_dt", none)
+    keyless = holders.filter(F.col("card_num").isNull()).withColumn("event_dt", none)
+    return matched.unionByName(idle).unionByName(keyless)
 
 
 def _report(rows: DataFrame, event_type: str, as_of: dt.datetime) -> DataFrame:
@@ -140,7 +147,8 @@ def account_cheat(bank: Bank, facts: DataFrame, batches: BatchSpec,
     cards = bank.cards.select("card_num", "account_num")
     tx = _facts_of(facts, bl).select("card_num", "batch_date", F.col("trans_date").alias("event_dt"))
     how = "inner" if require_event else "left"
-    rows = _with_operations(holders.join(cards, "account_num", how), tx, require_event)
+    rows = _with_operations(holders.join(cards, "account_num", how), tx, require_event,
+                            [b for b, _ in bl])
     return _report(rows, EVENT_ACCOUNT, as_of)
 
 
@@ -194,7 +202,8 @@ def passport_cheat(bank: Bank, facts: DataFrame, blacklist: DataFrame, batches:
     tx = _facts_of(facts, bl).select("card_num", "batch_date", F.col("trans_date").alias("event_dt"))
     how = "inner" if require_event else "left"
     rows = _with_operations(flagged.join(accounts, "client_id", how)
-                            .join(cards, "account_num", how), tx, require_event)
+                            .join(cards, "account_num", how), tx, require_event,
+                            [b for b, _ in bl])
     if not dedupe_blacklist:
         copies = F.sequence(F.lit(1), F.coalesce(F.col("_listed"), F.lit(1)).cast("int"))
         rows = rows.withColumn("_copy", F.explode(copies))
