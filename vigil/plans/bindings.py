@@ -186,3 +186,10 @@ def hist2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third load: the first snapshot again (deleted terminals return, moved
     ones move back, the added ones disappear)."""
     return apply_snapshot(hist1(spark, sf_dir), terminals_first(spark, sf_dir), HIST2_AS_OF)
+
+
+def blacklist_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blacklist entries delivered one day each: the batch is the entry date
+    plus 31 days (a day of the events); repeated entries share their day."""
+    staged = staged_blacklist(spark, sf_dir)
+    return fact_blacklist(staged, F.date_add(F.col("date"), 31))

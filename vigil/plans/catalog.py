@@ -97,6 +97,19 @@ def q_rule_account_daily(spark, d):
                                require_event=True)
 
 
+def q_report_daily(spark, d):
+    """All four rules over every day of the facts as its own batch (report
+    date = batch date, the day's own blacklist), operations only for the
+    expiry rules -- the daily job's rule step for a month of batches."""
+    facts = b.facts(spark, d, per_day=True)
+    return report.fraud_report(rules.all_rules(
+        b.bank(spark, d), facts, b.blacklist_daily(spark, d), b.hist1(spark, d),
+        rules.batches_of(facts), b.REPORT_AS_OF,
+        account_options={"require_event": True}, passport_options={"require_event": True},
+        city_options={"max_minutes": b.CITY_MINUTES},
+        amount_options={"max_minutes": b.AMOUNT_MINUTES}))
+
+
 def q_rule_passport(spark, d):
     return rules.passport_cheat(b.bank(spark, d), b.facts(spark, d), b.blacklist(spark, d),
                                 _single(b.PASSPORT_RULE_DATE), b.REPORT_AS_OF)
@@ -283,6 +296,7 @@ QUERIES: dict[str, Query] = {
     "rule_city_daily": q_rule_city_daily,
     "rule_amount": q_rule_amount,
     "report_all": q_report_all,
+    "report_daily": q_report_daily,
     "scd2_current": q_scd2_current,
     "scd2_new": q_scd2_new,
     "scd2_deleted": q_scd2_deleted,

@@ -62,6 +62,9 @@ _CTE: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT 'P' || CAST(c_custkey AS VARCHAR), DATE '2023-12-01' + CAST(c_custkey % 30 AS INTEGER),
                {BATCH}
         FROM customer WHERE c_custkey % 100 = 0"""),
+    "blacklist_daily": (("fact_blacklist",), """
+        SELECT passport_num, entry_dt, entry_dt + 31 AS batch_date FROM fact_blacklist"""),
+    "days": (("facts_daily",), "SELECT DISTINCT batch_date FROM facts_daily"),
     "term1": ((), """
         SELECT CAST(s_suppkey AS VARCHAR) AS terminal_id,
                CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type,
@@ -231,7 +234,8 @@ def _city_hits(lagged: str, minutes: int = 60) -> str:
         GROUP BY batch_date, card_num"""
 
 
-_AMOUNT_LAG = """
+def _amount_lag(facts: str = "facts") -> str:
+    return f"""
     SELECT batch_date, card_num, trans_id, trans_date, oper_result, amt_value,
            lag(trans_date, 3) OVER w AS lag_time,
            lag(oper_result, 1) OVER w AS lag_result_1,
@@ -240,20 +244,23 @@ _AMOUNT_LAG = """
            lag(amt_value, 1) OVER w AS lag_amt_1,
            lag(amt_value, 2) OVER w AS lag_amt_2,
            lag(amt_value, 3) OVER w AS lag_amt_3
-    FROM (SELECT *, TRY_CAST(replace(amt, ',', '.') AS DOUBLE) AS amt_value FROM facts
+    FROM (SELECT *, TRY_CAST(replace(amt, ',', '.') AS DOUBLE) AS amt_value FROM {facts}
           WHERE oper_type = 'WITHDRAW' OR oper_type = 'PAYMENT') s
     WINDOW w AS (PARTITION BY batch_date, card_num
                  ORDER BY trans_date NULLS FIRST, trans_id NULLS FIRST, amt NULLS FIRST,
                           oper_result NULLS FIRST, terminal NULLS FIRST)"""
 
-_AMOUNT_HITS = f"""
-    SELECT batch_date, card_num, trans_id, trans_date AS event_dt FROM ({_AMOUNT_LAG}) s
+
+def _amount_hits(facts: str = "facts") -> str:
+    return f"""
+    SELECT batch_date, card_num, trans_id, trans_date AS event_dt FROM ({_amount_lag(facts)}) s
     WHERE oper_result = 'SUCCESS' AND lag_result_1 = 'REJECT' AND lag_result_2 = 'REJECT'
       AND lag_result_3 = 'REJECT' AND lag_amt_3 > lag_amt_2 AND lag_amt_2 > lag_amt_1
       AND lag_amt_1 > amt_value AND trans_date < lag_time + INTERVAL 14400 MINUTE"""
 
+
 _CITY_RULE = _enrich(f"({_city_hits(_city_lag('facts', 'hist1'))})", "event_dt", "city cheat")
-_AMOUNT_RULE = _enrich(f"({_AMOUNT_HITS})", "event_dt", "selection of the amount")
+_AMOUNT_RULE = _enrich(f"({_amount_hits()})", "event_dt", "selection of the amount")
 
 _RULE_DEPS = ("dim_clients", "dim_accounts", "dim_cards", "facts", "fact_blacklist", "hist1")
 
@@ -308,6 +315,30 @@ def oracle_sql() -> dict[str, str]:
                passport_num, phone FROM ({_FLAGGED}) f""")
     q["rule_account"] = _with(_RULE_DEPS, _ACCOUNT_RULE)
     q["rule_passport"] = _with(_RULE_DEPS, _PASSPORT_RULE)
+    q["report_daily"] = _with(_RULE_DEPS + ("facts_daily", "blacklist_daily", "days"), f"""
+        SELECT t.trans_date AS event_dt, c.passport_num AS passport,
+               c.last_name || ' ' || c.first_name || ' ' || c.patronymic AS fio, c.phone,
+               'account cheat' AS event_type, {AS_OF} AS report_dt, d.batch_date
+        FROM dim_accounts a JOIN days d ON a.valid_to < d.batch_date
+             LEFT JOIN dim_clients c ON a.client = c.client_id
+             JOIN dim_cards k ON a.account_num = k.account_num
+             JOIN facts_daily t ON k.card_num = t.card_num AND t.batch_date = d.batch_date
+        UNION ALL
+        SELECT t.trans_date, f.passport_num, f.last_name || ' ' || f.first_name || ' ' || f.patronymic,
+               f.phone, 'passport cheat', {AS_OF}, f.batch_date
+        FROM (SELECT cl.*, d.batch_date FROM dim_clients cl JOIN days d
+                ON COALESCE(cl.passport_valid_to, DATE '2999-12-31') < d.batch_date
+                OR cl.passport_num IN (SELECT passport_num FROM blacklist_daily b
+                                       WHERE b.batch_date = d.batch_date)) f
+             JOIN dim_accounts a ON f.client_id = a.client
+             JOIN dim_cards k ON a.account_num = k.account_num
+             JOIN facts_daily t ON k.card_num = t.card_num AND t.batch_date = f.batch_date
+             LEFT JOIN blacklist_daily b ON f.passport_num = b.passport_num
+                                        AND b.batch_date = f.batch_date
+        UNION ALL {_enrich(f"({_city_hits(_city_lag('facts_daily', 'hist1'))})", "event_dt",
+                           "city cheat")}
+        UNION ALL {_enrich(f"({_amount_hits('facts_daily')})", "event_dt",
+                           "selection of the amount")}""")
     q["rule_account_daily"] = _with(_RULE_DEPS + ("facts_daily",), f"""
         SELECT t.trans_date AS event_dt, c.passport_num AS passport,
                c.last_name || ' ' || c.first_name || ' ' || c.patronymic AS fio, c.phone,
@@ -353,7 +384,7 @@ def oracle_sql() -> dict[str, str]:
         FROM facts_daily t LEFT JOIN hist0 h ON t.terminal = h.terminal_id
         GROUP BY t.batch_date, t.card_num HAVING count(DISTINCT h.terminal_city) > 1""")
     q["lag_city"] = _with(("facts", "hist0"), _city_lag("facts", "hist0"))
-    q["lag_amount"] = _with(("facts",), _AMOUNT_LAG)
+    q["lag_amount"] = _with(("facts",), _amount_lag())
     q["rule_city_hits"] = _with(("facts", "hist1"), _city_hits(_city_lag("facts", "hist1")))
     q["rule_city"] = _with(_RULE_DEPS, _CITY_RULE)
     q["rule_city_asof"] = _with(_RULE_DEPS, _enrich(
