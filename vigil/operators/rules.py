@@ -168,7 +168,9 @@ def flagged_clients(bank: Bank, blacklist: DataFrame, batches: BatchSpec) -> Dat
     spark = bank.clients.sparkSession
     dates = _batch_table(spark, bl)
     latest = max(r for _, r in bl)
-    listed = _listed(blacklist, bl)
+    # a day's blacklist is small next to the client base: counted, then
+    # broadcast, so clients are matched map-side instead of being shuffled
+    listed = _bounded_broadcast(_listed(blacklist, bl), SMALL_SUMMARY_ROWS)
     end = F.coalesce(F.col("passport_valid_to"), date_lit(NO_EXPIRY))
     clients = bank.clients.select("client_id", "last_name", "first_name", "patronymic",
                                   "passport_num", "passport_valid_to", "phone")
