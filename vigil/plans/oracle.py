@@ -2,9 +2,10 @@
 
 Each statement starts from the driver tables, binds them to the bank shape
 with the same expressions as ``vigil.plans.bindings``, and states the
-operator the way the source system's SQL does (joins, ``IN`` subqueries,
-window ``lag``), so the Spark DataFrame code is checked against a second,
-differently written formulation. Column names equal the Spark outputs.
+operator in plain SQL: joins, ``IN`` / ``NOT EXISTS`` subqueries, and for the
+sequence rules row numbering plus self-joins to the previous rows (not window
+``lag``), so the Spark DataFrame code is checked against a differently built
+formulation. Column names equal the Spark outputs.
 """
 
 from __future__ import annotations
@@ -208,21 +209,27 @@ _PASSPORT_RULE = f"""
          LEFT JOIN facts t ON k.card_num = t.card_num
          LEFT JOIN fact_blacklist b ON f.passport_num = b.passport_num"""
 
-_CITY_WINDOW = """(PARTITION BY t.batch_date, t.card_num
-    ORDER BY t.trans_date NULLS FIRST, t.trans_id NULLS FIRST, t.terminal NULLS FIRST,
-             t.oper_result NULLS FIRST, h.effective_from NULLS FIRST, h.deleted_flg NULLS FIRST,
-             h.terminal_city NULLS FIRST)"""
-
-
 def _city_lag(facts: str, hist: str, as_of_match: bool = False) -> str:
+    """Each transaction-version row with its predecessor on the card, found by
+    numbering the rows and joining row n to row n - 1."""
     extra = (" AND h.deleted_flg = 0 AND t.trans_date BETWEEN h.effective_from AND h.effective_to"
              if as_of_match else "")
     return f"""
-        SELECT t.batch_date, t.card_num, t.trans_id, t.trans_date, t.oper_result, h.terminal_city,
-               lag(h.terminal_city) OVER w AS lag_city, lag(t.trans_date) OVER w AS lag_time
-        FROM {facts} t LEFT JOIN {hist} h ON t.terminal = h.terminal_id{extra}
-        WHERE t.card_num IS NOT NULL
-        WINDOW w AS {_CITY_WINDOW}"""
+        WITH expanded AS (
+            SELECT t.batch_date, t.card_num, t.trans_id, t.trans_date, t.oper_result,
+                   h.terminal_city,
+                   row_number() OVER (PARTITION BY t.batch_date, t.card_num
+                       ORDER BY t.trans_date NULLS FIRST, t.trans_id NULLS FIRST,
+                                t.terminal NULLS FIRST, t.oper_result NULLS FIRST,
+                                h.effective_from NULLS FIRST, h.deleted_flg NULLS FIRST,
+                                h.terminal_city NULLS FIRST) AS rn
+            FROM {facts} t LEFT JOIN {hist} h ON t.terminal = h.terminal_id{extra}
+            WHERE t.card_num IS NOT NULL)
+        SELECT cur.batch_date, cur.card_num, cur.trans_id, cur.trans_date, cur.oper_result,
+               cur.terminal_city, prev.terminal_city AS lag_city, prev.trans_date AS lag_time
+        FROM expanded cur LEFT JOIN expanded prev
+          ON prev.batch_date = cur.batch_date AND prev.card_num = cur.card_num
+         AND prev.rn = cur.rn - 1"""
 
 
 def _city_hits(lagged: str, minutes: int = 60) -> str:
@@ -235,20 +242,26 @@ def _city_hits(lagged: str, minutes: int = 60) -> str:
 
 
 def _amount_lag(facts: str = "facts") -> str:
+    """Withdrawals and payments with the three rows before them on the card,
+    found by numbering the rows and joining row n to rows n - 1, n - 2, n - 3
+    (null-safe on the card: the unknown card is one sequence too)."""
+    def prev(alias: str, back: int) -> str:
+        return (f" LEFT JOIN numbered {alias} ON {alias}.batch_date = c.batch_date"
+                f" AND {alias}.card_num IS NOT DISTINCT FROM c.card_num"
+                f" AND {alias}.rn = c.rn - {back}")
     return f"""
-    SELECT batch_date, card_num, trans_id, trans_date, oper_result, amt_value,
-           lag(trans_date, 3) OVER w AS lag_time,
-           lag(oper_result, 1) OVER w AS lag_result_1,
-           lag(oper_result, 2) OVER w AS lag_result_2,
-           lag(oper_result, 3) OVER w AS lag_result_3,
-           lag(amt_value, 1) OVER w AS lag_amt_1,
-           lag(amt_value, 2) OVER w AS lag_amt_2,
-           lag(amt_value, 3) OVER w AS lag_amt_3
-    FROM (SELECT *, TRY_CAST(replace(amt, ',', '.') AS DOUBLE) AS amt_value FROM {facts}
-          WHERE oper_type = 'WITHDRAW' OR oper_type = 'PAYMENT') s
-    WINDOW w AS (PARTITION BY batch_date, card_num
-                 ORDER BY trans_date NULLS FIRST, trans_id NULLS FIRST, amt NULLS FIRST,
-                          oper_result NULLS FIRST, terminal NULLS FIRST)"""
+    WITH numbered AS (
+        SELECT *, TRY_CAST(replace(amt, ',', '.') AS DOUBLE) AS amt_value,
+               row_number() OVER (PARTITION BY batch_date, card_num
+                   ORDER BY trans_date NULLS FIRST, trans_id NULLS FIRST, amt NULLS FIRST,
+                            oper_result NULLS FIRST, terminal NULLS FIRST) AS rn
+        FROM {facts} WHERE oper_type IN ('WITHDRAW', 'PAYMENT'))
+    SELECT c.batch_date, c.card_num, c.trans_id, c.trans_date, c.oper_result, c.amt_value,
+           p3.trans_date AS lag_time,
+           p1.oper_result AS lag_result_1, p2.oper_result AS lag_result_2,
+           p3.oper_result AS lag_result_3,
+           p1.amt_value AS lag_amt_1, p2.amt_value AS lag_amt_2, p3.amt_value AS lag_amt_3
+    FROM numbered c{prev("p1", 1)}{prev("p2", 2)}{prev("p3", 3)}"""
 
 
 def _amount_hits(facts: str = "facts") -> str:
@@ -383,8 +396,8 @@ def oracle_sql() -> dict[str, str]:
         SELECT t.batch_date, t.card_num, count(DISTINCT h.terminal_city) AS cnt_city
         FROM facts_daily t LEFT JOIN hist0 h ON t.terminal = h.terminal_id
         GROUP BY t.batch_date, t.card_num HAVING count(DISTINCT h.terminal_city) > 1""")
-    q["lag_city"] = _with(("facts", "hist0"), _city_lag("facts", "hist0"))
-    q["lag_amount"] = _with(("facts",), _amount_lag())
+    q["lag_city"] = _with(("facts", "hist0"), f"SELECT * FROM ({_city_lag('facts', 'hist0')}) s")
+    q["lag_amount"] = _with(("facts",), f"SELECT * FROM ({_amount_lag()}) s")
     q["rule_city_hits"] = _with(("facts", "hist1"), _city_hits(_city_lag("facts", "hist1")))
     q["rule_city"] = _with(_RULE_DEPS, _CITY_RULE)
     q["rule_city_asof"] = _with(_RULE_DEPS, _enrich(
