@@ -311,3 +311,15 @@ def test_rules_ignore_partitioning_and_unrelated_cards(spark):
     more = rows_of(rules.amount_hits(facts.unionByName(extra), max_minutes=14400), "card_num",
                    "event_dt")
     assert [r for r in more if r[0] != "ZZ"] == base_amount and len(more) == len(base_amount) + 1
+
+
+def test_city_cross_batch(spark):
+    hist = make_hist(spark, [("TA", "POS", "A", "a", 0, T("2020-01-01 00:00:00"), OPEN_END),
+                             ("TB", "POS", "B", "b", 0, T("2020-01-01 00:00:00"), OPEN_END)])
+    rows = [("x1", T("2021-03-01 23:50:00"), "1", "K", "PAYMENT", "SUCCESS", "TA", D("2021-03-01")),
+            ("x2", T("2021-03-02 00:10:00"), "1", "K", "PAYMENT", "SUCCESS", "TB", D("2021-03-02"))]
+    facts = make_facts(spark, rows)
+    assert rules.city_hits(facts, hist).count() == 0          # each day alone: no hit
+    crossed = rules.city_hits(facts, hist, cross_batch=True).collect()
+    assert [(r.card_num, r.event_dt, r.batch_date) for r in crossed] == [
+        ("K", T("2021-03-02 00:10:00"), D("2021-03-02"))]
