@@ -17,6 +17,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from vigil.operators.seqlag import DEFAULT_GROUP_ROWS
 from vigil.plans import daily
 from vigil.schemas import SEED_ACCOUNTS, SEED_CARDS, SEED_CLIENTS
 from vigil.session import get_session
@@ -35,12 +36,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     ap.add_argument("--seeds", required=True)
     ap.add_argument("--run-time", help="load and report time (ISO, UTC); default: now")
     ap.add_argument("--show", type=int, default=0, help="display up to N report rows")
+    ap.add_argument("--max-group-rows", type=int, default=DEFAULT_GROUP_ROWS,
+                    help="rows per card and day above which a card is sliced (hot card)")
+    ap.add_argument("--fact-buckets", type=int, default=0,
+                    help="keep the facts as a table bucketed by card into N buckets")
     args = ap.parse_args(argv)
     spark = spark or get_session()
     run_time = (dt.datetime.fromisoformat(args.run_time) if args.run_time
                 else dt.datetime.now(dt.UTC).replace(tzinfo=None, microsecond=0))
-    wh = daily.Warehouse(args.warehouse)
-    done = daily.run_daily(spark, args.landing, wh, read_seeds(spark, args.seeds), run_time)
+    wh = daily.Warehouse(args.warehouse, fact_buckets=args.fact_buckets or None)
+    done = daily.run_daily(spark, args.landing, wh, read_seeds(spark, args.seeds), run_time,
+                           max_group_rows=args.max_group_rows)
     print(f"processed batches: {[d.isoformat() for d in done]}")
     if done:
         rep = spark.read.parquet(wh.report).filter(F.col("batch_date").isin(done))
