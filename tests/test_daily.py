@@ -134,6 +134,14 @@ def test_bucketed_facts(spark, tmp_path):
     plan = rules.amount_sequence(facts, max_group_rows=None)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Exchange" not in plan and "Bucketed: true" in plan
+    # persisted for the rule step, the bucketed scan keeps its partitioning
+    day, hot = daily._persisted_day_facts(spark, bucketed, DAYS, rules.DEFAULT_GROUP_ROWS)
+    try:
+        cached_plan = rules.amount_sequence(day, hot=hot)._jdf.queryExecution() \
+            .executedPlan().toString()
+        assert "InMemoryTableScan" in cached_plan and "Exchange" not in cached_plan
+    finally:
+        day.unpersist()
     # every card forced hot: the plain read is sliced and the report is unchanged
     facts, hot = daily.read_facts(spark, bucketed, DAYS, max_group_rows=2)
     assert hot is not None
