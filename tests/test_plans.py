@@ -45,3 +45,19 @@ def test_expiry_filter_pushed_to_scan(spark):
     plan = _plan(rules.account_cheat(b.bank(spark, SF_MID), b.facts(spark, SF_MID),
                                      [(b.BATCH_DATE, b.ACCOUNT_RULE_DATE)], b.REPORT_AS_OF))
     assert re.search(r"PushedFilters: \[[^\]]*LessThan\(o_orderdate", plan)
+
+
+def test_expiry_rule_reuses_holder_shuffles(spark):
+    """With dimensions too large to broadcast, the inner and anti branches of
+    the expiry rule share the holder side's shuffles (AQE stage reuse)."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = rules.account_cheat(b.bank(spark, SF_MID), b.facts(spark, SF_MID),
+                                 [(b.BATCH_DATE, b.ACCOUNT_RULE_DATE)], b.REPORT_AS_OF)
+        qe = df._jdf.queryExecution()
+        qe.toRdd().count()
+        final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "isFinalPlan=true" in final and "ReusedExchange" in final
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
