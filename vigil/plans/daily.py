@@ -343,11 +343,19 @@ def process_batches(spark: SparkSession, landing: str, wh: Warehouse, dates: lis
     day_facts, hot = _persisted_day_facts(spark, wh, dates,
                                           options.get("max_group_rows",
                                                       rules.DEFAULT_GROUP_ROWS))
+    # with facts bucketed by card, let the expiry rules' join on (card, day) use
+    # the card bucketing instead of shuffling the facts (the holder side is
+    # shuffled by card to match); restored after the write
+    copartition = "spark.sql.requireAllClusterKeysForCoPartition"
+    previous = spark.conf.get(copartition)
+    if wh.fact_buckets and hot is None:
+        spark.conf.set(copartition, "false")
     try:
         result = run_rules(spark, wh, dates, load_time, run_time, facts=(day_facts, hot),
                            **options)
         report.write_report(result, wh.report, batch_dates=dates)
     finally:
+        spark.conf.set(copartition, previous)
         day_facts.unpersist()
     done = spark.createDataFrame([(d, run_time) for d in dates],
                                  "batch_date date, processed_at timestamp_ntz")
