@@ -46,7 +46,11 @@ BatchSpec = dt.date | tuple[dt.date, dt.date] | Iterable[dt.date | tuple[dt.date
 # --- batches ---------------------------------------------------------------
 
 def batch_list(batches: BatchSpec) -> list[tuple[dt.date, dt.date]]:
-    """Normalise to a sorted list of ``(batch_date, report_date)``."""
+    """Normalise to a sorted list of ``(batch_date, report_date)``.
+
+    A single date is one batch judged on its own date; a 2-tuple of dates is
+    one ``(batch_date, report_date)`` pair; several batches are given as a
+    list (of dates or pairs)."""
     if isinstance(batches, dt.date):
         batches = [batches]
     elif isinstance(batches, tuple) and len(batches) == 2 and all(
