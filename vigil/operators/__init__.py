@@ -33,6 +33,7 @@ from vigil.operators.rules import (
     city_cheat,
     city_hits,
     city_sequence,
+    expiry_rules,
     flagged_clients,
     expired_accounts,
     passport_cheat,
@@ -47,5 +48,5 @@ __all__ = [
     "duplicate_keys", "orphans", "fraud_report", "write_report", "account_cheat", "all_rules",
     "amount_cheat", "amount_hits", "batch_list", "batches_of", "city_cheat", "city_hits",
     "flagged_clients", "expired_accounts", "passport_cheat", "hot_groups", "lag_columns",
-    "amount_sequence", "city_sequence", "terminal_cities",
+    "amount_sequence", "city_sequence", "terminal_cities", "expiry_rules",
 ]

@@ -139,19 +139,25 @@ def expired_accounts(bank: Bank, batches: BatchSpec) -> DataFrame:
                     "passport_num", "phone"))
 
 
+def _account_holders(bank: Bank, bl, require_event: bool) -> DataFrame:
+    """Cards of expired accounts per batch: ``card_num, batch_date, passport_num,
+    phone, fio`` (a null card for an account without cards)."""
+    holders = expired_accounts(bank, bl).select(
+        "batch_date", "account_num", "passport_num", "phone",
+        full_name("last_name", "first_name", "patronymic").alias("fio"))
+    cards = bank.cards.select("card_num", "account_num")
+    how = "inner" if require_event else "left"
+    return holders.join(cards, "account_num", how).drop("account_num")
+
+
 def account_cheat(bank: Bank, facts: DataFrame, batches: BatchSpec,
                   as_of: dt.datetime, *, require_event: bool = False) -> DataFrame:
     """One row per transaction of the batch on any card of an expired account;
     a row with null ``event_dt`` for each such card without one (and for an
     account without cards) unless ``require_event``."""
     bl = batch_list(batches)
-    holders = expired_accounts(bank, bl).select(
-        "batch_date", "account_num", "passport_num", "phone",
-        full_name("last_name", "first_name", "patronymic").alias("fio"))
-    cards = bank.cards.select("card_num", "account_num")
     tx = _facts_of(facts, bl).select("card_num", "batch_date", F.col("trans_date").alias("event_dt"))
-    how = "inner" if require_event else "left"
-    rows = _with_operations(holders.join(cards, "account_num", how), tx, require_event,
+    rows = _with_operations(_account_holders(bank, bl, require_event), tx, require_event,
                             [b for b, _ in bl])
     return _report(rows, EVENT_ACCOUNT, as_of)
 
@@ -193,6 +199,25 @@ def flagged_clients(bank: Bank, blacklist: DataFrame, batches: BatchSpec) -> Dat
     return expired.unionByName(listed_only)
 
 
+def _passport_holders(bank: Bank, blacklist: DataFrame, bl, require_event: bool) -> DataFrame:
+    """Cards of flagged clients per batch: ``card_num, batch_date, passport_num,
+    phone, fio, _listed``."""
+    flagged = flagged_clients(bank, blacklist, bl).select(
+        "batch_date", "client_id", "passport_num", "phone", "_listed",
+        full_name("last_name", "first_name", "patronymic").alias("fio"))
+    accounts = bank.accounts.select("account_num", F.col("client").alias("client_id"))
+    cards = bank.cards.select("card_num", "account_num")
+    how = "inner" if require_event else "left"
+    return (flagged.join(accounts, "client_id", how).join(cards, "account_num", how)
+            .drop("client_id", "account_num"))
+
+
+def _blacklist_copies(rows: DataFrame) -> DataFrame:
+    """Repeat a row once per blacklist entry of its passport (``_listed``)."""
+    copies = F.sequence(F.lit(1), F.coalesce(F.col("_listed"), F.lit(1)).cast("int"))
+    return rows.withColumn("_copy", F.explode(copies))
+
+
 def passport_cheat(bank: Bank, facts: DataFrame, blacklist: DataFrame, batches: BatchSpec,
                    as_of: dt.datetime, *, dedupe_blacklist: bool = False,
                    require_event: bool = False) -> DataFrame:
@@ -200,22 +225,37 @@ def passport_cheat(bank: Bank, facts: DataFrame, blacklist: DataFrame, batches:
     as in ``account_cheat`` (none with ``require_event``); rows are repeated
     once per blacklist entry of the passport unless ``dedupe_blacklist``."""
     bl = batch_list(batches)
-    flagged = flagged_clients(bank, blacklist, bl).select(
-        "batch_date", "client_id", "passport_num", "phone", "_listed",
-        full_name("last_name", "first_name", "patronymic").alias("fio"))
-    accounts = bank.accounts.select("account_num", F.col("client").alias("client_id"))
-    cards = bank.cards.select("card_num", "account_num")
     tx = _facts_of(facts, bl).select("card_num", "batch_date", F.col("trans_date").alias("event_dt"))
-    how = "inner" if require_event else "left"
-    rows = _with_operations(flagged.join(accounts, "client_id", how)
-                            .join(cards, "account_num", how), tx, require_event,
-                            [b for b, _ in bl])
+    rows = _with_operations(_passport_holders(bank, blacklist, bl, require_event), tx,
+                            require_event, [b for b, _ in bl])
     if not dedupe_blacklist:
-        copies = F.sequence(F.lit(1), F.coalesce(F.col("_listed"), F.lit(1)).cast("int"))
-        rows = rows.withColumn("_copy", F.explode(copies))
+        rows = _blacklist_copies(rows)
     return _report(rows, EVENT_PASSPORT, as_of)
 
 
+def expiry_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame,
+                 account_batches: BatchSpec, passport_batches: BatchSpec,
+                 as_of: dt.datetime, *, require_event: bool = False,
+                 dedupe_blacklist: bool = False) -> DataFrame:
+    """Account and passport rules together: their card holders are united and
+    joined to the facts once (one fact shuffle for both rules)."""
+    abl, pbl = batch_list(account_batches), batch_list(passport_batches)
+    dates = sorted({b for b, _ in abl} | {b for b, _ in pbl})
+    tx = (facts.filter(F.col("batch_date").isin([date_lit(d) for d in dates]))
+          .select("card_num", "batch_date", F.col("trans_date").alias("event_dt")))
+    holders = (_account_holders(bank, abl, require_event)
+               .withColumn("_listed", F.lit(None).cast("long"))
+               .withColumn("event_type", F.lit(EVENT_ACCOUNT))
+               .unionByName(_passport_holders(bank, blacklist, pbl, require_event)
+                            .withColumn("event_type", F.lit(EVENT_PASSPORT))))
+    rows = _with_operations(holders, tx, require_event, dates)
+    if not dedupe_blacklist:
+        rows = _blacklist_copies(rows)
+    return rows.select(
+        "event_dt", F.col("passport_num").alias("passport"), "fio", "phone", "event_type",
+        ts_lit(as_of).alias("report_dt"), "batch_date").select(*REPORT_COLUMNS)
+
+
 # --- R-3: operations in different cities within an hour --------------------
 
 CITY_ORDER = ("trans_date", "trans_id", "terminal", "oper_result", "effective_from",
@@ -440,8 +480,9 @@ def all_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame, hist: DataFram
               city_options: dict | None = None, amount_options: dict | None = None,
               passport_options: dict | None = None,
               account_options: dict | None = None) -> Sequence[DataFrame]:
-    """All four rules as report parts: account, passport, then the two
-    sequence rules together.
+    """All four rules as report parts: the two expiry rules together (their
+    card holders joined to the facts in one pass, unless their options differ),
+    then the two sequence rules together.
 
     The sequence rules share one hot-group pass over the batches' facts, and
     their hits are enriched together, so the card-holder side is filtered and
@@ -468,9 +509,14 @@ def all_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame, hist: DataFram
     sequence = enriched.select(
         "event_dt", F.col("passport_num").alias("passport"), "fio", "phone", "event_type",
         ts_lit(as_of).alias("report_dt"), "batch_date").select(*REPORT_COLUMNS)
-    return (
-        account_cheat(bank, facts, account_batches or bl, as_of, **(account_options or {})),
-        passport_cheat(bank, facts, blacklist, passport_batches or bl, as_of,
-                       **(passport_options or {})),
-        sequence,
-    )
+    account_opts, passport_opts = dict(account_options or {}), dict(passport_options or {})
+    if account_opts.get("require_event", False) == passport_opts.get("require_event", False):
+        expiry = (expiry_rules(bank, facts, blacklist, account_batches or bl,
+                               passport_batches or bl, as_of,
+                               require_event=account_opts.get("require_event", False),
+                               dedupe_blacklist=passport_opts.get("dedupe_blacklist", False)),)
+    else:
+        expiry = (account_cheat(bank, facts, account_batches or bl, as_of, **account_opts),
+                  passport_cheat(bank, facts, blacklist, passport_batches or bl, as_of,
+                                 **passport_opts))
+    return (*expiry, sequence)
