@@ -323,3 +323,18 @@ def test_city_cross_batch(spark):
     crossed = rules.city_hits(facts, hist, cross_batch=True).collect()
     assert [(r.card_num, r.event_dt, r.batch_date) for r in crossed] == [
         ("K", T("2021-03-02 00:10:00"), D("2021-03-02"))]
+
+
+def test_expiry_rules_combined_equal_separate(spark):
+    from conftest import SF_SMALL
+    from vigil.plans import bindings as bd
+    bank, facts, bl = bd.bank(spark, SF_SMALL), bd.facts(spark, SF_SMALL), bd.blacklist(spark, SF_SMALL)
+    acc = [(bd.BATCH_DATE, bd.ACCOUNT_RULE_DATE)]
+    pas = [(bd.BATCH_DATE, bd.PASSPORT_RULE_DATE)]
+    for require_event in (False, True):
+        combined = rules.expiry_rules(bank, facts, bl, acc, pas, AS_OF, require_event=require_event)
+        separate = rules.account_cheat(bank, facts, acc, AS_OF, require_event=require_event) \
+            .unionByName(rules.passport_cheat(bank, facts, bl, pas, AS_OF,
+                                              require_event=require_event))
+        assert combined.exceptAll(separate).count() == 0
+        assert separate.exceptAll(combined).count() == 0
