@@ -49,3 +49,12 @@ def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count_col: str) ->
     light = keyed.filter(~heavy_key)
     rest = rows.join(F.broadcast(keyed.filter(heavy_key).select(key)), key, "left_anti")
     return rows.join(heavy, key).unionByName(rest.join(light, key))
+
+
+def wrapped(docs: DataFrame, *keys: Column) -> DataFrame:
+    """The rows as one struct column besides the keys, so that no name can clash."""
+    return docs.select(F.struct("*").alias("_whole"), *keys)
+
+
+def unwrapped(rows: DataFrame) -> DataFrame:
+    return rows.select("_whole.*")

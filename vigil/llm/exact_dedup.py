@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm.common import ascii_lower, fixed, join_counted
+from vigil.llm.common import ascii_lower, fixed, join_counted, unwrapped, wrapped
 from vigil.session import scratch_dir
 
 
@@ -85,9 +85,10 @@ class DigestIndex:
 def kept_documents(docs: DataFrame, index: DigestIndex, batch: str) -> DataFrame:
     """The documents (all columns) that stay."""
     judged = index.ingest(docs, batch).filter("kept")
-    stay = judged.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "n_rows")
-    tagged = docs.withColumn("_digest_own", F.unhex(digest(docs["text"])))
-    found = tagged.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-                        & (F.col("_digest_own") == F.col("_digest")))
-    repeated = found.filter("n_rows > 1").dropDuplicates(["_id", "_digest"])
-    return found.filter("n_rows = 1").unionByName(repeated).select(*[docs[c] for c in docs.columns])
+    stay = judged.select(F.col("doc_id").alias("id"), F.col("digest").alias("kept_digest"), "n_rows")
+    own = wrapped(docs, docs["doc_id"].cast("long").alias("own_id"),
+                  F.unhex(digest(docs["text"])).alias("digest"))
+    found = own.join(stay, F.col("own_id").eqNullSafe(F.col("id"))
+                     & (F.col("digest") == F.col("kept_digest")))
+    repeated = found.filter("n_rows > 1").dropDuplicates(["own_id", "digest"])
+    return unwrapped(found.filter("n_rows = 1").unionByName(repeated))

@@ -37,4 +37,32 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (drop_it) AS n_dropped,
 FROM j GROUP BY doc_id
 """
 
-SQL: dict[str, str] = {"op2_exact_dedup": OP2, "op4_line_dedup": OP4}
+WORDS = "[^ \\t\\n\\x0b\\f\\r]+"
+
+OP9 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({lower("coalesce(text, '')")}, '{WORDS}') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1),
+                        lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS shingle
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * common >= 85 * (na.n + nb.n - common)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, g.component_id, d.doc_id = g.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) g USING (doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op2_exact_dedup": OP2,
+    "op4_line_dedup": OP4,
+    "op9_minhash_near_dedup": OP9,
+}

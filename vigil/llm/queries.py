@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, exact_dedup, line_dedup, pii
+from vigil.llm import bpe, exact_dedup, line_dedup, near_dedup, pii
 from vigil.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", _sha(F.col("text")).alias("kept_sha256"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.NearDuplicates(read_table(spark, sf_dir, "documents"), k=3, percent=85)
+    return found.documents().select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode(read_table(spark, sf_dir, "documents"),
                      public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
@@ -65,5 +70,6 @@ QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_bpe": op10_bpe,
 }
