@@ -31,6 +31,8 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
+from vigil.llm.common import map_arrow
+
 #: tokens in a vocabulary file at most: ids must fit pair keys of 2 x 32 bits, and the
 #: file is broadcast
 MAX_VOCABULARY = 2_000_000
@@ -233,8 +235,8 @@ def encode(docs: DataFrame, path: str, pattern: str, decode: bool = False) -> Da
     """doc_id, ids (binary: little-endian unsigned 32-bit) per row of ``docs``; with
     ``decode`` also the bytes that the ids give back."""
     shared = _vocabulary(docs.sparkSession, path)
-    return (docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-            .mapInArrow(_run(shared, pattern, decode), ROUND_TRIP if decode else ENCODED))
+    return map_arrow(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]),
+                     _run(shared, pattern, decode), ROUND_TRIP if decode else ENCODED)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -249,5 +251,5 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([t.decode("utf-8", "replace") for t in texts])],
                 ["doc_id", "text"])
-    return (encoded.select(encoded["doc_id"].cast("long").alias("doc_id"), encoded["ids"])
-            .mapInArrow(run, "doc_id long, text string"))
+    return map_arrow(encoded.select(encoded["doc_id"].cast("long").alias("doc_id"),
+                                    encoded["ids"]), run, "doc_id long, text string")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import string
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +36,25 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
 
 
+#: rows in an Arrow batch to a Python worker, so that long texts stay within its memory
+ARROW_ROWS = 512
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              schema) -> DataFrame:
+    """``mapInArrow`` in batches of at most ARROW_ROWS rows. Where the workers share the
+    driver's file system they import the package from the driver's place; elsewhere it
+    is shipped with ``--py-files``."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    workers = spark.sparkContext.environment
+    path = [p for p in workers.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in path:
+        workers["PYTHONPATH"] = os.pathsep.join([_ROOT, *path])
+    return df.mapInArrow(fn, schema)
+
+
 def fixed(df: DataFrame) -> DataFrame:
     """Materialise on the shared checkpoint folder, cutting the lineage there."""
     return reliable_checkpoint(df)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import fixed, join_counted, unwrapped, wrapped
+from vigil.llm.common import fixed, join_counted, map_arrow, unwrapped, wrapped
 from vigil.llm.components import components
 
 #: bands x rows per band; at similarity 0.85 a pair misses all buckets with probability
@@ -215,8 +215,8 @@ class NearDuplicates:
     def __init__(self, docs: DataFrame, k: int = 5, percent: int = 80,
                  bands: int = BANDS, rows: int = ROWS):
         self.percent = percent
-        signed = fixed(docs.select(*_row(docs), docs["text"])
-                       .mapInArrow(_sign(k, bands, rows), SIGNED))
+        signed = fixed(map_arrow(docs.select(*_row(docs), docs["text"]),
+                                 _sign(k, bands, rows), SIGNED))
         self.rows = signed.drop("bands")
         self.classes = fixed(
             signed.filter(F.col("cls").isNotNull()).groupBy("cls")
@@ -239,7 +239,7 @@ class NearDuplicates:
                   .select("cls", "row.rid", "row.rhash"))
         texts = (docs.select(*_row(docs), docs["text"]).drop("doc_id")
                  .join(wanted, ["rid", "rhash"]).select("cls", "text"))
-        return fixed(texts.mapInArrow(_sets(k), "cls binary, shingles array<long>")
+        return fixed(map_arrow(texts, _sets(k), "cls binary, shingles array<long>")
                      .groupBy("cls").agg(F.any_value("shingles").alias("shingles")))
 
     def _link(self, docs: DataFrame, k: int) -> DataFrame:

@@ -25,6 +25,8 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from vigil.llm.common import map_arrow
+
 #: The kinds in their order
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("iban", "ssn", "phone_local")
@@ -168,5 +170,5 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def detect(docs: DataFrame) -> DataFrame:
     """doc_id and parallel arrays kinds, starts, ends, scores per row of ``docs``.
     Rows are independent: no shuffle."""
-    return (docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-            .mapInArrow(_batches, SCHEMA))
+    return map_arrow(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]),
+                     _batches, SCHEMA)

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, exact_dedup, line_dedup, near_dedup, pii
-from vigil.llm.common import read_table
+from vigil.llm import bpe, decontaminate, exact_dedup, line_dedup, near_dedup, pii, toxicity
+from vigil.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,19 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", _sha(F.col("text")).alias("kept_sha256"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"),
+                                      read_table(spark, sf_dir, "benchmark"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (fold(F.col("doc_id")) == toxicity.HELD_OUT).alias("held_out"),
+                         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                         "evidence", "n_passages")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.NearDuplicates(read_table(spark, sf_dir, "documents"), k=3, percent=85)
     return found.documents().select("doc_id", "n_shingles", "component_id", "kept")
@@ -70,6 +83,8 @@ QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op6_decontamination": op6_decontamination,
+    "op7_toxicity": op7_toxicity,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_bpe": op10_bpe,
 }
