@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, decontaminate, exact_dedup, line_dedup, near_dedup, pii, toxicity
+from vigil.llm import bpe, decontaminate, exact_dedup, line_dedup, lm_score, near_dedup, pii, toxicity
 from vigil.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "evidence", "n_passages")
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return lm_score.score(docs, fold(docs["doc_id"]) == 1)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.NearDuplicates(read_table(spark, sf_dir, "documents"), k=3, percent=85)
     return found.documents().select("doc_id", "n_shingles", "component_id", "kept")
@@ -85,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op4_line_dedup": op4_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
+    "op8_lm_score": op8_lm_score,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_bpe": op10_bpe,
 }
