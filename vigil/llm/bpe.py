@@ -36,8 +36,9 @@ from vigil.llm.common import map_arrow
 #: tokens in a vocabulary file at most: ids must fit pair keys of 2 x 32 bits, and the
 #: file is broadcast
 MAX_VOCABULARY = 2_000_000
-#: characters of cached chunks per task; beyond it the cache starts anew
-CACHE_CHARS = 4_000_000
+#: characters of cached chunks and bytes of cached words per worker; beyond the first only
+#: the chunks of the texts at hand stay, beyond the second the words start anew
+CACHE_CHARS, CACHE_WORDS = 5_000_000, 4_000_000
 #: texts are encoded in slices of about so many characters
 SLICE_CHARS = 4_000_000
 
@@ -107,10 +108,15 @@ class MergeTable:
             nxt.append(-1)
             prv.append(-1)
             prv += range(at, at + len(ids) - 1)
-            for i in range(len(ids) - 1):
-                r = pairs.get(ids[i] << 32 | ids[i + 1])
+            a = ids[0]
+            for i, b in enumerate(ids[1:], at):
+                r = pairs.get(a << 32 | b)
                 if r is not None:
-                    index.setdefault(r, []).append(at + i)
+                    if r in index:
+                        index[r].append(i)
+                    else:
+                        index[r] = [i]
+                a = b
         heap = list(index)
         heapq.heapify(heap)
         finished: dict[int, list[int]] = {}
@@ -170,22 +176,30 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         self.chunk = regex.compile(r"\s*\S+|\s+")
         self.cache: dict[str, bytes] = {}
-        self.cached_chars = 0
+        self.words: dict[bytes, bytes] = {}
+        self.cached_chars = self.cached_words = 0
 
     def _learn(self, new: set[str]) -> None:
+        if self.cached_words > CACHE_WORDS:
+            self.words, self.cached_words = {}, 0
         split = {c: [w.encode() for w in self.pattern.findall(c)] for c in new}
-        ids = self.table.replay({w for ws in split.values() for w in ws})
-        packed = {w: np.array(x, dtype="<u4").tobytes() for w, x in ids.items()}
+        words = {w for ws in split.values() for w in ws}.difference(self.words)
+        for w, ids in self.table.replay(words).items():
+            self.words[w] = b"".join([i.to_bytes(4, "little") for i in ids])
+        get = self.words.__getitem__
         for c, ws in split.items():
-            self.cache[c] = b"".join([packed[w] for w in ws])
-            self.cached_chars += len(c)
+            self.cache[c] = b"".join([get(w) for w in ws])
+        self.cached_words += sum(map(len, words))
+        self.cached_chars += sum(map(len, new))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         chunks = [self.chunk.findall(t) for t in texts]
+        here = set().union(*chunks)
         if self.cached_chars > CACHE_CHARS:
-            self.cache, self.cached_chars = {}, 0
-        new = set().union(*chunks).difference(self.cache)
+            self.cache = {c: self.cache[c] for c in here if c in self.cache}
+            self.cached_chars = sum(map(len, self.cache))
+        new = here.difference(self.cache)
         if new:
             self._learn(new)
         get = self.cache.__getitem__
