@@ -16,8 +16,9 @@ from vigil.session import reliable_checkpoint
 WHITE = " \t\n\x0b\x0c\r"
 
 #: a key with more than 1/HEAVY_SHARE of all rows is heavy; there are fewer than
-#: HEAVY_SHARE such keys whatever the input's size, so they may be broadcast
-HEAVY_SHARE = 1000
+#: HEAVY_SHARE such keys whatever the input's size, so they may be broadcast. Keys of
+#: fewer than LEAST_HEAVY rows weigh nothing in any task.
+HEAVY_SHARE, LEAST_HEAVY = 1000, 200
 
 
 def ascii_lower(col: Column) -> Column:
@@ -65,12 +66,14 @@ def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count_col: str) ->
     share of the rows. ``keyed`` has ``count_col`` = rows per key. The heavy keys
     (fewer than HEAVY_SHARE, see there) are broadcast, so their rows never move;
     all other keys are too small to be skewed and take a shuffle join."""
-    total = keyed.agg(F.sum(count_col)).first()[0] or 0
-    heavy_key = F.col(count_col) > total / HEAVY_SHARE
-    heavy = F.broadcast(keyed.filter(heavy_key))
-    light = keyed.filter(~heavy_key)
-    rest = rows.join(F.broadcast(keyed.filter(heavy_key).select(key)), key, "left_anti")
-    return rows.join(heavy, key).unionByName(rest.join(light, key))
+    total, most = keyed.agg(F.sum(count_col), F.max(count_col)).first()
+    bound = max((total or 0) / HEAVY_SHARE, LEAST_HEAVY)
+    if (most or 0) <= bound:
+        return rows.join(keyed, key)
+    is_heavy = F.col(count_col) > bound
+    heavy = F.broadcast(keyed.filter(is_heavy))
+    rest = rows.join(F.broadcast(keyed.filter(is_heavy).select(key)), key, "left_anti")
+    return rows.join(heavy, key).unionByName(rest.join(keyed.filter(~is_heavy), key))
 
 
 def wrapped(docs: DataFrame, *keys: Column) -> DataFrame:

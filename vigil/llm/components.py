@@ -37,7 +37,9 @@ def components(links: DataFrame) -> DataFrame:
         step = _hooked(links)
         labels = step if labels is None else fixed(_relabel(labels, "root", step))
         links = fixed(_relabel(_relabel(links, "a", step), "b", step)
-                      .filter("a <> b").distinct())
+                      .filter("a <> b")
+                      .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                      .distinct())
     if labels is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return labels

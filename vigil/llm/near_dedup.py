@@ -137,7 +137,7 @@ def _sets(k: int):
         for batch in batches:
             found = [shingles(t, k).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["cls", "shingles"])
+                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["cid", "shingles"])
     return run
 
 
@@ -156,60 +156,59 @@ def _size_fits(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _priority(cls: Column, turn: int) -> Column:
-    return F.xxhash64(F.lit(turn), cls)
-
-
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar. The pairs around one ``a`` are split
     into groups of about SALT_ROWS and its set is repeated for each, so no group is hot."""
-    degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
-    degree = fixed(degree.withColumn("parts", F.ceil(F.col("degree") / SALT_ROWS)))
-    salted = (join_counted(pairs, degree, "a", "degree")
-              .withColumn("part", F.pmod(F.xxhash64("b"), "parts")))
-    centre = (degree.join(sets, F.col("a") == F.col("cls"))
+    degree = fixed(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
+                   .withColumn("parts", F.ceil(F.col("degree") / SALT_ROWS)))
+    salted = fixed(join_counted(pairs, degree, "a", "degree").select(
+        "a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part")))
+    centre = (degree.join(sets.withColumnRenamed("cid", "a"), "a")
               .select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
                       .alias("part"), F.col("shingles").alias("set_a")))
-    member = (salted.join(sets, F.col("b") == F.col("cls"))
-              .select("a", "part", "b", F.col("shingles").alias("set_b")))
+    member = salted.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("set_b")),
+                         "b")
     both = member.join(centre, ["a", "part"])
     common = F.size(F.array_intersect("set_a", "set_b"))
-    return both.filter(_similar(common, F.size("set_a"), F.size("set_b"), percent)).select("a", "b")
+    return fixed(both.filter(_similar(common, F.size("set_a"), F.size("set_b"), percent))
+                 .select("a", "b"))
 
 
 def _stars(members: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs (a, b) of every bucket's member of smallest priority with its others."""
-    ranked = members.withColumn("rank", F.struct(_priority(F.col("cls"), turn).alias("p"),
-                                                 "cls", "n", "root"))
-    centres = fixed(ranked.groupBy("bucket").agg(F.min("rank").alias("c"),
-                                                 F.count(F.lit(1)).alias("n_members")))
+    priority = F.xxhash64(F.lit(turn), "cid")
+    centres = fixed(members.groupBy("bucket").agg(
+        F.min_by("cid", priority).alias("a"), F.min_by("n", priority).alias("na"),
+        F.min_by("root", priority).alias("ra"), F.count(F.lit(1)).alias("n_members")))
     found = join_counted(members, centres, "bucket", "n_members")
-    return (found.filter(found["c"]["root"] != found["root"])
-            .filter(_size_fits(found["c"]["n"], found["n"], percent))
-            .select(found["c"]["cls"].alias("a"), found["cls"].alias("b")).distinct())
+    return (found.filter(F.col("ra") != F.col("root"))
+            .filter(_size_fits(F.col("na"), F.col("n"), percent))
+            .select("a", F.col("cid").alias("b")).distinct())
 
 
 def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
     """All pairs between components in buckets of at most SMALL_BUCKET members."""
-    x = members.select("bucket", F.col("cls").alias("a"), F.col("n").alias("na"),
+    x = members.select("bucket", F.col("cid").alias("a"), F.col("n").alias("na"),
                        F.col("root").alias("ra"))
-    y = members.select("bucket", F.col("cls").alias("b"), F.col("n").alias("nb"),
+    y = members.select("bucket", F.col("cid").alias("b"), F.col("n").alias("nb"),
                        F.col("root").alias("rb"))
     return (x.join(y, "bucket").filter("a < b AND ra <> rb")
             .filter(_size_fits(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct())
 
 
 def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs, smaller class second, that were not tested in either order."""
+    """Pairs that were not tested in either order."""
     known = tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return pairs.join(known, ["a", "b"], "left_anti")
+    return fixed(pairs.join(known, ["a", "b"], "left_anti"))
 
 
 class NearDuplicates:
     """Classes and links of a document table.
 
     rows      doc_id, rid, rhash, n_shingles, cls of every document
-    links     a, b: confirmed links between classes
+    classes   cid, cls, min_id, n_docs, row (rid, rhash of one document), n, bands
+    links     a, b: confirmed links between classes (cid)
+    labels    node, root: components of the linked classes
     """
 
     def __init__(self, docs: DataFrame, k: int = 5, percent: int = 80,
@@ -222,62 +221,64 @@ class NearDuplicates:
             signed.filter(F.col("cls").isNotNull()).groupBy("cls")
             .agg(F.min("doc_id").alias("min_id"), F.count(F.lit(1)).alias("n_docs"),
                  F.min(F.struct("rid", "rhash")).alias("row"),
-                 F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands")))
-        self.links = self._link(docs, k)
-        self.labels = components(self.links)
+                 F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
+            .withColumn("cid", F.monotonically_increasing_id()))
+        self.links, self.labels = self._link(docs, k)
 
     def _members(self) -> DataFrame:
-        """bucket, cls, n of the classes that share a bucket with another one."""
-        members = self.classes.select(F.explode("bands").alias("bucket"), "cls", "n")
+        """bucket, cid, n of the classes that share a bucket with another one."""
+        members = self.classes.select(F.explode("bands").alias("bucket"), "cid", "n")
         sizes = fixed(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_members"))
                       .filter("n_members > 1"))
         return fixed(join_counted(members, sizes, "bucket", "n_members").drop("n_members"))
 
     def _class_sets(self, docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
-        """cls, shingles of the classes in ``members``, from one document of each."""
-        wanted = (self.classes.join(members.select("cls").distinct(), "cls", "left_semi")
-                  .select("cls", "row.rid", "row.rhash"))
+        """cid, shingles of the classes in ``members``, from one document of each."""
+        wanted = (self.classes.select("cid", "row.rid", "row.rhash")
+                  .join(members.select("cid").distinct(), "cid", "left_semi"))
         texts = (docs.select(*_row(docs), docs["text"]).drop("doc_id")
-                 .join(wanted, ["rid", "rhash"]).select("cls", "text"))
-        return fixed(map_arrow(texts, _sets(k), "cls binary, shingles array<long>")
-                     .groupBy("cls").agg(F.any_value("shingles").alias("shingles")))
+                 .join(wanted, ["rid", "rhash"]).select("cid", "text"))
+        return fixed(map_arrow(texts, _sets(k), "cid long, shingles array<long>")
+                     .dropDuplicates(["cid"]))
 
-    def _link(self, docs: DataFrame, k: int) -> DataFrame:
-        members = self._members().withColumn("root", F.col("cls"))
+    def _link(self, docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+        members = self._members()
         sets = self._class_sets(docs, members, k)
-        tested = fixed(_stars(members, 0, self.percent))
-        links = fixed(_confirm(tested, sets, self.percent))
+        tested = fixed(_stars(members.withColumn("root", F.col("cid")), 0, self.percent))
+        links = _confirm(tested, sets, self.percent)
+        labels = components(links)
         turn = 0
         while True:
             turn += 1
-            labels = components(links).select(F.col("node").alias("cls"), "root")
-            now = (members.drop("root").join(labels, "cls", "left")
-                   .withColumn("root", F.coalesce("root", "cls")))
-            mixed = (now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                               F.count(F.lit(1)).alias("size"))
-                     .filter("lo <> hi AND size > 2").select("bucket", "size"))
+            root = labels.withColumnRenamed("node", "cid")
+            now = fixed(members.join(root, "cid", "left")
+                        .withColumn("root", F.coalesce("root", "cid")))
+            mixed = fixed(now.groupBy("bucket").agg(
+                F.min("root").alias("lo"), F.max("root").alias("hi"),
+                F.count(F.lit(1)).alias("size"))
+                .filter("lo <> hi AND size > 2").select("bucket", "size"))
             if turn > 1:
                 mixed = mixed.filter(F.col("size") > SMALL_BUCKET)
-            open_ = fixed(join_counted(now, fixed(mixed), "bucket", "size"))
+            open_ = fixed(join_counted(now, mixed, "bucket", "size"))
             pairs = _stars(open_.filter(F.col("size") > SMALL_BUCKET), turn, self.percent)
             if turn == 1:
                 small = open_.filter(F.col("size") <= SMALL_BUCKET)
                 pairs = pairs.unionByName(_all_pairs(small, self.percent)).distinct()
-            pairs = fixed(_untested(pairs, tested))
+            pairs = _untested(pairs, tested)
             if pairs.isEmpty():
-                return links
-            found = fixed(_confirm(pairs, sets, self.percent))
+                return links, labels
+            found = _confirm(pairs, sets, self.percent)
             if found.isEmpty():
-                return links
+                return links, labels
             tested = tested.unionByName(pairs)
             links = links.unionByName(found)
+            labels = components(links)
 
     def documents(self) -> DataFrame:
         """doc_id, rid, rhash, n_shingles, component_id, kept per row."""
-        named = self.classes.join(
-            self.labels.select(F.col("node").alias("cls"), "root"), "cls", "left")
+        named = self.classes.join(self.labels.withColumnRenamed("node", "cid"), "cid", "left")
         named = fixed(named.select("cls", "min_id", "n_docs",
-                                   F.coalesce("root", "cls").alias("root")))
+                                   F.coalesce("root", "cid").alias("root")))
         ids = fixed(named.groupBy("root").agg(F.min("min_id").alias("component_id"),
                                               F.count(F.lit(1)).alias("n_classes")))
         classes = fixed(join_counted(named, ids, "root", "n_classes"))
