@@ -61,8 +61,69 @@ FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) g USING (doc_id)
 """
 
+OP5 = f"""
+WITH p AS (
+  SELECT page_id, {lower("regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1)")} AS host,
+         regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+rules(rule, host, path, verdict) AS (VALUES
+  ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+  ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+f AS (
+  SELECT p.*, rule, verdict AS by_rule,
+         list_transform(list_filter(string_split(p.path, '/'), lambda x: x <> ''),
+                        lambda x: regexp_replace(x, '[0-9]+', '{{n}}', 'g')) AS s
+  FROM p LEFT JOIN rules ON (p.host = rules.host OR ends_with(p.host, '.' || rules.host))
+                        AND starts_with(p.path, rules.path)
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1),
+r AS (
+  SELECT * EXCLUDE s, CASE WHEN len(s) <= 8 THEN s
+    ELSE list_append(s[1:7], array_to_string(s[8:], '/')) END AS levels FROM f),
+u AS (
+  SELECT host, levels, count(*) AS n, count(*) FILTER (by_rule = 'block') AS bad,
+         count(by_rule) AS labelled FROM r GROUP BY ALL),
+e AS (SELECT host, levels, n, unnest(range(len(levels))) AS depth FROM u),
+c AS (
+  SELECT host, levels, n, depth, levels[depth + 1] AS segment,
+         array_to_string(levels[1:depth], '/') AS above FROM e),
+v AS (
+  SELECT host, depth, above FROM c GROUP BY ALL
+  HAVING count(DISTINCT segment) >= 20 AND 2 * count(DISTINCT segment) > sum(n)),
+t AS (
+  SELECT u.host, u.levels, u.bad, u.labelled, coalesce(w.template, []) AS template
+  FROM u LEFT JOIN (
+    SELECT c.host, c.levels,
+           list(CASE WHEN v.host IS NULL THEN segment ELSE '*' END ORDER BY c.depth) AS template
+    FROM c LEFT JOIN v ON c.host = v.host AND c.depth = v.depth AND c.above = v.above
+    GROUP BY ALL) w ON u.host = w.host AND u.levels = w.levels),
+b AS (
+  SELECT host, template, sum(bad) AS bad, sum(labelled) AS labelled,
+         list_max(list_transform(template, lambda x, i: CASE
+           WHEN x = '*' OR contains(x, '{{n}}') THEN 0 ELSE i END)) AS last
+  FROM t GROUP BY host, template),
+m AS (
+  SELECT *, array_to_string(list_transform(template, lambda x, i: CASE
+           WHEN i = last THEN '?' ELSE x END), '/') AS mask FROM b WHERE labelled > 0),
+k AS (
+  SELECT *, sum(bad) OVER g AS kb, sum(labelled) OVER g AS kn FROM m
+  WINDOW g AS (PARTITION BY host, mask)),
+y AS (
+  SELECT *, (bad * kn - labelled * kb) ** 2 <= 4 * labelled * kb * (kn - kb) AS alike FROM k),
+z AS (
+  SELECT host, template,
+         CASE WHEN alike THEN sum(bad) FILTER (alike) OVER g ELSE bad END AS bad,
+         CASE WHEN alike THEN sum(labelled) FILTER (alike) OVER g ELSE labelled END AS labelled
+  FROM y WINDOW g AS (PARTITION BY host, mask))
+SELECT r.page_id, r.host, r.path, r.rule, coalesce(r.by_rule, CASE
+         WHEN z.bad / (z.labelled + 2) >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       array_to_string(t.template, '/') AS template
+FROM r JOIN t ON r.host = t.host AND r.levels = t.levels
+LEFT JOIN z ON t.host = z.host AND t.template = z.template
+"""
+
 SQL: dict[str, str] = {
     "op2_exact_dedup": OP2,
     "op4_line_dedup": OP4,
+    "op5_url_filter": OP5,
     "op9_minhash_near_dedup": OP9,
 }

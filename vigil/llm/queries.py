@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, decontaminate, exact_dedup, line_dedup, lm_score, near_dedup, pii, toxicity
+from vigil.llm import bpe, decontaminate, exact_dedup, line_dedup, lm_score, near_dedup, pii, toxicity, url_filter
 from vigil.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,19 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", _sha(F.col("text")).alias("kept_sha256"))
 
 
+RULES = [
+    url_filter.Rule(True, "com"),
+    url_filter.Rule(False, "example.com", "/en/"),
+    url_filter.Rule(True, "www.example.com", "/en/"),
+    url_filter.Rule(False, "net", "/es/"),
+    url_filter.Rule(False, "net", "/fr/"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), RULES)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"),
                                       read_table(spark, sf_dir, "benchmark"))
@@ -88,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_url_filter": op5_url_filter,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op8_lm_score": op8_lm_score,
