@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, decontaminate, exact_dedup, line_dedup, lm_score, near_dedup, pii, toxicity, url_filter
+from vigil.llm import (
+    bpe,
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    lm_score,
+    near_dedup,
+    pii,
+    toxicity,
+    url_filter,
+)
 from vigil.llm.common import fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +58,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.repair(read_table(spark, sf_dir, "conversations"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
     return out.select("doc_id", "n_lines", "n_dropped", _sha(F.col("text")).alias("kept_sha256"))
@@ -100,6 +115,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_chat_format": op3_chat_format,
     "op4_line_dedup": op4_line_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_decontamination": op6_decontamination,
