@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import fixed, map_arrow
+from vigil.llm.common import fixed_in_place, map_arrow
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -269,6 +269,6 @@ def repair(conversations: DataFrame) -> DataFrame:
     order = [F.asc_nulls_first("conv_id"), F.asc_nulls_last("turn"), F.asc_nulls_last("role"),
              F.xxhash64("text")]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = fixed(rows.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    placed = fixed_in_place(rows.repartitionByRange(n, *order).sortWithinPartitions(*order))
     placed = placed.select(F.spark_partition_id().alias("part"), "conv_id", "turn", "role", "text")
     return map_arrow(placed, _repair(_borders(placed)), REPAIRED)

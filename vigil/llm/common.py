@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.session import reliable_checkpoint
+from vigil.session import reliable_checkpoint, scratch_dir
 
 #: white space of the contracts: space and the code points 9 to 13
 WHITE = " \t\n\x0b\x0c\r"
@@ -57,7 +57,17 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 
 def fixed(df: DataFrame) -> DataFrame:
-    """Materialise on the shared checkpoint folder, cutting the lineage there."""
+    """Materialised as a table in the session's shared folder: a lost executor does not
+    bring its inputs back to work, and later plans start from the table's true size (sizes
+    estimated through many joins of a checkpoint's lineage would grow without bound)."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, "fixed")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def fixed_in_place(df: DataFrame) -> DataFrame:
+    """Materialised partition by partition, in order, as a reliable checkpoint."""
     return reliable_checkpoint(df)
 
 
