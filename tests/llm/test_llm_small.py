@@ -406,7 +406,7 @@ def test_lm_score_base_and_normalisation(spark, docs, empty, monkeypatch):
 def test_mixing_does_not_depend_on_the_batch():
     rnd = random.Random(8)
     texts = [" ".join(words(rnd, n)).encode() for n in (0, 1, 3, 50, 700)] + [b""]
-    code = lm_score.huffman(np.bincount(np.frombuffer(texts[4], np.uint8), minlength=257))
+    code = lm_score.huffman(np.random.default_rng(0).integers(0, 50, (257, 257)))
     tables = [np.random.default_rng(1).integers(-60, 60, n).astype(np.int8)
               for n in lm_score._sizes(code)]
     together = lm_score.mixed_log10(lm_score.decisions(texts, code), tables)
@@ -415,7 +415,7 @@ def test_mixing_does_not_depend_on_the_batch():
 
 
 def test_probabilities_of_all_next_symbols_sum_to_one():
-    code = lm_score.huffman(np.arange(257))
+    code = lm_score.huffman(np.arange(257 * 257).reshape(257, 257) % 999)
     tables = [np.random.default_rng(2).integers(-99, 99, n).astype(np.int8)
               for n in lm_score._sizes(code)]
     start = b"abc "
@@ -427,7 +427,7 @@ def test_probabilities_of_all_next_symbols_sum_to_one():
     assert whole < 0
     total = 0.0
     for i in range(257):  # cut after the first symbol of each text
-        n = int(code.length[i if i < 256 else lm_score.END])
+        n = int(code.length[lm_score.END * 257 + i])
         begin = int(ends[i] - d.bits_of[i])
         part = lm_score.Decisions([s[begin:begin + n] for s in d.slots], d.bit[begin:begin + n],
                                   np.array([n]))

@@ -1,8 +1,8 @@
 """Language-model scores of texts by online logistic context mixing.
 
-Texts are coded bit by bit: a Huffman code of the training bytes (and of an end mark)
-turns each byte into the fewest binary decisions. Each decision is predicted by several
-contexts (none, the last three, the last five bytes) whose counts, hashed into tables of
+Texts are coded bit by bit: Huffman codes of the training bytes (and of an end mark), one
+for each byte before, turn each byte into the fewest binary decisions. Each decision is
+predicted by several contexts (the last one, three and five bytes) whose counts, hashed into tables of
 fixed size, are gathered from all training documents. Per block of bits the predictions
 are mixed in the logistic domain by weights that a gate selects (whether the longest
 context is sure), learnt online from the bits just coded (after every STEP bits), and refined by an adaptive map
@@ -46,13 +46,13 @@ from vigil.session import scratch_dir
 #: words with more than 1/FREQUENT of all tokens are broadcast
 FREQUENT = 500_000
 #: slots of a context's table (as a power of two), slots of a piece in the shuffle
-TABLE_BITS, PIECE_BITS = 21, 15
+TABLE_BITS, PIECE_BITS = 20, 15
 #: bytes before the current one that the hashed contexts see
 ORDERS = (3, 5)
 #: bits that one set of online weights runs through; bits between two updates
-BLOCK_BITS, STEP = 2048, 8
-#: bytes scored or counted at once
-CHUNK_BYTES = 1_000_000
+BLOCK_BITS, STEP = 2048, 16
+#: bytes scored at once; bytes counted at once
+CHUNK_BYTES, COUNT_BYTES = 500_000, 2_000_000
 #: distinct words a task holds before it hands them on
 HELD_WORDS = 300_000
 #: first round of adding up table pieces: so many parts of the tasks
@@ -66,6 +66,7 @@ FIRST_WEIGHTS = (0.05, 0.4, 0.6)
 
 #: the symbol after the last byte; the token after the last word
 END, _END_TOKEN = 256, b""
+SYMBOLS = 257
 _GOLD, _MURMUR = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
 
@@ -77,17 +78,19 @@ def normal(text: str | None) -> bytes:
 
 @dataclass
 class Code:
-    """A binary code: per symbol where its decisions stand, and per decision the tree
-    node at which it is taken and the bit."""
+    """Binary codes: per symbol before and symbol where its decisions stand, and per
+    decision the tree node (of all trees) at which it is taken and the bit."""
 
     start: np.ndarray
     length: np.ndarray
     node: np.ndarray
     bit: np.ndarray
+    n_nodes: int
 
 
-def huffman(counts: np.ndarray) -> Code:
-    """Of the 257 symbols; each counts once more, so that all have a code."""
+def _paths(counts: np.ndarray) -> list[tuple[tuple[int, int], ...]]:
+    """(node, bit) steps to each symbol in the Huffman tree of the counts; each symbol
+    counts once more, so that all have a code."""
     heap = [(int(c) + 1, s) for s, c in enumerate(counts)]
     heapq.heapify(heap)
     children: dict[int, tuple[int, int]] = {}
@@ -97,7 +100,7 @@ def huffman(counts: np.ndarray) -> Code:
         children[at] = (left, right)
         heapq.heappush(heap, (a + b, at))
         at += 1
-    paths: dict[int, tuple[tuple[int, int], ...]] = {}
+    paths: list[tuple[tuple[int, int], ...]] = [()] * len(counts)
     todo: list[tuple[int, tuple[tuple[int, int], ...]]] = [(at - 1, ())]
     while todo:
         n, path = todo.pop()
@@ -106,11 +109,18 @@ def huffman(counts: np.ndarray) -> Code:
             todo += [(child, (*path, (here, bit))) for bit, child in enumerate(children[n])]
         else:
             paths[n] = path
-    length = np.array([len(paths[s]) for s in range(len(counts))])
-    flat = [step for s in range(len(counts)) for step in paths[s]]
-    return Code(np.concatenate([[0], np.cumsum(length)[:-1]]).astype(np.int32),
-                length.astype(np.int32), np.array([n for n, _ in flat], np.uint32),
-                np.array([b for _, b in flat], np.uint8))
+    return paths
+
+
+def huffman(counts: np.ndarray) -> Code:
+    """Of the counts of the 257 symbols after each of them."""
+    each = len(counts[0]) - 1  # nodes of a tree
+    paths = [[(n + i * each, bit) for n, bit in path]
+             for i, row in enumerate(counts) for path in _paths(row)]
+    length = np.array([len(p) for p in paths], np.int32)
+    start = (np.cumsum(length) - length).astype(np.int32)
+    return Code(start, length, np.array([n for p in paths for n, _ in p], np.uint32),
+                np.array([b for p in paths for _, b in p], np.uint8), each * len(counts))
 
 
 @dataclass
@@ -133,12 +143,12 @@ def decisions(texts: list[bytes], code: Code) -> Decisions:
     for i in range(most):
         target[begins + i] = False
     places = np.flatnonzero(target)
-    symbols = row[places]
-    length = code.length[symbols]
+    symbols = row[places - 1] * np.uint32(SYMBOLS) + row[places]
+    length = code.length.take(symbols)
     total = np.cumsum(length, dtype=np.int32)
-    at = np.repeat(code.start[symbols] - (total - length), length)
+    at = np.repeat(code.start.take(symbols) - (total - length), length)
     at += np.arange(len(at), dtype=np.int32)
-    node = code.node[at]
+    node = code.node.take(at)
     mixed = node * _GOLD
     slots = [node]
     for n in ORDERS:
@@ -153,13 +163,13 @@ def decisions(texts: list[bytes], code: Code) -> Decisions:
         s *= _GOLD
         s >>= np.uint32(32 - TABLE_BITS)
         slots.append(s)
-    return Decisions(slots, code.bit[at], np.diff(total[np.cumsum(sizes) - 1], prepend=0))
+    return Decisions(slots, code.bit.take(at), np.diff(total[np.cumsum(sizes) - 1], prepend=0))
 
 
-def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
+def _chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     start = size = 0
     for i, n in enumerate(sizes):
-        if size and size + n > CHUNK_BYTES:
+        if size and size + n > most:
             yield start, i
             start, size = i, 0
         size += n
@@ -170,9 +180,10 @@ def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
 # --- training ------------------------------------------------------------------------
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (is_byte, token, n): words and the end token, and single bytes."""
+    """Rows (is_byte, token, n): words and the end token, and pairs of symbols."""
     words: Counter = Counter()
-    symbols = np.zeros(END + 1, np.int64)
+    symbols = np.zeros(SYMBOLS * SYMBOLS, np.int64)
+    end = np.full(1, END, np.uint16)
 
     def out(counts, is_byte):
         names = list(counts)
@@ -181,34 +192,37 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([counts[t] for t in names], pa.int64())], ["is_byte", "token", "n"])
 
     for batch in batches:
+        row = [end]
         for text in batch.column(0).to_pylist():
             t = normal(text)
             words.update(t.split())
-            symbols[:END] += np.bincount(np.frombuffer(t, np.uint8), minlength=END)
+            row += (np.frombuffer(t, np.uint8), end)
         words[_END_TOKEN] += batch.num_rows
-        symbols[END] += batch.num_rows
+        both = np.concatenate(row).astype(np.int64)
+        symbols += np.bincount(both[:-1] * SYMBOLS + both[1:], minlength=len(symbols))
         if len(words) > HELD_WORDS:
             yield out(words, False)
             words = Counter()
     if words:
         yield out(words, False)
-    yield out({s.to_bytes(2, "big"): int(n) for s, n in enumerate(symbols) if n}, True)
+    yield out({s.to_bytes(4, "big"): int(n) for s, n in enumerate(symbols) if n}, True)
 
 
 def _sizes(code: Code) -> list[int]:
     """Slots of every context's table: one per tree node, or hashed."""
-    return [len(code.length) - 1, *[1 << TABLE_BITS] * len(ORDERS)]
+    return [code.n_nodes, *[1 << TABLE_BITS] * len(ORDERS)]
 
 
-def _count_bits(code: Code):
+def _count_bits(shared):
     """Rows (context, piece, part, counts): counts of both bits of a piece's slots."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = shared.value
         tables = [np.zeros(2 * n, np.int64) for n in _sizes(code)]
         held: list[bytes] = []
         part = size = 0
 
         def add():
-            for a, b in _chunks([len(t) for t in held]):
+            for a, b in _chunks([len(t) for t in held], COUNT_BYTES):
                 d = decisions(held[a:b], code)
                 for table, slots in zip(tables, d.slots):
                     both = slots.astype(np.int64)
@@ -221,7 +235,7 @@ def _count_bits(code: Code):
             for text, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.append(normal(text))
                 size += len(held[-1])
-                if size >= CHUNK_BYTES:
+                if size >= COUNT_BYTES:
                     add()
                     size = 0
         add()
@@ -260,7 +274,7 @@ def _context_tables(texts: DataFrame, code: Code) -> list[np.ndarray]:
     spark = texts.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = texts.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(ROUNDS)))
-    counted = map_arrow(parts, _count_bits(code), PIECES)
+    counted = map_arrow(parts, _count_bits(spark.sparkContext.broadcast(code)), PIECES)
     some = map_arrow(counted.repartition(n, "context", "piece", "part"), _add_pieces, PIECES)
     whole = map_arrow(some.repartition(n, "context", "piece"), _add_pieces, PIECES)
     logits = [np.zeros(s, np.int8) for s in _sizes(code)]
@@ -275,22 +289,23 @@ def _context_tables(texts: DataFrame, code: Code) -> list[np.ndarray]:
 # --- scoring -------------------------------------------------------------------------
 
 def _blocks(d: Decisions, logits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The decisions cut into blocks, long ones first: four bytes (predictions and bit) per
-    decision and block, padded with zeros; the blocks' sizes; their texts."""
+    """The decisions cut into blocks, long ones first: by place and block four bytes
+    (predictions and bit), padded with zeros; the blocks' sizes; their texts."""
     packed = np.empty((len(d.bit), len(logits) + 1), np.int8)
     for i, (table, slots) in enumerate(zip(logits, d.slots)):
-        packed[:, i] = table[slots]
+        packed[:, i] = table.take(slots)
     packed[:, -1] = d.bit
+    whole = packed.view(np.int32).ravel()
     blocks_of = -(-d.bits_of // BLOCK_BITS)
     text = np.repeat(np.arange(len(blocks_of)), blocks_of)
     turn = np.arange(len(text)) - np.repeat(np.cumsum(blocks_of) - blocks_of, blocks_of)
     size = np.minimum(d.bits_of[text] - turn * BLOCK_BITS, BLOCK_BITS)
     begin = (np.cumsum(d.bits_of) - d.bits_of)[text] + turn * BLOCK_BITS
     order = np.argsort(-size, kind="stable")
-    rows = np.zeros((len(size), -(-int(size.max()) // STEP) * STEP, packed.shape[1]), np.int8)
+    rows = np.zeros((len(size), -(-int(size.max()) // STEP) * STEP), np.int32)
     for i, b in enumerate(order):
-        rows[i, :size[b]] = packed[begin[b]:begin[b] + size[b]]
-    return rows, size[order], text[order]
+        rows[i, :size[b]] = whole[begin[b]:begin[b] + size[b]]
+    return np.ascontiguousarray(rows.T), size[order], text[order]
 
 
 def mixed_log10(d: Decisions, logits: list[np.ndarray]) -> np.ndarray:
@@ -299,38 +314,47 @@ def mixed_log10(d: Decisions, logits: list[np.ndarray]) -> np.ndarray:
     a step fall in one cell of the map, the last one updates it."""
     rows, size, text = _blocks(d, logits)
     k, n = len(logits), len(size)
-    shared = np.empty((k, n, 1), np.float32)
+    shared = np.empty((k, 1, n), np.float32)
     shared[:] = np.array(FIRST_WEIGHTS, np.float32)[:, None, None] / SCALE
-    sure = np.zeros((k, n, 1), np.float32)  # added where the longest context is sure
+    sure = np.zeros((k, 1, n), np.float32)  # added where the longest context is sure
     centres = 1 / (1 + np.exp(-(np.arange(MAP_CELLS) - MAP_CELLS / 2 + 0.5)))
     cells = np.repeat(centres.astype(np.float32)[:, None], n, axis=1).ravel()
-    column = np.arange(n, dtype=np.int64)[:, None] + n * (MAP_CELLS // 2)
+    column = np.arange(n, dtype=np.int64) + n * (MAP_CELLS // 2)
     total = np.zeros(n, np.float64)
     rate, one = np.float32(RATE / SCALE), np.float32(1)
     share, pace = np.float32(MAP_SHARE), np.float32(MAP_RATE)
-    for t in range(0, rows.shape[1], STEP):
+    for t in range(0, len(rows), STEP):
         m = int(np.searchsorted(-size, -t, side="left"))  # blocks of more than t bits
-        now = np.ascontiguousarray(np.moveaxis(rows[:m, t:t + STEP], 2, 0)).astype(np.float32)
+        now = rows[t:t + STEP, :m].copy().view(np.int8).reshape(STEP, m, k + 1)
+        now = np.moveaxis(now, 2, 0).astype(np.float32, order="C")
         x, y = now[:k], now[k]
         gate = (np.abs(x[-1]) >= GATE_AT).astype(np.float32)
-        w, v = shared[:, :m], sure[:, :m]
-        mixed = v * gate
+        w, v = shared[:, :, :m], sure[:, :, :m]
+        mixed = gate * v
         mixed += w
         mixed *= x
-        z = mixed.sum(axis=0)
+        z = mixed[0]
+        for part in mixed[1:]:
+            z += part
         np.clip(z, -MOST_LOGIT, MOST_LOGIT, out=z)
-        p = one / (one + np.exp(-z))
-        cell = np.floor(z).astype(np.int64) * n + column[:m]
+        p = np.exp(-z)
+        p += one
+        np.divide(one, p, out=p)
+        cell = np.floor(z).astype(np.int64)
+        cell *= n
+        cell += column[:m]
         seen = cells.take(cell)
         final = np.log(np.abs(one - y - (p + share * (seen - p))))
         short = int(np.searchsorted(-size, -(t + STEP), side="right"))  # ends in this step
-        final[short:][np.arange(t, t + STEP) >= size[short:m, None]] = 0
-        total[:m] += final.sum(axis=1)
+        final[:, short:][np.arange(t, t + STEP)[:, None] >= size[short:m]] = 0
+        total[:m] += final.sum(axis=0)
         cells[cell] = seen + pace * (y - seen)
-        x *= (y - p) * rate
-        w += x.sum(axis=2, keepdims=True)
+        p -= y
+        p *= -rate
+        x *= p
+        w += x.sum(axis=1, keepdims=True)
         x *= gate
-        v += x.sum(axis=2, keepdims=True)
+        v += x.sum(axis=1, keepdims=True)
     return np.bincount(text, weights=total, minlength=len(d.bits_of)) / math.log(10)
 
 
@@ -353,7 +377,7 @@ ROWS = ("doc_id long, held_out boolean, n_tokens long, n_known long, base double
 
 def _score_texts(texts: list[bytes], model: Model) -> np.ndarray:
     out = np.zeros(len(texts))
-    for a, b in _chunks([len(t) for t in texts]):
+    for a, b in _chunks([len(t) for t in texts], CHUNK_BYTES):
         out[a:b] = mixed_log10(decisions(texts[a:b], model.code), model.logits)
     return out
 
@@ -396,12 +420,12 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                    .groupBy("is_byte", "token").agg(F.sum("n").alias("n")))
     words = counts.filter("NOT is_byte").select("token", "n")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    symbols = np.zeros(END + 1, np.int64)
+    symbols = np.zeros(SYMBOLS * SYMBOLS, np.int64)
     for r in counts.filter("is_byte").select("token", "n").collect():
         symbols[int.from_bytes(r.token, "big")] = r.n
     frequent = {bytes(r.token): r.n
                 for r in words.filter(F.col("n") > n / FREQUENT).orderBy("token").collect()}
-    code = huffman(symbols)
+    code = huffman(symbols.reshape(SYMBOLS, SYMBOLS))
     model = Model(code, _context_tables(training, code), frequent, n, v)
     shared = spark.sparkContext.broadcast(model)
     path = scratch_dir(spark, "lm-rows")
