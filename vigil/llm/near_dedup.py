@@ -9,7 +9,7 @@ In each bucket only star-shaped candidate links are formed: all members with the
 of smallest priority, the same priority in all buckets so that a large group shares few
 centres. Links are confirmed on the full sets. Later rounds take only buckets that still
 hold several components: all untested pairs where the bucket is small, a star around
-another centre where it is large, until a round confirms nothing new.
+other centres (STARS a round) where it is large, until a round confirms nothing new.
 
 Defined results
 * words are runs outside white space (code points 9-13 and 32), A-Z lower-cased; a text
@@ -43,6 +43,8 @@ from vigil.llm.components import components
 BANDS, ROWS = 20, 4
 #: buckets of at most so many members are compared pair by pair in the second round
 SMALL_BUCKET = 32
+#: centres of a large bucket in each round after the first
+STARS = 16
 #: members around one centre that are confirmed in one group
 SALT_ROWS = 256
 _PROBES = 512
@@ -174,14 +176,20 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                  .select("a", "b"))
 
 
-def _stars(members: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of every bucket's member of smallest priority with its others."""
-    priority = F.xxhash64(F.lit(turn), "cid")
-    centres = fixed(members.groupBy("bucket").agg(
-        F.min_by("cid", priority).alias("a"), F.min_by("n", priority).alias("na"),
-        F.min_by("root", priority).alias("ra"), F.count(F.lit(1)).alias("n_members")))
-    found = join_counted(members, centres, "bucket", "n_members")
-    return (found.filter(F.col("ra") != F.col("root"))
+def _stars(members: DataFrame, turns: range, percent: int) -> DataFrame:
+    """Pairs (a, b) of the bucket's members of smallest priority, one for each turn's
+    priorities, with its others."""
+    stars, centres = [], []
+    for turn in turns:
+        priority = F.xxhash64(F.lit(turn), "cid")
+        stars += [F.min_by(c, priority).alias(f"{c}{turn}") for c in ("cid", "n", "root")]
+        centres.append(F.struct(F.col(f"cid{turn}").alias("a"), F.col(f"n{turn}").alias("na"),
+                                F.col(f"root{turn}").alias("ra")))
+    found = fixed(members.groupBy("bucket").agg(*stars, F.count(F.lit(1)).alias("n_members"))
+                  .select("bucket", "n_members", F.array(*centres).alias("centres")))
+    both = join_counted(members, found, "bucket", "n_members").select(
+        "cid", "n", "root", F.inline("centres"))
+    return (both.filter(F.col("ra") != F.col("root"))
             .filter(_size_fits(F.col("na"), F.col("n"), percent))
             .select("a", F.col("cid").alias("b")).distinct())
 
@@ -244,7 +252,7 @@ class NearDuplicates:
     def _link(self, docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
         members = self._members()
         sets = self._class_sets(docs, members, k)
-        tested = fixed(_stars(members.withColumn("root", F.col("cid")), 0, self.percent))
+        tested = fixed(_stars(members.withColumn("root", F.col("cid")), range(1), self.percent))
         links = _confirm(tested, sets, self.percent)
         labels = components(links)
         turn = 0
@@ -260,7 +268,8 @@ class NearDuplicates:
             if turn > 1:
                 mixed = mixed.filter(F.col("size") > SMALL_BUCKET)
             open_ = fixed(join_counted(now, mixed, "bucket", "size"))
-            pairs = _stars(open_.filter(F.col("size") > SMALL_BUCKET), turn, self.percent)
+            pairs = _stars(open_.filter(F.col("size") > SMALL_BUCKET),
+                           range(1 + (turn - 1) * STARS, 1 + turn * STARS), self.percent)
             if turn == 1:
                 small = open_.filter(F.col("size") <= SMALL_BUCKET)
                 pairs = pairs.unionByName(_all_pairs(small, self.percent)).distinct()
