@@ -38,5 +38,21 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
                     F.col(child_key).cast("string").alias("key_value"), "n_rows"))
 
 
+def orphan_terminals(facts: DataFrame, hist: DataFrame, loads: DataFrame,
+                     relation: str) -> DataFrame:
+    """``relation, key_value, n_rows`` for terminals of ``facts`` (``batch_date``,
+    ``terminal``) that no version valid after the day's own load names. ``loads`` has one
+    row per day: ``batch_date, load_time``."""
+    keys = (facts.filter(F.col("terminal").isNotNull()).groupBy("batch_date", "terminal")
+            .agg(F.count(F.lit(1)).alias("n_rows")).join(F.broadcast(loads), "batch_date"))
+    live = hist.filter(F.col("deleted_flg") == 0).select(
+        F.col("terminal_id").alias("terminal"), "effective_from", "effective_to")
+    found = keys.join(live, (keys["terminal"] == live["terminal"]) & F.col("load_time").between(
+        F.col("effective_from"), F.col("effective_to")), "left_anti")
+    return (found.groupBy("terminal").agg(F.sum("n_rows").alias("n_rows"))
+            .select(F.lit(relation).alias("relation"),
+                    F.col("terminal").cast("string").alias("key_value"), "n_rows"))
+
+
 def union_checks(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -17,7 +17,7 @@ def fraud_report(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _day_files(report: DataFrame, path: str, days: Sequence[dt.date]) -> dict:
+def day_files(report: DataFrame, path: str, days: Sequence[dt.date]) -> dict:
     """File names in each day's partition folder (listing only)."""
     sc = report.sparkSession.sparkContext
     jvm = sc._jvm
@@ -40,12 +40,18 @@ def write_report(report: DataFrame, path: str,
     With ``batch_dates`` (the days this run reports on), a listed day whose
     folder the write did not replace -- the day has no rows now -- loses its
     old rows too: its file set is compared before and after the write."""
-    before = _day_files(report, path, batch_dates or [])
+    before = day_files(report, path, batch_dates or [])
     (report.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_date")
      .parquet(path))
-    after = _day_files(report, path, list(before))
+    drop_unwritten(report, path, before)
+
+
+def drop_unwritten(rows: DataFrame, path: str, before: dict) -> None:
+    """Delete the day folders that a dynamic overwrite left as ``before`` (from
+    ``day_files``): these days have no rows now."""
+    after = day_files(rows, path, list(before))
     for d, (fs, folder, names) in before.items():
         if d in after and after[d][2] == names:
             fs.delete(folder, True)

@@ -31,16 +31,23 @@ from pyspark.sql import functions as F
 from vigil.operators import dims, history, quality, report, rules
 from vigil.operators.seqlag import hot_groups
 from vigil.schemas import (
+    DQ_VIOLATIONS,
+    FACT_BLACKLIST,
     FACT_TRANSACTIONS,
     FEED_BLACKLIST,
     FEED_EXTENSIONS,
     FEED_TERMINALS,
     FEED_TRANSACTIONS,
+    FEEDS,
+    MAX_BATCHES,
+    REPORT,
+    TABLE_EXTENSIONS,
     TERMINALS_HIST,
 )
 from vigil.sources import delimited, files, workbook
 
 _VERSION_PREFIX = "v="
+HISTORY_LOADS = "version int, batch_date date, load_time timestamp_ntz"
 
 
 @dataclass(frozen=True)
@@ -100,6 +107,14 @@ class Warehouse:
     def quality(self) -> str:
         return self.path("dq_violations")
 
+    @property
+    def rejects(self) -> str:
+        return self.path("ingest_rejects")
+
+    @property
+    def history_loads(self) -> str:
+        return self.path("history_loads")
+
     @property
     def processed(self) -> str:
         return self.path("processed_batches")
@@ -118,17 +133,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def history_versions(spark: SparkSession, wh: Warehouse) -> list[int]:
-    if not _exists(spark, wh.history):
+def history_loads(spark: SparkSession, wh: Warehouse) -> list[tuple[int, dt.date, dt.datetime]]:
+    """(version, batch date, load time) of every complete load, by version: the record
+    that a load writes after its version. One row per day."""
+    if not _exists(spark, wh.history_loads):
         return []
-    fs, p = _fs(spark, wh.history)
-    out = []
-    for status in fs.listStatus(p):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(_VERSION_PREFIX):
-            if _exists(spark, f"{status.getPath().toString()}/_SUCCESS"):
-                out.append(int(name[len(_VERSION_PREFIX):]))
-    return sorted(out)
+    rows = spark.read.schema(HISTORY_LOADS).parquet(wh.history_loads).collect()
+    return sorted((r.version, r.batch_date, r.load_time) for r in rows)
+
+
+def history_versions(spark: SparkSession, wh: Warehouse) -> list[int]:
+    return [v for v, _, _ in history_loads(spark, wh)]
 
 
 def read_history(spark: SparkSession, wh: Warehouse) -> DataFrame:
@@ -158,45 +173,72 @@ def read_bank(spark: SparkSession, wh: Warehouse) -> dims.Bank:
                      spark.read.parquet(wh.cards))
 
 
+def processed_dates(spark: SparkSession, wh: Warehouse) -> set[dt.date]:
+    if not _exists(spark, wh.processed):
+        return set()
+    rows = spark.read.schema("processed_at timestamp_ntz, batch_date date").parquet(wh.processed)
+    return {r.batch_date for r in rows.collect()}
+
+
 def pending_batches(spark: SparkSession, landing: str, wh: Warehouse) -> list[dt.date]:
     """Complete, not yet processed batch dates in the landing folder (sorted)."""
     complete = files.complete_batches(files.feed_files(files.list_files(spark, landing)))
-    processed = spark.read.parquet(wh.processed) if _exists(spark, wh.processed) else None
-    pending = files.pending_batches(complete, processed)
-    return [d for _, d in rules.batches_of(pending)]
-
-
-def day_files(landing: str, feed: str, dates: list[dt.date]) -> list[str]:
-    """Globs for the files of ``feed`` on ``dates``: a run reads only its own
-    days, however many processed days stay in the landing folder."""
-    ext = FEED_EXTENSIONS[feed]
-    return [f"{landing}/{feed}_{d.strftime('%d%m%Y')}*.{ext}" for d in sorted(dates)]
+    done = processed_dates(spark, wh)
+    return sorted(r.batch_date for r in complete.collect() if r.batch_date not in done)
+
+
+def day_files(landing: str | list[str], feed: str, dates: list[dt.date]) -> list[str]:
+    """The files of ``feed`` on ``dates`` in the folder(s): a run reads only its own days,
+    however many processed days stay in the landing folder."""
+    spark = SparkSession.getActiveSession()
+    extensions = (FEED_EXTENSIONS[feed], *TABLE_EXTENSIONS.get(feed, ()))
+    found = []
+    for folder in [landing] if isinstance(landing, str) else landing:
+        for d in sorted(dates):
+            for ext in extensions:
+                fs, p = _fs(spark, f"{folder}/{feed}_{d.strftime('%d%m%Y')}*.{ext}")
+                found += [st.getPath().toString() for st in fs.globStatus(p) or []]
+    return found
+
+
+def archive_processed(spark: SparkSession, landing: str, wh: Warehouse, archive: str) -> None:
+    """Move the files of all three feeds of the processed days out of the landing folder."""
+    fs, target = _fs(spark, archive)
+    fs.mkdirs(target)
+    for feed in FEEDS:
+        for path in day_files(landing, feed, sorted(processed_dates(spark, wh))):
+            _, p = _fs(spark, path)
+            fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, p.getName()))
 
 
 def _only(df: DataFrame, dates: list[dt.date]) -> DataFrame:
     return df.filter(F.col("batch_date").isin([F.lit(d) for d in dates]))
 
 
-def load_facts(spark: SparkSession, landing: str, wh: Warehouse, dates: list[dt.date],
-               staged: DataFrame | None = None) -> None:
-    """Transactions (``staged``, or read from the landing folder) and blacklists
-    of ``dates`` into the partitioned fact tables."""
+def load_facts(spark: SparkSession, landing: str | list[str], wh: Warehouse,
+               dates: list[dt.date], staged: DataFrame | None = None) -> None:
+    """Transactions (``staged``, or read from the landing folder) and blacklists of
+    ``dates`` into the partitioned fact tables. A day that has no rows now loses its old
+    ones. Lines that do not load are kept in ``ingest_rejects``."""
     if staged is None:
-        staged = delimited.read_transactions(spark, day_files(landing, FEED_TRANSACTIONS, dates))
+        raw = _only(delimited.read_transactions_raw(
+            spark, day_files(landing, FEED_TRANSACTIONS, dates)), dates)
+        staged = delimited.accepted_lines(raw)
+        report.write_report(delimited.rejected_lines(raw), wh.rejects, batch_dates=dates)
     staged = _only(staged, dates)
     facts = dims.fact_transactions(staged)
     if wh.fact_buckets:
         _ensure_fact_table(spark, wh)
-        (facts.write.option("partitionOverwriteMode", "dynamic")
+        before = report.day_files(facts, wh.transactions, dates)
+        # one file per bucket and day
+        (facts.repartition(int(wh.fact_buckets), "card_num")
+         .write.option("partitionOverwriteMode", "dynamic")
          .insertInto(wh.fact_table, overwrite=True))
+        report.drop_unwritten(facts, wh.transactions, before)
     else:
-        (facts.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_date")
-         .parquet(wh.transactions))
+        report.write_report(facts, wh.transactions, batch_dates=dates)
     bl = _only(workbook.read_blacklist(spark, day_files(landing, FEED_BLACKLIST, dates)), dates)
-    (dims.fact_blacklist(bl).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_date")
-     .parquet(wh.blacklist))
+    report.write_report(dims.fact_blacklist(bl), wh.blacklist, batch_dates=dates)
 
 
 def _ensure_fact_table(spark: SparkSession, wh: Warehouse) -> None:
@@ -252,40 +294,57 @@ def _persisted_day_facts(spark: SparkSession, wh: Warehouse, dates: list[dt.date
     return plain.persist(StorageLevel.MEMORY_AND_DISK), hot
 
 
-def load_history(spark: SparkSession, landing: str, wh: Warehouse, dates: list[dt.date],
-                 load_time: Callable[[dt.date], dt.datetime], **options) -> None:
-    """Fold each day's snapshot into the history, in date order. Each load
-    reads only that day's workbook (a filter above the decoding step would
-    decode every pending workbook for every day)."""
+def load_history(spark: SparkSession, landing: str | list[str], wh: Warehouse,
+                 dates: list[dt.date], load_time: Callable[[dt.date], dt.datetime],
+                 **options) -> dict[dt.date, dt.datetime]:
+    """Fold each day's snapshot into the history, in date order, and give the load time of
+    each day. Each load reads only that day's files (a filter above the decoding step would
+    decode every pending workbook for every day).
+
+    A version counts once its day is recorded in ``history_loads``. A day recorded before
+    (a retry, or a day loaded again for its other feeds) keeps its version and its load
+    time; a version without a record is written again from the one before. A load time
+    that is not after the last one becomes one second later than it."""
+    done = {d: at for _, d, at in history_loads(spark, wh)}
+    times = {}
     for d in sorted(dates):
-        at = load_time(d)
+        if d in done:
+            times[d] = done[d]
+            continue
         hist = read_history(spark, wh)
         latest = history.latest_load(hist)
-        if latest is not None and latest == at:
-            continue  # this day was folded in already (a replayed run)
-        history.check_load_time(hist, at, latest)
+        at = load_time(d)
+        if latest is not None and at <= latest:
+            at = latest + dt.timedelta(seconds=1)
         snap = (workbook.read_terminals(spark, day_files(landing, FEED_TERMINALS, [d]))
                 .filter(F.col("batch_date") == F.lit(d)).drop("batch_date"))
         new = history.apply_snapshot(hist, snap, at, **options)
         versions = history_versions(spark, wh)
         nxt = (versions[-1] + 1) if versions else 1
-        # the next version number after the last *complete* one: a retry after a
+        # the next version number after the last *recorded* one: a retry after a
         # failed write replaces the partial directory; the input is never touched
-        new.write.mode("overwrite").parquet(
-            wh.path("terminals_hist", f"{_VERSION_PREFIX}{nxt:06d}"))
+        name = f"{_VERSION_PREFIX}{nxt:06d}"
+        new.write.mode("overwrite").parquet(wh.path("terminals_hist", name))
+        (spark.createDataFrame([(nxt, d, at)], HISTORY_LOADS)
+         .write.mode("append").parquet(wh.history_loads))
+        times[d] = at
+    return times
 
 
-def check_quality(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
-                  run_time: dt.datetime) -> None:
+def check_quality(spark: SparkSession, landing: str | list[str], wh: Warehouse,
+                  load_times: dict[dt.date, dt.datetime], run_time: dt.datetime) -> None:
     """Key violations of this run as a table instead of an aborted load:
-    duplicate primary keys of the dimensions and of each day's blacklist, and
+    duplicate primary keys of the dimensions and of each day's blacklist,
     orphans (card -> account, account -> client, transaction -> card,
-    transaction -> terminal current after the day's load)."""
+    transaction -> terminal current after the day's own load), and values of the
+    days' files that did not parse. One partition per run."""
+    dates = sorted(load_times)
     bank = read_bank(spark, wh)
     facts = _only(spark.read.schema(FACT_TRANSACTIONS).parquet(wh.transactions), dates)
-    blacklist = _only(spark.read.parquet(wh.blacklist), dates)
-    terminals = history.current_terminals(read_history(spark, wh),
-                                          F.lit(run_time).cast("timestamp_ntz"))
+    blacklist = _only(spark.read.schema(FACT_BLACKLIST).parquet(wh.blacklist), dates)
+    loads = spark.createDataFrame(sorted(load_times.items()),
+                                  "batch_date date, load_time timestamp_ntz")
+    raw = delimited.read_transactions_raw(spark, day_files(landing, FEED_TRANSACTIONS, dates))
     checks = quality.union_checks([
         quality.duplicate_keys(bank.clients, "client_id", "dim_clients"),
         quality.duplicate_keys(bank.accounts, "account_num", "dim_accounts"),
@@ -298,10 +357,14 @@ def check_quality(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
                         "cards.account_num"),
         quality.orphans(bank.accounts, "client", bank.clients, "client_id", "accounts.client"),
         quality.orphans(facts, "card_num", bank.cards, "card_num", "transactions.card_num"),
-        quality.orphans(facts, "terminal", terminals, "terminal_id", "transactions.terminal"),
+        quality.orphan_terminals(facts, read_history(spark, wh), loads, "transactions.terminal"),
+        delimited.bad_values(_only(raw, dates)),
     ])
     (checks.withColumn("checked_at", F.lit(run_time).cast("timestamp_ntz"))
-     .write.mode("overwrite").parquet(wh.quality))
+     .withColumn("run", F.concat_ws("_", F.date_format("checked_at", "yyyyMMddHHmmss"),
+                                    F.lit(dates[0].isoformat())))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run")
+     .parquet(wh.quality))
 
 
 def run_rules(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
@@ -313,7 +376,7 @@ def run_rules(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
     bank = read_bank(spark, wh)
     max_group_rows = options.get("max_group_rows", rules.DEFAULT_GROUP_ROWS)
     facts, hot = facts if facts is not None else read_facts(spark, wh, dates, max_group_rows)
-    blacklist = spark.read.parquet(wh.blacklist)
+    blacklist = spark.read.schema(FACT_BLACKLIST).parquet(wh.blacklist)
     hist = read_history(spark, wh)
     city = {"known_at": {d: load_time(d) for d in dates}, **options.get("city_options", {})}
     holders = spark.read.parquet(wh.card_holders)
@@ -325,7 +388,7 @@ def run_rules(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
         account_options=options.get("account_options")))
 
 
-def process_batches(spark: SparkSession, landing: str, wh: Warehouse, dates: list[dt.date],
+def process_batches(spark: SparkSession, landing: str | list[str], wh: Warehouse, dates: list[dt.date],
                     run_time: dt.datetime,
                     load_time: Callable[[dt.date], dt.datetime] | None = None,
                     staged_transactions: DataFrame | None = None, **options) -> list[dt.date]:
@@ -337,9 +400,15 @@ def process_batches(spark: SparkSession, landing: str, wh: Warehouse, dates: lis
         # one distinct, increasing load time per day of this run
         def load_time(d: dt.date, _order={d: i for i, d in enumerate(dates)}) -> dt.datetime:
             return run_time + dt.timedelta(seconds=_order[d])
+    if len(dates) > MAX_BATCHES:  # a long backlog runs in parts, as separate runs would
+        for i in range(0, len(dates), MAX_BATCHES):
+            process_batches(spark, landing, wh, dates[i:i + MAX_BATCHES], run_time, load_time,
+                            staged_transactions, **options)
+        return dates
     load_facts(spark, landing, wh, dates, staged_transactions)
-    load_history(spark, landing, wh, dates, load_time, **options.get("history_options", {}))
-    check_quality(spark, wh, dates, run_time)
+    times = load_history(spark, landing, wh, dates, load_time,
+                         **options.get("history_options", {}))
+    check_quality(spark, landing, wh, times, run_time)
     day_facts, hot = _persisted_day_facts(spark, wh, dates,
                                           options.get("max_group_rows",
                                                       rules.DEFAULT_GROUP_ROWS))
@@ -351,7 +420,7 @@ def process_batches(spark: SparkSession, landing: str, wh: Warehouse, dates: lis
     if wh.fact_buckets and hot is None:
         spark.conf.set(copartition, "false")
     try:
-        result = run_rules(spark, wh, dates, load_time, run_time, facts=(day_facts, hot),
+        result = run_rules(spark, wh, dates, times.__getitem__, run_time, facts=(day_facts, hot),
                            **options)
         report.write_report(result, wh.report, batch_dates=dates)
     finally:
@@ -375,11 +444,11 @@ def register_views(spark: SparkSession, wh: Warehouse, as_of: dt.datetime) -> li
         "dwh_dim_accounts": bank.accounts,
         "dwh_dim_cards": bank.cards,
         "dwh_fact_transactions": spark.read.schema(FACT_TRANSACTIONS).parquet(wh.transactions),
-        "dwh_fact_passport_blacklist": spark.read.parquet(wh.blacklist),
+        "dwh_fact_passport_blacklist": spark.read.schema(FACT_BLACKLIST).parquet(wh.blacklist),
         "dwh_dim_terminals_hist": hist,
         "v_terminals": history.current_terminals(hist, F.lit(as_of).cast("timestamp_ntz")),
-        "rep_fraud": spark.read.parquet(wh.report),
-        "dq_violations": spark.read.parquet(wh.quality),
+        "rep_fraud": spark.read.schema(REPORT).parquet(wh.report),
+        "dq_violations": spark.read.schema(DQ_VIOLATIONS).parquet(wh.quality),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
@@ -397,5 +466,5 @@ def run_daily(spark: SparkSession, landing: str, wh: Warehouse, seeds: tuple[Dat
 
 
 __all__ = ["Warehouse", "check_quality", "history_versions", "read_facts", "register_views", "load_dims", "load_facts", "load_history",
-           "pending_batches", "process_batches", "read_bank", "read_history", "run_daily",
+           "archive_processed", "pending_batches", "process_batches", "processed_dates", "read_bank", "read_history", "run_daily",
            "run_rules"]

@@ -40,6 +40,8 @@ FEED_BLACKLIST = "passport_blacklist"
 FEED_TERMINALS = "terminals"
 FEEDS = (FEED_TRANSACTIONS, FEED_BLACKLIST, FEED_TERMINALS)
 FEED_EXTENSIONS = {FEED_TRANSACTIONS: "txt", FEED_BLACKLIST: "xlsx", FEED_TERMINALS: "xlsx"}
+#: other formats that a workbook feed may come in
+TABLE_EXTENSIONS = {FEED_BLACKLIST: ("csv", "parquet"), FEED_TERMINALS: ("csv", "parquet")}
 FILE_DATE_PATTERN = r"(\d{8})"
 FILE_DATE_FORMAT = "ddMMyyyy"
 
@@ -92,5 +94,8 @@ REPORT = T.StructType([
     _s("event_dt", T.TimestampNTZType()), _s("passport"), _s("fio"), _s("phone"),
     _s("event_type"), _s("report_dt", T.TimestampNTZType()), _s("batch_date", T.DateType()),
 ])
+#: key violations and unparsable values of a run
+DQ_VIOLATIONS = ("relation string, key_value string, n_rows long, checked_at timestamp_ntz, "
+                 "run string")
 REPORT_COLUMNS = tuple(f.name for f in REPORT.fields)
 BATCHES = T.StructType([_s("batch_date", T.DateType(), False), _s("report_date", T.DateType(), False)])

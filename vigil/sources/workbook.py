@@ -6,7 +6,12 @@ decoded inside ``mapInPandas`` with the standard library (an xlsx file is a
 zip of XML parts). A sheet holds at most 1,048,576 rows by format, so one task
 per workbook is bounded. The first row is the header; every value comes out
 as text (numbers without a trailing ``.0`` when whole, date cells as ISO
-dates) and is typed afterwards with ``try_cast``.
+dates) and is typed afterwards with ``try_cast``. A workbook without a needed
+column fails the run; one with only a header has no rows.
+
+Feeds larger than a sheet may come as CSV (``;``, header) or Parquet files of
+the same columns and names (``passport_blacklist_DDMMYYYY.csv``); all formats
+found for a day are read together.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -30,6 +36,7 @@ from vigil.schemas import (
     FEED_TERMINALS,
     TERMINALS_FILE_COLUMNS,
 )
+from vigil.sources import files
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
@@ -140,8 +147,13 @@ def _decoder(columns: Sequence[str]):
                 if not rows:
                     continue
                 header = [(h or "").strip() for h in rows[0]]
-                pos = {name: header.index(name) if name in header else None for name in columns}
-                out = {name: [(r[i] if i is not None and i < len(r) else None) for r in rows[1:]]
+                missing = [name for name in columns if name not in header]
+                if missing:
+                    raise ValueError(f"{path}: the first sheet has no column {missing}")
+                if len(rows) == 1:
+                    continue  # a day without rows
+                pos = {name: header.index(name) for name in columns}
+                out = {name: [(r[i] if i < len(r) else None) for r in rows[1:]]
                        for name, i in pos.items()}
                 frame = pd.DataFrame(out, columns=list(columns))
                 frame["file_path"] = path
@@ -156,20 +168,36 @@ def read_workbooks(spark: SparkSession, path: str | list[str], columns: Sequence
     ``batch_date`` of its name."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
                           + [T.StructField("file_path", T.StringType())])
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", name_glob)
+    books = (spark.read.format("binaryFile").option("pathGlobFilter", name_glob)
              .load(path).select("path", "content"))
-    rows = files.mapInPandas(_decoder(columns), schema)
+    rows = books.mapInPandas(_decoder(columns), schema)
     return rows.withColumn("batch_date", batch_date_of(F.col("file_path"), in_path=True))
 
 
+def read_tables(spark: SparkSession, path: str | list[str], columns: Sequence[str],
+                feed: str) -> DataFrame:
+    """The named columns, as text, of a feed's workbooks, CSV and Parquet files."""
+    found = [read_workbooks(spark, path, columns, f"{feed}_*.xlsx")]
+    for kind, name_glob in (("csv", f"{feed}_*.csv"), ("parquet", f"{feed}_*.parquet")):
+        paths = files.leaf_files(spark, path, name_glob)
+        if not paths:
+            continue
+        reader = spark.read.option("sep", ";").option("header", True).option("escape", '"')
+        raw = getattr(reader, kind)(paths)  # by name: an absent column fails
+        found.append(raw.select(*[F.col(c).cast("string").alias(c) for c in columns],
+                                F.col("_metadata.file_path").alias("file_path"))
+                     .withColumn("batch_date", batch_date_of(F.col("file_path"), in_path=True)))
+    return reduce(DataFrame.unionByName, found)
+
+
 def read_blacklist(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Blacklist feed in staging shape: ``passport, date, batch_date``."""
-    raw = read_workbooks(spark, path, BLACKLIST_FILE_COLUMNS, f"{FEED_BLACKLIST}_*.xlsx")
+    raw = read_tables(spark, path, BLACKLIST_FILE_COLUMNS, FEED_BLACKLIST)
     return raw.select("passport", F.col("date").try_cast("date").alias("date"), "batch_date")
 
 
 def read_terminals(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Terminal snapshots: ``terminal_id, terminal_type, terminal_city,
     terminal_address, batch_date``."""
-    raw = read_workbooks(spark, path, TERMINALS_FILE_COLUMNS, f"{FEED_TERMINALS}_*.xlsx")
+    raw = read_tables(spark, path, TERMINALS_FILE_COLUMNS, FEED_TERMINALS)
     return raw.select(*TERMINALS_FILE_COLUMNS, "batch_date")

@@ -12,11 +12,14 @@ into an archive after loading. The Spark form is a file stream:
 * ``ingest_transactions`` appends the typed rows to the partitioned fact table
   with ``trigger(availableNow=True)``: a scheduled run drains what is there
   and stops; the file sink commits exactly once per micro-batch.
-* ``run_daily_stream`` drives the whole daily job from the transaction files:
-  ``foreachBatch`` hands each micro-batch's rows to the batch steps for the
-  complete batch dates they carry (dynamic partition overwrite, so a replayed
-  micro-batch gives the same tables). A day's files must arrive together; a
-  day whose other feeds are missing is left for a later run.
+* ``run_daily_stream`` drives the whole daily job: the file stream says which
+  transaction files are new; the days are then loaded by the batch job from
+  all their files. A day runs as soon as its three feeds are there, whichever
+  run that is; a further file of a day that was already processed loads that
+  day again, whole. Files are archived only once their day is processed.
+
+The append stream maps columns by position (a stream has one schema for all
+files); the daily job reads them by name.
 """
 
 from __future__ import annotations
@@ -28,11 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from vigil.functions import batch_date_of
 from vigil.operators import dims
-from vigil.operators.rules import batches_of
 from vigil.plans import daily
 from vigil.schemas import FEED_TRANSACTIONS, TRANSACTIONS_FILE_COLUMNS
-from vigil.sources import delimited, files
+from vigil.sources import delimited
 
 
 def transactions_stream(spark: SparkSession, landing: str, archive_dir: str | None = None,
@@ -41,17 +44,14 @@ def transactions_stream(spark: SparkSession, landing: str, archive_dir: str | No
     """Streaming transaction rows (staging shape + ``batch_date``). ``name_glob``
     picks the transaction files of a landing folder holding every feed; pass
     None when ``landing`` is one feed directory written by a Spark job."""
-    reader = (spark.readStream.schema(delimited._READ_SCHEMA)
-              .option("sep", ";").option("header", True).option("quote", '"')
-              .option("mode", "PERMISSIVE").option("enforceSchema", True)
-              .option("nullValue", "").option("emptyValue", ""))
+    reader = spark.readStream.schema(delimited._READ_SCHEMA).options(**delimited.FORMAT)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = delimited._typed(reader.csv(landing))
+    raw = delimited._typed(reader.csv(landing), F.col("_metadata.file_path"))
     return (raw.filter(delimited._accepted() & F.col("batch_date").isNotNull())
             .select(*TRANSACTIONS_FILE_COLUMNS, "batch_date"))
 
@@ -77,28 +77,30 @@ def run_daily_stream(spark: SparkSession, landing: str, wh: daily.Warehouse, che
                      archive_dir: str | None = None,
                      seeds: tuple[DataFrame, DataFrame, DataFrame] | None = None,
                      **options) -> StreamingQuery:
-    """The daily job fed by a file stream of transaction files. ``seeds``
-    (clients, accounts, cards) rebuilds the dimensions first; without them the
-    warehouse's current dimensions are used."""
+    """The daily job, started by new transaction files. ``seeds`` (clients, accounts,
+    cards) rebuilds the dimensions first; without them the warehouse's current dimensions
+    are used. ``archive_dir`` takes all files of the processed days."""
     if seeds is not None:
         daily.load_dims(*seeds, wh)
+    folders = [landing, archive_dir] if archive_dir else [landing]
 
-    def process(batch: DataFrame, epoch_id: int) -> None:
-        batch.persist()
-        try:
-            carried = [d for d, _ in batches_of(batch)]
-            complete = files.complete_batches(files.feed_files(files.list_files(spark, landing)))
-            ready = {d for d, _ in batches_of(complete)}
-            dates = [d for d in carried if d in ready]
-            daily.process_batches(spark, landing, wh, dates, run_time, load_time,
-                                  staged_transactions=batch, **options)
-        finally:
-            batch.unpersist()
+    def again(batch: DataFrame, epoch_id: int) -> None:
+        """Days that were processed before and have got another file."""
+        carried = {r.batch_date for r in batch.select("batch_date").distinct().collect()}
+        dates = sorted(carried & daily.processed_dates(spark, wh))
+        daily.process_batches(spark, folders, wh, dates, run_time, load_time, **options)
 
-    query = (transactions_stream(spark, landing, archive_dir).writeStream
-             .foreachBatch(process)
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start())
+    names = (spark.readStream.schema(delimited._READ_SCHEMA).options(**delimited.FORMAT)
+             .option("pathGlobFilter", f"{FEED_TRANSACTIONS}_*.txt").csv(landing)
+             .select(batch_date_of(F.col("_metadata.file_path"), in_path=True)
+                     .alias("batch_date")))
+    query = (names.writeStream.foreachBatch(again).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
     query.awaitTermination()
+    # whatever is complete by now, also where the last feed came without a new
+    # transaction file, or the transaction file has no rows
+    daily.process_batches(spark, folders, wh, daily.pending_batches(spark, landing, wh), run_time,
+                          load_time, **options)
+    if archive_dir:
+        daily.archive_processed(spark, landing, wh, archive_dir)
     return query
