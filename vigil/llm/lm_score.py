@@ -44,13 +44,13 @@ from vigil.llm.common import fixed, map_arrow
 from vigil.session import scratch_dir
 
 #: words with more than 1/FREQUENT of all tokens are broadcast
-FREQUENT = 500_000
+FREQUENT = 1_000_000
 #: slots of a context's table (as a power of two), slots of a piece in the shuffle
 TABLE_BITS, PIECE_BITS = 20, 15
 #: bytes before the current one that the hashed contexts see
 ORDERS = (3, 5)
 #: bits that one set of online weights runs through; bits between two updates
-BLOCK_BITS, STEP = 2048, 16
+BLOCK_BITS, STEP = 2048, 32
 #: bytes scored at once; bytes counted at once
 CHUNK_BYTES, COUNT_BYTES = 500_000, 2_000_000
 #: distinct words a task holds before it hands them on
@@ -59,7 +59,7 @@ HELD_WORDS = 300_000
 ROUNDS = 16
 #: predictions are kept as whole 16ths of their logit, at most 127
 SCALE = 16.0
-RATE, GATE_AT, MOST_LOGIT = 0.001, 24, 7.99
+RATE, GATE_AT, MOST_LOGIT = 0.0005, 24, 7.99
 MAP_CELLS, MAP_RATE, MAP_SHARE = 16, 0.02, 0.25
 #: weights at the start of a block, by context; sum above 1 since contexts agree often
 FIRST_WEIGHTS = (0.05, 0.4, 0.6)
@@ -225,10 +225,9 @@ def _count_bits(shared):
             for a, b in _chunks([len(t) for t in held], COUNT_BYTES):
                 d = decisions(held[a:b], code)
                 for table, slots in zip(tables, d.slots):
-                    both = slots.astype(np.int64)
-                    both <<= 1
-                    both += d.bit
-                    table += np.bincount(both, minlength=len(table))
+                    slots <<= np.uint32(1)
+                    slots |= d.bit
+                    table += np.bincount(slots, minlength=len(table))
             held.clear()
 
         for batch in batches:
