@@ -287,6 +287,20 @@ def _hot(df: DataFrame, keys: list[str], max_group_rows: int | None, hot) -> Dat
     return hot_groups(df, keys, "trans_date", max_group_rows) if max_group_rows else None
 
 
+def cards_city_count(tx: DataFrame, hist: DataFrame) -> DataFrame:
+    """``batch_date, card_num, cnt_city``: distinct cities of each card's operations over
+    all versions of their terminals."""
+    h = hist.select("terminal_id", "terminal_city")
+    return (tx.join(h, tx.terminal == h.terminal_id, "left")
+            .groupBy("batch_date", "card_num")
+            .agg(F.count_distinct("terminal_city").alias("cnt_city")))
+
+
+def cards_multi_city(tx: DataFrame, hist: DataFrame) -> DataFrame:
+    """Cards with operations in more than one city on a day."""
+    return cards_city_count(tx, hist).filter(F.col("cnt_city") > 1)
+
+
 def city_sequence(facts: DataFrame, hist: DataFrame, *, terminal_match: str = "all_versions",
                   cross_batch: bool = False, max_group_rows: int | None = DEFAULT_GROUP_ROWS,
                   known_at: dict[dt.date, dt.datetime] | None = None, hot="auto") -> DataFrame:

@@ -141,20 +141,12 @@ def q_dq_orphans(spark, d):
 
 # --- city rule -------------------------------------------------------------------
 
-def _city_count(tx: DataFrame, hist: DataFrame) -> DataFrame:
-    h = hist.select("terminal_id", "terminal_city")
-    return (tx.join(h, tx.terminal == h.terminal_id, "left")
-            .groupBy("batch_date", "card_num")
-            .agg(F.count_distinct("terminal_city").alias("cnt_city")))
-
-
 def q_cards_city_count(spark, d):
-    return _city_count(b.facts(spark, d), b.hist1(spark, d))
+    return rules.cards_city_count(b.facts(spark, d), b.hist1(spark, d))
 
 
 def q_cards_multi_city(spark, d):
-    return _city_count(b.facts(spark, d, per_day=True), b.hist0(spark, d)).filter(
-        F.col("cnt_city") > 1)
+    return rules.cards_multi_city(b.facts(spark, d, per_day=True), b.hist0(spark, d))
 
 
 def q_lag_city(spark, d):
