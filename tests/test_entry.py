@@ -12,13 +12,13 @@ from vigil.schemas import REPORT
 
 
 def test_keys_match():
-    assert set(contract.queries()) == set(contract.oracle_sql())
-    assert len(contract.queries()) >= 36
+    assert set(contract.QUERIES) <= set(contract.oracle_sql()) <= set(contract.queries())
+    assert len(contract.QUERIES) >= 36
 
 
 def test_oracle_sql_runs_in_duckdb():
     con = duckdb.connect()
-    for t in ("region", "nation", "customer", "supplier", "orders", "events"):
+    for t in sorted(f.removesuffix(".parquet") for f in os.listdir(SF_SMALL)):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     for name, sql in contract.oracle_sql().items():
         cols = [d[0] for d in con.execute(sql).description]
