@@ -5,11 +5,14 @@ class; all further work is on classes. One hash of every shingle fills the bins
 signature; empty bins take the value of another bin by optimal densification (a probe
 sequence per bin that does not depend on the set). Bins in bands give buckets.
 
-In each bucket only star-shaped candidate links are formed: all members with the member
+In each bucket star-shaped candidate links are formed first: all members with the member
 of smallest priority, the same priority in all buckets so that a large group shares few
-centres. Links are confirmed on the full sets. Later rounds take only buckets that still
-hold several components: all untested pairs where the bucket is small, a star around
-other centres (STARS a round) where it is large, until a round confirms nothing new.
+centres. Links are confirmed on the full sets. The second round takes only buckets that
+still hold several components: all untested pairs where the bucket is small, stars around
+STARS other centres where it is large. The stars only join what is easily joined; large
+buckets that are still mixed then go through an exact similarity join (prefix filter on
+the rarest shingles, with bounds on sizes and places), which leaves no pair between
+different components untested.
 
 Defined results
 * words are runs outside white space (code points 9-13 and 32), A-Z lower-cased; a text
@@ -43,8 +46,10 @@ from vigil.llm.components import components
 BANDS, ROWS = 20, 4
 #: buckets of at most so many members are compared pair by pair in the second round
 SMALL_BUCKET = 32
-#: centres of a large bucket in each round after the first
+#: centres of a large bucket in the second round
 STARS = 16
+#: members of a shingle's group in a block of the exact join
+BLOCK = 256
 #: members around one centre that are confirmed in one group
 SALT_ROWS = 256
 _PROBES = 512
@@ -204,6 +209,71 @@ def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
             .filter(_size_fits(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct())
 
 
+def _prefix(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """s, cid, n, root, lead, at: the shingles by which a class can be found by one of
+    another component, and their places in its set's order.
+
+    Two similar sets share at least percent of either's shingles. Ordered alike (here those
+    held by one component only first, then the rarest), each has a shared one among its
+    first n - ceil(percent x n / 100) + 1; those of one component are shared with no other,
+    so they only take up places. ``lead`` is the largest component among the holders."""
+    classes = fixed(open_.select("cid", "n", "root").distinct())
+    weight = fixed(classes.groupBy("root").agg(F.count(F.lit(1)).alias("weight")))
+    classes = fixed(join_counted(classes, weight, "root", "weight"))
+    tokens = fixed(sets.join(classes, "cid").select(
+        "cid", "n", "root", "weight", F.explode("shingles").alias("s")))
+    shared = fixed(tokens.groupBy("s").agg(
+        F.count(F.lit(1)).alias("holders"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+        F.max(F.struct("weight", "root")).alias("lead"))
+        .filter("lo <> hi").select("s", "holders", F.col("lead.root").alias("lead")))
+    found = (join_counted(tokens.drop("weight"), shared, "s", "holders")
+             .groupBy("cid", "n", "root")
+             .agg(F.sort_array(F.collect_list(F.struct("holders", "s", "lead"))).alias("held")))
+    length = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
+    alone = F.col("n") - F.size("held")
+    return fixed(found.withColumn("alone", alone).withColumn("most", length - alone)
+                 .filter("most > 0")
+                 .select("cid", "n", "root", "alone", F.posexplode(
+                     F.slice("held", F.lit(1), F.col("most").cast("int"))).alias("at", "t"))
+                 .select("t.s", "cid", "n", "root", "t.lead",
+                         (F.col("alone") + F.col("at") + 1).alias("at")))
+
+
+def _prefix_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs between different components of ``open_`` that can be similar: those with
+    a shingle of both prefixes whose places leave enough to share. Every pair has a member
+    outside its group's largest component, so those are paired with all, block by block."""
+    prefix = _prefix(open_, sets, percent)
+    few = F.col("root") != F.col("lead")
+    groups = fixed(prefix.groupBy("s").agg(F.count(F.lit(1)).alias("size"),
+                                           F.count_if(few).alias("n_few"))
+                   .filter("n_few > 0 AND size > 1")
+                   .withColumn("rows", F.ceil(F.col("n_few") / BLOCK))
+                   .withColumn("columns", F.ceil(F.col("size") / BLOCK))
+                   .drop("n_few"))
+    placed = fixed(join_counted(prefix, groups, "s", "size"))
+
+    def blocks(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    def own(count: str) -> Column:
+        return F.pmod(F.xxhash64("cid", "s"), count)
+
+    x = placed.filter(few).select(
+        "s", own("rows").alias("i"), blocks("columns").alias("j"), F.col("cid").alias("a"),
+        F.col("n").alias("na"), F.col("root").alias("ra"), F.col("at").alias("at_a"))
+    y = placed.select(
+        "s", blocks("rows").alias("i"), own("columns").alias("j"), F.col("cid").alias("b"),
+        F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("at").alias("at_b"),
+        few.alias("few"))
+    left = 1 + F.least(F.col("na") - F.col("at_a"), F.col("nb") - F.col("at_b"))
+    fits = ((F.col("ra") != F.col("rb")) & (~F.col("few") | (F.col("a") < F.col("b")))
+            & _size_fits(F.col("na"), F.col("nb"), percent)
+            & ((100 + percent) * left >= percent * (F.col("na") + F.col("nb"))))
+    return (x.join(y, ["s", "i", "j"]).filter(fits)
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
     """Pairs that were not tested in either order."""
     known = tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -249,39 +319,39 @@ class NearDuplicates:
         return fixed(map_arrow(texts, _sets(k), "cid long, shingles array<long>")
                      .dropDuplicates(["cid"]))
 
+    def _mixed(self, members: DataFrame, labels: DataFrame, least: int) -> DataFrame:
+        """bucket, cid, n, root, size of buckets of more than ``least`` members that hold
+        several components."""
+        root = labels.withColumnRenamed("node", "cid")
+        now = fixed(members.join(root, "cid", "left")
+                    .withColumn("root", F.coalesce("root", "cid")))
+        mixed = fixed(now.groupBy("bucket").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"),
+            F.count(F.lit(1)).alias("size"))
+            .filter((F.col("lo") != F.col("hi")) & (F.col("size") > least))
+            .select("bucket", "size"))
+        return fixed(join_counted(now, mixed, "bucket", "size"))
+
     def _link(self, docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
         members = self._members()
         sets = self._class_sets(docs, members, k)
         tested = fixed(_stars(members.withColumn("root", F.col("cid")), range(1), self.percent))
         links = _confirm(tested, sets, self.percent)
         labels = components(links)
-        turn = 0
-        while True:
-            turn += 1
-            root = labels.withColumnRenamed("node", "cid")
-            now = fixed(members.join(root, "cid", "left")
-                        .withColumn("root", F.coalesce("root", "cid")))
-            mixed = fixed(now.groupBy("bucket").agg(
-                F.min("root").alias("lo"), F.max("root").alias("hi"),
-                F.count(F.lit(1)).alias("size"))
-                .filter("lo <> hi AND size > 2").select("bucket", "size"))
-            if turn > 1:
-                mixed = mixed.filter(F.col("size") > SMALL_BUCKET)
-            open_ = fixed(join_counted(now, mixed, "bucket", "size"))
-            pairs = _stars(open_.filter(F.col("size") > SMALL_BUCKET),
-                           range(1 + (turn - 1) * STARS, 1 + turn * STARS), self.percent)
-            if turn == 1:
-                small = open_.filter(F.col("size") <= SMALL_BUCKET)
-                pairs = pairs.unionByName(_all_pairs(small, self.percent)).distinct()
-            pairs = _untested(pairs, tested)
-            if pairs.isEmpty():
-                return links, labels
-            found = _confirm(pairs, sets, self.percent)
-            if found.isEmpty():
-                return links, labels
-            tested = tested.unionByName(pairs)
-            links = links.unionByName(found)
-            labels = components(links)
+        open_ = self._mixed(members, labels, 2)
+        large = F.col("size") > SMALL_BUCKET
+        pairs = _stars(open_.filter(large), range(1, 1 + STARS), self.percent).unionByName(
+            _all_pairs(open_.filter(~large), self.percent)).distinct()
+        pairs = _untested(pairs, tested)
+        tested = tested.unionByName(pairs)
+        links = links.unionByName(_confirm(pairs, sets, self.percent))
+        labels = components(links)
+        open_ = self._mixed(members, labels, SMALL_BUCKET)
+        if open_.isEmpty():
+            return links, labels
+        pairs = _untested(_prefix_pairs(open_, sets, self.percent), tested)
+        links = links.unionByName(_confirm(pairs, sets, self.percent))
+        return links, components(links)
 
     def documents(self) -> DataFrame:
         """doc_id, rid, rhash, n_shingles, component_id, kept per row."""
