@@ -6,9 +6,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from test_llm_small import WORDS, brute_components, words
 
+import corpus_pipeline
 from vigil.llm import near_dedup
 
 BINS = near_dedup.BANDS * near_dedup.ROWS
@@ -40,7 +42,8 @@ def templated(k: int) -> list[tuple[int, str]]:
     return [(i, " ".join(t)) for i, t in rows]
 
 
-def test_pairs_in_one_large_bucket(spark, monkeypatch, k=3, percent=85):
+@pytest.mark.parametrize(("k", "percent"), [(3, 85), (corpus_pipeline.SHINGLE, corpus_pipeline.PERCENT)])
+def test_pairs_in_one_large_bucket(spark, monkeypatch, k, percent):
     monkeypatch.setattr(near_dedup, "STARS", 1)
     rows = templated(k)
     table = spark.createDataFrame(rows, "doc_id long, text string")
@@ -52,6 +55,9 @@ def test_pairs_in_one_large_bucket(spark, monkeypatch, k=3, percent=85):
     assert sum(n > near_dedup.SMALL_BUCKET for n in sizes) == near_dedup.BANDS
     got = got.documents().select("doc_id", "n_shingles", "component_id", "kept").collect()
     assert Counter(map(tuple, got)) == Counter(want)
+    if k == corpus_pipeline.SHINGLE:
+        kept = corpus_pipeline.drop_near_copies(spark, table, "")
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in want if r[3])
 
 
 def test_exact_join_in_small_blocks(spark, monkeypatch):
