@@ -3,10 +3,11 @@
 Texts are coded bit by bit: Huffman codes of the training bytes (and of an end mark), one
 for each byte before, turn each byte into the fewest binary decisions. Each decision is
 predicted by several contexts (the last one, three and five bytes) whose counts, hashed into tables of
-fixed size, are gathered from all training documents. Per block of bits the predictions
-are mixed in the logistic domain by weights that a gate selects (whether the longest
-context is sure), learnt online from the bits just coded (after every STEP bits), and refined by an adaptive map
-from the mixed to the observed probability. The sum of the bits' log-probabilities is the
+fixed size, are gathered from all training documents. The predictions are mixed in the
+logistic domain by weights that a gate selects (whether the longest context is sure), learnt
+online from the text's bits just coded (after every STEP bits), and refined by an adaptive
+map from the mixed to the observed probability, learnt after every bit; weights and map run
+through the whole text. The sum of the bits' log-probabilities is the
 text's; it is a proper distribution over texts, since every factor depends on earlier
 bits and on training counts only.
 
@@ -15,7 +16,7 @@ more than 1/FREQUENT of all tokens (fewer than FREQUENT words, whatever the inpu
 broadcast; for all others the (document, word) pairs are joined with the counts.
 
 Scale: training counts are added up per task, then in two rounds of shuffles over table
-pieces; tables are of fixed size. Texts never move; long texts are scored in blocks.
+pieces; tables are of fixed size. Texts never move.
 
 Defined results
 * a null text counts as empty: only the end mark and the end token are scored
@@ -46,22 +47,22 @@ from vigil.session import scratch_dir
 #: words with more than 1/FREQUENT of all tokens are broadcast
 FREQUENT = 1_000_000
 #: slots of a context's table (as a power of two), slots of a piece in the shuffle
-TABLE_BITS, PIECE_BITS = 20, 15
+TABLE_BITS, PIECE_BITS = 21, 15
 #: bytes before the current one that the hashed contexts see
 ORDERS = (3, 5)
-#: bits that one set of online weights runs through; bits between two updates
-BLOCK_BITS, STEP = 2048, 32
+#: bits between two updates of the weights
+STEP = 8
 #: bytes scored at once; bytes counted at once
-CHUNK_BYTES, COUNT_BYTES = 500_000, 2_000_000
+CHUNK_BYTES, COUNT_BYTES = 2_000_000, 2_000_000
 #: distinct words a task holds before it hands them on
 HELD_WORDS = 300_000
 #: first round of adding up table pieces: so many parts of the tasks
 ROUNDS = 16
 #: predictions are kept as whole 16ths of their logit, at most 127
 SCALE = 16.0
-RATE, GATE_AT, MOST_LOGIT = 0.0005, 24, 7.99
+RATE, GATE_AT, MOST_LOGIT = 0.001, 24, 7.99
 MAP_CELLS, MAP_RATE, MAP_SHARE = 16, 0.02, 0.25
-#: weights at the start of a block, by context; sum above 1 since contexts agree often
+#: weights at the start of a text, by context; sum above 1 since contexts agree often
 FIRST_WEIGHTS = (0.05, 0.4, 0.6)
 
 #: the symbol after the last byte; the token after the last word
@@ -287,31 +288,22 @@ def _context_tables(texts: DataFrame, code: Code) -> list[np.ndarray]:
 
 # --- scoring -------------------------------------------------------------------------
 
-def _blocks(d: Decisions, logits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The decisions cut into blocks, long ones first: by place and block four bytes
-    (predictions and bit), padded with zeros; the blocks' sizes; their texts."""
-    packed = np.empty((len(d.bit), len(logits) + 1), np.int8)
+def _packed(d: Decisions, logits: list[np.ndarray]) -> np.ndarray:
+    """Four bytes a decision (predictions and bit), with STEP more at the end."""
+    packed = np.zeros((len(d.bit) + STEP, len(logits) + 1), np.int8)
     for i, (table, slots) in enumerate(zip(logits, d.slots)):
-        packed[:, i] = table.take(slots)
-    packed[:, -1] = d.bit
-    whole = packed.view(np.int32).ravel()
-    blocks_of = -(-d.bits_of // BLOCK_BITS)
-    text = np.repeat(np.arange(len(blocks_of)), blocks_of)
-    turn = np.arange(len(text)) - np.repeat(np.cumsum(blocks_of) - blocks_of, blocks_of)
-    size = np.minimum(d.bits_of[text] - turn * BLOCK_BITS, BLOCK_BITS)
-    begin = (np.cumsum(d.bits_of) - d.bits_of)[text] + turn * BLOCK_BITS
-    order = np.argsort(-size, kind="stable")
-    rows = np.zeros((len(size), -(-int(size.max()) // STEP) * STEP), np.int32)
-    for i, b in enumerate(order):
-        rows[i, :size[b]] = whole[begin[b]:begin[b] + size[b]]
-    return np.ascontiguousarray(rows.T), size[order], text[order]
+        packed[:len(d.bit), i] = table.take(slots)
+    packed[:len(d.bit), -1] = d.bit
+    return packed.view(np.int32).ravel()
 
 
 def mixed_log10(d: Decisions, logits: list[np.ndarray]) -> np.ndarray:
-    """log10 probability of each text's decisions. All blocks of all texts advance
-    together, STEP bits at a time; each has its own weights and map. Where several bits of
-    a step fall in one cell of the map, the last one updates it."""
-    rows, size, text = _blocks(d, logits)
+    """log10 probability of each text's decisions. All texts advance together, long ones
+    first, STEP bits at a time; each has its own weights and map. What a text's last step
+    reads past its end counts for nothing and changes only what is read no more."""
+    whole = _packed(d, logits)
+    order = np.argsort(-d.bits_of, kind="stable")
+    size, begin = d.bits_of[order], (np.cumsum(d.bits_of) - d.bits_of)[order]
     k, n = len(logits), len(size)
     shared = np.empty((k, 1, n), np.float32)
     shared[:] = np.array(FIRST_WEIGHTS, np.float32)[:, None, None] / SCALE
@@ -322,9 +314,10 @@ def mixed_log10(d: Decisions, logits: list[np.ndarray]) -> np.ndarray:
     total = np.zeros(n, np.float64)
     rate, one = np.float32(RATE / SCALE), np.float32(1)
     share, pace = np.float32(MAP_SHARE), np.float32(MAP_RATE)
-    for t in range(0, len(rows), STEP):
-        m = int(np.searchsorted(-size, -t, side="left"))  # blocks of more than t bits
-        now = rows[t:t + STEP, :m].copy().view(np.int8).reshape(STEP, m, k + 1)
+    turns = np.arange(STEP)[:, None]
+    for t in range(0, int(size[0]) if n else 0, STEP):
+        m = int(np.searchsorted(-size, -t, side="left"))  # texts of more than t bits
+        now = whole.take(begin[:m] + (t + turns)).view(np.int8).reshape(STEP, m, k + 1)
         now = np.moveaxis(now, 2, 0).astype(np.float32, order="C")
         x, y = now[:k], now[k]
         gate = (np.abs(x[-1]) >= GATE_AT).astype(np.float32)
@@ -342,19 +335,23 @@ def mixed_log10(d: Decisions, logits: list[np.ndarray]) -> np.ndarray:
         cell = np.floor(z).astype(np.int64)
         cell *= n
         cell += column[:m]
-        seen = cells.take(cell)
+        seen = np.empty_like(p)
+        for own, at, bit in zip(seen, cell, y):
+            cells.take(at, out=own)
+            cells[at] = own + pace * (bit - own)
         final = np.log(np.abs(one - y - (p + share * (seen - p))))
         short = int(np.searchsorted(-size, -(t + STEP), side="right"))  # ends in this step
-        final[:, short:][np.arange(t, t + STEP)[:, None] >= size[short:m]] = 0
+        final[:, short:][turns + t >= size[short:m]] = 0
         total[:m] += final.sum(axis=0)
-        cells[cell] = seen + pace * (y - seen)
         p -= y
         p *= -rate
         x *= p
         w += x.sum(axis=1, keepdims=True)
         x *= gate
         v += x.sum(axis=1, keepdims=True)
-    return np.bincount(text, weights=total, minlength=len(d.bits_of)) / math.log(10)
+    out = np.empty(n)
+    out[order] = total
+    return out / math.log(10)
 
 
 @dataclass
