@@ -9,10 +9,10 @@ Defined results
 * text is split at ``\\n``; a null or empty text is one empty line
 * a line's key is the line without white space (code points 9-13 and 32) at both ends,
   A-Z lower-cased; only keys of at least ``min_chars`` code points are judged
-* a key found in at least ``min_docs`` rows loses all its lines except in the row(s)
+* a key found under at least ``min_docs`` distinct doc_ids (null is none) loses all its lines except in the row(s)
   with the largest doc_id holding it (a null doc_id is smaller than all others)
-* every row is a document; rows repeated with the same doc_id and text count each, and
-  lose the same lines; an empty table gives no rows; other columns are not read
+* rows of one doc_id are one document in that count; rows repeated with the same doc_id
+  and text lose the same lines; an empty table gives no rows; other columns are not read
 """
 
 from __future__ import annotations
@@ -47,11 +47,13 @@ def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def common_lines(keys: DataFrame, min_docs: int) -> DataFrame:
-    """key, n_docs, owner (largest doc_id) of the lines found in many documents. Each
-    row names a digest once, so the count needs no distinct and combines map-side."""
-    return (keys.select("doc_id", F.explode(F.array_distinct(F.array_compact("keys"))).alias("key"))
-            .groupBy(F.unhex("key").alias("key"))
-            .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("owner"))
+    """key, n_docs (distinct doc_ids), n_rows, owner (largest doc_id) of the lines found in
+    many documents. Both counts combine map-side."""
+    held = keys.select("doc_id", F.explode(F.array_distinct(F.array_compact("keys"))).alias("key"))
+    return (held.groupBy("doc_id", F.unhex("key").alias("key"))
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .groupBy("key").agg(F.count("doc_id").alias("n_docs"), F.sum("n_rows").alias("n_rows"),
+                                F.max("doc_id").alias("owner"))
             .filter(F.col("n_docs") >= min_docs))
 
 
@@ -60,7 +62,7 @@ def dropped_positions(keys: DataFrame, common: DataFrame) -> DataFrame:
     lines = (keys.select("doc_id", "rid", "rhash", F.posexplode("keys").alias("pos", "hex"))
              .filter(F.col("hex").isNotNull())
              .select("doc_id", "rid", "rhash", "pos", F.unhex("hex").alias("key")))
-    hit = join_counted(lines, common, "key", "n_docs")
+    hit = join_counted(lines, common, "key", "n_rows")
     return (hit.filter(~F.col("doc_id").eqNullSafe(F.col("owner")))
             .groupBy("rid", "rhash").agg(F.sort_array(F.collect_set("pos")).alias("drops")))
 
