@@ -121,9 +121,59 @@ FROM r JOIN t ON r.host = t.host AND r.levels = t.levels
 LEFT JOIN z ON t.host = z.host AND t.template = z.template
 """
 
+OP12 = f"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w,
+         xor(4294967295, list_reduce(
+           list_transform(range(1, len(doc_id::VARCHAR) + 1),
+                          lambda i: ascii((doc_id::VARCHAR)[i])::BIGINT),
+           lambda c, b: list_reduce(range(8)::BIGINT[],
+             lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
+           4294967295::BIGINT)) AS h
+  FROM documents),
+u AS (
+  SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a
+  FROM t),
+o AS (
+  SELECT *, CASE WHEN a IS NOT NULL THEN 1 + (n - a) // (3 + (h // 10) % 8) END AS p FROM u),
+i AS (
+  SELECT doc_id, n, unnest(range(n)) AS i,
+         unnest(list_transform(range(n), lambda i: CASE
+           WHEN a IS NOT NULL AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END)) AS word
+  FROM o),
+e AS MATERIALIZED (
+  SELECT x.doc_id, y.i - x.i AS period, x.i
+  FROM i x JOIN i y ON x.doc_id = y.doc_id AND x.word = y.word
+               AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+s AS (
+  SELECT doc_id, period, min(i) AS start, count(*) + period AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, period ORDER BY i) AS island FROM e)
+  GROUP BY doc_id, period, island
+  HAVING count(*) + period >= greatest(6, 4 * period)),
+r AS MATERIALIZED (
+  SELECT doc_id, start, length, min(period) AS period FROM s GROUP BY ALL),
+c AS (
+  SELECT i.doc_id, i.i, i.word FROM i ANTI JOIN r
+    ON i.doc_id = r.doc_id AND i.i >= r.start + r.period AND i.i < r.start + r.length),
+b AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_runs FROM r
+  QUALIFY row_number() OVER (
+    PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+f AS (
+  SELECT doc_id, string_agg(start || ',' || length || ',' || period || chr(10), ''
+                            ORDER BY start, period) AS runs FROM r GROUP BY doc_id),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM c GROUP BY doc_id)
+SELECT d.doc_id, coalesce(b.n_runs, 0) AS n_runs, b.start, b.length, b.period,
+       1000 * b.length // b.period AS exponent_milli,
+       sha256(coalesce(f.runs, '')) AS runs_sha256,
+       sha256(coalesce(k.kept, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN b USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
 SQL: dict[str, str] = {
     "op2_exact_dedup": OP2,
     "op4_line_dedup": OP4,
     "op5_url_filter": OP5,
     "op9_minhash_near_dedup": OP9,
+    "op12_periodic_runs": OP12,
 }

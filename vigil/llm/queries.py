@@ -17,6 +17,7 @@ from vigil.llm import (
     line_dedup,
     lm_score,
     near_dedup,
+    periodic,
     pii,
     toxicity,
     url_filter,
@@ -112,6 +113,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(read_table(spark, sf_dir, "documents"), periodic.planted)
+    line = F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+        r["period"].cast("string"), F.lit("\n")))
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                        _sha(F.array_join(line, "")).alias("runs_sha256"),
+                        _sha(F.col("collapsed")).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
@@ -123,4 +134,5 @@ QUERIES: dict[str, Query] = {
     "op8_lm_score": op8_lm_score,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_bpe": op10_bpe,
+    "op12_periodic_runs": op12_periodic_runs,
 }
