@@ -170,10 +170,29 @@ SELECT d.doc_id, coalesce(b.n_runs, 0) AS n_runs, b.start, b.length, b.period,
 FROM documents d LEFT JOIN b USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN k USING (doc_id)
 """
 
+OP13 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y
+    ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+      UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a),
+g AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN n USING (vec_id) JOIN g USING (vec_id)
+"""
+
 SQL: dict[str, str] = {
     "op2_exact_dedup": OP2,
     "op4_line_dedup": OP4,
     "op5_url_filter": OP5,
     "op9_minhash_near_dedup": OP9,
     "op12_periodic_runs": OP12,
+    "op13_embedding_near_dedup": OP13,
 }

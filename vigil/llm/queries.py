@@ -13,6 +13,7 @@ from vigil.llm import (
     bpe,
     chat_format,
     decontaminate,
+    embedding_dedup,
     exact_dedup,
     line_dedup,
     lm_score,
@@ -123,6 +124,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _sha(F.col("collapsed")).alias("collapsed_sha256"))
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.NearVectors(read_table(spark, sf_dir, "embeddings"), cosine=0.98)
+    return found.documents().select("vec_id", "n_links", "component_id", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
@@ -135,4 +141,5 @@ QUERIES: dict[str, Query] = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_bpe": op10_bpe,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
