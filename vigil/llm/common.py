@@ -66,6 +66,12 @@ def fixed(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``scratch_dir`` whose tables are no longer read."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fixed_in_place(df: DataFrame) -> DataFrame:
     """Materialised partition by partition, in order, as a reliable checkpoint."""
     return reliable_checkpoint(df)

@@ -121,6 +121,44 @@ FROM r JOIN t ON r.host = t.host AND r.levels = t.levels
 LEFT JOIN z ON t.host = z.host AND t.template = z.template
 """
 
+def _round(i: int) -> str:
+    """CTEs of one round: the vectors assigned to the centroids c{i}, and c{i + 1}."""
+    return f"""
+d{i} AS MATERIALIZED (
+  SELECT rid, cluster, distance FROM (
+    SELECT rid, c AS cluster, sum((x.q - c{i}.q) * (x.q - c{i}.q))::BIGINT AS distance
+    FROM x JOIN c{i} USING (pos) GROUP BY rid, c)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY distance, cluster) = 1),
+s{i} AS MATERIALIZED (
+  SELECT cluster, pos, sum(q)::BIGINT AS s, count(*) AS n
+  FROM d{i} JOIN x USING (rid) GROUP BY ALL),
+c{i + 1} AS MATERIALIZED (
+  SELECT c, c{i}.pos, coalesce((s - ((s % n) + n) % n) // n, q) AS q
+  FROM c{i} LEFT JOIN s{i} ON c = cluster AND c{i}.pos = s{i}.pos)"""
+
+
+OP11 = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id,
+         list_transform(embedding::DOUBLE[], lambda x: floor(1024 * x)::BIGINT) AS q
+  FROM embeddings
+  WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT rid, unnest(range(64)) AS pos, unnest(q) AS q FROM v),
+f AS (
+  SELECT q, row_number() OVER (ORDER BY sha256('3:' || vec_id), q) - 1 AS c
+  FROM v QUALIFY c < 8),
+c0 AS MATERIALIZED (SELECT c, unnest(range(64)) AS pos, unnest(q) AS q FROM f),
+{",".join(_round(i) for i in range(11))},
+g AS (
+  SELECT c, sha256(string_agg(q::VARCHAR, ',' ORDER BY pos)) AS centroid_sha256
+  FROM c10 GROUP BY c)
+SELECT vec_id, cluster::INTEGER AS cluster, distance,
+       sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM v JOIN d10 USING (rid) JOIN g ON c = cluster
+"""
+
 OP12 = f"""
 WITH t AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w,
@@ -193,6 +231,7 @@ SQL: dict[str, str] = {
     "op4_line_dedup": OP4,
     "op5_url_filter": OP5,
     "op9_minhash_near_dedup": OP9,
+    "op11_centroid_clustering": OP11,
     "op12_periodic_runs": OP12,
     "op13_embedding_near_dedup": OP13,
 }

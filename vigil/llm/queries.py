@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm import (
     bpe,
+    centroids,
     chat_format,
     decontaminate,
     embedding_dedup,
@@ -114,6 +115,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64,
+                             scale=1024, seed=3)
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic.periodic_runs(read_table(spark, sf_dir, "documents"), periodic.planted)
     line = F.transform("runs", lambda r: F.concat(
@@ -140,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "op8_lm_score": op8_lm_score,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_bpe": op10_bpe,
+    "op11_centroid_clustering": op11_centroid_clustering,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
