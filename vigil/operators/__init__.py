@@ -29,7 +29,6 @@ from vigil.operators.rules import (
     amount_hits,
     amount_sequence,
     batch_list,
-    batches_of,
     city_cheat,
     city_hits,
     city_sequence,
@@ -46,7 +45,7 @@ __all__ = [
     "fact_blacklist", "fact_transactions", "with_holder", "apply_snapshot", "changed_terminals",
     "current_terminals", "deleted_terminals", "history_from_snapshot", "new_terminals",
     "duplicate_keys", "orphans", "fraud_report", "write_report", "account_cheat", "all_rules",
-    "amount_cheat", "amount_hits", "batch_list", "batches_of", "city_cheat", "city_hits",
+    "amount_cheat", "amount_hits", "batch_list", "city_cheat", "city_hits",
     "flagged_clients", "expired_accounts", "passport_cheat", "hot_groups", "lag_columns",
     "amount_sequence", "city_sequence", "terminal_cities", "expiry_rules",
 ]

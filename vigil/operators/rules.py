@@ -6,109 +6,44 @@ number of batches in one job, and by default never looks across batches
 (``batch_date`` is part of every window partition and fact join key), which
 equals running the rule once per day.
 
-Batches are given as a bounded list of ``(batch_date, report_date)``: the
-expiry rules compare against ``report_date`` (the file date in the daily
-run). The list is checked against ``MAX_BATCHES`` and becomes a literal table,
-so broadcasting it is safe; facts are pruned to the listed dates.
+Batches are given as ``expiry.BatchSpec``: dates or ``(batch_date, report_date)``
+pairs, a table of them, or None for every batch of the facts. The expiry rules
+(``expiry``) compare against ``report_date``, the file date in the daily run.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.functions import date_lit, full_name, parse_amount, ts_lit, within_minutes
+from vigil.functions import date_lit, parse_amount, ts_lit, within_minutes
 from vigil.operators.dims import Bank, with_holder
+from vigil.operators.expiry import (
+    Batches,
+    BatchSpec,
+    account_cheat,
+    batch_list,
+    expired_accounts,
+    expiry_rules,
+    flagged_clients,
+    passport_cheat,
+)
 from vigil.operators.seqlag import DEFAULT_GROUP_ROWS, hot_groups, lag_columns
 from vigil.schemas import (
     AMOUNT_MAX_MINUTES,
     AMOUNT_OPER_TYPES,
-    BATCHES,
     CITY_MAX_MINUTES,
-    EVENT_ACCOUNT,
     EVENT_AMOUNT,
     EVENT_CITY,
-    EVENT_PASSPORT,
-    MAX_BATCHES,
-    NO_EXPIRY,
     REPORT_COLUMNS,
     RESULT_REJECT,
     RESULT_SUCCESS,
 )
 from vigil.session import reliable_checkpoint
 
-BatchSpec = dt.date | tuple[dt.date, dt.date] | Iterable[dt.date | tuple[dt.date, dt.date]]
-
-
-# --- batches ---------------------------------------------------------------
-
-def batch_list(batches: BatchSpec) -> list[tuple[dt.date, dt.date]]:
-    """Normalise to a sorted list of ``(batch_date, report_date)``.
-
-    A single date is one batch judged on its own date; a 2-tuple of dates is
-    one ``(batch_date, report_date)`` pair; several batches are given as a
-    list (of dates or pairs)."""
-    if isinstance(batches, dt.date):
-        batches = [batches]
-    elif isinstance(batches, tuple) and len(batches) == 2 and all(
-            isinstance(x, dt.date) for x in batches):
-        batches = [batches]
-    out = set()
-    for b in batches:
-        out.add((b, b) if isinstance(b, dt.date) else (b[0], b[1]))
-    if not out:
-        raise ValueError("no batch given")
-    if len(out) > MAX_BATCHES:
-        raise ValueError(f"{len(out)} batches exceed MAX_BATCHES={MAX_BATCHES}; "
-                         "split the backfill into ranges")
-    return sorted(out)
-
-
-def batches_of(facts: DataFrame, limit: int = MAX_BATCHES) -> list[tuple[dt.date, dt.date]]:
-    """All batch dates present in ``facts`` (report date = batch date).
-
-    Only the distinct dates reach the driver, at most ``limit`` of them."""
-    rows = facts.select("batch_date").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} batches in facts")
-    dates = [r["batch_date"] for r in rows if r["batch_date"] is not None]
-    return batch_list(dates) if dates else []
-
-
-def _batch_table(spark, batches: list[tuple[dt.date, dt.date]]) -> DataFrame:
-    # bounded by MAX_BATCHES rows (checked in batch_list): safe to broadcast
-    return F.broadcast(spark.createDataFrame(batches, BATCHES))
-
-
-def _facts_of(facts: DataFrame, batches: list[tuple[dt.date, dt.date]]) -> DataFrame:
-    return facts.filter(F.col("batch_date").isin([date_lit(b) for b, _ in batches]))
-
-
-def _with_operations(holders: DataFrame, tx: DataFrame, require_event: bool,
-                     dates: list[dt.date]) -> DataFrame:
-    """``holders LEFT JOIN tx USING (card_num, batch_date)`` written so that a hot
-    card on the fact side never lands in one task: the inner join (AQE splits
-    skewed partitions on either side of an inner join) plus the holder rows
-    without an operation, found by an anti join against the *distinct* card
-    keys of the facts (partial aggregation collapses a hot card to one row)."""
-    keys = ["card_num", "batch_date"]
-    # both joins start from the same filtered subtree, so the holder side is
-    # planned once and its shuffles are reused; rows with a null key can match
-    # no operation and become null-event rows directly
-    known = holders.filter(F.col("card_num").isNotNull()
-                           & F.col("batch_date").isin([date_lit(d) for d in dates]))
-    matched = known.join(tx, keys, "inner")
-    if require_event:
-        return matched
-    none = F.lit(None).cast("timestamp_ntz")
-    seen = tx.select(*keys).distinct()
-    idle = known.join(seen, keys, "left_anti").withColumn("event_dt", none)
-    keyless = holders.filter(F.col("card_num").isNull()).withColumn("event_dt", none)
-    return matched.unionByName(idle).unionByName(keyless)
-
 
 def _report(rows: DataFrame, event_type: str, as_of: dt.datetime) -> DataFrame:
     return rows.select(
@@ -117,145 +52,6 @@ def _report(rows: DataFrame, event_type: str, as_of: dt.datetime) -> DataFrame:
     ).select(*REPORT_COLUMNS)
 
 
-# --- R-1: operations on expired accounts ------------------------------------
-
-def expired_accounts(bank: Bank, batches: BatchSpec) -> DataFrame:
-    """Accounts ending before the report date of each batch, with their client.
-
-    ``valid_to < report_date``; a null end never expires. The date list is a
-    small broadcast side of a range join; accounts are first cut by the
-    latest report date, which reaches the scan as a pushed filter."""
-    bl = batch_list(batches)
-    spark = bank.accounts.sparkSession
-    dates = _batch_table(spark, bl)
-    latest = max(r for _, r in bl)
-    accounts = (bank.accounts.filter(F.col("valid_to") < date_lit(latest))
-                .select("account_num", "valid_to", F.col("client").alias("client_id")))
-    clients = bank.clients.select("client_id", "last_name", "first_name", "patronymic",
-                                  "passport_num", "phone")
-    return (accounts.join(dates, F.col("valid_to") < F.col("report_date"), "inner")
-            .join(clients, "client_id", "left")
-            .select("batch_date", "account_num", "last_name", "first_name", "patronymic",
-                    "passport_num", "phone"))
-
-
-def _account_holders(bank: Bank, bl, require_event: bool) -> DataFrame:
-    """Cards of expired accounts per batch: ``card_num, batch_date, passport_num,
-    phone, fio`` (a null card for an account without cards)."""
-    holders = expired_accounts(bank, bl).select(
-        "batch_date", "account_num", "passport_num", "phone",
-        full_name("last_name", "first_name", "patronymic").alias("fio"))
-    cards = bank.cards.select("card_num", "account_num")
-    how = "inner" if require_event else "left"
-    return holders.join(cards, "account_num", how).drop("account_num")
-
-
-def account_cheat(bank: Bank, facts: DataFrame, batches: BatchSpec,
-                  as_of: dt.datetime, *, require_event: bool = False) -> DataFrame:
-    """One row per transaction of the batch on any card of an expired account;
-    a row with null ``event_dt`` for each such card without one (and for an
-    account without cards) unless ``require_event``."""
-    bl = batch_list(batches)
-    tx = _facts_of(facts, bl).select("card_num", "batch_date", F.col("trans_date").alias("event_dt"))
-    rows = _with_operations(_account_holders(bank, bl, require_event), tx, require_event,
-                            [b for b, _ in bl])
-    return _report(rows, EVENT_ACCOUNT, as_of)
-
-
-# --- R-2: clients with an expired or blacklisted passport ------------------
-
-def _listed(blacklist: DataFrame, bl: list[tuple[dt.date, dt.date]]) -> DataFrame:
-    """Blacklist entries per (batch, passport): pre-aggregated, one row each."""
-    return (_facts_of(blacklist, bl).filter(F.col("passport_num").isNotNull())
-            .groupBy("batch_date", "passport_num").agg(F.count(F.lit(1)).alias("_listed")))
-
-
-def flagged_clients(bank: Bank, blacklist: DataFrame, batches: BatchSpec) -> DataFrame:
-    """Clients whose passport ended before the report date (null = never) or is
-    on the batch's blacklist; one row per client and batch, with the number of
-    blacklist entries of the passport in ``_listed`` (null when not listed)."""
-    bl = batch_list(batches)
-    spark = bank.clients.sparkSession
-    dates = _batch_table(spark, bl)
-    latest = max(r for _, r in bl)
-    # a day's blacklist is small next to the client base: counted, then
-    # broadcast, so clients are matched map-side instead of being shuffled
-    listed = _bounded_broadcast(_listed(blacklist, bl), SMALL_SUMMARY_ROWS)
-    end = F.coalesce(F.col("passport_valid_to"), date_lit(NO_EXPIRY))
-    clients = bank.clients.select("client_id", "last_name", "first_name", "patronymic",
-                                  "passport_num", "passport_valid_to", "phone")
-    cols = ["batch_date", "client_id", "last_name", "first_name", "patronymic",
-            "passport_num", "phone", "_listed"]
-    # expired passports: range join against the small date list
-    expired = (clients.filter(end < date_lit(latest))
-               .join(dates, end < F.col("report_date"), "inner")
-               .join(listed, ["batch_date", "passport_num"], "left")
-               .select(*cols))
-    # listed but not expired: equi join on the passport, disjoint from the above
-    listed_only = (clients.join(listed, "passport_num", "inner")
-                   .join(dates, "batch_date", "inner")
-                   .filter(~(end < F.col("report_date")))
-                   .select(*cols))
-    return expired.unionByName(listed_only)
-
-
-def _passport_holders(bank: Bank, blacklist: DataFrame, bl, require_event: bool) -> DataFrame:
-    """Cards of flagged clients per batch: ``card_num, batch_date, passport_num,
-    phone, fio, _listed``."""
-    flagged = flagged_clients(bank, blacklist, bl).select(
-        "batch_date", "client_id", "passport_num", "phone", "_listed",
-        full_name("last_name", "first_name", "patronymic").alias("fio"))
-    accounts = bank.accounts.select("account_num", F.col("client").alias("client_id"))
-    cards = bank.cards.select("card_num", "account_num")
-    how = "inner" if require_event else "left"
-    return (flagged.join(accounts, "client_id", how).join(cards, "account_num", how)
-            .drop("client_id", "account_num"))
-
-
-def _blacklist_copies(rows: DataFrame) -> DataFrame:
-    """Repeat a row once per blacklist entry of its passport (``_listed``)."""
-    copies = F.sequence(F.lit(1), F.coalesce(F.col("_listed"), F.lit(1)).cast("int"))
-    return rows.withColumn("_copy", F.explode(copies))
-
-
-def passport_cheat(bank: Bank, facts: DataFrame, blacklist: DataFrame, batches: BatchSpec,
-                   as_of: dt.datetime, *, dedupe_blacklist: bool = False,
-                   require_event: bool = False) -> DataFrame:
-    """One row per transaction on any card of a flagged client, null-event rows
-    as in ``account_cheat`` (none with ``require_event``); rows are repeated
-    once per blacklist entry of the passport unless ``dedupe_blacklist``."""
-    bl = batch_list(batches)
-    tx = _facts_of(facts, bl).select("card_num", "batch_date", F.col("trans_date").alias("event_dt"))
-    rows = _with_operations(_passport_holders(bank, blacklist, bl, require_event), tx,
-                            require_event, [b for b, _ in bl])
-    if not dedupe_blacklist:
-        rows = _blacklist_copies(rows)
-    return _report(rows, EVENT_PASSPORT, as_of)
-
-
-def expiry_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame,
-                 account_batches: BatchSpec, passport_batches: BatchSpec,
-                 as_of: dt.datetime, *, require_event: bool = False,
-                 dedupe_blacklist: bool = False) -> DataFrame:
-    """Account and passport rules together: their card holders are united and
-    joined to the facts once (one fact shuffle for both rules)."""
-    abl, pbl = batch_list(account_batches), batch_list(passport_batches)
-    dates = sorted({b for b, _ in abl} | {b for b, _ in pbl})
-    tx = (facts.filter(F.col("batch_date").isin([date_lit(d) for d in dates]))
-          .select("card_num", "batch_date", F.col("trans_date").alias("event_dt")))
-    holders = (_account_holders(bank, abl, require_event)
-               .withColumn("_listed", F.lit(None).cast("long"))
-               .withColumn("event_type", F.lit(EVENT_ACCOUNT))
-               .unionByName(_passport_holders(bank, blacklist, pbl, require_event)
-                            .withColumn("event_type", F.lit(EVENT_PASSPORT))))
-    rows = _with_operations(holders, tx, require_event, dates)
-    if not dedupe_blacklist:
-        rows = _blacklist_copies(rows)
-    return rows.select(
-        "event_dt", F.col("passport_num").alias("passport"), "fio", "phone", "event_type",
-        ts_lit(as_of).alias("report_dt"), "batch_date").select(*REPORT_COLUMNS)
-
-
 # --- R-3: operations in different cities within an hour --------------------
 
 CITY_ORDER = ("trans_date", "trans_id", "terminal", "oper_result", "effective_from",
@@ -503,8 +299,8 @@ def all_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame, hist: DataFram
     read once. ``account_batches`` / ``passport_batches`` give the expiry
     rules other report dates than ``batches``. ``hot`` passes hot-group stats
     computed by the caller (``None``: no hot group)."""
-    bl = batch_list(batches)
-    dated = _facts_of(facts, bl)
+    b = Batches.of(batches, facts.sparkSession, facts)
+    dated = b.only(facts)
     city_opts = dict(city_options or {})
     amount_opts = dict(amount_options or {})
     city_opts.setdefault("max_group_rows", max_group_rows)
@@ -525,12 +321,12 @@ def all_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame, hist: DataFram
         ts_lit(as_of).alias("report_dt"), "batch_date").select(*REPORT_COLUMNS)
     account_opts, passport_opts = dict(account_options or {}), dict(passport_options or {})
     if account_opts.get("require_event", False) == passport_opts.get("require_event", False):
-        expiry = (expiry_rules(bank, facts, blacklist, account_batches or bl,
-                               passport_batches or bl, as_of,
+        expiry = (expiry_rules(bank, facts, blacklist, account_batches or b,
+                               passport_batches or b, as_of,
                                require_event=account_opts.get("require_event", False),
                                dedupe_blacklist=passport_opts.get("dedupe_blacklist", False)),)
     else:
-        expiry = (account_cheat(bank, facts, account_batches or bl, as_of, **account_opts),
-                  passport_cheat(bank, facts, blacklist, passport_batches or bl, as_of,
+        expiry = (account_cheat(bank, facts, account_batches or b, as_of, **account_opts),
+                  passport_cheat(bank, facts, blacklist, passport_batches or b, as_of,
                                  **passport_opts))
     return (*expiry, sequence)

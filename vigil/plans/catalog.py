@@ -90,11 +90,16 @@ def q_rule_account(spark, d):
 
 
 def q_rule_account_daily(spark, d):
-    """Every day of the facts is a batch judged on its own date (range join of
-    accounts with the bounded date list), operations only."""
+    """Every day of the facts is a batch judged on its own date, operations only."""
     facts = b.facts(spark, d, per_day=True)
-    return rules.account_cheat(b.bank(spark, d), facts, rules.batches_of(facts), b.REPORT_AS_OF,
-                               require_event=True)
+    return rules.account_cheat(b.bank(spark, d), facts, None, b.REPORT_AS_OF, require_event=True)
+
+
+def q_rule_passport_daily(spark, d):
+    """Every day of the facts judged on its own date against the day's own blacklist, with
+    a row for each flagged card that has no operation on a day."""
+    return rules.passport_cheat(b.bank(spark, d), b.facts(spark, d, per_day=True),
+                                b.blacklist_daily(spark, d), None, b.REPORT_AS_OF)
 
 
 def q_report_daily(spark, d):
@@ -104,7 +109,7 @@ def q_report_daily(spark, d):
     facts = b.facts(spark, d, per_day=True)
     return report.fraud_report(rules.all_rules(
         b.bank(spark, d), facts, b.blacklist_daily(spark, d), b.hist1(spark, d),
-        rules.batches_of(facts), b.REPORT_AS_OF,
+        None, b.REPORT_AS_OF,
         account_options={"require_event": True}, passport_options={"require_event": True},
         city_options={"max_minutes": b.CITY_MINUTES},
         amount_options={"max_minutes": b.AMOUNT_MINUTES}))
@@ -276,6 +281,7 @@ QUERIES: dict[str, Query] = {
     "rule_account": q_rule_account,
     "rule_passport": q_rule_passport,
     "rule_account_daily": q_rule_account_daily,
+    "rule_passport_daily": q_rule_passport_daily,
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_orphans": q_dq_orphans,
     "cards_city_count": q_cards_city_count,

@@ -39,7 +39,6 @@ from vigil.schemas import (
     FEED_TERMINALS,
     FEED_TRANSACTIONS,
     FEEDS,
-    MAX_BATCHES,
     REPORT,
     TABLE_EXTENSIONS,
     TERMINALS_HIST,
@@ -400,11 +399,6 @@ def process_batches(spark: SparkSession, landing: str | list[str], wh: Warehouse
         # one distinct, increasing load time per day of this run
         def load_time(d: dt.date, _order={d: i for i, d in enumerate(dates)}) -> dt.datetime:
             return run_time + dt.timedelta(seconds=_order[d])
-    if len(dates) > MAX_BATCHES:  # a long backlog runs in parts, as separate runs would
-        for i in range(0, len(dates), MAX_BATCHES):
-            process_batches(spark, landing, wh, dates[i:i + MAX_BATCHES], run_time, load_time,
-                            staged_transactions, **options)
-        return dates
     load_facts(spark, landing, wh, dates, staged_transactions)
     times = load_history(spark, landing, wh, dates, load_time,
                          **options.get("history_options", {}))

@@ -361,6 +361,19 @@ def oracle_sql() -> dict[str, str]:
              LEFT JOIN dim_clients c ON a.client = c.client_id
              JOIN dim_cards k ON a.account_num = k.account_num
              JOIN facts_daily t ON k.card_num = t.card_num AND t.batch_date = d.batch_date""")
+    q["rule_passport_daily"] = _with(_RULE_DEPS + ("facts_daily", "blacklist_daily", "days"), f"""
+        SELECT t.trans_date AS event_dt, f.passport_num AS passport,
+               f.last_name || ' ' || f.first_name || ' ' || f.patronymic AS fio, f.phone,
+               'passport cheat' AS event_type, {AS_OF} AS report_dt, f.batch_date
+        FROM (SELECT cl.*, d.batch_date FROM dim_clients cl JOIN days d
+                ON COALESCE(cl.passport_valid_to, DATE '2999-12-31') < d.batch_date
+                OR cl.passport_num IN (SELECT passport_num FROM blacklist_daily b
+                                       WHERE b.batch_date = d.batch_date)) f
+             LEFT JOIN dim_accounts a ON f.client_id = a.client
+             LEFT JOIN dim_cards k ON a.account_num = k.account_num
+             LEFT JOIN facts_daily t ON k.card_num = t.card_num AND t.batch_date = f.batch_date
+             LEFT JOIN blacklist_daily b ON f.passport_num = b.passport_num
+                                        AND b.batch_date = f.batch_date""")
     q["dq_duplicate_keys"] = _with(("dim_clients", "dim_accounts", "dim_cards", "fact_blacklist"), """
         SELECT 'dim_clients' AS relation, client_id AS key_value, count(*) AS n_rows
         FROM dim_clients WHERE client_id IS NOT NULL GROUP BY client_id HAVING count(*) > 1

@@ -45,9 +45,6 @@ TABLE_EXTENSIONS = {FEED_BLACKLIST: ("csv", "parquet"), FEED_TERMINALS: ("csv",
 FILE_DATE_PATTERN = r"(\d{8})"
 FILE_DATE_FORMAT = "ddMMyyyy"
 
-# Largest number of batch dates one job handles in a broadcast date list.
-MAX_BATCHES = 4000
-
 
 def _s(name: str, dtype: T.DataType = T.StringType(), nullable: bool = True) -> T.StructField:
     return T.StructField(name, dtype, nullable)
