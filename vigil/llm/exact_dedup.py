@@ -67,8 +67,10 @@ class DigestIndex:
         doc_id, digest, n_rows, keep_id, group_size, kept. Repeating a batch (after
         a failure) appends only what is missing and gives the same rows."""
         rows = fixed(digest_rows(docs))
-        groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"),
-                                            F.count(F.lit(1)).alias("group_size"))
+        # written before the joins: an anti-join pushed below the aggregation would bring
+        # all rows of a hot digest into one task
+        groups = fixed(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"),
+                                                  F.count(F.lit(1)).alias("group_size")))
         fresh = (groups.join(self.frame().select("digest").hint("merge"), "digest", "left_anti")
                  .select("digest", "keep_id", "group_size", F.lit(batch).alias("batch")))
         (fresh.repartition(self.buckets, "digest").sortWithinPartitions("digest")
