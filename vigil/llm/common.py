@@ -63,7 +63,15 @@ def fixed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, "fixed")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def drop_fixed(*tables: DataFrame) -> None:
+    """Delete tables of ``fixed`` that no later plan reads."""
+    for table in tables:
+        delete_scratch(table.sparkSession, table.scratch_path)
 
 
 def delete_scratch(spark: SparkSession, path: str) -> None:

@@ -4,6 +4,9 @@ In each round every node hooks to its smallest neighbour (one aggregation, combi
 map-side, so a star's centre is no hot group), pointers are doubled, and the links are
 contracted to links between the new roots; a star is one node after one round. Only
 DataFrames hold nodes, links and labels.
+
+Defined results: links with a null end or between a node and itself are left out, repeated
+links count once; no links give no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ def _relabel(rows: DataFrame, column: str, labels: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """node, root for every node in ``links`` (a, b); root is the component's name."""
-    links = fixed(links.select("a", "b").filter("a <> b").distinct())
+    links = fixed(links.select("a", "b").filter("a <> b").distinct())  # drops null ends too
     labels = None
     while not links.isEmpty():
         step = _hooked(links)

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import fixed, join_counted, map_arrow, unwrapped, wrapped
+from vigil.llm.common import drop_fixed, fixed, join_counted, map_arrow, unwrapped, wrapped
 from vigil.llm.components import components
 
 #: bands x rows per band; at similarity 0.85 a pair misses all buckets with probability
@@ -46,8 +46,9 @@ from vigil.llm.components import components
 BANDS, ROWS = 20, 4
 #: buckets of at most so many members are compared pair by pair in the second round
 SMALL_BUCKET = 32
-#: centres of a large bucket in the second round
-STARS = 16
+#: centres of a large bucket in the second round; the exact join behind them finds the
+#: rest, so their number decides work only
+STARS = 4
 #: members of a shingle's group in a block of the exact join
 BLOCK = 256
 #: members around one centre that are confirmed in one group
@@ -177,8 +178,10 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                          "b")
     both = member.join(centre, ["a", "part"])
     common = F.size(F.array_intersect("set_a", "set_b"))
-    return fixed(both.filter(_similar(common, F.size("set_a"), F.size("set_b"), percent))
-                 .select("a", "b"))
+    found = fixed(both.filter(_similar(common, F.size("set_a"), F.size("set_b"), percent))
+                  .select("a", "b"))
+    drop_fixed(degree, salted)
+    return found
 
 
 def _stars(members: DataFrame, turns: range, percent: int) -> DataFrame:
@@ -192,11 +195,10 @@ def _stars(members: DataFrame, turns: range, percent: int) -> DataFrame:
                                 F.col(f"root{turn}").alias("ra")))
     found = fixed(members.groupBy("bucket").agg(*stars, F.count(F.lit(1)).alias("n_members"))
                   .select("bucket", "n_members", F.array(*centres).alias("centres")))
-    both = join_counted(members, found, "bucket", "n_members").select(
-        "cid", "n", "root", F.inline("centres"))
-    return (both.filter(F.col("ra") != F.col("root"))
-            .filter(_size_fits(F.col("na"), F.col("n"), percent))
-            .select("a", F.col("cid").alias("b")).distinct())
+    able = F.filter("centres", lambda c: (c["ra"] != F.col("root"))
+                    & _size_fits(c["na"], F.col("n"), percent))
+    return (join_counted(members, found, "bucket", "n_members")
+            .select(F.col("cid").alias("b"), F.inline(able)).select("a", "b").distinct())
 
 
 def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -220,23 +222,25 @@ def _prefix(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     classes = fixed(open_.select("cid", "n", "root").distinct())
     weight = fixed(classes.groupBy("root").agg(F.count(F.lit(1)).alias("weight")))
     classes = fixed(join_counted(classes, weight, "root", "weight"))
-    tokens = fixed(sets.join(classes, "cid").select(
-        "cid", "n", "root", "weight", F.explode("shingles").alias("s")))
-    shared = fixed(tokens.groupBy("s").agg(
+    tokens = fixed(sets.join(classes, "cid", "left_semi")
+                   .select("cid", F.explode("shingles").alias("s")))
+    shared = fixed(tokens.join(classes, "cid").groupBy("s").agg(
         F.count(F.lit(1)).alias("holders"), F.min("root").alias("lo"), F.max("root").alias("hi"),
         F.max(F.struct("weight", "root")).alias("lead"))
         .filter("lo <> hi").select("s", "holders", F.col("lead.root").alias("lead")))
-    found = (join_counted(tokens.drop("weight"), shared, "s", "holders")
-             .groupBy("cid", "n", "root")
-             .agg(F.sort_array(F.collect_list(F.struct("holders", "s", "lead"))).alias("held")))
+    found = (join_counted(tokens, shared, "s", "holders").groupBy("cid")
+             .agg(F.sort_array(F.collect_list(F.struct("holders", "s", "lead"))).alias("held"))
+             .join(classes.drop("weight"), "cid"))
     length = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
     alone = F.col("n") - F.size("held")
-    return fixed(found.withColumn("alone", alone).withColumn("most", length - alone)
+    out = fixed(found.withColumn("alone", alone).withColumn("most", length - alone)
                  .filter("most > 0")
                  .select("cid", "n", "root", "alone", F.posexplode(
                      F.slice("held", F.lit(1), F.col("most").cast("int"))).alias("at", "t"))
                  .select("t.s", "cid", "n", "root", "t.lead",
                          (F.col("alone") + F.col("at") + 1).alias("at")))
+    drop_fixed(weight, tokens, shared)
+    return out
 
 
 def _prefix_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -270,8 +274,10 @@ def _prefix_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     fits = ((F.col("ra") != F.col("rb")) & (~F.col("few") | (F.col("a") < F.col("b")))
             & _size_fits(F.col("na"), F.col("nb"), percent)
             & ((100 + percent) * left >= percent * (F.col("na") + F.col("nb"))))
-    return (x.join(y, ["s", "i", "j"]).filter(fits)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    found = fixed(x.join(y, ["s", "i", "j"]).filter(fits)
+                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    drop_fixed(prefix, groups, placed)
+    return found
 
 
 def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
