@@ -5,8 +5,7 @@ enrichment is a chain of n:1 left joins card -> account -> client. Join
 strategies between dimensions are left to the optimizer: with adaptive
 execution a side that is small at run time is broadcast, anything else is a
 shuffled join, so no dimension is ever broadcast on the assumption that it is
-small. The only hint here is on the counted key set of a rule's hits
-(``with_holder``).
+small; there are no hints.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions import date_lit, full_name
-from vigil.session import reliable_checkpoint
+from vigil.session import written
 
 
 @dataclass(frozen=True)
@@ -100,28 +99,19 @@ def card_holders(bank: Bank) -> DataFrame:
             .select("card_num", "account_num", "client_id", "fio", "passport_num", "phone"))
 
 
-# Hit sets up to this many rows have their card keys broadcast to filter the
-# card-holder side before the join (the count is taken on the materialised hits).
-SMALL_HITS_ROWS = 2_000_000
-
-
-def with_holder(df: DataFrame, holders: Bank | DataFrame, *,
-                small_rows: int = SMALL_HITS_ROWS, materialize: bool = True) -> DataFrame:
+def with_holder(df: DataFrame, holders: Bank | DataFrame) -> DataFrame:
     """Add ``fio``, ``passport_num`` and ``phone`` of the card holder to rule
     hits carrying ``card_num`` (left join: unknown cards keep null columns).
 
     ``holders`` is the bank (card holders are derived) or a stored
     ``card_holders`` table. Hits are few; the holder side is as large as the
-    card base. The hits are materialised once (``checkpoint`` into the shared
-    checkpoint folder) and counted; when at most ``small_rows``, their distinct
-    card keys (a proven bound) are broadcast into a semi join that filters the
-    holder side map-side, so the card base is scanned but never shuffled for a
-    handful of hits. Above the bound the joins stay shuffle joins.
+    card base. The hits are written once, so their size in bytes is known: when
+    it is below Spark's limit, their distinct card keys are broadcast into a semi
+    join that filters the holder side map-side, and the card base is scanned but
+    never shuffled for a handful of hits; above it the joins are shuffle joins.
     """
     table = card_holders(holders) if isinstance(holders, Bank) else holders
     table = table.select("card_num", "fio", "passport_num", "phone")
-    hits = reliable_checkpoint(df) if materialize else df
-    if materialize and hits.count() <= small_rows:
-        keys = F.broadcast(hits.select("card_num").filter(F.col("card_num").isNotNull()).distinct())
-        table = table.join(keys, "card_num", "left_semi")
-    return hits.join(table, "card_num", "left")
+    hits = written(df)
+    keys = hits.select("card_num").filter(F.col("card_num").isNotNull()).distinct()
+    return hits.join(table.join(keys, "card_num", "left_semi"), "card_num", "left")

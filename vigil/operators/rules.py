@@ -19,7 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.functions import date_lit, parse_amount, ts_lit, within_minutes
+from vigil.functions import parse_amount, ts_lit, within_minutes
+from vigil.operators.asof import as_of_join, last_before
 from vigil.operators.dims import Bank, with_holder
 from vigil.operators.expiry import (
     Batches,
@@ -42,7 +43,7 @@ from vigil.schemas import (
     RESULT_REJECT,
     RESULT_SUCCESS,
 )
-from vigil.session import reliable_checkpoint
+from vigil.session import written
 
 
 def _report(rows: DataFrame, event_type: str, as_of: dt.datetime) -> DataFrame:
@@ -58,21 +59,10 @@ CITY_ORDER = ("trans_date", "trans_id", "terminal", "oper_result", "effective_fr
               "deleted_flg", "terminal_city")
 TX_ORDER = ("trans_date", "trans_id", "terminal", "oper_result")
 VERSION_ORDER = ("effective_from", "deleted_flg", "terminal_city")
-# Terminal summaries up to this many rows are broadcast (counted after materialising).
-SMALL_SUMMARY_ROWS = 5_000_000
-
-
 def _keys(cross_batch: bool) -> list[str]:
     return ["card_num"] if cross_batch else ["batch_date", "card_num"]
 
 
-def _bounded_broadcast(df: DataFrame, small_rows: int) -> DataFrame:
-    """Materialise a dimension-sized side, count it, and broadcast it when it
-    has at most ``small_rows`` rows (a proven bound); otherwise it stays a
-    shuffle-join side."""
-    df = reliable_checkpoint(df)
-    return F.broadcast(df) if df.count() <= small_rows else df
-
 
 def _hot(df: DataFrame, keys: list[str], max_group_rows: int | None, hot) -> DataFrame | None:
     """Hot groups of ``df`` unless given: slicing any group is exact, so stats
@@ -80,7 +70,7 @@ def _hot(df: DataFrame, keys: list[str], max_group_rows: int | None, hot) -> Dat
     every sequence rule of a run."""
     if hot != "auto":
         return hot
-    return hot_groups(df, keys, "trans_date", max_group_rows) if max_group_rows else None
+    return hot_groups(df, keys, max_group_rows) if max_group_rows else None
 
 
 def cards_city_count(tx: DataFrame, hist: DataFrame) -> DataFrame:
@@ -97,78 +87,107 @@ def cards_multi_city(tx: DataFrame, hist: DataFrame) -> DataFrame:
     return cards_city_count(tx, hist).filter(F.col("cnt_city") > 1)
 
 
+KnownAt = dict[dt.date, dt.datetime]
+
+
+def _known_at(facts: DataFrame, known_at: KnownAt | None) -> DataFrame:
+    """The facts with the history load time of their batch (null without ``known_at``)."""
+    if not known_at:
+        return facts.withColumn("_known", F.lit(None).cast("timestamp_ntz"))
+    loads = facts.sparkSession.createDataFrame(sorted(known_at.items()),
+                                               "batch_date date, _known timestamp_ntz")
+    # the caller's own dictionary: 16 bytes a day
+    return facts.join(F.broadcast(loads), "batch_date", "left")
+
+
 def city_sequence(facts: DataFrame, hist: DataFrame, *, terminal_match: str = "all_versions",
                   cross_batch: bool = False, max_group_rows: int | None = DEFAULT_GROUP_ROWS,
-                  known_at: dict[dt.date, dt.datetime] | None = None, hot="auto") -> DataFrame:
+                  known_at: KnownAt | None = None, hot="auto") -> DataFrame:
     """Transactions of known cards joined to terminal history, with the previous
     row's city and time on the same card.
 
     ``terminal_match='all_versions'`` joins every version of the terminal (a
     terminal that changed city gives one row per city); ``'as_of'`` only the
-    live version valid at the transaction time (none after a deletion).
+    live version valid at the transaction time (none after a deletion), which a
+    transaction finds by forward fill (``asof``).
     ``known_at`` maps a batch date to its history load time: a batch then only
     sees versions that existed after its own load, so a backfill over several
     days reads one history table and still gets each day's view."""
     tx = facts.filter(F.col("card_num").isNotNull()).select(
         "batch_date", "card_num", "trans_id", "trans_date", "oper_result", "terminal")
     h = hist.select("terminal_id", "terminal_city", "effective_from", "effective_to", "deleted_flg")
+    dated = _known_at(tx, known_at)
     if terminal_match == "as_of":
-        h = h.filter(F.col("deleted_flg") == 0)
-    # dimension-sized: broadcast under a counted bound, so the facts shuffle once
-    h = _bounded_broadcast(h, SMALL_SUMMARY_ROWS)
-    cond = F.col("terminal") == F.col("terminal_id")
-    if terminal_match == "as_of":
-        cond = (cond & (F.col("deleted_flg") == 0)
-                & F.col("trans_date").between(F.col("effective_from"), F.col("effective_to")))
-    elif terminal_match != "all_versions":
+        live = h.filter(F.col("deleted_flg") == 0).withColumnRenamed("terminal_id", "terminal")
+        rows = as_of_join(
+            dated, live.withColumn("_from", F.col("effective_from")), key="terminal",
+            time="trans_date", start="effective_from", end="effective_to",
+            values=["terminal_city", "_from", "deleted_flg"],
+            known=F.col("_known") if known_at else None, max_group_rows=max_group_rows)
+        rows = rows.withColumnRenamed("_from", "effective_from")
+    elif terminal_match == "all_versions":
+        cond = F.col("terminal") == F.col("terminal_id")
+        if known_at:
+            cond = cond & (F.col("effective_from") <= F.col("_known"))
+        rows = dated.join(written(h), cond, "left").drop("terminal_id", "effective_to")
+    else:
         raise ValueError(f"unknown terminal_match {terminal_match!r}")
-    if known_at:
-        loads = F.create_map(*[x for d, t in sorted(known_at.items())
-                               for x in (date_lit(d), ts_lit(t))])
-        cond = cond & (F.col("effective_from") <= loads[F.col("batch_date")])
-    rows = tx.join(h, cond, "left").drop("terminal_id", "effective_to")
+    rows = rows.drop("_known")
     keys = _keys(cross_batch)
     hot = _hot(tx, keys, max_group_rows, hot)
     return lag_columns(rows, keys, CITY_ORDER,
-                       {"lag_city": ("terminal_city", 1), "lag_time": ("trans_date", 1)},
-                       hot=hot, time_col="trans_date")
-
+                       {"lag_city": ("terminal_city", 1), "lag_time": ("trans_date", 1)}, hot=hot)
 
-def terminal_cities(hist: DataFrame, known_at: dict[dt.date, dt.datetime] | None = None,
-                    *, small_rows: int = SMALL_SUMMARY_ROWS) -> DataFrame:
-    """One row per terminal (per batch with ``known_at``) summarising its
-    versions in version order: ``first_city``, ``last_city`` and ``moved``
-    (two consecutive versions with different non-null cities).
 
-    This is all the city rule needs from the history in all-versions mode, so
-    facts join an n:1 table instead of fanning out over versions. The window
-    runs per terminal over its versions (a handful per terminal). The summary
-    is materialised and counted; up to ``small_rows`` rows it is broadcast so
-    the facts are shuffled only once, for the card window."""
+def terminal_views(hist: DataFrame) -> DataFrame:
+    """``terminal_id, effective_from, first_city, last_city, moved``: the summary of a
+    terminal's versions in version order, as it stands from every version's start on.
+    ``moved``: two consecutive versions had different non-null cities. The window runs per
+    terminal over its versions (at most one a load)."""
     h = hist.select("terminal_id", "terminal_city", "effective_from", "deleted_flg")
-    keys = ["terminal_id"]
-    if known_at:
-        seen = hist.sparkSession.createDataFrame(
-            sorted(known_at.items()), "batch_date date, _known_at timestamp_ntz")
-        # bounded by MAX_BATCHES rows
-        h = (h.join(F.broadcast(seen), F.col("effective_from") <= F.col("_known_at"), "inner")
-             .drop("_known_at"))
-        keys = ["batch_date", "terminal_id"]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in VERSION_ORDER])
+    w = Window.partitionBy("terminal_id").orderBy(*[F.col(c).asc_nulls_first()
+                                                    for c in VERSION_ORDER])
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     h = h.select("*", F.lag("terminal_city").over(w).alias("_prev"),
-                 F.row_number().over(w).alias("_rn"),
-                 F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_n"))
-    moved = F.coalesce(F.col("_prev") != F.col("terminal_city"), F.lit(False))
-    summary = (h.groupBy(*keys).agg(
-        F.max(F.when(F.col("_rn") == 1, F.col("terminal_city"))).alias("first_city"),
-        F.max(F.when(F.col("_rn") == F.col("_n"), F.col("terminal_city"))).alias("last_city"),
-        F.max(moved).alias("moved")))
-    return _bounded_broadcast(summary, small_rows)
+                 F.first("terminal_city").over(upto).alias("first_city"),
+                 F.lead(F.struct("effective_from")).over(w).alias("_next"))
+    step = F.coalesce(F.col("_prev") != F.col("terminal_city"), F.lit(False))
+    h = h.withColumn("moved", F.max(step).over(upto))
+    # the last of the versions with one start
+    same = F.col("_next").isNotNull() & F.col("_next.effective_from").eqNullSafe(F.col("effective_from"))
+    return h.filter(~same).select("terminal_id", "effective_from", "first_city",
+                                  F.col("terminal_city").alias("last_city"), "moved")
+
+
+def terminal_cities(hist: DataFrame) -> DataFrame:
+    """One row per terminal: its last view (``first_city, last_city, moved``).
+
+    This is all the city rule needs from the history in all-versions mode, so
+    facts join an n:1 table instead of fanning out over versions. The table is
+    written, so its size in bytes decides how it is joined."""
+    views = terminal_views(hist)
+    last = Window.partitionBy("terminal_id").orderBy(F.col("effective_from").desc_nulls_last())
+    return written(views.withColumn("_rn", F.row_number().over(last)).filter("_rn = 1")
+                   .select("terminal_id", "first_city", "last_city", "moved"))
+
+
+def terminal_cities_at(hist: DataFrame, facts: DataFrame, known_at: KnownAt,
+                       max_group_rows: int | None = DEFAULT_GROUP_ROWS) -> DataFrame:
+    """``batch_date, terminal_id`` of the facts with the view of the terminal at the batch's
+    load time: every pair finds its view by forward fill, so neither versions nor terminals
+    are multiplied by days."""
+    pairs = _known_at(facts.select("batch_date", F.col("terminal").alias("terminal_id")).distinct(),
+                      known_at)
+    views = terminal_views(hist.filter(F.col("effective_from").isNotNull()))
+    met = last_before(pairs, views, key="terminal_id", at=F.col("_known"), start="effective_from",
+                      values=["first_city", "last_city", "moved"], max_group_rows=max_group_rows)
+    return written(met.filter(F.col("_versions").isNotNull())
+                   .select("batch_date", "terminal_id", F.inline("_versions")))
 
 
 def _city_hits_by_summary(facts: DataFrame, hist: DataFrame, max_minutes: int,
                           cross_batch: bool, max_group_rows: int | None,
-                          known_at: dict[dt.date, dt.datetime] | None, hot) -> DataFrame:
+                          known_at: KnownAt | None, hot) -> DataFrame:
     """All-versions city rule on transactions joined to ``terminal_cities``.
 
     Over the rows of a transaction's versions, a row after the first is 0
@@ -180,15 +199,15 @@ def _city_hits_by_summary(facts: DataFrame, hist: DataFrame, max_minutes: int,
     window over all versions, with one row per transaction."""
     tx = facts.filter(F.col("card_num").isNotNull()).select(
         "batch_date", "card_num", "trans_id", "trans_date", "oper_result", "terminal")
-    summary = terminal_cities(hist, known_at)
+    summary = (terminal_cities_at(hist, tx, known_at, max_group_rows) if known_at
+               else terminal_cities(hist))
     on = ["terminal_id"] if not known_at else ["batch_date", "terminal_id"]
     rows = (tx.withColumnRenamed("terminal", "terminal_id")
             .join(summary, on, "left").withColumnRenamed("terminal_id", "terminal"))
     keys = _keys(cross_batch)
     hot = _hot(tx, keys, max_group_rows, hot)
     seq = lag_columns(rows, keys, TX_ORDER,
-                      {"lag_last_city": ("last_city", 1), "lag_time": ("trans_date", 1)},
-                      hot=hot, time_col="trans_date")
+                      {"lag_last_city": ("last_city", 1), "lag_time": ("trans_date", 1)}, hot=hot)
     step = (within_minutes("lag_time", "trans_date", max_minutes)
             & (F.col("first_city") != F.col("lag_last_city")))
     # versions of one transaction are 0 minutes apart: a move counts when 0 < max_minutes
@@ -200,7 +219,7 @@ def _city_hits_by_summary(facts: DataFrame, hist: DataFrame, max_minutes: int,
 def city_hits(facts: DataFrame, hist: DataFrame, *, max_minutes: int = CITY_MAX_MINUTES,
               terminal_match: str = "all_versions", cross_batch: bool = False,
               max_group_rows: int | None = DEFAULT_GROUP_ROWS,
-              known_at: dict[dt.date, dt.datetime] | None = None, hot="auto") -> DataFrame:
+              known_at: KnownAt | None = None, hot="auto") -> DataFrame:
     """Earliest SUCCESS transaction per card whose city differs from the previous
     row's city (any result, any type) less than ``max_minutes`` earlier.
 
@@ -254,7 +273,7 @@ def amount_sequence(facts: DataFrame, *, cross_batch: bool = False,
                    "terminal", parse_amount("amt").alias("amt_value")))
     keys = _keys(cross_batch)
     hot = _hot(ops, keys, max_group_rows, hot)
-    return lag_columns(ops, keys, AMOUNT_ORDER, AMOUNT_LAGS, hot=hot, time_col="trans_date")
+    return lag_columns(ops, keys, AMOUNT_ORDER, AMOUNT_LAGS, hot=hot)
 
 
 def amount_hits(facts: DataFrame, *, max_minutes: int = AMOUNT_MAX_MINUTES,
@@ -308,7 +327,7 @@ def all_rules(bank: Bank, facts: DataFrame, blacklist: DataFrame, hist: DataFram
     cross = city_opts.get("cross_batch", False)
     if (cross == amount_opts.get("cross_batch", False) and "hot" not in city_opts
             and "hot" not in amount_opts and max_group_rows):
-        shared = (hot_groups(dated, _keys(cross), "trans_date", max_group_rows)
+        shared = (hot_groups(dated, _keys(cross), max_group_rows)
                   if hot == "auto" else hot)
         city_opts["hot"] = amount_opts["hot"] = shared
     hits = (city_hits(dated, hist, **city_opts).select(

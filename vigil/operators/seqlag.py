@@ -1,29 +1,24 @@
-"""``lag`` over ordered groups that stays balanced when one group is huge.
-
-A window function runs each partition group in a single task. When one card
-(or the null card) holds a large share of a day's rows, the plain window puts
-all of them on one executor. ``lag_columns`` keeps the result of
-``lag(col, n) OVER (PARTITION BY keys ORDER BY order)`` exactly, but cuts such
-hot groups into time slices:
-
-1. ``hot_groups`` counts rows per group (a partial/final aggregate, combined
-   map-side, so the hot group never meets in one task) and keeps the groups
-   above ``max_rows``. For those it computes slice boundaries: approximate
-   quantiles of the time (``percentile_approx``, a mergeable sketch over the
-   hot rows only), so a burst is cut into slices of about ``max_rows`` rows;
-   if the boundary list would be too large, equal time spans instead.
-2. Rows of hot groups get a slice number that grows with the first order
-   column (time), so slices follow the group's order. The window runs per
-   ``keys + slice``; lags are already right for every row except the first
-   ``depth`` rows of a slice.
-3. Those head rows need the last ``depth`` rows before their slice. The first
-   and last ``depth`` rows of every slice form a small stream (at most
-   ``2 * depth`` rows per slice); the window over that stream, per group, gives
-   the head rows their exact lags.
-
-Groups below ``max_rows`` (all of them, normally) take the plain window and
-pay only for the count. Rows sharing one exact timestamp always stay in one
-slice (the order within a slice must follow the group's order).
+"""``lag`` and forward fill over ordered groups that stay balanced when one group is huge.
+
+A window function runs each partition group in a single task. When one card (or the null
+card) holds a large share of the rows, the plain window puts all of them on one executor.
+``lag_columns`` and ``fill_columns`` keep the window's result exactly, but treat such hot
+groups apart:
+
+1. ``hot_groups`` counts rows per group (combined map-side, so a hot group never meets in
+   one task) and keeps the groups above ``max_rows`` as a table. Normally there is none, and
+   the plain window is all there is.
+2. The rows of hot groups are sorted into ranges of the total order (keys, then the order
+   columns, then a row number, so that rows alike in everything are split too). A range is a
+   task's share whatever the keys and times in it: a card with all rows at one instant
+   spreads over as many ranges as its rows need.
+3. Within a range the window runs per group. Only what crosses a border is missing: the
+   first and last ``depth`` rows of every group and range (for a fill, the last value of
+   every group and range) form a small stream in which the window runs once more per
+   group. A range with fewer than ``depth`` rows of a group is in that stream whole, so
+   values are carried through it.
+
+The border stream of one group holds at most 2 x depth rows per range.
 """
 
 from __future__ import annotations
@@ -31,138 +26,124 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Groups with more rows than this are cut into time slices of about this size.
+from vigil.session import written
+
+# Groups with more rows than this are cut into ranges of about this size.
 DEFAULT_GROUP_ROWS = 2_000_000
-# Largest hot-group list that is collected and broadcast as a literal table.
-MAX_HOT_LIST = 100_000
-# Quantile boundaries: at most this many slices per group, and at most this
-# many boundary values in total (hot groups x slices) held as a literal table.
-MAX_SLICES = 1024
-MAX_BOUNDS = 1_000_000
-# Relative rank error of the quantile sketch is 1 / QUANTILE_ACCURACY.
-QUANTILE_ACCURACY = 10_000
 
-_SLICE_COLUMNS = ("_t0", "_width", "_bounds", "_slice", "_rn", "_cnt")
-_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+_SLICE_COLUMNS = ("_slice", "_tie", "_rn", "_cnt")
 
 
 def _order(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in cols]
 
 
-def _micros(time_col: str) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), F.col(time_col))
-
-
-def _null_safe_on(keys: Sequence[str], prefix: str) -> Column:
-    return reduce(lambda a, b: a & b,
-                  [F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(keys)])
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], time_col: str,
-               max_rows: int) -> DataFrame | None:
-    """Groups with more than ``max_rows`` rows, with their slicing parameters
-    (``_bounds``: quantile boundaries of the time in microseconds, or
-    ``_t0``/``_width``: equal time spans).
-
-    Returns None when there is none (the common case). The list is bounded by
-    ``rows / max_rows``; up to ``MAX_HOT_LIST`` entries it is collected and
-    broadcast as a literal table, above that it stays a DataFrame (equal time
-    spans) and adaptive execution picks the join.
-    """
-    span = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col("_t1"))
-    slices = F.ceil(F.col("_n") / F.lit(int(max_rows)))
-    stats = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min(time_col).alias("_t0"),
-                  F.max(time_col).alias("_t1"))
-             .filter(F.col("_n") > F.lit(int(max_rows)))
-             .select(*keys, "_n", "_t0",
-                     F.greatest(F.ceil(span / slices), F.lit(1)).cast("long").alias("_width")))
-    rows = stats.limit(MAX_HOT_LIST + 1).collect()
-    if not rows:
-        return None
-    spark = df.sparkSession
-    if len(rows) > MAX_HOT_LIST:
-        return stats.drop("_n").withColumn("_bounds", F.lit(None).cast("array<long>"))
-    n_slices = min(MAX_SLICES, max(-(-r["_n"] // int(max_rows)) for r in rows))
-    hot = spark.createDataFrame(rows, stats.schema)
-    if len(rows) * (n_slices - 1) > MAX_BOUNDS or n_slices < 2:
-        # equal time spans
-        return F.broadcast(hot.drop("_n").withColumn("_bounds", F.lit(None).cast("array<long>")))
-    # quantile boundaries over the hot rows only (the hot list is a literal table)
-    marks = [i / n_slices for i in range(1, n_slices)]
-    hk = F.broadcast(hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)]))
-    bounds = (df.join(hk, _null_safe_on(keys, "_hk"), "inner")
-              .groupBy(*keys)
-              .agg(F.percentile_approx(_micros(time_col), marks, QUANTILE_ACCURACY)
-                   .alias("_bounds")))
-    # at most MAX_BOUNDS values in all; merged by key on the driver (null keys too)
-    limits = {tuple(r[k] for k in keys): r["_bounds"] for r in bounds.collect()}
-    schema = T.StructType([stats.schema[k] for k in keys]
-                          + [stats.schema["_t0"], stats.schema["_width"],
-                             T.StructField("_bounds", T.ArrayType(T.LongType()))])
-    merged = [tuple(r[k] for k in keys) + (r["_t0"], r["_width"],
-                                           limits.get(tuple(r[k] for k in keys)))
-              for r in rows]
-    return F.broadcast(spark.createDataFrame(merged, schema))
-
-
-def assign_slices(df: DataFrame, keys: Sequence[str], hot: DataFrame, time_col: str) -> DataFrame:
-    """Attach ``_slice`` (0 for rows of groups that are not hot; -1 for hot rows
-    without a time) and the hot-group columns. The slice never decreases along
-    the time, so slices are consecutive ranges of the group's order."""
-    hot_keys = hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
-                          "_t0", "_width", "_bounds")
-    d = df.join(hot_keys, _null_safe_on(keys, "_hk"), "left").drop(
-        *[f"_hk{i}" for i in range(len(keys))])
-    is_hot = F.col("_width").isNotNull()
-    t = _micros(time_col)
-    by_quantile = F.size(F.filter(F.col("_bounds"), lambda b: b < t))
-    by_span = F.floor(F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col(time_col))
-                      / F.col("_width"))
-    chosen = F.when(F.col("_bounds").isNotNull(), by_quantile).otherwise(by_span)
-    slice_no = F.when(is_hot, F.when(F.col(time_col).isNull(), F.lit(-1)).otherwise(chosen))
-    return d.withColumn("_slice", F.coalesce(slice_no, F.lit(0)).cast("long"))
+def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | None:
+    """``keys, _n`` of the groups with more than ``max_rows`` rows, or None when there is
+    none (the common case). The table has at most rows / max_rows rows; one of them reaches
+    the driver, to see that there is any."""
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(
+        F.col("_n") > F.lit(int(max_rows)))
+    first = hot.limit(1).collect()
+    return written(hot.withColumn("_max", F.lit(int(max_rows)))) if first else None
 
 
-def lag_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                lags: Mapping[str, tuple[str, int]], *, hot: DataFrame | None = None,
-                time_col: str | None = None) -> DataFrame:
-    """Add ``name = lag(src, n)`` for every ``name -> (src, n)`` in ``lags``.
+def _is_hot(keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, Column]:
+    named = hot.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)])
+    return named, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hk{i}"))
+                                              for i, k in enumerate(keys)])
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of the hot groups, and the others (adaptive execution splits the hot keys'
+    partitions of both joins, or broadcasts the table when it is small)."""
+    named, on = _is_hot(keys, hot)
+    return df.join(named, on, "left_semi"), df.join(named, on, "left_anti")
+
+
+def in_ranges(rows: DataFrame, keys: Sequence[str], order: Sequence[Column],
+              hot: DataFrame) -> DataFrame:
+    """The rows of hot groups with the range they fall in (``_slice``, growing along keys and
+    order) and a row number that makes the order total (``_tie``). Both are written, so that
+    a lost task finds the same numbers and ranges again."""
+    spark = rows.sparkSession
+    total, most = hot.agg(F.sum("_n"), F.max("_max")).first()
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // most))
+    numbered = written(rows.withColumn("_tie", F.monotonically_increasing_id()))
+    by = [F.col(k).asc_nulls_first() for k in keys] + list(order) + [F.col("_tie").asc()]
+    return written(numbered.repartitionByRange(n, *by)
+                   .withColumn("_slice", F.spark_partition_id().cast("long")))
+
+
+def _windows(keys: Sequence[str], order: list[Column]) -> tuple[WindowSpec, WindowSpec, WindowSpec]:
+    """Within a group's range: in order, and whole; and over a group's border rows."""
+    inside = Window.partitionBy(*keys, "_slice")
+    total = [*order, F.col("_tie").asc()]
+    return inside.orderBy(*total), inside, Window.partitionBy(*keys).orderBy(F.col("_slice"), *total)
 
-    ``order`` must be a total order within a group, nulls first, and its first
-    column must be ``time_col`` when ``hot`` is given.
-    """
+
+def lag_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                lags: Mapping[str, tuple[str, int]], *, hot: DataFrame | None = None) -> DataFrame:
+    """Add ``name = lag(src, n)`` for every ``name -> (src, n)`` in ``lags``, in the
+    group's ``order`` (nulls first). Rows alike in all order columns may come in any order,
+    so these should hold every column that is lagged."""
     order_cols = _order(order)
+
+    def lagged(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        return rows.select("*", *[F.lag(src, n).over(w).alias(name)
+                                  for name, (src, n) in lags.items()])
+
     if hot is None:
-        w = Window.partitionBy(*keys).orderBy(*order_cols)
-        return df.select("*", *[F.lag(src, n).over(w).alias(name)
-                                for name, (src, n) in lags.items()])
-    if time_col is None:
-        raise ValueError("time_col is required to slice hot groups")
+        return lagged(df, Window.partitionBy(*keys).orderBy(*order_cols))
+    hot_rows, others = split_hot(df, keys, hot)
+    plain = lagged(others, Window.partitionBy(*keys).orderBy(*order_cols))
     depth = max(n for _, n in lags.values())
+    in_order, whole, borders = _windows(keys, order_cols)
+    # explicit: input already clustered by ``keys`` (a table bucketed by the card) would
+    # otherwise satisfy the window and keep a hot group in one task
+    ranged = in_ranges(hot_rows, keys, order_cols, hot).repartition(*keys, "_slice")
+    inside = lagged(ranged.select("*", F.row_number().over(in_order).alias("_rn"),
+                                  F.count(F.lit(1)).over(whole).alias("_cnt")), in_order)
+    settled = inside.filter(F.col("_rn") > depth)
+    edges = inside.filter((F.col("_rn") <= depth) | (F.col("_cnt") - F.col("_rn") < depth))
+    heads = lagged(edges.drop(*lags), borders).filter(F.col("_rn") <= depth)
+    return plain.unionByName(settled.unionByName(heads).drop(*_SLICE_COLUMNS))
+
+
+def fill_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                 fills: Mapping[str, str], *, hot: DataFrame | None = None) -> DataFrame:
+    """Add ``name = last non-null src`` up to and with the row itself, in the group's
+    ``order`` (nulls first), for every ``name -> src`` in ``fills``."""
+    order_cols = _order(order)
+
+    def filled(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return rows.select("*", *[F.last(src, ignorenulls=True).over(upto).alias(name)
+                                  for name, src in fills.items()])
 
-    d = assign_slices(df, keys, hot, time_col)
-    is_hot = F.col("_width").isNotNull()
-
-    # explicit: input already clustered by ``keys`` (a table bucketed by the
-    # card) would otherwise satisfy the window and keep a hot group in one task
-    d = d.repartition(*keys, "_slice")
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
-    whole_slice = Window.partitionBy(*keys, "_slice")
-    d = d.select("*", F.row_number().over(in_slice).alias("_rn"),
-                 F.count(F.lit(1)).over(whole_slice).alias("_cnt"),
-                 *[F.lag(src, n).over(in_slice).alias(name) for name, (src, n) in lags.items()])
-
-    settled = d.filter(~is_hot | (F.col("_rn") > depth))
-    edges = d.filter(is_hot & ((F.col("_rn") <= depth) | (F.col("_cnt") - F.col("_rn") < depth)))
-    in_group = Window.partitionBy(*keys).orderBy(*order_cols)
-    heads = (edges.drop(*lags.keys())
-             .select("*", *[F.lag(src, n).over(in_group).alias(name)
-                            for name, (src, n) in lags.items()])
-             .filter(F.col("_rn") <= depth))
-    return settled.unionByName(heads).drop(*_SLICE_COLUMNS)
+    if hot is None:
+        return filled(df, Window.partitionBy(*keys).orderBy(*order_cols))
+    hot_rows, others = split_hot(df, keys, hot)
+    plain = filled(others, Window.partitionBy(*keys).orderBy(*order_cols))
+    in_order, whole, _ = _windows(keys, order_cols)
+    ranged = in_ranges(hot_rows, keys, order_cols, hot).repartition(*keys, "_slice")
+    inside = filled(ranged, in_order).select(
+        "*", F.row_number().over(in_order).alias("_rn"),
+        F.count(F.lit(1)).over(whole).alias("_cnt"))
+    # what every range hands on: the last row's values; the nearest one before a range counts
+    ends = inside.filter(F.col("_rn") == F.col("_cnt")).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_slice").alias("_ks"),
+        *[F.col(name).alias(f"_end_{name}") for name in fills])
+    before = (Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_ks")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    carried = ends.select(*[f"_k{i}" for i in range(len(keys))], "_ks", *[
+        F.last(f"_end_{name}", ignorenulls=True).over(before).alias(f"_carry_{name}")
+        for name in fills])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}"))
+                                     for i, k in enumerate(keys)], F.col("_slice") == F.col("_ks"))
+    done = inside.join(carried, on, "left").select(
+        *df.columns, *[F.coalesce(name, f"_carry_{name}").alias(name) for name in fills])
+    return plain.unionByName(done)

@@ -265,8 +265,8 @@ def read_facts(spark: SparkSession, wh: Warehouse, dates: list[dt.date],
     with one, the plain read is used and the hot cards are sliced, because a
     bucketed read keeps every bucket, the hot card's too, in one task."""
     plain = spark.read.schema(FACT_TRANSACTIONS).parquet(wh.transactions)
-    hot = (hot_groups(_only(plain, dates), ["batch_date", "card_num"], "trans_date",
-                      max_group_rows) if max_group_rows else None)
+    hot = (hot_groups(_only(plain, dates), ["batch_date", "card_num"], max_group_rows)
+           if max_group_rows else None)
     if wh.fact_buckets and hot is None:
         _ensure_fact_table(spark, wh)
         return spark.table(wh.fact_table), hot
@@ -284,7 +284,7 @@ def _persisted_day_facts(spark: SparkSession, wh: Warehouse, dates: list[dt.date
     if not wh.fact_buckets:
         day = plain.persist(StorageLevel.MEMORY_AND_DISK)
         keys = ["batch_date", "card_num"]
-        hot = hot_groups(day, keys, "trans_date", max_group_rows) if max_group_rows else None
+        hot = hot_groups(day, keys, max_group_rows) if max_group_rows else None
         return day, hot
     _, hot = read_facts(spark, wh, dates, max_group_rows)
     if hot is None:

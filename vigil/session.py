@@ -82,3 +82,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     root = checkpoint_root(spark)
     path = os.path.join(root, "vigil", f"{purpose}-{uuid.uuid4().hex}")
     return path
+
+
+def written(df):
+    """``df`` written as Parquet into the shared scratch folder and read again: lineage is cut,
+    and later plans start from the table's true size in bytes, so joins broadcast it only
+    below Spark's own size limit."""
+    path = scratch_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
