@@ -48,7 +48,7 @@ BANDS, ROWS = 20, 4
 SMALL_BUCKET = 32
 #: centres of a large bucket in the second round; the exact join behind them finds the
 #: rest, so their number decides work only
-STARS = 4
+STARS = 8
 #: members of a shingle's group in a block of the exact join
 BLOCK = 256
 #: members around one centre that are confirmed in one group
