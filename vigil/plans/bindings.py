@@ -162,6 +162,34 @@ def terminals_second(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(added)
 
 
+#: the loads of the backfill key: eight days, one load each
+BACKFILL_LOADS = [(dt.date(2024, 1, 1) + dt.timedelta(days=i),
+                   dt.datetime(2024, 1, 1, 5, 0, 0) + dt.timedelta(days=i)) for i in range(1, 9)]
+
+
+def terminal_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily snapshots that differ from day to day: terminals leave and return, move between
+    nation and region, lose and regain their address, and some ids come twice."""
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    joined = (s.join(n, s.s_nationkey == n.n_nationkey, "inner")
+              .join(r, n.n_regionkey == r.r_regionkey, "inner"))
+    days = [joined.where(f"(s_suppkey + 3 * {i}) % 11 <> 0").selectExpr(
+        f"DATE'{d}' AS batch_date", "s_suppkey",
+        "CAST(s_suppkey AS STRING) AS terminal_id",
+        "CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type",
+        f"CASE WHEN (s_suppkey + {i}) % 5 < 2 THEN r_name ELSE n_name END AS terminal_city",
+        f"CASE WHEN (s_suppkey + {i}) % 13 = 0 THEN CAST(NULL AS STRING) ELSE s_name END "
+        "AS terminal_address") for i, (d, _) in enumerate(BACKFILL_LOADS, 1)]
+    whole = days[0]
+    for day in days[1:]:
+        whole = whole.unionByName(day)
+    twice = whole.where("s_suppkey % 10 = 7 AND dayofmonth(batch_date) % 3 = 0").withColumn(
+        "terminal_city", F.lit("NEWCITY"))
+    return whole.unionByName(twice).drop("s_suppkey")
+
+
 def hist0(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history_from_snapshot(terminals_first(spark, sf_dir), HIST0_AS_OF)
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions import minutes_between, parse_amount
-from vigil.operators import dims, history, quality, report, rules
+from vigil.operators import backfill, dims, history, quality, report, rules
 from vigil.operators.seqlag import lag_columns
 from vigil.plans import bindings as b
 from vigil.schemas import FACT_TRANSACTIONS
@@ -234,6 +234,12 @@ def q_scd2_apply_twice(spark, d):
     return b.hist2(spark, d).drop("id")
 
 
+def q_scd2_backfill(spark, d):
+    """Eight days of snapshots folded into the first load's history in one job."""
+    return backfill.apply_snapshots(b.hist0(spark, d), b.terminal_snapshots(spark, d),
+                                    b.BACKFILL_LOADS).drop("id", "_open")
+
+
 # --- sources -----------------------------------------------------------------------
 
 def q_ingest_delimited(spark, d):
@@ -301,6 +307,7 @@ QUERIES: dict[str, Query] = {
     "scd2_changed": q_scd2_changed,
     "scd2_apply": q_scd2_apply,
     "scd2_apply_twice": q_scd2_apply_twice,
+    "scd2_backfill": q_scd2_backfill,
     "ingest_delimited": q_ingest_delimited,
     "stream_ingest": q_stream_ingest,
     "batch_date": q_batch_date,

@@ -7,9 +7,9 @@ One run handles every complete batch waiting in a landing folder:
 2. transactions and blacklists of all pending days are read in one pass each
    and written partitioned by ``batch_date`` with dynamic partition overwrite,
    so a day that is loaded again replaces itself;
-3. terminal snapshots are folded into the history day by day (each load
-   depends on the previous one: the only sequential step). Every result is a
-   new version directory; a load never writes over the table it reads;
+3. the terminal snapshots of all pending days are folded into the history in one
+   job. Every result is a new version directory with the rows it closed and all
+   open rows; a load never writes over the table it reads;
 4. key violations (duplicate keys, orphans) are written to a table;
 5. the four rules run over all pending days in one job, each day seeing only
    the history versions its own load had produced, and the report is written
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from vigil.operators import dims, history, quality, report, rules
+from vigil.operators import backfill, dims, history, quality, report, rules
 from vigil.operators.seqlag import hot_groups
 from vigil.schemas import (
     DQ_VIOLATIONS,
@@ -39,6 +39,7 @@ from vigil.schemas import (
     FEED_TERMINALS,
     FEED_TRANSACTIONS,
     FEEDS,
+    OPEN_END,
     REPORT,
     TABLE_EXTENSIONS,
     TERMINALS_HIST,
@@ -142,16 +143,33 @@ def history_loads(spark: SparkSession, wh: Warehouse) -> list[tuple[int, dt.date
 
 
 def history_versions(spark: SparkSession, wh: Warehouse) -> list[int]:
-    return [v for v, _, _ in history_loads(spark, wh)]
+    return sorted({v for v, _, _ in history_loads(spark, wh)})
+
+
+def _version_path(wh: Warehouse, version: int) -> str:
+    return wh.path("terminals_hist", f"{_VERSION_PREFIX}{version:06d}")
+
+
+def _history_part(spark: SparkSession, wh: Warehouse, versions: list[int], state: str) -> DataFrame:
+    paths = [f"{_version_path(wh, v)}/state={state}" for v in versions]
+    paths = [p for p in paths if _exists(spark, p)]
+    if not paths:
+        return history.empty_history(spark)
+    return spark.read.schema(TERMINALS_HIST).parquet(*paths)
+
+
+def open_history(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """The open rows of the latest complete version."""
+    return _history_part(spark, wh, history_versions(spark, wh)[-1:], "open")
 
 
 def read_history(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    """The latest complete history version (empty before the first load)."""
+    """The latest complete history (empty before the first load): its open rows, and the rows
+    that each recorded version closed. ``history_loads`` is the manifest: what is not recorded
+    there is not read."""
     versions = history_versions(spark, wh)
-    if not versions:
-        return history.empty_history(spark)
-    return spark.read.schema(TERMINALS_HIST).parquet(
-        wh.path("terminals_hist", f"{_VERSION_PREFIX}{versions[-1]:06d}"))
+    return _history_part(spark, wh, versions, "closed").unionByName(
+        _history_part(spark, wh, versions[-1:], "open"))
 
 
 # --- steps -------------------------------------------------------------------
@@ -296,37 +314,35 @@ def _persisted_day_facts(spark: SparkSession, wh: Warehouse, dates: list[dt.date
 def load_history(spark: SparkSession, landing: str | list[str], wh: Warehouse,
                  dates: list[dt.date], load_time: Callable[[dt.date], dt.datetime],
                  **options) -> dict[dt.date, dt.datetime]:
-    """Fold each day's snapshot into the history, in date order, and give the load time of
-    each day. Each load reads only that day's files (a filter above the decoding step would
-    decode every pending workbook for every day).
-
-    A version counts once its day is recorded in ``history_loads``. A day recorded before
-    (a retry, or a day loaded again for its other feeds) keeps its version and its load
-    time; a version without a record is written again from the one before. A load time
-    that is not after the last one becomes one second later than it."""
-    done = {d: at for _, d, at in history_loads(spark, wh)}
-    times = {}
-    for d in sorted(dates):
-        if d in done:
-            times[d] = done[d]
-            continue
-        hist = read_history(spark, wh)
-        latest = history.latest_load(hist)
+    """Fold the days' snapshots into the history in one job and give the load time of each
+    day. The days come out as if each had been loaded on its own, in date order.
+
+    A version holds the rows the load closed and all open rows; rows closed before are neither
+    read nor written. It counts once its days are recorded in ``history_loads``, all in one
+    file: a run that stops before leaves the last version as it was, and its successor
+    writes the unrecorded version again. A day recorded before (a retry, or a day loaded
+    again for its other feeds) keeps its version and its load time. A load time that is not
+    after the last one becomes one second later than it."""
+    loads = history_loads(spark, wh)
+    times = {d: at for _, d, at in loads if d in set(dates)}
+    latest = max((at for _, _, at in loads), default=None)
+    new = []
+    for d in sorted(set(dates) - set(times)):
         at = load_time(d)
         if latest is not None and at <= latest:
             at = latest + dt.timedelta(seconds=1)
-        snap = (workbook.read_terminals(spark, day_files(landing, FEED_TERMINALS, [d]))
-                .filter(F.col("batch_date") == F.lit(d)).drop("batch_date"))
-        new = history.apply_snapshot(hist, snap, at, **options)
-        versions = history_versions(spark, wh)
-        nxt = (versions[-1] + 1) if versions else 1
-        # the next version number after the last *recorded* one: a retry after a
-        # failed write replaces the partial directory; the input is never touched
-        name = f"{_VERSION_PREFIX}{nxt:06d}"
-        new.write.mode("overwrite").parquet(wh.path("terminals_hist", name))
-        (spark.createDataFrame([(nxt, d, at)], HISTORY_LOADS)
+        new.append((d, at))
+        times[d] = latest = at
+    if new:
+        version = max((v for v, _, _ in loads), default=0) + 1
+        snaps = workbook.read_terminals(spark, day_files(landing, FEED_TERMINALS, [d for d, _ in new]))
+        merged = backfill.apply_snapshots(open_history(spark, wh), snaps, new, **options)
+        state = F.when(F.col("effective_to") == F.lit(OPEN_END), "open").otherwise("closed")
+        (merged.drop("_open").withColumn("state", state).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy("state")
+         .parquet(_version_path(wh, version)))
+        (spark.createDataFrame([(version, d, at) for d, at in new], HISTORY_LOADS).coalesce(1)
          .write.mode("append").parquet(wh.history_loads))
-        times[d] = at
     return times
 
 

@@ -157,6 +157,23 @@ def _merge_ctes(prev: str, snap: str, at: str, close: str, out: str) -> dict[str
 _CTE.update(_merge_ctes("hist1", "term1", HIST2_AT, HIST2_CLOSE, "hist2"))
 
 
+_CTE["hist_b0"] = (("hist0",), "SELECT * FROM hist0")
+for _i in range(1, 9):
+    _day = f"2024-01-{1 + _i:02d}"
+    _CTE[f"snap_b{_i}"] = ((), f"""
+        SELECT CAST(s_suppkey AS VARCHAR) AS terminal_id,
+               CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type,
+               CASE WHEN copy = 1 THEN 'NEWCITY'
+                    WHEN (s_suppkey + {_i}) % 5 < 2 THEN r_name ELSE n_name END AS terminal_city,
+               CASE WHEN (s_suppkey + {_i}) % 13 = 0 THEN NULL ELSE s_name END AS terminal_address
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey
+             JOIN region ON n_regionkey = r_regionkey CROSS JOIN (VALUES (0), (1)) v(copy)
+        WHERE (s_suppkey + 3 * {_i}) % 11 <> 0
+          AND (copy = 0 OR (s_suppkey % 10 = 7 AND {(1 + _i) % 3} = 0))""")
+    _CTE.update(_merge_ctes(f"hist_b{_i - 1}", f"snap_b{_i}", f"TIMESTAMP '{_day} 05:00:00'",
+                            f"TIMESTAMP '{_day} 04:59:59'", f"hist_b{_i}"))
+
+
 def _with(names: tuple[str, ...], body: str) -> str:
     order: list[str] = []
 
@@ -431,6 +448,8 @@ def oracle_sql() -> dict[str, str]:
     q["scd2_changed"] = _with(("changed_rows",), "SELECT * FROM changed_rows")
     q["scd2_apply"] = _with(("hist1",), "SELECT * FROM hist1")
     q["scd2_apply_twice"] = _with(("hist2",), "SELECT * FROM hist2")
+    q["scd2_backfill"] = _with(("hist_b8",), "SELECT * FROM hist_b8").replace(
+        " AS (", " AS MATERIALIZED (")
     q["ingest_delimited"] = _with(("facts",), "SELECT * FROM facts")
     q["stream_ingest"] = _with(("facts",), "SELECT * FROM facts")
     q["batch_date"] = _FEED_FILES
