@@ -1,0 +1,74 @@
+"""Complete days from three file streams."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import os
+
+from conftest import D
+from vigil.streaming.completeness import landing_days, read_days, write_days
+
+NOW = dt.datetime(2024, 5, 1, 12, 0, tzinfo=dt.timezone.utc).timestamp()
+HOUR = 3600
+
+
+def _put(folder, name, at):
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    with open(path, "w") as f:
+        f.write("x")
+    os.utime(path, (at, at))
+
+
+def _names(day):
+    return [f"transactions_{day}.txt", f"passport_blacklist_{day}.xlsx", f"terminals_{day}.csv"]
+
+
+def _run(spark, land, out):
+    query = write_days(landing_days(spark, land, timeout=dt.timedelta(hours=10),
+                                    keep=dt.timedelta(hours=100), delay="1 hour"),
+                       f"{out}/days", f"{out}/ckpt")
+    rows = sorted((r.kind, r.batch_date, r.missing)
+                  for r in read_days(spark, f"{out}/days").collect())
+    done = [p for p in query.recentProgress if p["stateOperators"]]
+    state = done[-1]["stateOperators"][0]["numRowsTotal"] if done else None
+    return rows, state
+
+
+def test_days_in_any_order_over_several_runs(spark, tmp_path):
+    land, out = str(tmp_path / "land"), str(tmp_path / "out")
+    one, two, three = (_names(d) for d in ("01052024", "02052024", "03052024"))
+    _put(land, one[2], NOW)
+    _put(land, two[0], NOW)
+    _put(land, "terminals_03052024.xlsx.part", NOW)   # a partial upload is no feed
+    _put(land, "transactions_99999999.txt", NOW)      # no date
+    rows, _ = _run(spark, land, out)
+    assert rows == []
+    _put(land, one[0], NOW + HOUR)
+    _put(land, one[1], NOW + 2 * HOUR)
+    first = ("complete", D("2024-05-01"), "")
+    rows, _ = _run(spark, land, out)
+    assert rows == [first]
+    # all feeds of a day at once; the second day is late by now
+    for name in three:
+        _put(land, name, NOW + 12 * HOUR)
+    third = ("complete", D("2024-05-03"), "")
+    late = ("incomplete", D("2024-05-02"), "passport_blacklist,terminals")
+    rows, _ = _run(spark, land, out)
+    assert rows == sorted([first, third, late])
+    # a restart adds nothing; the late feeds complete the day, and no state is left
+    assert _run(spark, land, out)[0] == sorted([first, third, late])
+    for name in two[1:]:
+        _put(land, name, NOW + 13 * HOUR)
+    second = ("complete", D("2024-05-02"), "")
+    rows, state = _run(spark, land, out)
+    assert rows == sorted([first, second, third, late])
+    assert state == 0, json.dumps(state)
+    # a day that never gets its feeds expires
+    _put(land, "transactions_04052024.txt", NOW + 14 * HOUR)
+    _put(land, "transactions_05052024.txt", NOW + 200 * HOUR)
+    rows, _ = _run(spark, land, out)
+    missing = "passport_blacklist,terminals"
+    assert rows == sorted([first, second, third, late, ("incomplete", D("2024-05-04"), missing),
+                           ("expired", D("2024-05-04"), missing)])
