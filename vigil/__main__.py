@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from vigil.operators.seqlag import DEFAULT_GROUP_ROWS
 from vigil.plans import daily
-from vigil.schemas import REPORT, SEED_ACCOUNTS, SEED_CARDS, SEED_CLIENTS
+from vigil.schemas import SEED_ACCOUNTS, SEED_CARDS, SEED_CLIENTS
 from vigil.session import get_session
 
 
@@ -49,7 +49,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
                            max_group_rows=args.max_group_rows)
     print(f"processed batches: {[d.isoformat() for d in done]}")
     if done:
-        rep = spark.read.schema(REPORT).parquet(wh.report).filter(F.col("batch_date").isin(done))
+        rep = daily.read_report(spark, wh).filter(F.col("batch_date").isin(done))
         rep.groupBy("batch_date", "event_type").count().orderBy("batch_date", "event_type").show(
             truncate=False)
         if args.show:

@@ -12,8 +12,8 @@ One run handles every complete batch waiting in a landing folder:
    open rows; a load never writes over the table it reads;
 4. key violations (duplicate keys, orphans) are written to a table;
 5. the four rules run over all pending days in one job, each day seeing only
-   the history versions its own load had produced, and the report is written
-   partitioned by ``batch_date`` with dynamic overwrite.
+   the history versions its own load had produced, and the report's days become
+   visible together (``committed``).
 
 All paths are in a shared warehouse folder; nothing depends on a local disk.
 """
@@ -29,6 +29,7 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from vigil.operators import backfill, dims, history, quality, report, rules
+from vigil.operators.committed import CommittedDays
 from vigil.operators.seqlag import hot_groups
 from vigil.schemas import (
     DQ_VIOLATIONS,
@@ -38,7 +39,6 @@ from vigil.schemas import (
     FEED_EXTENSIONS,
     FEED_TERMINALS,
     FEED_TRANSACTIONS,
-    FEEDS,
     OPEN_END,
     REPORT,
     TABLE_EXTENSIONS,
@@ -190,6 +190,11 @@ def read_bank(spark: SparkSession, wh: Warehouse) -> dims.Bank:
                      spark.read.parquet(wh.cards))
 
 
+def read_report(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """The report; the days of a run become visible together."""
+    return CommittedDays(spark, wh.report, REPORT).read()
+
+
 def processed_dates(spark: SparkSession, wh: Warehouse) -> set[dt.date]:
     if not _exists(spark, wh.processed):
         return set()
@@ -219,13 +224,19 @@ def day_files(landing: str | list[str], feed: str, dates: list[dt.date]) -> list
 
 
 def archive_processed(spark: SparkSession, landing: str, wh: Warehouse, archive: str) -> None:
-    """Move the files of all three feeds of the processed days out of the landing folder."""
+    """Move the files of all three feeds of the processed days out of the landing folder.
+    The landing folder is listed once; days archived before have no files there any more,
+    however many they are."""
     fs, target = _fs(spark, archive)
     fs.mkdirs(target)
-    for feed in FEEDS:
-        for path in day_files(landing, feed, sorted(processed_dates(spark, wh))):
-            _, p = _fs(spark, path)
-            fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, p.getName()))
+    listed = files.list_files(spark, landing)
+    dated = files.feed_files(listed).join(listed, "file_name").filter(
+        F.col("feed").isNotNull() & files.has_extension(F.col("file_name"), F.col("feed")))
+    days = dated.select("batch_date").distinct().collect()
+    done = processed_dates(spark, wh) & {r.batch_date for r in days}
+    for r in _only(dated, sorted(done)).select("file_path").collect() if done else []:
+        _, p = _fs(spark, r.file_path)
+        fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, p.getName()))
 
 
 def _only(df: DataFrame, dates: list[dt.date]) -> DataFrame:
@@ -432,7 +443,7 @@ def process_batches(spark: SparkSession, landing: str | list[str], wh: Warehouse
     try:
         result = run_rules(spark, wh, dates, times.__getitem__, run_time, facts=(day_facts, hot),
                            **options)
-        report.write_report(result, wh.report, batch_dates=dates)
+        CommittedDays(spark, wh.report, REPORT).write(result, dates)
     finally:
         spark.conf.set(copartition, previous)
         day_facts.unpersist()
@@ -457,7 +468,7 @@ def register_views(spark: SparkSession, wh: Warehouse, as_of: dt.datetime) -> li
         "dwh_fact_passport_blacklist": spark.read.schema(FACT_BLACKLIST).parquet(wh.blacklist),
         "dwh_dim_terminals_hist": hist,
         "v_terminals": history.current_terminals(hist, F.lit(as_of).cast("timestamp_ntz")),
-        "rep_fraud": spark.read.schema(REPORT).parquet(wh.report),
+        "rep_fraud": read_report(spark, wh),
         "dq_violations": spark.read.schema(DQ_VIOLATIONS).parquet(wh.quality),
     }
     for name, df in views.items():
@@ -476,5 +487,5 @@ def run_daily(spark: SparkSession, landing: str, wh: Warehouse, seeds: tuple[Dat
 
 
 __all__ = ["Warehouse", "check_quality", "history_versions", "read_facts", "register_views", "load_dims", "load_facts", "load_history",
-           "archive_processed", "pending_batches", "process_batches", "processed_dates", "read_bank", "read_history", "run_daily",
+           "archive_processed", "pending_batches", "process_batches", "processed_dates", "read_bank", "read_history", "read_report", "run_daily",
            "run_rules"]

@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vigil.functions import batch_date_of
 from vigil.operators import dims
 from vigil.plans import daily
 from vigil.schemas import FEED_TRANSACTIONS, TRANSACTIONS_FILE_COLUMNS
 from vigil.sources import delimited
+from vigil.streaming.completeness import feed_file_stream
 
 
 def transactions_stream(spark: SparkSession, landing: str, archive_dir: str | None = None,
@@ -90,10 +90,8 @@ def run_daily_stream(spark: SparkSession, landing: str, wh: daily.Warehouse, che
         dates = sorted(carried & daily.processed_dates(spark, wh))
         daily.process_batches(spark, folders, wh, dates, run_time, load_time, **options)
 
-    names = (spark.readStream.schema(delimited._READ_SCHEMA).options(**delimited.FORMAT)
-             .option("pathGlobFilter", f"{FEED_TRANSACTIONS}_*.txt").csv(landing)
-             .select(batch_date_of(F.col("_metadata.file_path"), in_path=True)
-                     .alias("batch_date")))
+    # names only: the files' contents are not read
+    names = feed_file_stream(spark, landing, FEED_TRANSACTIONS).select("batch_date")
     query = (names.writeStream.foreachBatch(again).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
