@@ -46,9 +46,9 @@ from vigil.llm.components import components
 BANDS, ROWS = 20, 4
 #: buckets of at most so many members are compared pair by pair in the second round
 SMALL_BUCKET = 32
-#: centres of a large bucket in the second round; the exact join behind them finds the
-#: rest, so their number decides work only
-STARS = 8
+#: centres of a large bucket, ROUND of them at a time, of buckets still mixed then; the
+#: exact join behind them finds the rest, so their number decides work only
+STARS, ROUND = 8, 4
 #: members of a shingle's group in a block of the exact join
 BLOCK = 256
 #: members around one centre that are confirmed in one group
@@ -344,14 +344,17 @@ class NearDuplicates:
         tested = fixed(_stars(members.withColumn("root", F.col("cid")), range(1), self.percent))
         links = _confirm(tested, sets, self.percent)
         labels = components(links)
-        open_ = self._mixed(members, labels, 2)
-        large = F.col("size") > SMALL_BUCKET
-        pairs = _stars(open_.filter(large), range(1, 1 + STARS), self.percent).unionByName(
-            _all_pairs(open_.filter(~large), self.percent)).distinct()
-        pairs = _untested(pairs, tested)
-        tested = tested.unionByName(pairs)
-        links = links.unionByName(_confirm(pairs, sets, self.percent))
-        labels = components(links)
+        for turn in range(1, 1 + STARS, ROUND):
+            open_ = self._mixed(members, labels, 2 if turn == 1 else SMALL_BUCKET)
+            large = F.col("size") > SMALL_BUCKET
+            pairs = _stars(open_.filter(large), range(turn, turn + ROUND), self.percent)
+            if turn == 1:
+                small = _all_pairs(open_.filter(~large), self.percent)
+                pairs = pairs.unionByName(small).distinct()
+            pairs = _untested(pairs, tested)
+            tested = tested.unionByName(pairs)
+            links = links.unionByName(_confirm(pairs, sets, self.percent))
+            labels = components(links)
         open_ = self._mixed(members, labels, SMALL_BUCKET)
         if open_.isEmpty():
             return links, labels
