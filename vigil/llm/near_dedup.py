@@ -347,7 +347,8 @@ class NearDuplicates:
         for turn in range(1, 1 + STARS, ROUND):
             open_ = self._mixed(members, labels, 2 if turn == 1 else SMALL_BUCKET)
             large = F.col("size") > SMALL_BUCKET
-            pairs = _stars(open_.filter(large), range(turn, turn + ROUND), self.percent)
+            turns = range(turn, min(turn + ROUND, 1 + STARS))
+            pairs = _stars(open_.filter(large), turns, self.percent)
             if turn == 1:
                 small = _all_pairs(open_.filter(~large), self.percent)
                 pairs = pairs.unionByName(small).distinct()
