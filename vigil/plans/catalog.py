@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions import minutes_between, parse_amount
-from vigil.operators import backfill, dims, history, quality, report, rules
+from vigil.operators import backfill, daycities, dims, history, quality, report, rules
 from vigil.operators.seqlag import lag_columns
 from vigil.plans import bindings as b
 from vigil.schemas import FACT_TRANSACTIONS
-from vigil.session import scratch_dir
+from vigil.session import scratch_dir, written
 from vigil.sources import delimited, files
 from vigil.streaming import ingest
 
@@ -154,6 +154,15 @@ def q_cards_multi_city(spark, d):
     return rules.cards_multi_city(b.facts(spark, d, per_day=True), b.hist0(spark, d))
 
 
+def q_cards_city_rolling(spark, d):
+    """Distinct cities of each card over seven days, merged from rows of single days that
+    were written and read back; the cities are numbered in two steps."""
+    hist = b.hist1(spark, d)
+    numbers = daycities.city_numbers(hist, written(daycities.city_numbers(b.hist0(spark, d))))
+    rows = daycities.day_cities(b.facts(spark, d, per_day=True), hist, written(numbers))
+    return daycities.cities_rolling(written(rows), days=7)
+
+
 def q_lag_city(spark, d):
     seq = rules.city_sequence(b.facts(spark, d), b.hist0(spark, d))
     return seq.select("batch_date", "card_num", "trans_id", "trans_date", "oper_result",
@@ -292,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "dq_orphans": q_dq_orphans,
     "cards_city_count": q_cards_city_count,
     "cards_multi_city": q_cards_multi_city,
+    "cards_city_rolling": q_cards_city_rolling,
     "lag_city": q_lag_city,
     "lag_amount": q_lag_amount,
     "rule_city_hits": q_rule_city_hits,

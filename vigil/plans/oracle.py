@@ -426,6 +426,13 @@ def oracle_sql() -> dict[str, str]:
         SELECT t.batch_date, t.card_num, count(DISTINCT h.terminal_city) AS cnt_city
         FROM facts_daily t LEFT JOIN hist0 h ON t.terminal = h.terminal_id
         GROUP BY t.batch_date, t.card_num HAVING count(DISTINCT h.terminal_city) > 1""")
+    q["cards_city_rolling"] = _with(("facts_daily", "hist1"), """
+        SELECT a.batch_date, a.card_num, count(DISTINCT h.terminal_city) AS cnt_city
+        FROM (SELECT DISTINCT batch_date, card_num FROM facts_daily) a
+             JOIN facts_daily t ON t.card_num IS NOT DISTINCT FROM a.card_num
+                               AND t.batch_date BETWEEN a.batch_date - 6 AND a.batch_date
+             LEFT JOIN hist1 h ON t.terminal = h.terminal_id
+        GROUP BY a.batch_date, a.card_num""")
     q["lag_city"] = _with(("facts", "hist0"), f"SELECT * FROM ({_city_lag('facts', 'hist0')}) s")
     q["lag_amount"] = _with(("facts",), f"SELECT * FROM ({_amount_lag()}) s")
     q["rule_city_hits"] = _with(("facts", "hist1"), _city_hits(_city_lag("facts", "hist1")))
