@@ -143,3 +143,17 @@ def test_workbook_1904_dates(spark, tmp_path):
                   date1904=True)
     assert rows_of(workbook.read_blacklist(spark, str(tmp_path)), "passport", "date") == [
         ("P", D("2021-03-01"))]
+
+
+def test_feed_folders_written_by_a_job(spark, tmp_path):
+    """A feed may be a Parquet or CSV folder named as the file would be."""
+    from vigil.sources import workbook
+    rows = spark.createDataFrame([("T1", "ATM", "X", "a"), ("T2", "POS", "Y", None)],
+                                 "terminal_id string, terminal_type string, terminal_city string, "
+                                 "terminal_address string")
+    one, two = (str(tmp_path / f"terminals_0{i}032021.parquet") for i in (1, 2))
+    rows.repartition(2).write.parquet(one)
+    rows.limit(1).write.parquet(two)
+    got = workbook.read_terminals(spark, [one, two]).collect()
+    assert sorted((r.terminal_id, r.terminal_address, str(r.batch_date)) for r in got) == [
+        ("T1", "a", "2021-03-01"), ("T1", "a", "2021-03-02"), ("T2", None, "2021-03-01")]

@@ -62,3 +62,26 @@ def test_archive_after_processing(spark, tmp_path):
     assert sorted(p.name for p in land.iterdir()) == ["transactions_03032021.txt"]
     assert sorted(p.name for p in arch.rglob("*.txt")) == ["transactions_01032021.txt",
                                                            "transactions_02032021.txt"]
+
+
+def test_ingest_keeps_rejects_and_reads_by_name(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    names = "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal"
+    (land / "transactions_01032021.txt").write_text(
+        names + "\n1;2021-03-01 10:00:00;1,5;c;PAYMENT;SUCCESS;T\n"
+        "2;2021-03-01 10:00:00;1,5;c;PAYMENT;SUCCESS;T;more\n")
+    (land / "transactions_02032021.txt").write_text(  # other order, another column
+        "terminal;note;amount;card_num;oper_type;oper_result;transaction_date;transaction_id\n"
+        "T;n;2,5;c;PAYMENT;SUCCESS;2021-03-02 10:00:00;3\n")
+    (land / "transactions_99999999.txt").write_text(
+        names + "\n4;2021-03-01 10:00:00;1,5;c;PAYMENT;SUCCESS;T\n")
+    table, ckpt = str(tmp_path / "facts"), str(tmp_path / "ckpt")
+    for _ in range(2):  # a second run finds nothing new
+        ingest.ingest_transactions(spark, str(land), table, ckpt, rejects=str(tmp_path / "rejects"))
+        facts = ingest.read_ingested(spark, table)
+        assert sorted((r.trans_id, r.amt, str(r.batch_date)) for r in facts.collect()) == [
+            ("1", "1,5", "2021-03-01"), ("3", "2,5", "2021-03-02")]
+        rejects = spark.read.parquet(str(tmp_path / "rejects"))
+        assert sorted((r.transaction_id, r.reason) for r in rejects.collect()) == [
+            ("2", "more fields than the header"), ("4", "no date in the file name")]

@@ -27,6 +27,7 @@ PASSPORT_RULE_DATE = dt.date(1998, 1, 10)
 HIST0_AS_OF = dt.datetime(2024, 1, 1, 0, 0, 0)
 HIST1_AS_OF = dt.datetime(2024, 1, 16, 0, 0, 0)
 HIST2_AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
+STREAM_END = dt.datetime(2030, 1, 1)       # the closing row of the stream key
 CITY_MINUTES = 60
 AMOUNT_MINUTES = 14400
 SEED_CREATE_DT = dt.date(1900, 1, 1)

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from vigil.functions import minutes_between, parse_amount
 from vigil.operators import backfill, daycities, dims, history, quality, report, rules
 from vigil.operators.seqlag import lag_columns
+from vigil.operators.committed import CommittedDays
 from vigil.plans import bindings as b
-from vigil.schemas import FACT_TRANSACTIONS
+from vigil.plans import daily
+from vigil.schemas import FACT_TRANSACTIONS, REPORT
 from vigil.session import scratch_dir, written
 from vigil.sources import delimited, files
-from vigil.streaming import ingest
+from vigil.streaming import ingest, sequence
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -267,7 +269,69 @@ def q_stream_ingest(spark, d):
     feed = delimited.write_transactions(b.staged_transactions(spark, d), landing, b.BATCH_DATE)
     ingest.ingest_transactions(spark, feed, table, scratch_dir(spark, "stream-ckpt"),
                                name_glob=None)
-    return spark.read.schema(FACT_TRANSACTIONS).parquet(table)
+    return ingest.read_ingested(spark, table)
+
+
+def q_stream_rule_amount(spark, d):
+    """The amount rule as a stateful stream over the days' facts, written as files and taken
+    some at a time; a closing row far ahead of them lets the last day be judged."""
+    landing, out = scratch_dir(spark, "fact-files"), scratch_dir(spark, "sequence")
+    facts = b.facts(spark, d, per_day=True)
+    facts.repartitionByRange("batch_date").write.parquet(landing)
+    closing = spark.createDataFrame([("", b.STREAM_END, "", "", "PAYMENT", "", "",
+                                      b.STREAM_END.date())], FACT_TRANSACTIONS)
+    closing.write.mode("append").parquet(landing)
+    stream = (spark.readStream.schema(FACT_TRANSACTIONS).option("maxFilesPerTrigger", 16)
+              .parquet(landing))
+    hits = sequence.amount_stream(stream, max_minutes=b.AMOUNT_MINUTES, delay="60 days")
+    sequence.write_sequence(hits, f"{out}/hits", f"{out}/side", f"{out}/checkpoint")
+    return sequence.read_sequence(spark, f"{out}/hits").drop("kind")
+
+
+# --- sinks -------------------------------------------------------------------------
+
+def q_warehouse_holders(spark, d):
+    """The dimensions and the card holders as the daily job writes them, read back."""
+    wh = daily.Warehouse(scratch_dir(spark, "warehouse"))
+    daily.load_dims(b.seed_clients(spark, d), b.seed_accounts(spark, d), b.seed_cards(spark, d), wh)
+    return spark.read.parquet(wh.card_holders)
+
+
+def q_warehouse_facts(spark, d):
+    """Facts partitioned by day; odd days are written twice, the first time with other
+    amounts, and only the second write stays."""
+    path = scratch_dir(spark, "fact-table")
+    facts = b.facts(spark, d, per_day=True)
+    report.write_report(facts.withColumn("amt", F.lit("0,0")), path)
+    report.write_report(facts.filter(F.dayofmonth("batch_date") % 2 == 1), path)
+    report.write_report(facts.filter(F.dayofmonth("batch_date") % 2 == 0), path)
+    return spark.read.schema(FACT_TRANSACTIONS).parquet(path)
+
+
+def q_warehouse_report(spark, d):
+    """The report of every day as a committed table: a first run with the amount rule alone,
+    then a run of all rules that replaces every day in one step."""
+    table = CommittedDays(spark, scratch_dir(spark, "report"), REPORT)
+    facts = b.facts(spark, d, per_day=True)
+    days = [r.batch_date for r in facts.select("batch_date").distinct().collect()]
+    table.write(rules.amount_cheat(b.bank(spark, d), facts, b.REPORT_AS_OF,
+                                   max_minutes=b.AMOUNT_MINUTES), days)
+    table.write(q_report_daily(spark, d), days)
+    table.vacuum()
+    return table.read()
+
+
+def q_warehouse_history(spark, d):
+    """Eight snapshot files loaded into a warehouse in two runs, five days and three."""
+    wh, landing = daily.Warehouse(scratch_dir(spark, "warehouse")), scratch_dir(spark, "landing")
+    at = {d: t for d, t in b.BACKFILL_LOADS}
+    for day in at:
+        (b.terminal_snapshots(spark, d).filter(F.col("batch_date") == F.lit(day)).drop("batch_date")
+         .write.parquet(f"{landing}/terminals_{day.strftime('%d%m%Y')}.parquet"))
+    days = sorted(at)
+    for run in (days[:5], days[5:]):
+        daily.load_history(spark, landing, wh, run, at.__getitem__)
+    return daily.read_history(spark, wh).drop("id")
 
 
 def q_batch_date(spark, d):
@@ -320,6 +384,11 @@ QUERIES: dict[str, Query] = {
     "scd2_backfill": q_scd2_backfill,
     "ingest_delimited": q_ingest_delimited,
     "stream_ingest": q_stream_ingest,
+    "stream_rule_amount": q_stream_rule_amount,
+    "warehouse_holders": q_warehouse_holders,
+    "warehouse_facts": q_warehouse_facts,
+    "warehouse_report": q_warehouse_report,
+    "warehouse_history": q_warehouse_history,
     "batch_date": q_batch_date,
     "complete_batches": q_complete_batches,
     "next_batch": q_next_batch,

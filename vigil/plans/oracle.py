@@ -157,6 +157,7 @@ def _merge_ctes(prev: str, snap: str, at: str, close: str, out: str) -> dict[str
 _CTE.update(_merge_ctes("hist1", "term1", HIST2_AT, HIST2_CLOSE, "hist2"))
 
 
+_CTE["hist_w0"] = (("hist0",), "SELECT * FROM hist0 WHERE false")
 _CTE["hist_b0"] = (("hist0",), "SELECT * FROM hist0")
 for _i in range(1, 9):
     _day = f"2024-01-{1 + _i:02d}"
@@ -170,8 +171,9 @@ for _i in range(1, 9):
              JOIN region ON n_regionkey = r_regionkey CROSS JOIN (VALUES (0), (1)) v(copy)
         WHERE (s_suppkey + 3 * {_i}) % 11 <> 0
           AND (copy = 0 OR (s_suppkey % 10 = 7 AND {(1 + _i) % 3} = 0))""")
-    _CTE.update(_merge_ctes(f"hist_b{_i - 1}", f"snap_b{_i}", f"TIMESTAMP '{_day} 05:00:00'",
-                            f"TIMESTAMP '{_day} 04:59:59'", f"hist_b{_i}"))
+    for _h in ("hist_b", "hist_w"):
+        _CTE.update(_merge_ctes(f"{_h}{_i - 1}", f"snap_b{_i}", f"TIMESTAMP '{_day} 05:00:00'",
+                                f"TIMESTAMP '{_day} 04:59:59'", f"{_h}{_i}"))
 
 
 def _with(names: tuple[str, ...], body: str) -> str:
@@ -455,6 +457,14 @@ def oracle_sql() -> dict[str, str]:
     q["scd2_changed"] = _with(("changed_rows",), "SELECT * FROM changed_rows")
     q["scd2_apply"] = _with(("hist1",), "SELECT * FROM hist1")
     q["scd2_apply_twice"] = _with(("hist2",), "SELECT * FROM hist2")
+    q["stream_rule_amount"] = _with(("facts_daily",), f"""
+        SELECT batch_date, card_num, trans_id, event_dt FROM ({_amount_hits('facts_daily')}) h""")
+    q["warehouse_holders"] = q["card_holders"]
+    q["warehouse_facts"] = _with(("facts_daily",), "SELECT * FROM facts_daily")
+    q["warehouse_report"] = q["report_daily"]
+    # the first of the eight loads starts from nothing, the others go on from it
+    q["warehouse_history"] = _with(("hist_w8",), "SELECT * FROM hist_w8").replace(
+        " AS (", " AS MATERIALIZED (")
     q["scd2_backfill"] = _with(("hist_b8",), "SELECT * FROM hist_b8").replace(
         " AS (", " AS MATERIALIZED (")
     q["ingest_delimited"] = _with(("facts",), "SELECT * FROM facts")

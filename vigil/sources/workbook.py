@@ -17,6 +17,7 @@ found for a day are read together.
 from __future__ import annotations
 
 import datetime as dt
+import fnmatch
 import io
 import re
 import zipfile
@@ -178,12 +179,16 @@ def read_tables(spark: SparkSession, path: str | list[str], columns: Sequence[st
                 feed: str) -> DataFrame:
     """The named columns, as text, of a feed's workbooks, CSV and Parquet files."""
     found = [read_workbooks(spark, path, columns, f"{feed}_*.xlsx")]
-    for kind, name_glob in (("csv", f"{feed}_*.csv"), ("parquet", f"{feed}_*.parquet")):
-        paths = files.leaf_files(spark, path, name_glob)
+    leaves = files.leaf_files(spark, path)
+    for kind in ("csv", "parquet"):
+        # a file of that name, or a folder of that name that a Spark job wrote
+        paths = [p for p in leaves if any(fnmatch.fnmatch(part, f"{feed}_*.{kind}")
+                                          for part in p.split("/")[-2:])]
         if not paths:
             continue
         reader = spark.read.option("sep", ";").option("header", True).option("escape", '"')
-        raw = getattr(reader, kind)(paths)  # by name: an absent column fails
+        # by name: an absent column fails
+        raw = reader.csv(paths) if kind == "csv" else reader.parquet(*paths)
         found.append(raw.select(*[F.col(c).cast("string").alias(c) for c in columns],
                                 F.col("_metadata.file_path").alias("file_path"))
                      .withColumn("batch_date", batch_date_of(F.col("file_path"), in_path=True)))

@@ -11,15 +11,15 @@ into an archive after loading. The Spark form is a file stream:
   checkpoint, not the archive, says what is processed.
 * ``ingest_transactions`` appends the typed rows to the partitioned fact table
   with ``trigger(availableNow=True)``: a scheduled run drains what is there
-  and stops; the file sink commits exactly once per micro-batch.
+  and stops. Columns are read by name, and lines that do not load are kept.
 * ``run_daily_stream`` drives the whole daily job: the file stream says which
   transaction files are new; the days are then loaded by the batch job from
   all their files. A day runs as soon as its three feeds are there, whichever
   run that is; a further file of a day that was already processed loads that
   day again, whole. Files are archived only once their day is processed.
 
-The append stream maps columns by position (a stream has one schema for all
-files); the daily job reads them by name.
+``transactions_stream`` maps columns by position (a stream has one schema for all
+files); the ingest and the daily job read them by name.
 """
 
 from __future__ import annotations
@@ -29,11 +29,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.operators import dims
 from vigil.plans import daily
-from vigil.schemas import FEED_TRANSACTIONS, TRANSACTIONS_FILE_COLUMNS
+from vigil.schemas import FACT_TRANSACTIONS, FEED_TRANSACTIONS, TRANSACTIONS_FILE_COLUMNS
 from vigil.sources import delimited
 from vigil.streaming.completeness import feed_file_stream
 
@@ -56,21 +57,52 @@ def transactions_stream(spark: SparkSession, landing: str, archive_dir: str | No
             .select(*TRANSACTIONS_FILE_COLUMNS, "batch_date"))
 
 
+def _new_files(spark: SparkSession, landing: str, archive_dir: str | None,
+               name_glob: str | None) -> DataFrame:
+    """``path`` of new files (contents are not read)."""
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary")
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return reader.load(landing).select("path")
+
+
 def ingest_transactions(spark: SparkSession, landing: str, table: str, checkpoint: str,
                         archive_dir: str | None = None,
-                        name_glob: str | None = f"{FEED_TRANSACTIONS}_*.txt") -> StreamingQuery:
-    """Append new transaction files to the fact table and stop when drained."""
-    stream = transactions_stream(spark, landing, archive_dir, name_glob=name_glob)
-    facts = dims.fact_transactions(stream)
-    query = (facts.writeStream.format("parquet")
-             .option("checkpointLocation", checkpoint)
-             .partitionBy("batch_date")
-             .trigger(availableNow=True)
-             .start(table))
+                        name_glob: str | None = f"{FEED_TRANSACTIONS}_*.txt",
+                        rejects: str | None = None) -> StreamingQuery:
+    """Append new transaction files to the fact table and stop when drained. The stream says
+    which files are new; each micro-batch's files are read as the daily job reads them, by
+    column name. Lines that do not load (more fields than the header, no date in the file's
+    name) go to ``rejects`` (default: beside the table) with the reason. A micro-batch writes
+    partitions of its own number, so repeating it after a failure replaces its rows."""
+    rejects = rejects or f"{table.rstrip('/')}_rejects"
+
+    def load(batch: DataFrame, epoch_id: int) -> None:
+        paths = [r.path for r in batch.collect()]  # file names only
+        if not paths:
+            return
+        raw = delimited.read_transactions_raw(spark, paths)
+        accepted = delimited.accepted_lines(raw).filter(F.col("batch_date").isNotNull())
+        for rows, target, by in ((dims.fact_transactions(accepted), table, ["batch_date", "epoch"]),
+                                 (delimited.rejected_lines(raw), rejects, ["epoch"])):
+            (rows.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(target))
+
+    query = (_new_files(spark, landing, archive_dir, name_glob).writeStream.foreachBatch(load)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
     return query
 
 
+def read_ingested(spark: SparkSession, table: str) -> DataFrame:
+    """The facts of ``ingest_transactions``."""
+    stored = T.StructType([*FACT_TRANSACTIONS.fields, T.StructField("epoch", T.LongType())])
+    return spark.read.schema(stored).parquet(table).drop("epoch")
+
+
 def run_daily_stream(spark: SparkSession, landing: str, wh: daily.Warehouse, checkpoint: str,
                      run_time: dt.datetime,
                      load_time: Callable[[dt.date], dt.datetime] | None = None,
