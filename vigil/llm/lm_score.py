@@ -52,7 +52,9 @@ TABLE_BITS, PIECE_BITS = 21, 15
 ORDERS = (3, 5)
 #: bits between two updates of the weights
 STEP = 8
-#: bytes scored at once; bytes counted at once
+#: texts coded side by side, and bytes of text gathered for them
+LANES, GATHER_BYTES = 512, 8_000_000
+#: bytes laid out at once; bytes counted at once
 CHUNK_BYTES, COUNT_BYTES = 2_000_000, 2_000_000
 #: distinct words a task holds before it hands them on
 HELD_WORDS = 300_000
@@ -297,27 +299,74 @@ def _packed(d: Decisions, logits: list[np.ndarray]) -> np.ndarray:
     return packed.view(np.int32).ravel()
 
 
+@dataclass
+class Lanes:
+    """Which lane codes which text from which step on. Lanes are numbered by the step at
+    which they are done, the last one first, so those at work are always the first ones."""
+
+    n: int
+    begins: dict[int, list[tuple[int, int]]]  # step -> (lane, text)
+    ends: dict[int, list[tuple[int, int]]]  # last step of a text -> (lane, text)
+    at_work: np.ndarray  # lanes at work in each step
+
+
+def lanes_of(bits_of: np.ndarray, most: int) -> Lanes:
+    """Long texts first, each to the lane that is free first."""
+    n = min(most, int((bits_of > 0).sum()))
+    free = [(0, lane) for lane in range(n)]
+    own: list[list[tuple[int, int, int]]] = [[] for _ in range(n)]
+    for text in np.argsort(-bits_of, kind="stable").tolist():
+        if not bits_of[text]:
+            break
+        start, lane = heapq.heappop(free)
+        end = start + -(-int(bits_of[text]) // STEP)
+        own[lane].append((start, end, text))
+        heapq.heappush(free, (end, lane))
+    order = sorted(range(n), key=lambda lane: -own[lane][-1][1])
+    begins: dict[int, list[tuple[int, int]]] = {}
+    ends: dict[int, list[tuple[int, int]]] = {}
+    done = np.zeros(own[order[0]][-1][1] if n else 0, np.int64)
+    for lane, old in enumerate(order):
+        for start, end, text in own[old]:
+            begins.setdefault(start, []).append((lane, text))
+            ends.setdefault(end - 1, []).append((lane, text))
+        done[:own[old][-1][1]] += 1
+    return Lanes(n, begins, ends, done)
+
+
 def mixed_log10(d: Decisions, logits: list[np.ndarray]) -> np.ndarray:
-    """log10 probability of each text's decisions. All texts advance together, long ones
-    first, STEP bits at a time; each has its own weights and map. What a text's last step
-    reads past its end counts for nothing and changes only what is read no more."""
-    whole = _packed(d, logits)
-    order = np.argsort(-d.bits_of, kind="stable")
-    size, begin = d.bits_of[order], (np.cumsum(d.bits_of) - d.bits_of)[order]
-    k, n = len(logits), len(size)
-    shared = np.empty((k, 1, n), np.float32)
-    shared[:] = np.array(FIRST_WEIGHTS, np.float32)[:, None, None] / SCALE
+    """log10 probability of each text's decisions."""
+    return packed_log10(_packed(d, logits), d.bits_of, len(logits))
+
+
+def packed_log10(whole: np.ndarray, bits_of: np.ndarray, k: int) -> np.ndarray:
+    """log10 probability of the texts whose decisions ``_packed`` gives, one text after the
+    other. LANES texts advance together, STEP bits at a time; each has its own weights and
+    map, and a lane whose text ends takes the next one with fresh weights and map. What a
+    text's last step reads past its end counts for nothing and changes only what is
+    set anew."""
+    lanes = lanes_of(bits_of, LANES)
+    first, n = np.cumsum(bits_of) - bits_of, lanes.n
+    fresh = np.array(FIRST_WEIGHTS, np.float32)[:, None, None] / SCALE
+    shared = np.zeros((k, 1, n), np.float32)
     sure = np.zeros((k, 1, n), np.float32)  # added where the longest context is sure
     centres = 1 / (1 + np.exp(-(np.arange(MAP_CELLS) - MAP_CELLS / 2 + 0.5)))
-    cells = np.repeat(centres.astype(np.float32)[:, None], n, axis=1).ravel()
+    centres = centres.astype(np.float32)[:, None]
+    cells = np.zeros(MAP_CELLS * n, np.float32)
     column = np.arange(n, dtype=np.int64) + n * (MAP_CELLS // 2)
-    total = np.zeros(n, np.float64)
+    place, total = np.zeros(n, np.int64), np.zeros(n, np.float64)
+    out = np.zeros(len(bits_of))
     rate, one = np.float32(RATE / SCALE), np.float32(1)
     share, pace = np.float32(MAP_SHARE), np.float32(MAP_RATE)
     turns = np.arange(STEP)[:, None]
-    for t in range(0, int(size[0]) if n else 0, STEP):
-        m = int(np.searchsorted(-size, -t, side="left"))  # texts of more than t bits
-        now = whole.take(begin[:m] + (t + turns)).view(np.int8).reshape(STEP, m, k + 1)
+    for step, m in enumerate(lanes.at_work.tolist()):
+        if step in lanes.begins:
+            own, texts = map(list, zip(*lanes.begins[step]))
+            shared[:, :, own], sure[:, :, own], total[own] = fresh, 0, 0
+            cells.reshape(MAP_CELLS, n)[:, own] = centres
+            place[own] = first[texts]
+        now = whole.take(place[:m] + turns).view(np.int8).reshape(STEP, m, k + 1)
+        place += STEP
         now = np.moveaxis(now, 2, 0).astype(np.float32, order="C")
         x, y = now[:k], now[k]
         gate = (np.abs(x[-1]) >= GATE_AT).astype(np.float32)
@@ -340,17 +389,18 @@ def mixed_log10(d: Decisions, logits: list[np.ndarray]) -> np.ndarray:
             cells.take(at, out=own)
             cells[at] = own + pace * (bit - own)
         final = np.log(np.abs(one - y - (p + share * (seen - p))))
-        short = int(np.searchsorted(-size, -(t + STEP), side="right"))  # ends in this step
-        final[:, short:][turns + t >= size[short:m]] = 0
+        ending = lanes.ends.get(step, ())
+        for lane, text in ending:
+            final[(int(bits_of[text]) - 1) % STEP + 1:, lane] = 0
         total[:m] += final.sum(axis=0)
+        for lane, text in ending:
+            out[text] = total[lane]
         p -= y
         p *= -rate
         x *= p
         w += x.sum(axis=1, keepdims=True)
         x *= gate
         v += x.sum(axis=1, keepdims=True)
-    out = np.empty(n)
-    out[order] = total
     return out / math.log(10)
 
 
@@ -372,36 +422,62 @@ ROWS = ("doc_id long, held_out boolean, n_tokens long, n_known long, base double
 
 
 def _score_texts(texts: list[bytes], model: Model) -> np.ndarray:
-    out = np.zeros(len(texts))
+    """The decisions are laid out chunk by chunk (four bytes each stay), then coded together."""
+    packed, bits_of = [], []
     for a, b in _chunks([len(t) for t in texts], CHUNK_BYTES):
-        out[a:b] = mixed_log10(decisions(texts[a:b], model.code), model.logits)
-    return out
+        d = decisions(texts[a:b], model.code)
+        packed.append(_packed(d, model.logits)[:len(d.bit)])
+        bits_of.append(d.bits_of)
+    if not packed:
+        return np.zeros(0)
+    packed.append(np.zeros(STEP, np.int32))
+    return packed_log10(np.concatenate(packed), np.concatenate(bits_of).astype(np.int64),
+                        len(model.logits))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups of about GATHER_BYTES of text, so that all lanes have work."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(2).nbytes
+        if size >= GATHER_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         get = model.frequent.get
-        for batch in batches:
-            texts = [normal(t) for t in batch.column(2).to_pylist()]
-            scores = _score_texts(texts, model)
-            n_tokens, known, base, rare, times = [], [], [], [], []
-            for t in texts:
-                words = Counter(t.split())
-                words[_END_TOKEN] += 1
-                counts = [(w, n, get(w)) for w, n in words.items()]
-                n_tokens.append(sum(words.values()))
-                known.append(sum(n for _, n, c in counts if c))
-                base.append(sum(n * math.log10((c + 0.5) / model.scale)
-                                for _, n, c in counts if c))
-                rare.append([w for w, _, c in counts if not c])
-                times.append([n for _, n, c in counts if not c])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n_tokens, pa.int64()),
-                 pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.binary())),
-                 pa.array(times, pa.list_(pa.int64()))],
-                ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "tokens", "times"])
+        for group in _gathered(batches):
+            every = [[normal(t) for t in batch.column(2).to_pylist()] for batch in group]
+            scored = _score_texts([t for texts in every for t in texts], model)
+            for batch, texts in zip(group, every):
+                scores, scored = scored[:len(texts)], scored[len(texts):]
+                yield rows_of(batch, texts, scores, model, get)
+
+    def rows_of(batch, texts, scores, model, get):
+        n_tokens, known, base, rare, times = [], [], [], [], []
+        for t in texts:
+            words = Counter(t.split())
+            words[_END_TOKEN] += 1
+            counts = [(w, n, get(w)) for w, n in words.items()]
+            n_tokens.append(sum(words.values()))
+            known.append(sum(n for _, n, c in counts if c))
+            base.append(sum(n * math.log10((c + 0.5) / model.scale)
+                            for _, n, c in counts if c))
+            rare.append([w for w, _, c in counts if not c])
+            times.append([n for _, n, c in counts if not c])
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(n_tokens, pa.int64()),
+             pa.array(known, pa.int64()), pa.array(base, pa.float64()),
+             pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.binary())),
+             pa.array(times, pa.list_(pa.int64()))],
+            ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "tokens", "times"])
     return run
 
 
