@@ -24,6 +24,8 @@ import base64
 import heapq
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,8 @@ from vigil.llm.common import map_arrow
 #: file is broadcast
 MAX_VOCABULARY = 2_000_000
 #: characters of cached chunks and bytes of cached words per worker; beyond the first only
-#: the chunks of the texts at hand stay, beyond the second the words start anew
-CACHE_CHARS, CACHE_WORDS = 5_000_000, 4_000_000
+#: the chunks of the texts at hand stay, beyond the second the older half of the words goes
+CACHE_CHARS, CACHE_WORDS = 2_000_000, 12_000_000
 #: texts are encoded in slices of about so many characters
 SLICE_CHARS = 4_000_000
 
@@ -181,11 +183,12 @@ class Encoder:
 
     def _learn(self, new: set[str]) -> None:
         if self.cached_words > CACHE_WORDS:
-            self.words, self.cached_words = {}, 0
+            self.words = dict(islice(self.words.items(), len(self.words) // 2, None))
+            self.cached_words = sum(map(len, self.words))
         split = {c: [w.encode() for w in self.pattern.findall(c)] for c in new}
         words = {w for ws in split.values() for w in ws}.difference(self.words)
         for w, ids in self.table.replay(words).items():
-            self.words[w] = b"".join([i.to_bytes(4, "little") for i in ids])
+            self.words[w] = pack(f"<{len(ids)}I", *ids)
         get = self.words.__getitem__
         for c, ws in split.items():
             self.cache[c] = b"".join([get(w) for w in ws])
