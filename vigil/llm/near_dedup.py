@@ -222,13 +222,13 @@ def _prefix(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     classes = fixed(open_.select("cid", "n", "root").distinct())
     weight = fixed(classes.groupBy("root").agg(F.count(F.lit(1)).alias("weight")))
     classes = fixed(join_counted(classes, weight, "root", "weight"))
-    tokens = fixed(sets.join(classes, "cid", "left_semi")
-                   .select("cid", F.explode("shingles").alias("s")))
-    shared = fixed(tokens.join(classes, "cid").groupBy("s").agg(
+    tokens = fixed(sets.join(classes, "cid").select(
+        "cid", "root", "weight", F.explode("shingles").alias("s")))
+    shared = fixed(tokens.groupBy("s").agg(
         F.count(F.lit(1)).alias("holders"), F.min("root").alias("lo"), F.max("root").alias("hi"),
         F.max(F.struct("weight", "root")).alias("lead"))
         .filter("lo <> hi").select("s", "holders", F.col("lead.root").alias("lead")))
-    found = (join_counted(tokens, shared, "s", "holders").groupBy("cid")
+    found = (join_counted(tokens.select("cid", "s"), shared, "s", "holders").groupBy("cid")
              .agg(F.sort_array(F.collect_list(F.struct("holders", "s", "lead"))).alias("held"))
              .join(classes.drop("weight"), "cid"))
     length = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
