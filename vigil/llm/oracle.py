@@ -90,33 +90,43 @@ v AS (
   SELECT host, depth, above FROM c GROUP BY ALL
   HAVING count(DISTINCT segment) >= 20 AND 2 * count(DISTINCT segment) > sum(n)),
 t AS (
-  SELECT u.host, u.levels, u.bad, u.labelled, coalesce(w.template, []) AS template
+  SELECT u.host, u.levels, u.n, u.bad, u.labelled, coalesce(w.template, []) AS template
   FROM u LEFT JOIN (
     SELECT c.host, c.levels,
            list(CASE WHEN v.host IS NULL THEN segment ELSE '*' END ORDER BY c.depth) AS template
     FROM c LEFT JOIN v ON c.host = v.host AND c.depth = v.depth AND c.above = v.above
     GROUP BY ALL) w ON u.host = w.host AND u.levels = w.levels),
 b AS (
-  SELECT host, template, sum(bad) AS bad, sum(labelled) AS labelled,
+  SELECT host, template, sum(bad) AS bad, sum(labelled) AS labelled, sum(n) AS n,
          list_max(list_transform(template, lambda x, i: CASE
            WHEN x = '*' OR contains(x, '{{n}}') THEN 0 ELSE i END)) AS last
   FROM t GROUP BY host, template),
 m AS (
   SELECT *, array_to_string(list_transform(template, lambda x, i: CASE
-           WHEN i = last THEN '?' ELSE x END), '/') AS mask FROM b WHERE labelled > 0),
+           WHEN i = last THEN '?' ELSE x END), '/') AS mask FROM b),
 k AS (
   SELECT *, sum(bad) OVER g AS kb, sum(labelled) OVER g AS kn FROM m
   WINDOW g AS (PARTITION BY host, mask)),
 y AS (
-  SELECT *, (bad * kn - labelled * kb) ** 2 <= 4 * labelled * kb * (kn - kb) AS alike FROM k),
+  SELECT *, labelled > 0 AND (bad * kn - labelled * kb) ** 2 <= 4 * labelled * kb * (kn - kb)
+           AS alike FROM k WHERE kn > 0),
+q AS (
+  SELECT *, sum(bad) FILTER (alike) OVER g AS pb, sum(labelled) FILTER (alike) OVER g AS pl,
+         sum(n) FILTER (alike) OVER g AS pn, count(*) FILTER (alike) OVER g AS nb
+  FROM y WINDOW g AS (PARTITION BY host, mask)),
+j AS (
+  SELECT *, labelled = 0 AND nb > 0 AND (n * nb - pn) ** 2 <= 4 * nb * (n * nb + pn) AS joins
+  FROM q),
+h AS (SELECT host, sum(bad) / (sum(n) + 2) AS prior FROM b GROUP BY host),
 z AS (
-  SELECT host, template,
-         CASE WHEN alike THEN sum(bad) FILTER (alike) OVER g ELSE bad END AS bad,
-         CASE WHEN alike THEN sum(labelled) FILTER (alike) OVER g ELSE labelled END AS labelled
-  FROM y WINDOW g AS (PARTITION BY host, mask))
+  SELECT host, template, CASE WHEN labelled > 0 THEN 'branch' ELSE 'family' END AS evidence,
+         ((CASE WHEN alike OR joins THEN pb ELSE bad END) + 2 * prior)
+           / ((CASE WHEN alike OR joins THEN pl ELSE labelled END) + 2) AS purity
+  FROM j JOIN h USING (host) WHERE labelled > 0 OR joins)
 SELECT r.page_id, r.host, r.path, r.rule, coalesce(r.by_rule, CASE
-         WHEN z.bad / (z.labelled + 2) >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
-       array_to_string(t.template, '/') AS template
+         WHEN z.purity >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       array_to_string(t.template, '/') AS template,
+       CASE WHEN r.by_rule IS NOT NULL THEN 'rule' ELSE coalesce(z.evidence, 'none') END AS evidence
 FROM r JOIN t ON r.host = t.host AND r.levels = t.levels
 LEFT JOIN z ON t.host = z.host AND t.template = z.template
 """

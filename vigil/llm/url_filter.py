@@ -5,9 +5,10 @@ A rule (allow or block, host, path) fits its host and all subdomains if the path
 with the rule's; the longest rule wins. The other URLs are judged by templates: per host,
 segments with digits are generalised; a node of the tree with many children that hardly
 repeat has its children replaced by a wildcard; sibling branches that differ in one
-literal segment only are merged when their labelled purities do not differ significantly;
-a template is rejected when its purity, smoothed towards clean, reaches the threshold.
-Labels are the rules' verdicts, or a column of the caller's.
+literal segment only are merged when their labelled purities do not differ significantly,
+and unlabelled ones join them when they hold about as many pages; a template is rejected
+when its purity, smoothed towards its host's, reaches the threshold. Labels are the rules'
+verdicts, or a column of the caller's.
 
 All work is on distinct (host, shape) rows after one aggregation of the pages; hot hosts
 and shapes are combined map-side or split as heavy keys.
@@ -18,7 +19,7 @@ Defined results
   both empty and is judged like any other
 * ties among equally long rules go to the one that comes first in the alphabet
 * empty segments do not count; segments from level LEVELS on are one segment together
-* a template without labels is allowed; every row gives a row, repeated rows too; an empty
+* a template that neither has labels nor joins branches with labels is allowed; every row gives a row, repeated rows too; an empty
   table gives none; other columns are not read
 """
 
@@ -35,7 +36,8 @@ from vigil.llm.common import ascii_lower, fixed, join_counted
 LEVELS = 8
 #: a node is variable with so many children of which more than half occur once
 LEAST_CHILDREN = 20
-#: labelled pages that every template is taken to have had, all clean
+#: labelled pages that every template is taken to have had, as clean as its host (and every
+#: host, all clean)
 CLEAN_PAGES = 2
 THRESHOLD = 0.5
 
@@ -102,8 +104,13 @@ def _templates(shapes: DataFrame) -> DataFrame:
 
 
 def _merged(templates: DataFrame) -> DataFrame:
-    """Purity of every template: bad and labelled of its branch, merged with the similar
-    branches beside it."""
+    """host, template, bad, labelled, evidence of the templates that are judged by labels.
+
+    A template's family are the branches beside it that differ in its last literal segment
+    only. Labelled branches whose purity does not differ significantly from the family's pool
+    their labels ("branch" evidence; the others keep their own). An unlabelled branch whose
+    number of pages does not differ significantly from the pooled branches' mean (both
+    taken as Poisson counts) is judged by the pool ("family" evidence)."""
     literal = F.transform("template", lambda s, i: F.when(
         (s == "*") | F.contains(s, F.lit("{n}")), -1).otherwise(i))
     last = F.coalesce(F.array_max(literal), F.lit(-1))
@@ -111,27 +118,45 @@ def _merged(templates: DataFrame) -> DataFrame:
         "host", F.array_join(F.transform("template", lambda s, i: F.when(
             i == F.col("last"), "?").otherwise(s)), "/").alias("mask")))
     placed = fixed(placed.drop("last"))
-    labelled = placed.filter("labelled > 0")
-    pool = fixed(labelled.groupBy("family").agg(
+    pool = fixed(placed.groupBy("family").agg(
         F.sum("bad").alias("all_bad"), F.sum("labelled").alias("all_labelled"),
-        F.count(F.lit(1)).alias("n_branches")))
+        F.count(F.lit(1)).alias("n_branches")).filter("all_labelled > 0"))
     k, n = F.col("all_bad").cast("double"), F.col("all_labelled").cast("double")
     gap = F.col("bad") * n - F.col("labelled") * k
-    near = fixed(join_counted(labelled, pool, "family", "n_branches")
-                 .withColumn("similar", gap * gap <= 4 * F.col("labelled") * k * (n - k))
-                 .select("family", "host", "template", "bad", "labelled", "similar"))
-    sums = fixed(near.filter("similar").groupBy("family").agg(
-        F.sum("bad").alias("sum_bad"), F.sum("labelled").alias("sum_labelled"),
-        F.count(F.lit(1)).alias("n_branches")))
-    together = join_counted(near.filter("similar"), sums, "family", "n_branches").select(
-        "host", "template", F.col("sum_bad").alias("bad"), F.col("sum_labelled").alias("labelled"))
-    alone = near.filter("NOT similar").select("host", "template", "bad", "labelled")
-    return together.unionByName(alone)
+    near = fixed(join_counted(placed, pool, "family", "n_branches")
+                 .withColumn("similar", (F.col("labelled") > 0)
+                             & (gap * gap <= 4 * F.col("labelled") * k * (n - k)))
+                 .select("family", "host", "template", "bad", "labelled", "n", "similar"))
+    sums = near.groupBy("family").agg(
+        F.sum(F.when(F.col("similar"), F.col("bad"))).alias("sum_bad"),
+        F.sum(F.when(F.col("similar"), F.col("labelled"))).alias("sum_labelled"),
+        F.sum(F.when(F.col("similar"), F.col("n"))).alias("sum_n"),
+        F.count_if("similar").alias("n_similar"), F.count(F.lit(1)).alias("n_branches"))
+    both = join_counted(near, fixed(sums), "family", "n_branches")
+    own, pooled = F.col("n") * F.col("n_similar"), F.col("sum_n")
+    alike = ((F.col("labelled") == 0) & (F.col("n_similar") > 0)
+             & ((own - pooled) * (own - pooled) <= 4 * F.col("n_similar") * (own + pooled)))
+    use_pool = F.col("similar") | alike
+    return both.filter((F.col("labelled") > 0) | alike).select(
+        "host", "template", F.when(use_pool, F.col("sum_bad")).otherwise(F.col("bad")).alias("bad"),
+        F.when(use_pool, F.col("sum_labelled")).otherwise(F.col("labelled")).alias("labelled"),
+        F.when(F.col("labelled") > 0, "branch").otherwise("family").alias("evidence"))
+
+
+def _judged(templates: DataFrame) -> DataFrame:
+    """host, template, rejected, evidence: purity smoothed towards the host's, where pages
+    without a label count as clean."""
+    hosts = fixed(templates.groupBy("host").agg(
+        (F.sum("bad") / (F.sum("n") + CLEAN_PAGES)).alias("prior"),
+        F.count(F.lit(1)).alias("n_templates")))
+    found = join_counted(fixed(_merged(templates)), hosts, "host", "n_templates")
+    purity = (F.col("bad") + CLEAN_PAGES * F.col("prior")) / (F.col("labelled") + CLEAN_PAGES)
+    return found.select("host", "template", (purity >= THRESHOLD).alias("rejected"), "evidence")
 
 
 def judge(pages: DataFrame, rules: list[Rule], bad: Column | None = None) -> DataFrame:
-    """page_id, host, path, rule, verdict, template of every row of ``pages``. ``bad`` is a
-    boolean column of ``pages`` with the labels (null: none); without it the rules label."""
+    """page_id, host, path, rule, verdict, template and evidence (rule, branch, family or
+    none) of every row of ``pages``. ``bad`` is a boolean column of ``pages`` with the labels (null: none); without it the rules label."""
     url = F.coalesce(pages["url"], F.lit(""))
     rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"),
                         (F.lit(None).cast("boolean") if bad is None else bad).alias("bad"))
@@ -146,14 +171,14 @@ def judge(pages: DataFrame, rules: list[Rule], bad: Column | None = None) -> Dat
         F.count("bad").alias("labelled")))
     named = fixed(_templates(shapes).select("shape", "n", "bad", "labelled", "template"))
     templates = named.groupBy(F.col("shape.host").alias("host"), "template").agg(
-        F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
-    rejected = _merged(templates).filter(
-        F.col("bad") / (F.col("labelled") + CLEAN_PAGES) >= THRESHOLD)
+        F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"), F.sum("n").alias("n"))
+    templates = fixed(templates)
     judged = (named.withColumn("host", F.col("shape.host"))
-              .join(rejected.select("host", "template", F.lit(True).alias("rejected")),
-                    ["host", "template"], "left")
-              .select("shape", "n", "rejected", F.array_join("template", "/").alias("template")))
+              .join(_judged(templates), ["host", "template"], "left")
+              .select("shape", "n", "rejected", "evidence",
+                      F.array_join("template", "/").alias("template")))
     out = join_counted(rows, fixed(judged), "shape", "n")
     return out.select("page_id", "host", "path", "rule", F.coalesce(
         "by_rule", F.when(F.col("rejected"), "block").otherwise("allow")).alias("verdict"),
-        "template")
+        "template", F.when(F.col("by_rule").isNotNull(), "rule")
+        .otherwise(F.coalesce("evidence", F.lit("none"))).alias("evidence"))
