@@ -9,8 +9,8 @@ is the sum of -log10 p over its significant segments (of the best one if none is
 logistic curve on it gives the probability.
 
 The model is fitted on a bounded sample of labelled rows (``MAX_LABELLED``, those with the
-smallest hash of the id) and holds a bounded number of tokens (``MAX_TOKENS``, those of
-most evidence), so it is broadcast. Scoring covers every whole text, without a shuffle.
+smallest hash of the id); a token it holds has some ten documents of the sample, so the
+model is bounded as the sample is, and is broadcast. Scoring covers every whole text, without a shuffle.
 
 Defined results
 * tokens are runs of letters, digits and underscores, lower-cased; a token counts once
@@ -39,8 +39,6 @@ from vigil.llm.common import fixed, fold, map_arrow, unwrapped, wrapped
 
 #: labelled rows that the model is fitted on at most
 MAX_LABELLED = 20_000
-#: tokens that the model holds at most
-MAX_TOKENS = 50_000
 #: folds (crc32 of the id modulo 5) whose labels are never learnt; that calibrate
 HELD_OUT, CALIBRATION = 0, 4
 #: strength of the Dirichlet prior in tokens; evidence that a token needs (root of the
@@ -124,12 +122,20 @@ def _probability(x: float, curve: tuple[float, float]) -> float:
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text, toxic, fold of the bounded sample of labelled rows."""
-    ids = (labels.select(labels["doc_id"].cast("long").alias("doc_id"),
-                         labels["toxic"].cast("int").alias("toxic"))
-           .filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
-           .withColumn("fold", fold(F.col("doc_id"))).filter(F.col("fold") != HELD_OUT)
-           .groupBy("doc_id", "fold").agg(F.max("toxic").alias("toxic"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED))
+    ids = fixed(labels.select(labels["doc_id"].cast("long").alias("doc_id"),
+                              labels["toxic"].cast("int").alias("toxic"))
+                .filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
+                .withColumn("fold", fold(F.col("doc_id"))).filter(F.col("fold") != HELD_OUT)
+                .groupBy("doc_id", "fold").agg(F.max("toxic").alias("toxic"))
+                .withColumn("turn", F.xxhash64("doc_id")))
+    n = ids.count()
+    if n > MAX_LABELLED:
+        # slightly more than are wanted, by their hashes; only these are sorted in one task
+        share = (MAX_LABELLED + 8 * MAX_LABELLED**0.5) / n
+        some = ids.filter(F.col("turn") <= min(int(share * 2**64), 2**64 - 1) - 2**63)
+        ids = some if some.count() >= MAX_LABELLED else ids
+        ids = ids.orderBy("turn", "doc_id").limit(MAX_LABELLED)
+    ids = ids.drop("turn")
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     return own.join(F.broadcast(ids), "doc_id")
 
@@ -170,8 +176,8 @@ def _log_odds(sample: DataFrame) -> tuple[dict[str, float], np.ndarray, np.ndarr
     best = (counts.select("token", ((F.col("clean") + prior) / (n0 + PRIOR_TOKENS)).alias("p"),
                           delta.alias("delta"),
                           F.sqrt(F.greatest(ratio, F.lit(0.0))).alias("z"))
-            .filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "token")
-            .limit(MAX_TOKENS).collect())
+            # a token needs some ten documents of the bounded sample to get there
+            .filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "token").collect())
     weights = {r.token: float(np.clip(r.delta, *WEIGHT_RANGE)) - DRIFT for r in best}
     values = np.array([weights[r.token] for r in best] + [-DRIFT])
     shares = np.array([r.p for r in best])
