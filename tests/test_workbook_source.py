@@ -1,0 +1,91 @@
+"""Workbooks as a data source, and reading them in bounded memory."""
+
+from __future__ import annotations
+
+import shutil
+import tracemalloc
+import zipfile
+
+import pytest
+
+from vigil.schemas import TERMINALS_FILE_COLUMNS
+from vigil.sources import workbook, workbook_source
+from xlsx_util import write_xlsx
+
+HEADER = ["note", *TERMINALS_FILE_COLUMNS]
+
+
+def _book(path, n, start=0):
+    write_xlsx(str(path), HEADER, [["n", f"T{i}", "ATM", f"C{i % 7}", None if i % 5 == 0 else i]
+                                   for i in range(start, start + n)])
+
+
+def _read(spark, folder, **options):
+    return (spark.read.format("workbook").option("path", str(folder))
+            .option("columns", ",".join(TERMINALS_FILE_COLUMNS)).options(**options).load())
+
+
+def _rows(df):
+    return sorted(map(tuple, df.select(*TERMINALS_FILE_COLUMNS).collect()), key=repr)
+
+
+def test_source_equals_the_reader(spark, tmp_path):
+    workbook_source.register(spark)
+    _book(tmp_path / "terminals_01032021.xlsx", 30)
+    _book(tmp_path / "terminals_02032021.xlsx", 0)
+    _book(tmp_path / "other_02032021.xlsx", 3, 100)
+    got = _read(spark, tmp_path, glob="terminals_*.xlsx")
+    plain = workbook.read_workbooks(spark, str(tmp_path), TERMINALS_FILE_COLUMNS, "terminals_*.xlsx")
+    assert _rows(got) == _rows(plain) and got.count() == 30
+    assert got.rdd.getNumPartitions() == 2
+    one = (spark.read.format("workbook").option("columns", "terminal_city")
+           .option("path", str(tmp_path / "terminals_01032021.xlsx")).load())
+    assert one.columns == ["terminal_city", "file_path"] and one.count() == 30
+    with pytest.raises(Exception, match="no column"):
+        (spark.read.format("workbook").option("columns", "absent").option("path", str(tmp_path))
+         .load().count())
+
+
+def test_stream_takes_each_workbook_once(spark, tmp_path):
+    workbook_source.register(spark)
+    land, out, ckpt = tmp_path / "land", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    land.mkdir()
+
+    def run():
+        stream = (spark.readStream.format("workbook").option("path", str(land))
+                  .option("columns", ",".join(TERMINALS_FILE_COLUMNS)).load())
+        (stream.writeStream.format("parquet").option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start(out).awaitTermination())
+        return spark.read.parquet(out).count()
+
+    _book(land / "terminals_01032021.xlsx", 12)
+    assert run() == 12 and run() == 12
+    _book(tmp_path / "later.xlsx", 5, 50)
+    shutil.move(str(tmp_path / "later.xlsx"), land / "terminals_02032021.xlsx")
+    assert run() == 17
+
+
+def test_a_large_sheet_is_read_in_bounded_memory(tmp_path):
+    """300,000 rows (45 MB of XML) with less than 30 MB held."""
+    small = tmp_path / "small.xlsx"
+    _book(small, 1)
+    large = tmp_path / "large.xlsx"
+    with zipfile.ZipFile(small) as a, zipfile.ZipFile(large, "w", zipfile.ZIP_DEFLATED) as b:
+        for name in a.namelist():
+            if name != "xl/worksheets/sheet1.xml":
+                b.writestr(name, a.read(name))
+        with b.open("xl/worksheets/sheet1.xml", "w") as part:
+            part.write(b'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
+                       b"<sheetData>")
+            head = "".join(f'<c t="inlineStr"><is><t>{h}</t></is></c>' for h in HEADER)
+            part.write(f"<row>{head}</row>".encode())
+            for i in range(300_000):
+                part.write(f"<row><c><v>0</v></c><c t=\"str\"><v>T{i}</v></c><c t=\"str\"><v>ATM</v>"
+                           f"</c><c t=\"str\"><v>C</v></c><c><v>{i}</v></c></row>".encode())
+            part.write(b"</sheetData></worksheet>")
+    tracemalloc.start()
+    n = sum(len(c[0]) for c in workbook.sheet_columns(
+        str(large), workbook.iter_first_sheet(str(large)), TERMINALS_FILE_COLUMNS))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 300_000 and peak < 30e6

@@ -3,8 +3,9 @@
 Spark has no Excel source. The files are read with the ``binaryFile`` source
 (one row per workbook, split across tasks) and each workbook's first sheet is
 decoded inside ``mapInPandas`` with the standard library (an xlsx file is a
-zip of XML parts). A sheet holds at most 1,048,576 rows by format, so one task
-per workbook is bounded. The first row is the header; every value comes out
+zip of XML parts, read event by event). A sheet holds at most 1,048,576 rows by format, so
+one task per workbook is bounded; in memory are the workbook's bytes, its distinct strings
+and CHUNK_ROWS rows. The first row is the header; every value comes out
 as text (numbers without a trailing ``.0`` when whole, date cells as ISO
 dates) and is typed afterwards with ``try_cast``. A workbook without a needed
 column fails the run; one with only a header has no rows.
@@ -23,6 +24,7 @@ import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -46,6 +48,8 @@ _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
 _DATE_FORMAT_IDS = set(range(14, 23)) | {45, 46, 47}
 _EXCEL_EPOCH = dt.datetime(1899, 12, 30)
 _EXCEL_EPOCH_1904 = dt.datetime(1904, 1, 1)
+#: rows of a sheet handed on together
+CHUNK_ROWS = 20_000
 
 
 def _text(node) -> str:
@@ -100,65 +104,98 @@ def _number_text(raw: str, is_date: bool, epoch: dt.datetime) -> str:
     return repr(value)
 
 
+def _shared_strings(z: zipfile.ZipFile) -> list[str]:
+    if "xl/sharedStrings.xml" not in z.namelist():
+        return []
+    found = []
+    with z.open("xl/sharedStrings.xml") as part:
+        for item, parent in _elements(part, "si"):
+            found.append(_text(item))
+            parent.clear()
+    return found
+
+
+def _elements(part, name: str) -> Iterator[tuple[ElementTree.Element, ElementTree.Element]]:
+    """Elements of a name as they end, with the element around them, which the caller
+    clears: an XML part is never in memory as a whole."""
+    above: list[ElementTree.Element] = []
+    for event, node in ElementTree.iterparse(part, events=("start", "end")):
+        if event == "start":
+            above.append(node)
+            continue
+        above.pop()
+        if node.tag == f"{{{_NS['m']}}}{name}":
+            yield node, above[-1]
+
+
+def _epoch(z: zipfile.ZipFile) -> dt.datetime:
+    pr = ElementTree.fromstring(z.read("xl/workbook.xml")).find("m:workbookPr", _NS)
+    if pr is not None and pr.get("date1904") in ("1", "true"):
+        return _EXCEL_EPOCH_1904
+    return _EXCEL_EPOCH
+
+
+def iter_first_sheet(book: str | io.IOBase) -> Iterator[list[str | None]]:
+    """Rows of the first sheet as text (None for empty cells), one at a time; the shared
+    strings are all that is kept."""
+    with zipfile.ZipFile(book) as z:
+        shared, epoch, dates = _shared_strings(z), _epoch(z), _date_styles(z)
+        with z.open(_first_sheet_path(z)) as part:
+            for row, parent in _elements(part, "row"):
+                values: dict[int, str | None] = {}
+                for pos, c in enumerate(row.findall("m:c", _NS)):
+                    ref = c.get("r")
+                    values[_col_index(ref) if ref else pos] = _cell(c, shared, dates, epoch)
+                yield [values.get(i) for i in range(max(values) + 1 if values else 0)]
+                parent.clear()
+
+
+def _cell(c: ElementTree.Element, shared: list[str], dates: set[int],
+          epoch: dt.datetime) -> str | None:
+    kind, v = c.get("t", "n"), c.find("m:v", _NS)
+    if kind == "inlineStr":
+        is_ = c.find("m:is", _NS)
+        return _text(is_) if is_ is not None else None
+    if v is None or v.text is None:
+        return None
+    if kind == "s":
+        return shared[int(v.text)]
+    if kind == "b":
+        return "TRUE" if v.text == "1" else "FALSE"
+    if kind in ("str", "e"):
+        return v.text
+    return _number_text(v.text, int(c.get("s", "0")) in dates, epoch)
+
+
 def read_first_sheet(content: bytes) -> list[list[str | None]]:
-    """Rows of the first sheet as text (None for empty cells)."""
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        shared: list[str] = []
-        if "xl/sharedStrings.xml" in z.namelist():
-            sst = ElementTree.fromstring(z.read("xl/sharedStrings.xml"))
-            shared = [_text(si) for si in sst.findall("m:si", _NS)]
-        epoch = _EXCEL_EPOCH
-        wb = ElementTree.fromstring(z.read("xl/workbook.xml"))
-        pr = wb.find("m:workbookPr", _NS)
-        if pr is not None and pr.get("date1904") in ("1", "true"):
-            epoch = _EXCEL_EPOCH_1904
-        dates = _date_styles(z)
-        sheet = ElementTree.fromstring(z.read(_first_sheet_path(z)))
-        rows: list[list[str | None]] = []
-        for row in sheet.iter(f"{{{_NS['m']}}}row"):
-            values: dict[int, str | None] = {}
-            for pos, c in enumerate(row.findall("m:c", _NS)):
-                ref = c.get("r")
-                idx = _col_index(ref) if ref else pos
-                kind = c.get("t", "n")
-                v = c.find("m:v", _NS)
-                if kind == "inlineStr":
-                    is_ = c.find("m:is", _NS)
-                    values[idx] = _text(is_) if is_ is not None else None
-                elif v is None or v.text is None:
-                    values[idx] = None
-                elif kind == "s":
-                    values[idx] = shared[int(v.text)]
-                elif kind == "b":
-                    values[idx] = "TRUE" if v.text == "1" else "FALSE"
-                elif kind in ("str", "e"):
-                    values[idx] = v.text
-                else:
-                    values[idx] = _number_text(v.text, int(c.get("s", "0")) in dates, epoch)
-            width = max(values) + 1 if values else 0
-            rows.append([values.get(i) for i in range(width)])
-        return rows
+    """All rows of the first sheet."""
+    return list(iter_first_sheet(io.BytesIO(content)))
+
+
+def sheet_columns(path: str, rows: Iterator[list[str | None]],
+                  columns: Sequence[str]) -> Iterator[list[list[str | None]]]:
+    """The named columns of a sheet whose first row is the header, CHUNK_ROWS rows at a time
+    (one list per column)."""
+    header = [(h or "").strip() for h in next(rows, [])]
+    if not header:
+        return
+    missing = [name for name in columns if name not in header]
+    if missing:
+        raise ValueError(f"{path}: the first sheet has no column {missing}")
+    at = [header.index(name) for name in columns]
+    while chunk := list(islice(rows, CHUNK_ROWS)):
+        yield [[r[i] if i < len(r) else None for r in chunk] for i in at]
 
 
 def _decoder(columns: Sequence[str]):
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                rows = read_first_sheet(bytes(content))
-                if not rows:
-                    continue
-                header = [(h or "").strip() for h in rows[0]]
-                missing = [name for name in columns if name not in header]
-                if missing:
-                    raise ValueError(f"{path}: the first sheet has no column {missing}")
-                if len(rows) == 1:
-                    continue  # a day without rows
-                pos = {name: header.index(name) for name in columns}
-                out = {name: [(r[i] if i < len(r) else None) for r in rows[1:]]
-                       for name, i in pos.items()}
-                frame = pd.DataFrame(out, columns=list(columns))
-                frame["file_path"] = path
-                yield frame
+                rows = iter_first_sheet(io.BytesIO(bytes(content)))
+                for values in sheet_columns(path, rows, columns):
+                    frame = pd.DataFrame(dict(zip(columns, values)), columns=list(columns))
+                    frame["file_path"] = path
+                    yield frame
     return decode
 
 
