@@ -8,10 +8,13 @@ partitions are decided from runtime statistics.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 SESSION_CONF = {
@@ -77,11 +80,28 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
+_OWN: set[str] = set()
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    root = checkpoint_root(spark)
-    path = os.path.join(root, "vigil", f"{purpose}-{uuid.uuid4().hex}")
-    return path
+    """A fresh sub-folder of the shared checkpoint folder for written tables. The folders of
+    an application are deleted when its driver ends."""
+    own = os.path.join(checkpoint_root(spark), "vigil", spark.sparkContext.applicationId)
+    if own not in _OWN:
+        _OWN.add(own)
+        atexit.register(_delete, own)
+    return os.path.join(own, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def _delete(path: str) -> None:
+    jvm = SparkContext._jvm
+    if jvm is None:
+        return
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        folder.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(folder, True)
+    except (Py4JError, OSError):  # the JVM has ended before; the folder stays
+        pass
 
 
 def written(df):
