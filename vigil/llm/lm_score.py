@@ -53,9 +53,9 @@ ORDERS = (3, 5)
 #: bits between two updates of the weights
 STEP = 8
 #: texts coded side by side, and bytes of text gathered for them
-LANES, GATHER_BYTES = 512, 8_000_000
+LANES, GATHER_BYTES = 512, 6_000_000
 #: bytes laid out at once; bytes counted at once
-CHUNK_BYTES, COUNT_BYTES = 2_000_000, 2_000_000
+CHUNK_BYTES, COUNT_BYTES = 1_000_000, 2_000_000
 #: distinct words a task holds before it hands them on
 HELD_WORDS = 300_000
 #: first round of adding up table pieces: so many parts of the tasks
@@ -431,8 +431,9 @@ def _score_texts(texts: list[bytes], model: Model) -> np.ndarray:
     if not packed:
         return np.zeros(0)
     packed.append(np.zeros(STEP, np.int32))
-    return packed_log10(np.concatenate(packed), np.concatenate(bits_of).astype(np.int64),
-                        len(model.logits))
+    whole = np.concatenate(packed)
+    packed.clear()
+    return packed_log10(whole, np.concatenate(bits_of).astype(np.int64), len(model.logits))
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
