@@ -64,3 +64,36 @@ def test_stream_equals_batch_rule(spark, tmp_path):
                     D("2021-03-02"))], land)
     hits, side = _run(spark, land, out)
     assert hits == want and side == [("late", "l1"), ("undated", "u1")]
+
+
+def test_hits_across_midnight(spark, tmp_path):
+    """A slot of the state ends at midnight; rows of its last minutes count for the next one."""
+    rows = []
+    for card, day in (("C1", "2021-03-01"), ("C2", "2021-02-27"), (None, "2021-03-01")):
+        start = dt.datetime.combine(D(day), dt.time(23, 40))
+        for n, seconds in enumerate((0, 300, 900, 1199, 1200, 1260, 1500, 2400)):
+            rows.append((f"{card}-{day}-{n}", start + dt.timedelta(seconds=seconds), f"{90 - n},5",
+                         card, "PAYMENT", "SUCCESS" if n in (3, 7) else "REJECT", "T", D(day)))
+        # three rejected ones before midnight, the success after it
+        rows += [(f"m{i}-{card}", start + dt.timedelta(days=2, minutes=6 * i + 1), f"{50 - i}", card,
+                  "PAYMENT", "SUCCESS" if i == 3 else "REJECT", "T", D(day)) for i in range(3)]
+        rows.append((f"m3-{card}", start + dt.timedelta(days=2, minutes=20, seconds=59), "1", card,
+                     "PAYMENT", "SUCCESS", "T", D(day)))
+    want = sorted(map(tuple, rules.amount_hits(spark.createDataFrame(rows, FACT_TRANSACTIONS))
+                      .select("batch_date", "card_num", "trans_id", "event_dt").collect()), key=repr)
+    assert [r[2] for r in want if r[2].startswith("m")] == ["m3-C2", "m3-C1", "m3-None"]
+    land, out = str(tmp_path / "land"), str(tmp_path / "out")
+    _write(spark, [*rows, ("z1", T("2021-03-08 00:00:00"), "1", "Z", "PAYMENT", "REJECT", "T",
+                           D("2021-03-08"))], land)
+    assert _run(spark, land, out) == [want, []]
+
+
+def test_state_does_not_grow_with_the_cards(spark, tmp_path):
+    day = D("2021-03-01")
+    rows = [(f"t{i}", T("2021-03-01 10:00:00"), "1", f"C{i}", "PAYMENT", "REJECT", "T", day)
+            for i in range(6000)]
+    _write(spark, rows, str(tmp_path / "land"))
+    stream = spark.readStream.schema(FACT_TRANSACTIONS).parquet(str(tmp_path / "land"))
+    query = write_sequence(amount_stream(stream), *(str(tmp_path / x) for x in ("h", "s", "c")))
+    states = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert 0 < max(states) < 6000, states
