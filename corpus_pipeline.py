@@ -22,6 +22,9 @@ from vigil.session import scratch_dir
 
 #: words in a shingle, least similarity in percent of the near-duplicate stage
 SHINGLE, PERCENT = 5, 80
+#: bytes of words whose ids a worker of the last stage holds, beside executors whose heap the
+#: stages before have filled
+CACHE_WORDS = 3_000_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +48,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit), and whether they decode to
     the text, as digests of both."""
     out = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
-                     public_tokenizers.PATTERN, decode=True)
+                     public_tokenizers.PATTERN, decode=True, cache_words=CACHE_WORDS)
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                       F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -95,3 +96,29 @@ def test_empty_tables(spark, folder, tmp_path):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(
             f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+class _Shared:
+    value = bpe.load_ranks(VOCABULARY)
+
+
+def test_encoding_in_bounded_memory():
+    """A worker holds one encoder and as many bytes of words as it was told, with the same ids."""
+    rnd = random.Random(5)
+    texts = [" ".join("".join(rnd.choices("abcdefgh", k=9)) for _ in range(200)) for _ in range(60)]
+    batches = [pa.record_batch([pa.array(range(i, i + 10)), pa.array(texts[i:i + 10])],
+                               ["doc_id", "text"]) for i in range(0, 60, 10)]
+
+    def ids(cache_words):
+        run = bpe._run(_Shared(), public_tokenizers.PATTERN, False, cache_words)
+        return [x for batch in run(iter(batches)) for x in batch.column(1).to_pylist()]
+
+    want = ids(bpe.CACHE_WORDS)
+    assert ids(5_000) == want
+    assert bpe._encoder.cache_info().currsize == 1
+    encoder = bpe.Encoder(_Shared.value, public_tokenizers.PATTERN, 5_000)
+    for batch in batches:
+        encoder.encode(batch.column(1).to_pylist())
+    # what a learnt batch adds comes on top; all 60 texts have 120,000 bytes of words
+    assert encoder.cached_words < 45_000
+    assert corpus_pipeline.CACHE_WORDS < bpe.CACHE_WORDS

@@ -173,7 +173,8 @@ class MergeTable:
 class Encoder:
     """Encodes texts, keeping the ids of the chunks it has met."""
 
-    def __init__(self, tokens: list[bytes], pattern: str):
+    def __init__(self, tokens: list[bytes], pattern: str, cache_words: int = CACHE_WORDS):
+        self.most_words = cache_words
         self.table = MergeTable(tokens)
         self.pattern = regex.compile(pattern)
         self.chunk = regex.compile(r"\s*\S+|\s+")
@@ -182,7 +183,7 @@ class Encoder:
         self.cached_chars = self.cached_words = 0
 
     def _learn(self, new: set[str]) -> None:
-        if self.cached_words > CACHE_WORDS:
+        if self.cached_words > self.most_words:
             self.words = dict(islice(self.words.items(), len(self.words) // 2, None))
             self.cached_words = sum(map(len, self.words))
         split = {c: [w.encode() for w in self.pattern.findall(c)] for c in new}
@@ -212,9 +213,10 @@ class Encoder:
         return b"".join(map(self.table.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
-def _encoder(shared: Broadcast, pattern: str) -> Encoder:
-    return Encoder(shared.value, pattern)
+# one only: a worker that goes on to the next encoding drops the words of the last one
+@lru_cache(maxsize=1)
+def _encoder(shared: Broadcast, pattern: str, cache_words: int) -> Encoder:
+    return Encoder(shared.value, pattern, cache_words)
 
 
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -228,9 +230,9 @@ def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def _run(shared: Broadcast, pattern: str, decode: bool):
+def _run(shared: Broadcast, pattern: str, decode: bool, cache_words: int = CACHE_WORDS):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared, pattern)
+        encoder = _encoder(shared, pattern, cache_words)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in _slices(texts):
@@ -248,12 +250,14 @@ def _vocabulary(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(load_ranks(path))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, decode: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, decode: bool = False,
+           cache_words: int = CACHE_WORDS) -> DataFrame:
     """doc_id, ids (binary: little-endian unsigned 32-bit) per row of ``docs``; with
-    ``decode`` also the bytes that the ids give back."""
+    ``decode`` also the bytes that the ids give back. A worker holds the ids of about
+    ``cache_words`` bytes of words: fewer take less memory and more time."""
     shared = _vocabulary(docs.sparkSession, path)
     return map_arrow(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]),
-                     _run(shared, pattern, decode), ROUND_TRIP if decode else ENCODED)
+                     _run(shared, pattern, decode, cache_words), ROUND_TRIP if decode else ENCODED)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
