@@ -33,16 +33,16 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import fixed, map_arrow
+from vigil.llm.common import ARROW_ROWS, fixed, map_arrow
 from vigil.session import scratch_dir
 
 #: words with more than 1/FREQUENT of all tokens are broadcast
@@ -54,12 +54,10 @@ ORDERS = (3, 5)
 #: bits between two updates of the weights
 STEP = 8
 #: texts coded side by side, bytes of text gathered for them, and lanes that go on alone
-LANES, GATHER_BYTES, FEW = 1024, 8_000_000, 4
+LANES, GATHER_BYTES, FEW = 2048, 16_000_000, 4
 #: bytes laid out at once (whose arrays stay in a core's cache); bytes counted at once, and
 #: their distinct places laid out at once
 CHUNK_BYTES, COUNT_BYTES, COUNT_KEYS = 100_000, 2_000_000, 100_000
-#: distinct words a task holds before it hands them on
-HELD_WORDS = 300_000
 #: first round of adding up table pieces: so many parts of the tasks
 ROUNDS = 16
 #: predictions are kept as whole 16ths of their logit, at most 127
@@ -79,6 +77,31 @@ def normal(text: str | None) -> bytes:
     return (text or "").encode().lower()
 
 
+@dataclass
+class Tokens:
+    """Distinct tokens of each text, one text after the other."""
+
+    text: np.ndarray
+    token: np.ndarray  # place in ``names``
+    times: np.ndarray
+    names: pa.Array
+
+
+def tokens_of(texts: pa.Array) -> Tokens:
+    """Words of the lower-cased texts, and one end token for each text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, parents = lists.flatten(), pc.list_parent_indices(lists)
+    real = pc.greater(pc.binary_length(words), 0)
+    coded = words.filter(real).dictionary_encode()
+    names = pa.concat_arrays([coded.dictionary.cast(pa.binary()),
+                              pa.array([_END_TOKEN], pa.binary())])
+    key = np.concatenate([
+        parents.filter(real).to_numpy().astype(np.int64) * len(names) + coded.indices.to_numpy(),
+        np.arange(1, len(texts) + 1) * len(names) - 1])
+    key, times = np.unique(key, return_counts=True)
+    return Tokens(key // len(names), key % len(names), times, names)
+
+
 # --- code --------------------------------------------------------------------------
 
 @dataclass
@@ -215,33 +238,49 @@ def _chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
 
 # --- training ------------------------------------------------------------------------
 
+def _gathered(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[pa.Array]]:
+    """Columns of batches in groups of about GATHER_BYTES of text."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def whole():
+        return [pa.concat_arrays(columns) for columns in zip(*(b.columns for b in held))]
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= GATHER_BYTES:
+            yield whole()
+            held, size = [], 0
+    if held:
+        yield whole()
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (is_byte, token, n): words and the end token, and pairs of symbols."""
-    words: Counter = Counter()
     symbols = np.zeros(SYMBOLS * SYMBOLS, np.int64)
     end = np.full(1, END, np.uint16)
 
-    def out(counts, is_byte):
-        names = list(counts)
+    def out(names, n, is_byte):
         return pa.RecordBatch.from_arrays(
-            [pa.array([is_byte] * len(names), pa.bool_()), pa.array(names, pa.binary()),
-             pa.array(list(counts.values()), pa.int64())], ["is_byte", "token", "n"])
-
-    for batch in batches:
-        row = [end]
-        for text in batch.column(0).to_pylist():
-            t = normal(text)
-            words.update(t.split())
-            row += (np.frombuffer(t, np.uint8), end)
-        words[_END_TOKEN] += batch.num_rows
-        both = np.concatenate(row).astype(np.uint32)
-        symbols += np.bincount(both[:-1] * np.uint32(SYMBOLS) + both[1:], minlength=len(symbols))
-        if len(words) > HELD_WORDS:
-            yield out(words, False)
-            words = Counter()
-    if words:
-        yield out(words, False)
-    yield out({s.to_bytes(4, "big"): int(n) for s, n in enumerate(symbols) if n}, True)
+            [pa.array([is_byte] * len(names), pa.bool_()), names, pa.array(n, pa.int64())],
+            ["is_byte", "token", "n"])
+
+    for (text,) in _gathered(batches, 0):
+        own = tokens_of(text)
+        n = np.zeros(len(own.names), np.int64)
+        np.add.at(n, own.token, own.times)
+        yield out(own.names, n, False)
+        for at in range(0, len(text), ARROW_ROWS):
+            row = [end]
+            for t in text[at:at + ARROW_ROWS].to_pylist():
+                row += (np.frombuffer(normal(t), np.uint8), end)
+            both = np.concatenate(row).astype(np.uint32)
+            symbols += np.bincount(both[:-1] * np.uint32(SYMBOLS) + both[1:],
+                                   minlength=len(symbols))
+    seen = np.flatnonzero(symbols)
+    yield out(pa.array([s.to_bytes(4, "big") for s in seen.tolist()], pa.binary()),
+              symbols[seen], True)
 
 
 def _sizes(code: Code) -> list[int]:
@@ -602,49 +641,29 @@ def _score_texts(texts: list[bytes], model: Model) -> np.ndarray:
     return packed_log10(whole, np.concatenate(bits_of))
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
-    """Batches in groups of about GATHER_BYTES of text, so that all lanes have work."""
-    held: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.column(2).nbytes
-        if size >= GATHER_BYTES:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        get = model.frequent.get
-        for group in _gathered(batches):
-            every = [[normal(t) for t in batch.column(2).to_pylist()] for batch in group]
-            scored = _score_texts([t for texts in every for t in texts], model)
-            for batch, texts in zip(group, every):
-                scores, scored = scored[:len(texts)], scored[len(texts):]
-                yield rows_of(batch, texts, scores, model, get)
-
-    def rows_of(batch, texts, scores, model, get):
-        n_tokens, known, base, rare, times = [], [], [], [], []
-        for t in texts:
-            words = Counter(t.split())
-            words[_END_TOKEN] += 1
-            counts = [(w, n, get(w)) for w, n in words.items()]
-            n_tokens.append(sum(words.values()))
-            known.append(sum(n for _, n, c in counts if c))
-            base.append(sum(n * math.log10((c + 0.5) / model.scale)
-                            for _, n, c in counts if c))
-            rare.append([w for w, _, c in counts if not c])
-            times.append([n for _, n, c in counts if not c])
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(n_tokens, pa.int64()),
-             pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-             pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.binary())),
-             pa.array(times, pa.list_(pa.int64()))],
-            ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "tokens", "times"])
+        for doc_id, held_out, text in _gathered(batches, 2):
+            scores = _score_texts([normal(t) for t in text.to_pylist()], model)
+            n, own = len(text), tokens_of(text)
+            get = model.frequent.get
+            count = np.array([get(w, 0) for w in own.names.to_numpy(zero_copy_only=False)],
+                             np.int64)[own.token]
+            rare = count == 0
+            known = np.where(rare, 0, own.times)
+            base = known * np.log10((count + 0.5) / model.scale)
+            ends = np.cumsum(np.bincount(own.text[rare], minlength=n))
+            at = pa.array(np.concatenate([[0], ends]), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [doc_id, held_out,
+                 *(pa.array(np.bincount(own.text, x, n).astype(np.int64))
+                   for x in (own.times, known)),
+                 pa.array(np.bincount(own.text, base, n)), pa.array(scores, pa.float64()),
+                 pa.ListArray.from_arrays(at, own.names.take(pa.array(own.token[rare]))),
+                 pa.ListArray.from_arrays(at, pa.array(own.times[rare], pa.int64()))],
+                ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "tokens",
+                 "times"])
     return run
 
 
