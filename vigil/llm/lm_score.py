@@ -54,7 +54,7 @@ ORDERS = (3, 5)
 #: bits between two updates of the weights
 STEP = 8
 #: texts coded side by side, bytes of text gathered for them, and lanes that go on alone
-LANES, GATHER_BYTES, FEW = 2048, 16_000_000, 4
+LANES, GATHER_BYTES, FEW = 2048, 8_000_000, 4
 #: bytes laid out at once (whose arrays stay in a core's cache); bytes counted at once, and
 #: their distinct places laid out at once
 CHUNK_BYTES, COUNT_BYTES, COUNT_KEYS = 100_000, 2_000_000, 100_000
@@ -225,6 +225,14 @@ def decisions(texts: list[bytes], code: Code) -> Decisions:
                      np.add.reduceat(length, np.cumsum(own.sizes) - own.sizes, dtype=np.int64))
 
 
+def _pairs(texts: list[bytes]) -> np.ndarray:
+    """Symbol before and symbol of the bytes and end marks of some texts, in one number."""
+    end = np.full(1, END, np.uint16)
+    row = np.concatenate([end, *(p for t in texts for p in (np.frombuffer(t, np.uint8), end))])
+    row = row.astype(np.uint32)
+    return row[:-1] * np.uint32(SYMBOLS) + row[1:]
+
+
 def _chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     start = size = 0
     for i, n in enumerate(sizes):
@@ -259,7 +267,6 @@ def _gathered(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[p
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (is_byte, token, n): words and the end token, and pairs of symbols."""
     symbols = np.zeros(SYMBOLS * SYMBOLS, np.int64)
-    end = np.full(1, END, np.uint16)
 
     def out(names, n, is_byte):
         return pa.RecordBatch.from_arrays(
@@ -272,12 +279,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.add.at(n, own.token, own.times)
         yield out(own.names, n, False)
         for at in range(0, len(text), ARROW_ROWS):
-            row = [end]
-            for t in text[at:at + ARROW_ROWS].to_pylist():
-                row += (np.frombuffer(normal(t), np.uint8), end)
-            both = np.concatenate(row).astype(np.uint32)
-            symbols += np.bincount(both[:-1] * np.uint32(SYMBOLS) + both[1:],
-                                   minlength=len(symbols))
+            some = [normal(t) for t in text[at:at + ARROW_ROWS].to_pylist()]
+            symbols += np.bincount(_pairs(some), minlength=len(symbols))
     seen = np.flatnonzero(symbols)
     yield out(pa.array([s.to_bytes(4, "big") for s in seen.tolist()], pa.binary()),
               symbols[seen], True)
@@ -623,22 +626,26 @@ ROWS = ("doc_id long, held_out boolean, n_tokens long, n_known long, base double
         "tokens array<binary>, times array<long>")
 
 
+def _bits_of(texts: list[bytes], code: Code) -> np.ndarray:
+    """Decisions of each text."""
+    sizes = np.array([len(t) + 1 for t in texts])
+    return np.add.reduceat(code.length.take(_pairs(texts)), np.cumsum(sizes) - sizes,
+                           dtype=np.int64)
+
+
 def _score_texts(texts: list[bytes], model: Model) -> np.ndarray:
     """The decisions are laid out chunk by chunk (four bytes each stay), then coded together."""
-    packed, bits_of = [], []
-    for a, b in _chunks([len(t) for t in texts], CHUNK_BYTES):
-        d = decisions(texts[a:b], model.code)
-        packed.append(_packed(d, model.logits))
-        bits_of.append(d.bits_of)
-    if not packed:
+    chunks = list(_chunks([len(t) for t in texts], CHUNK_BYTES))
+    if not chunks:
         return np.zeros(0)
-    whole = np.empty((sum(map(len, packed)), *packed[0].shape[1:]), np.int8)
-    end = len(whole)
-    while packed:  # each part is given back once it is copied
-        part = packed.pop()
-        whole[end - len(part):end] = part
-        end -= len(part)
-    return packed_log10(whole, np.concatenate(bits_of))
+    bits_of = np.concatenate([_bits_of(texts[a:b], model.code) for a, b in chunks])
+    whole = np.empty((int(steps_of(bits_of).sum()), len(model.logits) + 1, STEP), np.int8)
+    to = 0
+    for a, b in chunks:
+        part = _packed(decisions(texts[a:b], model.code), model.logits)
+        whole[to:to + len(part)] = part
+        to += len(part)
+    return packed_log10(whole, bits_of)
 
 
 def _score(shared):
