@@ -1,4 +1,4 @@
-"""Work of the language-model scores: a long text alone, equal places, words of odd texts."""
+"""Work of the language-model scores: a long text, equal places, words of odd texts."""
 
 from __future__ import annotations
 
@@ -19,24 +19,20 @@ def model():
     return code, tables
 
 
-def test_a_long_text_goes_on_alone_with_the_same_score(monkeypatch):
+def test_a_long_text_takes_few_stretches_with_the_same_score(monkeypatch):
     rnd = random.Random(5)
     texts = [" ".join(words(rnd, n)).encode() for n in (30, 2000, 3, 40, 25, 60, 33, 0, 50)]
     code, tables = model()
     d = lm_score.decisions(texts, code)
-    alone, steps = lm_score._alone, []
-    monkeypatch.setattr(lm_score, "_alone",
-                        lambda own, *state: steps.append(len(own)) or alone(own, *state))
     got = lm_score.mixed_log10(d, tables)
+    lanes = lm_score.lanes_of(d.bits_of, lm_score.LANES)
+    stretches = list(lm_score._stretches(lanes))
     longest = int(lm_score.steps_of(d.bits_of).max())
-    assert longest * 0.9 < max(steps) < longest
-    monkeypatch.setattr(lm_score, "FEW", 0)
-    steps.clear()
-    assert np.allclose(got, lm_score.mixed_log10(d, tables), rtol=1e-6) and not steps
-    monkeypatch.setattr(lm_score, "LANES", 3)
-    assert np.allclose(got, lm_score.mixed_log10(d, tables), rtol=1e-6)
-    monkeypatch.setattr(lm_score, "FEW", 4)
-    assert np.allclose(got, lm_score.mixed_log10(d, tables), rtol=1e-6)
+    assert len(stretches) < longest / 20 and sum(size for _, size, _ in stretches) == longest
+    for most, side_by_side in ((1, 512), (64, 3), (64, 1)):
+        monkeypatch.setattr(lm_score, "STRETCH", most)
+        monkeypatch.setattr(lm_score, "LANES", side_by_side)
+        assert np.allclose(got, lm_score.mixed_log10(d, tables), rtol=1e-6)
 
 
 def test_equal_places_are_laid_out_once_and_counted_each(monkeypatch):

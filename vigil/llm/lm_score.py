@@ -53,8 +53,8 @@ TABLE_BITS, PIECE_BITS = 21, 15
 ORDERS = (3, 5)
 #: bits between two updates of the weights
 STEP = 8
-#: texts coded side by side, bytes of text gathered for them, and lanes that go on alone
-LANES, GATHER_BYTES, FEW = 2048, 8_000_000, 4
+#: texts coded side by side, bytes of text gathered for them, most steps of a stretch
+LANES, GATHER_BYTES, STRETCH = 2048, 8_000_000, 64
 #: bytes laid out at once (whose arrays stay in a core's cache); bytes counted at once, and
 #: their distinct places laid out at once
 CHUNK_BYTES, COUNT_BYTES, COUNT_KEYS = 100_000, 2_000_000, 100_000
@@ -432,7 +432,7 @@ class Lanes:
     """Which lane codes which text from which step on. Lanes are numbered by the step at
     which they are done, the last one first, so those at work are always the first ones."""
 
-    own: list[list[tuple[int, int, int]]]  # of every lane: (first step, step after it, text)
+    n: int
     begins: dict[int, list[tuple[int, int]]]  # step -> (lane, text)
     ends: dict[int, list[tuple[int, int]]]  # last step of a text -> (lane, text)
     at_work: np.ndarray  # lanes at work in each step
@@ -460,7 +460,7 @@ def lanes_of(bits_of: np.ndarray, most: int) -> Lanes:
             begins.setdefault(start, []).append((lane, text))
             ends.setdefault(end - 1, []).append((lane, text))
         done[:texts[-1][1]] += 1
-    return Lanes(own, begins, ends, done)
+    return Lanes(n, begins, ends, done)
 
 
 def mixed_log10(d: Decisions, logits: list[np.ndarray]) -> np.ndarray:
@@ -468,15 +468,26 @@ def mixed_log10(d: Decisions, logits: list[np.ndarray]) -> np.ndarray:
     return packed_log10(_packed(d, logits), d.bits_of)
 
 
+def _stretches(lanes: Lanes) -> Iterator[tuple[int, int, int]]:
+    """(first step, steps, lanes at work) of stretches in which no lane takes or ends a text;
+    of many steps where few lanes are left."""
+    bounds = sorted({*lanes.begins, *(step + 1 for step in lanes.ends)})
+    for start, stop in zip(bounds, bounds[1:]):
+        m = int(lanes.at_work[start])
+        most = max(1, min(STRETCH, LANES // m))
+        for at in range(start, stop, most):
+            yield at, min(most, stop - at), m
+
+
 def packed_log10(whole: np.ndarray, bits_of: np.ndarray) -> np.ndarray:
     """log10 probability of the texts whose steps ``_packed`` gives, one text after the
     other. LANES texts advance together, STEP bits at a time; each has its own weights and
     map, and a lane whose text ends takes the next one with fresh weights and map. What a
     text's last step holds past its end counts for nothing and changes only what is
-    set anew. The last FEW lanes go on by themselves."""
+    set anew. Only the weights go step by step; all else is done for a stretch of steps."""
     lanes = lanes_of(bits_of, LANES)
     steps = steps_of(bits_of)
-    first, n, k = np.cumsum(steps) - steps, len(lanes.own), whole.shape[1] - 1
+    first, n, k = np.cumsum(steps) - steps, lanes.n, whole.shape[1] - 1
     rows = whole.reshape(len(whole), -1)
     fresh = np.array(FIRST_WEIGHTS, np.float32)[:, None, None] / SCALE
     shared = np.zeros((k, 1, n), np.float32)
@@ -484,131 +495,73 @@ def packed_log10(whole: np.ndarray, bits_of: np.ndarray) -> np.ndarray:
     centres = 1 / (1 + np.exp(-(np.arange(MAP_CELLS) - MAP_CELLS / 2 + 0.5)))
     centres = centres.astype(np.float32)[:, None]
     cells = np.zeros(MAP_CELLS * n, np.float32)
-    cells_of = cells.reshape(MAP_CELLS, n)
     column = np.arange(n, dtype=np.int64) + n * (MAP_CELLS // 2)
     place, total = np.zeros(n, np.int64), np.zeros(n, np.float64)
     out = np.zeros(len(bits_of))
     rate, one = np.float32(-RATE / SCALE), np.float32(1)
     share, pace = np.float32(MAP_SHARE), np.float32(MAP_RATE)
     least, most = np.float32(-MOST_LOGIT), np.float32(MOST_LOGIT)
-    together = int((lanes.at_work > FEW).sum())
-    for step, m in enumerate(lanes.at_work[:together].tolist()):
+    ahead = np.arange(STRETCH)[:, None]
+    for step, size, m in _stretches(lanes):
         if step in lanes.begins:
             own, texts = map(list, zip(*lanes.begins[step]))
             shared[:, :, own], sure[:, :, own], total[own] = fresh, 0, 0
-            cells_of[:, own] = centres
+            cells.reshape(MAP_CELLS, n)[:, own] = centres
             place[own] = first[texts]
-        now = rows.take(place[:m], axis=0).T.astype(np.float32, order="C").reshape(k + 1, STEP, m)
-        place += 1
-        x, y = now[:k], now[k]
-        gate = (np.abs(x[-1]) >= GATE_AT).astype(np.float32)
+        now = rows.take((place[:m] + ahead[:size]).ravel(), axis=0).reshape(size, m, k + 1, STEP)
+        place += size
+        now = now.transpose(2, 0, 3, 1).astype(np.float32, order="C")
+        bits = now[k]
+        gates = (np.abs(now[k - 1]) >= GATE_AT).astype(np.float32)
+        mixes, guesses = np.empty_like(bits), np.empty_like(bits)
         w, v = shared[:, :, :m], sure[:, :, :m]
-        mixed = gate * v
-        mixed += w
-        mixed *= x
-        z = mixed[0]
-        for part in mixed[1:]:
-            z += part
-        z.clip(least, most, out=z)
-        p = np.negative(z)
-        np.exp(p, out=p)
-        p += one
-        np.divide(one, p, out=p)
-        np.floor(z, out=z)
-        cell = z.astype(np.int64)
+        for i in range(size):
+            x, gate, z, p = now[:k, i], gates[i], mixes[i], guesses[i]
+            mixed = gate * v
+            mixed += w
+            mixed *= x
+            np.add(mixed[0], mixed[1], out=z)
+            for part in mixed[2:]:
+                z += part
+            z.clip(least, most, out=z)
+            np.negative(z, out=p)
+            np.exp(p, out=p)
+            p += one
+            np.divide(one, p, out=p)
+            pull = p - bits[i]
+            pull *= rate
+            x *= pull
+            w += np.add.reduce(x, axis=1, keepdims=True)
+            x *= gate
+            v += np.add.reduce(x, axis=1, keepdims=True)
+        np.floor(mixes, out=mixes)
+        cell = mixes.astype(np.int64)
         cell *= n
         cell += column[:m]
-        seen = np.empty_like(p)
-        for own, at, bit in zip(seen, cell, y):
+        seen = mixes
+        for own, at, bit in zip(*(a.reshape(-1, m) for a in (seen, cell, bits))):
             cells.take(at, out=own, mode="clip")
             new = bit - own
             new *= pace
             new += own
             cells[at] = new
-        seen -= p
+        seen -= guesses
         seen *= share
-        seen += p
-        p -= y
-        np.subtract(one, y, out=y)
-        y -= seen
-        np.abs(y, out=y)
-        final = np.log(y, out=y)
-        ending = lanes.ends.get(step, ())
+        seen += guesses
+        np.subtract(one, bits, out=bits)
+        bits -= seen
+        np.abs(bits, out=bits)
+        final = np.log(bits, out=bits)
+        ending = lanes.ends.get(step + size - 1, ())
         for lane, text in ending:
-            final[(int(bits_of[text]) - 1) % STEP + 1:, lane] = 0
-        total[:m] += final.sum(axis=0)
+            final[-1, (int(bits_of[text]) - 1) % STEP + 1:, lane] = 0
+        for part in final.sum(axis=1):
+            total[:m] += part
         for lane, text in ending:
             out[text] = total[lane]
-        p *= rate
-        x *= p
-        w += x.sum(axis=1, keepdims=True)
-        x *= gate
-        v += x.sum(axis=1, keepdims=True)
-    for lane, texts in enumerate(lanes.own):
-        for start, end, text in texts:
-            if end <= together:
-                continue
-            done = max(together - start, 0)
-            state = (shared[:, 0, lane], sure[:, 0, lane], cells_of[:, lane], total[lane])
-            if not done:
-                state = (fresh[:, 0, 0], np.zeros(k), centres[:, 0], 0.0)
-            at = int(first[text])
-            out[text] = _alone(whole[at + done:at + int(steps[text])],
-                               int(bits_of[text]) - done * STEP, *state)
     return out / math.log(10)
 
 
-def _alone(steps: np.ndarray, n_bits: int, weights: np.ndarray, sure: np.ndarray,
-           cells: np.ndarray, total: float) -> float:
-    """Natural logarithm of one text's probability, going on from a lane's state bit by bit:
-    for a few lanes, plain numbers take less time than arrays."""
-    (w0, w1, w2), (v0, v1, v2), cells = weights.tolist(), sure.tolist(), cells.tolist()
-    rate, half, exp, log = RATE / SCALE, MAP_CELLS / 2, math.exp, math.log
-    total = float(total)
-    for begin in range(0, len(steps), 256):
-        some = steps[begin:begin + 256].swapaxes(0, 1).tolist()
-        left = n_bits - begin * STEP
-        if left < len(some[0]) * STEP:
-            for turns in some:
-                del turns[-1][(left - 1) % STEP + 1:]
-        for turns in zip(*some):
-            g0 = g1 = g2 = h0 = h1 = h2 = 0.0
-            found = 1.0
-            for x0, x1, x2, bit in zip(*turns):
-                gated = x2 >= GATE_AT or x2 <= -GATE_AT
-                if gated:
-                    z = (w0 + v0) * x0 + (w1 + v1) * x1 + (w2 + v2) * x2
-                else:
-                    z = w0 * x0 + w1 * x1 + w2 * x2
-                if z > MOST_LOGIT:
-                    z = MOST_LOGIT
-                elif z < -MOST_LOGIT:
-                    z = -MOST_LOGIT
-                p = 1 / (1 + exp(-z))
-                cell = int(z + half)
-                seen = cells[cell]
-                final = p + MAP_SHARE * (seen - p)
-                if bit:
-                    found *= final
-                    cells[cell] = seen + MAP_RATE * (1 - seen)
-                    e = rate * (1 - p)
-                else:
-                    found *= 1 - final
-                    cells[cell] = seen - MAP_RATE * seen
-                    e = -rate * p
-                g0 += e * x0
-                g1 += e * x1
-                g2 += e * x2
-                if gated:
-                    h0 += e * x0
-                    h1 += e * x1
-                    h2 += e * x2
-            total += log(found)
-            w0, w1, w2 = w0 + g0, w1 + g1, w2 + g2
-            v0, v1, v2 = v0 + h0, v1 + h1, v2 + h2
-    return total
-
-
 @dataclass
 class Model:
     code: Code
